@@ -107,11 +107,8 @@ ROUND2_TIES = _python_round2_ties()
 
 def py_round2(c: Column) -> Column:
     """round(x, 2) as Python computes it, for scores in [0, 1] (decides `passed`)."""
-    expr = None
-    for x, r in ROUND2_TIES.items():
-        expr = (F.when(c == F.lit(x), F.lit(r)) if expr is None
-                else expr.when(c == F.lit(x), F.lit(r)))
-    return expr.otherwise(F.round(c, 2))
+    ties = F.create_map(*[F.lit(v) for kv in ROUND2_TIES.items() for v in kv])   # folded to one literal
+    return F.coalesce(F.try_element_at(ties, c.cast("double")), F.round(c, 2))
 
 
 def py_round2_sql(x: str) -> str:
