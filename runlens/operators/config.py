@@ -103,6 +103,8 @@ EVAL_CONFIG_SCHEMA = T.StructType([
 def checked_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """Broadcast a config-like table only after checking its size; otherwise leave the join
     strategy to the planner (sort-merge / AQE)."""
+    if df.isLocal():          # built from driver-side rows: its size is already bounded
+        return F.broadcast(df)
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 

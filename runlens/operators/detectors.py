@@ -69,14 +69,15 @@ def _session_facts(sessions: DataFrame) -> DataFrame:
 
 
 def _incident(df: DataFrame, pattern: str, root_cause: Column, fix: Column, cost: Column, tokens: Column,
-              frame_count: Column) -> DataFrame:
+              frame_count: Column, root_tool: Column | None = None) -> DataFrame:
     return df.select(
         *K, "workflow_id",
         F.lit(RANK[pattern]).alias("pattern_rank"), F.lit(pattern).alias("pattern_name"),
         F.lit(SEVERITY[pattern]).alias("severity"),
         root_cause.alias("root_cause"), fix.alias("fix_suggestion"),
         cost.cast("double").alias("cost_wasted"), tokens.cast("long").alias("tokens_wasted"),
-        frame_count.cast("long").alias("frame_count"), F.lit(False).alias("is_simulated"))
+        frame_count.cast("long").alias("frame_count"), F.lit(False).alias("is_simulated"),
+        (root_tool if root_tool is not None else F.lit(None)).cast("string").alias("root_tool"))
 
 
 def _frames(rows: DataFrame, pattern: str) -> DataFrame:
@@ -111,18 +112,19 @@ def tool_timeout_loop(x: DetectorInputs) -> Detected:
          .withColumn("_tool", F.coalesce(F.nullif(F.col("tool_name"), F.lit("")), F.lit("unknown_tool"))))
     g = (e.groupBy(*K, "_tool")
          .agg(F.count(F.lit(1)).alias("_n"), F.max("tool_retry_threshold").alias("_thr"),
-              F.min(F.struct(_order().alias("o"), F.col("agent"), F.col("error"))).alias("_first"))
+              F.min(F.struct(_order().alias("o"), F.col("agent"), F.col("error"), F.col("tool_name"))).alias("_first"))
          .filter(F.col("_n") >= F.col("_thr")))
     win = g.groupBy(*K).agg(F.min(F.struct(F.col("_first"), F.col("_tool"), F.col("_n"))).alias("w"))
     win = win.select(*K, F.col("w._tool").alias("_tool"), F.col("w._n").alias("_n"),
-                     F.col("w._first.agent").alias("_agent"), F.col("w._first.error").alias("_err"))
+                     F.col("w._first.agent").alias("_agent"), F.col("w._first.error").alias("_err"),
+                     F.col("w._first.tool_name").alias("_root_tool"))
     j = win.join(x.sessions, K)
     agent = _none(F.col("_agent"))
     err = F.substring(F.coalesce(F.nullif(F.col("_err"), F.lit("")), F.lit("unknown error")), 1, 120)
     root = F.format_string("%s failed %d times in %s agent. Error: %s", F.col("_tool"), F.col("_n"), agent, err)
     fix = F.format_string("Add max_retries=2 and timeout=10s to %s in the %s agent tool configuration. "
                           "Consider exponential backoff between retries.", F.col("_tool"), agent)
-    inc = _incident(j, p, root, fix, F.col("_cost"), F.col("_tokens"), F.col("_n"))
+    inc = _incident(j, p, root, fix, F.col("_cost"), F.col("_tokens"), F.col("_n"), F.col("_root_tool"))
     frames = _frames(e.join(win.select(*K, "_tool"), K + ["_tool"], "left_semi"), p)
     return Detected(inc, frames)
 

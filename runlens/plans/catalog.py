@@ -50,6 +50,8 @@ def _detector_query(pattern: str, round_cost: int | None = None, drop_root: bool
         traces, sessions = _inputs(spark, sf_dir)
         inc = run_detectors(traces, sessions, patterns=[pattern]).incidents
         cols = [c for c in INCIDENT_COLS if not (drop_root and c == "root_cause")]
+        if pattern == "Tool Timeout Loop":
+            cols.append("root_tool")
         out = inc.select(*cols)
         if round_cost is not None:
             out = out.withColumn("cost_wasted", F.round("cost_wasted", round_cost))
@@ -61,10 +63,24 @@ def _sql(body: str) -> str:
     return with_sql(TRACES_SQL, SESSIONS_SQL, S_SQL, body)
 
 
+DET_BODIES: dict[str, str] = {}
+
+
+def _det(pattern: str, body: str) -> str:
+    """Keep each detector's SQL body so that later oracles can reuse it as a subquery."""
+    DET_BODIES[pattern] = body
+    return _sql(body)
+
+
+def incidents_sql(cols: str = "tenant_id, session_id, pattern_name") -> str:
+    """Every detector's incidents as one UNION ALL (subqueries see the outer traces/sessions/s)."""
+    return "\nUNION ALL\n".join(f"SELECT {cols} FROM (WITH {b.strip()})" for b in DET_BODIES.values())
+
+
 ERR_SQL = "(outcome IS NOT DISTINCT FROM 'error' OR nullif(trim(error), '') IS NOT NULL)"
 TOOL_SQL = "coalesce(step_type, '') = 'tool_call'"
 
-D1_SQL = _sql(f"""
+D1_SQL = _det("Tool Timeout Loop", f"""
 e AS (SELECT *, coalesce(nullif(tool_name, ''), 'unknown_tool') AS tool FROM traces WHERE {TOOL_SQL} AND {ERR_SQL}),
 e2 AS (SELECT *, count(*) OVER (PARTITION BY tenant_id, session_id, tool) AS n,
               row_number() OVER (PARTITION BY tenant_id, session_id, tool ORDER BY created_at, seq) AS rn FROM e),
@@ -73,10 +89,10 @@ f AS (SELECT *, row_number() OVER (PARTITION BY tenant_id, session_id ORDER BY c
 SELECT f.tenant_id, f.session_id, 'Tool Timeout Loop' AS pattern_name, 'critical' AS severity,
        f.tool || ' failed ' || f.n || ' times in ' || coalesce(f.agent, 'None') || ' agent. Error: '
          || substr(coalesce(nullif(f.error, ''), 'unknown error'), 1, 120) AS root_cause,
-       s.cost AS cost_wasted, s.tokens AS tokens_wasted, f.n AS frame_count
+       s.cost AS cost_wasted, s.tokens AS tokens_wasted, f.n AS frame_count, f.tool_name AS root_tool
 FROM f JOIN s USING (tenant_id, session_id) WHERE f.wr = 1""")
 
-D2_SQL = _sql("""
+D2_SQL = _det("Context Spiral", """
 a AS (SELECT tenant_id, session_id, CAST(sum(coalesce(tokens_input, 0) + coalesce(tokens_output, 0)) AS BIGINT) AS at,
              count(*) AS n FROM traces WHERE lower(coalesce(agent, '')) = 'research' GROUP BY ALL)
 SELECT a.tenant_id, a.session_id, 'Context Spiral' AS pattern_name, 'warning' AS severity,
@@ -85,7 +101,7 @@ SELECT a.tenant_id, a.session_id, 'Context Spiral' AS pattern_name, 'warning' AS
        s.cost AS cost_wasted, a.at AS tokens_wasted, least(a.n, 20) AS frame_count
 FROM a JOIN s USING (tenant_id, session_id) WHERE a.at > 40000 AND s.trades = 0""")
 
-D3_SQL = _sql("""
+D3_SQL = _det("Pipeline Break", """
 ag AS (SELECT tenant_id, session_id,
               bool_or(lower(coalesce(agent, '')) = 'research' OR starts_with(lower(coalesce(agent, '')), 'research_')) AS first_ran,
               bool_or(lower(coalesce(agent, '')) = 'orchestrator' OR starts_with(lower(coalesce(agent, '')), 'orchestrator_')) AS last_ran,
@@ -102,7 +118,7 @@ SELECT ag.tenant_id, ag.session_id, 'Pipeline Break' AS pattern_name, 'critical'
 FROM ag JOIN s USING (tenant_id, session_id) LEFT JOIN lastf l USING (tenant_id, session_id)
 WHERE ag.first_ran AND NOT ag.last_ran""")
 
-D4_SQL = _sql(f"""
+D4_SQL = _det("Empty Result Loop", f"""
 ok AS (SELECT *, coalesce(nullif(tool_name, ''), 'unknown') AS tool FROM traces
        WHERE {TOOL_SQL} AND coalesce(outcome, '') = 'success'),
 g AS (SELECT tenant_id, session_id, tool, count(*) AS n, min(seq) AS fs,
@@ -114,7 +130,7 @@ SELECT w.tenant_id, w.session_id, 'Empty Result Loop' AS pattern_name, 'warning'
        s.cost AS cost_wasted, s.tokens AS tokens_wasted, w.named AS frame_count
 FROM w JOIN s USING (tenant_id, session_id) WHERE w.wr = 1 AND s.trades = 0""")
 
-D5_SQL = _sql(f"""
+D5_SQL = _det("Silent Exit", f"""
 g AS (SELECT tenant_id, session_id, count(*) AS n, coalesce(bool_or({TOOL_SQL} AND {ERR_SQL}), false) AS te
       FROM traces GROUP BY ALL)
 SELECT g.tenant_id, g.session_id, 'Silent Exit' AS pattern_name, 'info' AS severity,
@@ -123,7 +139,7 @@ SELECT g.tenant_id, g.session_id, 'Silent Exit' AS pattern_name, 'info' AS sever
        s.cost AS cost_wasted, s.tokens AS tokens_wasted, least(g.n, 10) AS frame_count
 FROM g JOIN s USING (tenant_id, session_id) WHERE s.trades = 0 AND s.reason = '' AND NOT g.te AND g.n > 0""")
 
-D6_SQL = _sql(f"""
+D6_SQL = _det("Hyperactive Polling Loop", f"""
 c AS (SELECT *, coalesce(nullif(tool_name, ''), 'unknown') AS tool FROM traces
       WHERE {TOOL_SQL} AND outcome IS DISTINCT FROM 'error'),
 c2 AS (SELECT *, count(*) OVER (PARTITION BY tenant_id, session_id, tool) AS n,
@@ -135,10 +151,10 @@ SELECT f.tenant_id, f.session_id, 'Hyperactive Polling Loop' AS pattern_name, 'w
        f.tool || ' called ' || f.n || ' times successfully by ' || coalesce(f.agent, 'None')
          || ' agent. Agent is polling without reaching a decision threshold. Total time in tool calls: '
          || format('{{:,}}', CAST(f.lat AS BIGINT)) || 'ms.' AS root_cause,
-       s.cost AS cost_wasted, s.tokens AS tokens_wasted, f.n AS frame_count
+       s.cost AS cost_wasted, s.tokens AS tokens_wasted, f.n AS frame_count, f.tool_name AS root_tool
 FROM f JOIN s USING (tenant_id, session_id) WHERE f.wr = 1""")
 
-D7_SQL = _sql(f"""
+D7_SQL = _det("Tool Call Fabrication", f"""
 sus AS (SELECT * FROM traces WHERE {TOOL_SQL} AND outcome IS DISTINCT FROM 'error'
         AND coalesce(latency_ms, 0) > 0 AND coalesce(latency_ms, 0) < 10.0
         AND coalesce(tool_name, '') NOT IN ('read_session_context', 'write_learning', 'get_candidates',
@@ -154,7 +170,7 @@ SELECT g.tenant_id, g.session_id, 'Tool Call Fabrication' AS pattern_name, 'crit
        s.cost AS cost_wasted, CAST(0 AS BIGINT) AS tokens_wasted, g.n AS frame_count
 FROM g JOIN s USING (tenant_id, session_id) JOIN da USING (tenant_id, session_id) JOIN dt USING (tenant_id, session_id)""")
 
-D8_SQL = _sql(f"""
+D8_SQL = _det("Handoff Schema Break", f"""
 src AS (SELECT tenant_id, session_id, count(*) AS sn,
                bool_or(coalesce(step_type, '') IN ('llm_call', 'agent_message', 'decision')
                        AND outcome IS DISTINCT FROM 'error') AS ok
@@ -169,7 +185,7 @@ SELECT src.tenant_id, src.session_id, 'Handoff Schema Break' AS pattern_name, 'c
 FROM src JOIN tg USING (tenant_id, session_id) JOIN s USING (tenant_id, session_id)
 WHERE src.ok AND (tg.outcome IS NOT DISTINCT FROM 'error' OR nullif(trim(tg.error), '') IS NOT NULL)""")
 
-D9_SQL = _sql(f"""
+D9_SQL = _det("Error Misinterpretation", f"""
 cand AS (SELECT * FROM traces WHERE {TOOL_SQL}
          AND (contains(coalesce(error, ''), '400') OR contains(coalesce(error, ''), '401')
               OR contains(coalesce(error, ''), '403') OR contains(coalesce(error, ''), '429')
@@ -192,7 +208,7 @@ SELECT g.tenant_id, g.session_id, 'Error Misinterpretation' AS pattern_name, 'wa
        s.cost AS cost_wasted, s.tokens AS tokens_wasted, g.n AS frame_count
 FROM g JOIN ag USING (tenant_id, session_id) JOIN er USING (tenant_id, session_id) JOIN s USING (tenant_id, session_id)""")
 
-D10_SQL = _sql("""
+D10_SQL = _det("Cost Anomaly", """
 h AS (SELECT *, count(cost) OVER w AS hn, avg(cost) OVER w AS hm, stddev_samp(cost) OVER w AS hsd
       FROM s WINDOW w AS (PARTITION BY tenant_id, workflow_id ORDER BY started_at, session_id
                           ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)),
