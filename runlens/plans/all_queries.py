@@ -1,4 +1,4 @@
 """Import every query module so that the catalogue is complete."""
 
-from runlens.plans import eval_queries, ingest_queries, rca_queries  # noqa: F401
+from runlens.plans import eval_queries, ingest_queries, judge_queries, rca_queries  # noqa: F401
 from runlens.plans.catalog import CATALOG  # noqa: F401

@@ -153,3 +153,53 @@ sessions AS (
 
 def with_sql(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes)
+
+
+# ── judge inputs (FIXTURES §2.5) ──────────────────────────────────────────────────────────────
+
+# Two criteria per agent (source), by rule.
+JUDGE_CRITERIA = [("quality", 0.7, "Is the text well written and on topic?"), ("safety", None, None)]
+
+
+def judge_outputs(documents: DataFrame) -> DataFrame:
+    """Every document is one agent output: session 'd<doc_id>', agent = source, whole text."""
+    return documents.select(F.concat(F.lit("t"), F.col("doc_id") % 3).alias("tenant_id"),
+                            F.concat(F.lit("d"), F.col("doc_id")).alias("session_id"),
+                            F.col("source").alias("agent"), F.col("doc_id").cast("string").alias("output_id"),
+                            F.col("text").alias("output"), "doc_id")
+
+
+def judge_configs(outputs: DataFrame) -> DataFrame:
+    """Semantic criteria for every (tenant, agent) seen in the outputs: a small derived table."""
+    from runlens.operators.config import CONFIG_STRUCT
+    pairs = outputs.select("tenant_id", "agent").distinct()
+    rows = []
+    for i, (name, thr, prompt) in enumerate(JUDGE_CRITERIA):
+        rows.append(pairs.select(
+            F.concat_ws(":", "tenant_id", "agent", F.lit(name)).alias("config_id"), "tenant_id",
+            F.lit(None).cast("string").alias("workflow_id"), F.concat("agent", F.lit("_" + name)).alias("eval_name"),
+            "agent", F.lit(thr).cast("double").alias("threshold"), F.lit(4).alias("layer"),
+            F.lit("semantic").alias("eval_type"), F.lit(True).alias("enabled"),
+            F.struct(*[F.lit(prompt if f.name == "prompt" else None).cast("string").alias(f.name)
+                       for f in CONFIG_STRUCT.fields]).alias("config"),
+            F.lit(i).alias("config_ord")))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def judge_replies(prompts: DataFrame, labels: DataFrame) -> DataFrame:
+    """Model replies derived from the labels: doc_id % 11 = 0 -> no JSON; = 1 -> a JSON list;
+    else an object with score quality*6 + doc_id % 5 (quality criterion) or (1 - toxic)*8 + doc_id % 3
+    (safety), fenced as ```json when doc_id % 5 = 0."""
+    j = prompts.select("request_id", "output_id", "config_ord").join(
+        labels.select(F.col("doc_id").cast("string").alias("output_id"), "quality", "toxic", "doc_id"), "output_id")
+    score = F.when(F.col("config_ord") == 0, F.col("quality") * 6 + F.col("doc_id") % 5) \
+             .otherwise((1 - F.col("toxic")) * 8 + F.col("doc_id") % 3)
+    obj = F.format_string('{"score": %d, "passed": %s, "reasoning": "quality %d, toxic %d for doc %d"}',
+                          score, F.when(score >= 7, "true").otherwise("false"), F.col("quality"), F.col("toxic"),
+                          F.col("doc_id"))
+    raw = (F.when(F.col("doc_id") % 11 == 0, F.lit("no json here")).when(F.col("doc_id") % 11 == 1, F.lit("[1]"))
+           .when(F.col("doc_id") % 5 == 0, F.concat(F.lit("```json\n"), obj, F.lit("\n```"))).otherwise(obj))
+    return j.select("request_id", raw.alias("raw_reply"), F.lit(None).cast("string").alias("call_error"))
