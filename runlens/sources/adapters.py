@@ -203,3 +203,32 @@ def judge_replies(prompts: DataFrame, labels: DataFrame) -> DataFrame:
     raw = (F.when(F.col("doc_id") % 11 == 0, F.lit("no json here")).when(F.col("doc_id") % 11 == 1, F.lit("[1]"))
            .when(F.col("doc_id") % 5 == 0, F.concat(F.lit("```json\n"), obj, F.lit("\n```"))).otherwise(obj))
     return j.select("request_id", raw.alias("raw_reply"), F.lit(None).cast("string").alias("call_error"))
+
+
+# ── outcomes (FIXTURES §2.6) ──────────────────────────────────────────────────────────────────
+
+def outcomes_from_events(events: DataFrame) -> DataFrame:
+    """Purchases are business outcomes of the user's work item: value - 50 (its sign is the
+    result), label 'success' on every 4th event, string signals."""
+    k = F.get_json_object("props", "$.k")
+    p = events.filter(F.col("event_type") == "purchase")
+    return p.select(
+        F.concat(F.lit("t"), F.col("user_id") % 3).alias("tenant_id"),
+        F.concat(F.lit("u"), F.col("user_id")).alias("entity_id"),
+        "event_id",
+        F.when(F.col("event_id") % 4 == 0, F.lit("success")).alias("label"),
+        (F.col("value") - 50).alias("value"),
+        F.create_map(F.lit("amount"), F.col("value").cast("string"), F.lit("channel"),
+                     F.when(k.try_cast("int") % 2 == 0, "web").otherwise("app")).alias("signals"),
+        F.lit(None).cast("string").alias("source"),
+        F.col("ts").cast("timestamp").alias("occurred_at"))
+
+
+OUTCOMES_SQL = """
+outcomes AS (
+  SELECT 't' || (user_id % 3) AS tenant_id, 'u' || user_id AS entity_id, event_id,
+         CASE WHEN event_id % 4 = 0 THEN 'success' END AS label, value - 50 AS value,
+         CAST(value AS VARCHAR) AS amount_txt,
+         CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) % 2 = 0 THEN 'web' ELSE 'app' END AS channel
+  FROM events WHERE event_type = 'purchase'
+)"""
