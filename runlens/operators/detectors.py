@@ -406,8 +406,9 @@ def failed_eval_rows(evals: DataFrame) -> DataFrame:
 
 def run_detectors(traces: DataFrame, sessions: DataFrame, params: DataFrame | None = None,
                   evals: DataFrame | None = None, patterns: list[str] | None = None,
-                  history_bucket_seconds: int | None = 86_400) -> Detected:
-    """All detectors for all sessions; D10 last. Returns (incidents, frames)."""
+                  history_bucket_seconds: int | None = 86_400, history: DataFrame | None = None) -> Detected:
+    """All detectors for all sessions; D10 last. Returns (incidents, frames).
+    `history` (see `cost_history`) may be computed over a larger set of sessions than judged."""
     x = DetectorInputs(traces, sessions, params)
     wanted = set(patterns) if patterns else None
     results = []
@@ -415,7 +416,9 @@ def run_detectors(traces: DataFrame, sessions: DataFrame, params: DataFrame | No
         if wanted is None or name in wanted:
             results.append(fn(x))
     if wanted is None or "Cost Anomaly" in wanted:
-        results.append(cost_anomaly(x, cost_history(sessions, bucket_seconds=history_bucket_seconds)))
+        if history is None:
+            history = cost_history(sessions, bucket_seconds=history_bucket_seconds)
+        results.append(cost_anomaly(x, history))
     inc = results[0].incidents
     frames = results[0].frames
     for r in results[1:]:
