@@ -103,11 +103,12 @@ def _python_round2_ties() -> dict[float, float]:
 
 
 ROUND2_TIES = _python_round2_ties()
+_TIES_MAP_SQL = "map(" + ", ".join(f"CAST({k!r} AS DOUBLE), CAST({v!r} AS DOUBLE)" for k, v in ROUND2_TIES.items()) + ")"
 
 
 def py_round2(c: Column) -> Column:
     """round(x, 2) as Python computes it, for scores in [0, 1] (decides `passed`)."""
-    ties = F.create_map(*[F.lit(v) for kv in ROUND2_TIES.items() for v in kv])   # folded to one literal
+    ties = F.expr(_TIES_MAP_SQL)   # one constant map, folded by the optimizer
     return F.coalesce(F.try_element_at(ties, c.cast("double")), F.round(c, 2))
 
 

@@ -116,91 +116,103 @@ def _wf_keys(df: DataFrame, col: str = "workflow_id") -> DataFrame:
     return df.withColumn("_wfk", F.explode(F.array(F.col(col), F.lit("*"))))
 
 
-def _metric_parts() -> dict[str, EvalParts]:
+def _metric_parts(wanted: set[str] | None = None) -> dict[str, EvalParts]:
+    def want(m: str) -> bool:
+        return wanted is None or m in wanted
+
     n, n_ok = F.col("n"), F.col("n_ok")
     has = n > 0
     reason = lambda s: _detail(reason=F.lit(s))
     parts = {}
 
     # C1
-    parts["agent_presence"] = EvalParts(
-        F.when(has, py_round2(n_ok / n)).otherwise(0.0),
-        F.when(has, _detail(total=n, success=n_ok)).otherwise(reason("no agent traces found")))
+    if want("agent_presence"):
+        parts["agent_presence"] = EvalParts(
+            F.when(has, py_round2(n_ok / n)).otherwise(0.0),
+            F.when(has, _detail(total=n, success=n_ok)).otherwise(reason("no agent traces found")))
 
     # C2
     nt, nto = F.col("n_tool"), F.col("n_tool_ok")
     rate = py_round2(nto / nt)
-    parts["tool_success_rate"] = EvalParts(
-        F.when(nt > 0, rate).otherwise(1.0),
-        F.when(nt > 0, _detail(total=nt, success=nto, failed=nt - nto, rate=rate))
-        .otherwise(reason("no tool calls made")))
+    if want("tool_success_rate"):
+        parts["tool_success_rate"] = EvalParts(
+            F.when(nt > 0, rate).otherwise(1.0),
+            F.when(nt > 0, _detail(total=nt, success=nto, failed=nt - nto, rate=rate))
+            .otherwise(reason("no tool calls made")))
 
     # C3
     d, mn = F.size("tool_names").cast("long"), F.col("tool_diversity_min")
-    parts["tool_diversity"] = EvalParts(
-        F.when(d >= mn + 1, 1.0).when(d == mn, 0.7).when((d == mn - 1) & (mn > 1), 0.3)
-        .when(d == 0, 0.0).otherwise(0.3),
-        _detail(distinct_tools=d, min_required=mn, tool_names=F.col("tool_names")))
+    if want("tool_diversity"):
+        parts["tool_diversity"] = EvalParts(
+            F.when(d >= mn + 1, 1.0).when(d == mn, 0.7).when((d == mn - 1) & (mn > 1), 0.3)
+            .when(d == 0, 0.0).otherwise(0.3),
+            _detail(distinct_tools=d, min_required=mn, tool_names=F.col("tool_names")))
 
     # C4
     sess_tok = F.col("_sess_tokens")
     trades = F.col("_trades")
     used = F.when(has, F.col("tokens")).when(trades > 0, F.expr("_sess_tokens div _trades")).otherwise(sess_tok)
     tthr = F.col("_tok_thr")
-    parts["token_budget"] = EvalParts(
-        py_round2(F.greatest(F.lit(0.0), 1.0 - used / (tthr * 2))),
-        _detail(tokens_used=used, threshold=tthr))
+    if want("token_budget"):
+        parts["token_budget"] = EvalParts(
+            py_round2(F.greatest(F.lit(0.0), 1.0 - used / (tthr * 2))),
+            _detail(tokens_used=used, threshold=tthr))
 
     # C5
     mins = F.col("data_freshness_minutes")
     lag = F.abs(F.unix_micros(F.col("first_at")) - F.unix_micros(F.col("_started").cast("timestamp"))) / 60e6
-    parts["data_freshness"] = EvalParts(
-        F.when(~has, 0.0).when(F.col("_started").isNull() | F.col("ts_missing"), 1.0).when(mins == 0, 1.0)
-        .otherwise(py_round2(F.greatest(F.lit(0.0), 1.0 - lag / (mins * 2)))),
-        F.when(~has, reason("no agent traces"))
-        .when(F.col("_started").isNull() | F.col("ts_missing"), reason("timestamps unavailable — assuming fresh"))
-        .when(mins == 0, reason("parse error: float division by zero"))
-        .otherwise(_detail(lag_minutes=F.round(lag, 1), threshold_minutes=mins)))
+    if want("data_freshness"):
+        parts["data_freshness"] = EvalParts(
+            F.when(~has, 0.0).when(F.col("_started").isNull() | F.col("ts_missing"), 1.0).when(mins == 0, 1.0)
+            .otherwise(py_round2(F.greatest(F.lit(0.0), 1.0 - lag / (mins * 2)))),
+            F.when(~has, reason("no agent traces"))
+            .when(F.col("_started").isNull() | F.col("ts_missing"), reason("timestamps unavailable — assuming fresh"))
+            .when(mins == 0, reason("parse error: float division by zero"))
+            .otherwise(_detail(lag_minutes=F.round(lag, 1), threshold_minutes=mins)))
 
     # C6
     r = F.lower(F.coalesce(F.col("_reason"), F.lit("")))
     good, partial, bad = (F.array_contains(F.col(c), r) for c in ("good_exits", "partial_exits", "bad_exits"))
-    parts["exit_quality"] = EvalParts(
-        F.when((trades > 0) | good, 1.0).when(partial, 0.5).when(bad, 0.2)
-        .when((trades == 0) & (r == ""), 0.0).otherwise(0.2),
-        F.when((trades > 0) | good, _detail(terminal_reason=r, trades_executed=trades))
-        .when(partial, _detail(terminal_reason=r, reason=F.lit("pipeline partially completed")))
-        .when(bad, _detail(terminal_reason=r, reason=F.lit("bad exit state")))
-        .when((trades == 0) & (r == ""), reason("0 trades and no terminal_reason — silent exit"))
-        .otherwise(_detail(terminal_reason=r, reason=F.lit("unclassified exit"))))
+    if want("exit_quality"):
+        parts["exit_quality"] = EvalParts(
+            F.when((trades > 0) | good, 1.0).when(partial, 0.5).when(bad, 0.2)
+            .when((trades == 0) & (r == ""), 0.0).otherwise(0.2),
+            F.when((trades > 0) | good, _detail(terminal_reason=r, trades_executed=trades))
+            .when(partial, _detail(terminal_reason=r, reason=F.lit("pipeline partially completed")))
+            .when(bad, _detail(terminal_reason=r, reason=F.lit("bad exit state")))
+            .when((trades == 0) & (r == ""), reason("0 trades and no terminal_reason — silent exit"))
+            .otherwise(_detail(terminal_reason=r, reason=F.lit("unclassified exit"))))
 
     # C7
     hn, hm, hsd, cost = F.col("hist_n"), F.col("hist_mean"), F.col("hist_sd"), F.col("_cost")
     z = F.when(hsd > 0, (cost - hm) / hsd).otherwise(F.lit(0.0))
-    parts["cost_anomaly"] = EvalParts(
-        F.when(F.coalesce(hn, F.lit(0)) < 5, 1.0)
-        .otherwise(py_round2(F.greatest(F.lit(0.0), 1.0 - F.greatest(F.lit(0.0), z - 1) / 2))),
-        F.when(F.coalesce(hn, F.lit(0)) < 5, _detail(reason=F.lit("insufficient history"), cost_usd=cost))
-        .otherwise(_detail(cost_usd=cost, mean=F.round(hm, 4), stdev=F.round(hsd, 4), z_score=F.round(z, 2),
-                           threshold_sigma=F.col("cost_anomaly_sigma"))))
+    if want("cost_anomaly"):
+        parts["cost_anomaly"] = EvalParts(
+            F.when(F.coalesce(hn, F.lit(0)) < 5, 1.0)
+            .otherwise(py_round2(F.greatest(F.lit(0.0), 1.0 - F.greatest(F.lit(0.0), z - 1) / 2))),
+            F.when(F.coalesce(hn, F.lit(0)) < 5, _detail(reason=F.lit("insufficient history"), cost_usd=cost))
+            .otherwise(_detail(cost_usd=cost, mean=F.round(hm, 4), stdev=F.round(hsd, 4), z_score=F.round(z, 2),
+                               threshold_sigma=F.col("cost_anomaly_sigma"))))
 
     # C8 (all traces of the session, not only the agent's)
     req = F.col("required_agents")
     seen = F.coalesce(F.col("_agents"), F.array().cast("array<string>"))
     hit = F.filter(req, lambda a: agent_seen(seen, a))
     miss = F.filter(req, lambda a: ~agent_seen(seen, a))
-    parts["pipeline_coverage"] = EvalParts(
-        F.when(F.size(req) == 0, 1.0).otherwise(py_round2(F.size(hit) / F.size(req))),
-        F.when(F.size(req) == 0, reason("no required_agents configured")).otherwise(_detail(present=hit, missing=miss)))
+    if want("pipeline_coverage"):
+        parts["pipeline_coverage"] = EvalParts(
+            F.when(F.size(req) == 0, 1.0).otherwise(py_round2(F.size(hit) / F.size(req))),
+            F.when(F.size(req) == 0, reason("no required_agents configured")).otherwise(_detail(present=hit, missing=miss)))
 
     # C9
     llm = F.coalesce(F.col("llm_ok"), F.lit(False))
     all_failed = (F.coalesce(nt, F.lit(0)) > 0) & (F.coalesce(nto, F.lit(0)) == 0)
-    parts["agent_completion"] = EvalParts(
-        F.when(~llm, 0.0).when(all_failed, 0.3).otherwise(1.0),
-        F.when(~llm, reason("no successful llm_call or decision trace"))
-        .when(all_failed, _detail(reason=F.lit("llm ran but all tool calls failed"), tool_calls=nt))
-        .otherwise(_detail(llm_ok=F.lit(True), tool_calls_ok=F.lit(True))))
+    if want("agent_completion"):
+        parts["agent_completion"] = EvalParts(
+            F.when(~llm, 0.0).when(all_failed, 0.3).otherwise(1.0),
+            F.when(~llm, reason("no successful llm_call or decision trace"))
+            .when(all_failed, _detail(reason=F.lit("llm ran but all tool calls failed"), tool_calls=nt))
+            .otherwise(_detail(llm_ok=F.lit(True), tool_calls_ok=F.lit(True))))
 
     # C10
     nums = F.col("_nums")
@@ -208,13 +220,14 @@ def _metric_parts() -> dict[str, EvalParts]:
     den = F.coalesce(F.try_element_at(nums, F.col("den_field")), F.lit(0.0))
     thr = F.col("threshold")
     ratio = num / den
-    parts["session_field_ratio"] = EvalParts(
-        F.when(den == 0, F.when(num == 0, 1.0).otherwise(0.0))
-        .when(thr > 0, py_round2(F.least(F.lit(1.0), ratio / thr))).otherwise(1.0),
-        F.when(den == 0, _json_obj([(F.col("num_field"), num), (F.col("den_field"), F.lit(0)),
-                                    (F.lit("reason"), F.concat(F.col("den_field"), F.lit(" is 0")))]))
-        .otherwise(_json_obj([(F.col("num_field"), num), (F.col("den_field"), den),
-                              (F.lit("ratio"), F.round(ratio, 3)), (F.lit("threshold"), thr)])))
+    if want("session_field_ratio"):
+        parts["session_field_ratio"] = EvalParts(
+            F.when(den == 0, F.when(num == 0, 1.0).otherwise(0.0))
+            .when(thr > 0, py_round2(F.least(F.lit(1.0), ratio / thr))).otherwise(1.0),
+            F.when(den == 0, _json_obj([(F.col("num_field"), num), (F.col("den_field"), F.lit(0)),
+                                        (F.lit("reason"), F.concat(F.col("den_field"), F.lit(" is 0")))]))
+            .otherwise(_json_obj([(F.col("num_field"), num), (F.col("den_field"), den),
+                                  (F.lit("ratio"), F.round(ratio, 3)), (F.lit("threshold"), thr)])))
     return parts
 
 
@@ -230,24 +243,38 @@ def run_rule_evals(sessions: DataFrame, traces: DataFrame, eval_configs: DataFra
     `history` (from detectors.cost_history) supplies the recent-cost statistics for C7;
     it is computed here when a cost_anomaly config is present and none is given."""
     cfgs = resolve_configs(eval_config_filter(eval_configs, registry))
-    cfgs = checked_broadcast(cfgs)
+    # The config table is small by nature; read it once (bounded by a row check) so that the plan
+    # only carries the metrics that are configured and broadcasts need no extra count job.
+    max_rows = 200_000
+    rows = cfgs.limit(max_rows + 1).collect()
+    spark = sessions.sparkSession
+    if len(rows) <= max_rows:
+        cfgs = F.broadcast(spark.createDataFrame(rows, cfgs.schema)) if rows else cfgs
+        metrics = {r.metric for r in rows}
+        triples = sorted({(r._cfg_wf, r.pattern, r.match) for r in rows}, key=str)
+        groups = spark.createDataFrame(triples, "_g_wf string, _g_pattern string, _g_match string")
+    else:   # an unusually large config table stays distributed
+        metrics = set(KNOWN_METRICS) | {"custom"}
+        groups = cfgs.select(F.col("_cfg_wf").alias("_g_wf"), F.col("pattern").alias("_g_pattern"),
+                             F.col("match").alias("_g_match")).distinct()
+    groups = groups.withColumn("_gid", F.xxhash64("_g_wf", "_g_pattern", "_g_match"))
 
     if "workflow_id" not in traces.columns:
         traces = traces.join(sessions.select(*K, "workflow_id"), K, "left")
-
-    groups = cfgs.select(F.col("_cfg_wf").alias("_g_wf"), F.col("pattern").alias("_g_pattern"),
-                         F.col("match").alias("_g_match")).distinct()
-    groups = groups.withColumn("_gid", F.xxhash64("_g_wf", "_g_pattern", "_g_match"))
     stats = trace_stats(traces, groups)
-    agents = traces.groupBy(*K).agg(F.collect_set(F.lower(F.coalesce(F.col("agent"), F.lit("")))).alias("_agents"))
 
     s = sessions
-    if history is None:
-        from runlens.operators.detectors import cost_history
-        history = cost_history(sessions)
-    s = s.join(history.select(*K, "hist_n", "hist_mean", "hist_sd"), K, "left")
+    if "cost_anomaly" in metrics:
+        if history is None:
+            from runlens.operators.detectors import cost_history
+            history = cost_history(sessions)
+        s = s.join(history.select(*K, "hist_n", "hist_mean", "hist_sd"), K, "left")
+        hist_cols = [F.col("hist_n"), F.col("hist_mean"), F.col("hist_sd")]
+    else:
+        hist_cols = [F.lit(None).cast(t).alias(c) for c, t in
+                     [("hist_n", "long"), ("hist_mean", "double"), ("hist_sd", "double")]]
     s = s.select(
-        *K, "workflow_id", "hist_n", "hist_mean", "hist_sd",
+        *K, "workflow_id", *hist_cols,
         F.col("started_at").alias("_started"),
         F.coalesce(F.col("total_cost_usd").cast("double"), F.lit(0.0)).alias("_cost"),
         (F.coalesce(F.col("total_tokens_input"), F.lit(0)) + F.coalesce(F.col("total_tokens_output"), F.lit(0)))
@@ -255,47 +282,59 @@ def run_rule_evals(sessions: DataFrame, traces: DataFrame, eval_configs: DataFra
         F.coalesce(F.col("trades_executed"), F.lit(0)).cast("long").alias("_trades"),
         F.col("terminal_reason").alias("_reason"),
         session_numbers(sessions).alias("_nums"))
-    s = attach_params(s, params)
+    s = _wf_keys(attach_params(s, params))
 
-    s = _wf_keys(s)
     sc = s.join(cfgs.withColumn("_cfg_wfk", F.coalesce(F.col("_cfg_wf"), F.lit("*"))),
                 F.col("_wfk") == F.col("_cfg_wfk")).drop("_wfk", "_cfg_wfk")
-    sc = sc.withColumn("_gid", F.xxhash64("_cfg_wf", "pattern", "match"))
-    sc = sc.join(stats, K + ["_gid"], "left").join(agents, K, "left")
-    for c in ["n", "n_ok", "n_tool", "n_tool_ok", "tokens"]:
-        sc = sc.withColumn(c, F.coalesce(F.col(c), F.lit(0)))
-    sc = sc.withColumn("tool_names", F.coalesce(F.col("tool_names"), F.array().cast("array<string>")))
-    sc = sc.withColumn("ts_missing", F.coalesce(F.col("ts_missing"), F.lit(False)))
+    sc = sc.withColumn("_gid", F.xxhash64("_cfg_wf", "pattern", "match")).join(stats, K + ["_gid"], "left")
+    if "pipeline_coverage" in metrics:
+        agents = traces.groupBy(*K).agg(F.collect_set(F.lower(F.coalesce(F.col("agent"), F.lit("")))).alias("_agents"))
+        sc = sc.join(agents, K, "left")
+        agents_col = F.col("_agents")
+    else:
+        agents_col = F.lit(None).cast("array<string>")
 
     # threshold_key override from the workflow's settings (defaults included)
     tval = setting_value(F.col("threshold_key"))
     override = F.when(F.col("threshold_key").isNotNull() & tval.isNotNull(), tval.try_cast("double"))
-    sc = sc.withColumn("_bad_override", F.col("threshold_key").isNotNull() & tval.isNotNull() & override.isNull())
-    sc = sc.withColumn("threshold", F.coalesce(override, F.col("_thr0")))
     # token_budget reads its budget from the key (default token_efficiency_threshold)
     tok_key = F.coalesce(F.col("_raw_tkey"), F.lit("token_efficiency_threshold"))
     tok_raw = F.coalesce(setting_value(tok_key), setting_value(F.lit("token_efficiency_threshold")))
-    sc = sc.withColumn("_tok_thr", tok_raw.try_cast("double").try_cast("long"))
-
-    parts = _metric_parts()
+    filled = {c: F.coalesce(F.col(c), F.lit(0)) for c in ["n", "n_ok", "n_tool", "n_tool_ok", "tokens"]}
+    filled["tool_names"] = F.coalesce(F.col("tool_names"), F.array().cast("array<string>"))
+    filled["ts_missing"] = F.coalesce(F.col("ts_missing"), F.lit(False))
+    filled["_agents"] = agents_col
+    keep = [c for c in sc.columns if c not in filled and c != "_agents"]
+    sc = sc.select(*keep, *[v.alias(k) for k, v in filled.items()],
+                   (F.col("threshold_key").isNotNull() & tval.isNotNull() & override.isNull()).alias("_bad_override"),
+                   F.coalesce(override, F.col("_thr0")).alias("threshold"),
+                   tok_raw.try_cast("double").try_cast("long").alias("_tok_thr"))
+
+    parts = _metric_parts(metrics)
     score = None
     detail = None
     for metric, p in parts.items():
+        if metric not in metrics:
+            continue
         cond = F.col("metric") == metric
         score = F.when(cond, p.score) if score is None else score.when(cond, p.score)
         detail = F.when(cond, p.detail) if detail is None else detail.when(cond, p.detail)
     if registry is not None and registry.has_any():
         for cond, p in registry.branches(F.col("workflow_id"), F.col("eval_name")):
-            score = score.when((F.col("metric") == "custom") & cond, p[0])
-            detail = detail.when((F.col("metric") == "custom") & cond, p[1])
-    sc = sc.withColumn("score", score.cast("double")).withColumn("detail", detail)
+            c2 = (F.col("metric") == "custom") & cond
+            score = F.when(c2, p[0]) if score is None else score.when(c2, p[0])
+            detail = F.when(c2, p[1]) if detail is None else detail.when(c2, p[1])
+    if score is None:
+        score, detail = F.lit(None).cast("double"), F.lit(None).cast("string")
     # token_budget passes at 0.5; a zero budget raises in the reference, so no row
-    sc = sc.withColumn("threshold", F.when(F.col("metric") == "token_budget", F.lit(0.5)).otherwise(F.col("threshold")))
-    sc = sc.filter(~F.col("_bad_override") & ~((F.col("metric") == "token_budget")
-                                               & (F.coalesce(F.col("_tok_thr"), F.lit(0)) == 0)))
-    sc = sc.filter(F.col("score").isNotNull())
-    return sc.select(*K, "workflow_id", "config_ord", "eval_name", "agent", "metric", "score",
-                     (F.col("score") >= F.col("threshold")).alias("passed"), "threshold", "detail")
+    thr = F.when(F.col("metric") == "token_budget", F.lit(0.5)).otherwise(F.col("threshold"))
+    out = sc.filter(~F.col("_bad_override") & ~((F.col("metric") == "token_budget")
+                                                 & (F.coalesce(F.col("_tok_thr"), F.lit(0)) == 0)))
+    out = out.select(*K, "workflow_id", "config_ord", "eval_name", "agent", "metric", score.cast("double").alias("score"),
+                     thr.alias("threshold"), detail.alias("detail"))
+    out = out.filter(F.col("score").isNotNull())
+    return out.select(*K, "workflow_id", "config_ord", "eval_name", "agent", "metric", "score",
+                      (F.col("score") >= F.col("threshold")).alias("passed"), "threshold", "detail")
 
 
 def eval_rows(evals: DataFrame, tenant_id: str | None = None, workflow_id: str | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.functions.columns import K
-from runlens.sources.adapters import SESSIONS_SQL, TRACES_SQL, load_traces, sessions_from_traces, with_sql
+from runlens.sources.adapters import SESSIONS_SQL, TRACES_SQL, load_sessions, load_traces, with_sql
 
 CATALOG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -26,8 +26,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _inputs(spark: SparkSession, sf_dir: str):
-    traces = load_traces(spark, sf_dir)
-    return traces, sessions_from_traces(traces)
+    return load_traces(spark, sf_dir), load_sessions(spark, sf_dir)
 
 
 # ── detectors ────────────────────────────────────────────────────────────────────────────────
