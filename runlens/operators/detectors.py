@@ -1,15 +1,25 @@
 """Failure-pattern detectors (D1-D16), for every session at once.
 
-Each detector is an aggregate over the traces keyed on the session (and on tool, agent or
-handoff pair where the rule needs it), joined to the session row for cost and tokens. At most
-one incident per pattern and session. Evidence ("call stack") that can grow with the session
-(all failed calls of a tool, say) is returned as a separate frames table with one row per frame;
-bounded evidence (the last 20/15/10/5 traces) comes from a ranked window whose filter Spark
-turns into a map-side group limit.
+The ten detectors run as four passes over the traces instead of ten:
+
+  tool pass     one aggregate over tool calls keyed on (session, detector, tool): D1, D4, D6
+  session pass  one aggregate per session, left-joined to the session row: D2, D3, D5, D7, D10
+  handoff pass  traces x the workflow's handoff pairs (bounded fan-out): D8
+  error pass    HTTP-error tool calls vs the agent's last llm_call: D9
+
+Each pass builds, per session, an array of candidate incident structs (one per pattern, null when
+the pattern does not fire) and explodes it, so one aggregate serves several patterns. Every
+aggregate combines partially before its shuffle, so a very large session costs one row per map
+task, not all its traces. At most one incident per pattern and session.
+
+Evidence ("call stack") can grow with the session (all failed calls of a tool, say), so it is a
+separate frames table with one row per frame, never a collected list. It comes from one join of
+the traces with the incidents' selection keys; the bounded "last N traces" evidence is a ranked
+window whose constant limit Spark turns into a map-side group limit.
 
 Outputs:
   incidents: tenant_id, session_id, workflow_id, pattern_rank, pattern_name, severity, root_cause,
-             fix_suggestion, cost_wasted, tokens_wasted, frame_count, is_simulated
+             fix_suggestion, cost_wasted, tokens_wasted, frame_count, is_simulated, root_tool
   frames:    tenant_id, session_id, pattern_name, agent, step_type, tool_name, outcome, error,
              latency_ms, tokens, created_at, seq
 """
@@ -21,8 +31,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from runlens.functions.columns import (K, capitalize, frame_columns, is_err, is_tool, lower_agent, outcome_is,
-                                       thousands, toks)
+from runlens.functions.columns import (K, agent_seen, capitalize, frame_columns, is_err, is_tool, lower_agent,
+                                       outcome_is, thousands, toks)
 from runlens.operators.config import attach_params
 from runlens.operators.history import preceding_stats
 
@@ -44,6 +54,11 @@ SEVERITY = dict(PATTERNS)
 # HTTP status codes looked for in tool errors.
 HTTP_ERROR_CODES = ["400", "401", "403", "429", "500", "502", "503"]
 HISTORY_SESSIONS = 20
+# Evidence kept as "the last N traces" (per pattern); the others keep every matching trace.
+LAST_N = {"Context Spiral": 20, "Pipeline Break": 10, "Silent Exit": 10, "Handoff Schema Break": 5, "Cost Anomaly": 15}
+
+TOOL_PASS = ["Tool Timeout Loop", "Empty Result Loop", "Hyperactive Polling Loop"]
+SESSION_PASS = ["Context Spiral", "Pipeline Break", "Silent Exit", "Tool Call Fabrication", "Cost Anomaly"]
 
 
 @dataclass
@@ -57,6 +72,10 @@ def _none(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit("None"))
 
 
+def _order() -> Column:
+    return F.struct(F.col("created_at"), F.col("seq"))
+
+
 def _session_facts(sessions: DataFrame) -> DataFrame:
     return sessions.select(
         *K, "workflow_id",
@@ -68,30 +87,31 @@ def _session_facts(sessions: DataFrame) -> DataFrame:
     )
 
 
-def _incident(df: DataFrame, pattern: str, root_cause: Column, fix: Column, cost: Column, tokens: Column,
-              frame_count: Column, root_tool: Column | None = None) -> DataFrame:
-    return df.select(
-        *K, "workflow_id",
+def _py_set_text(values: Column, has_null: Column) -> Column:
+    """Python's repr of a list of names (sorted here; the reference's set order is arbitrary)."""
+    quoted = F.transform(F.array_sort(values), lambda s: F.concat(F.lit("'"), s, F.lit("'")))
+    items = F.when(has_null, F.concat(quoted, F.array(F.lit("None")))).otherwise(quoted)
+    return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+
+
+def _incident(pattern: str, root: Column, fix: Column, cost: Column, tokens: Column, frame_count: Column,
+              root_tool: Column | None = None, key: Column | None = None, agent: Column | None = None,
+              src: Column | None = None, tseq: Column | None = None) -> Column:
+    """One incident as a struct; the `_f_*` fields tell the frames pass which traces to keep."""
+    def s(c):
+        return (c if c is not None else F.lit(None)).cast("string")
+    return F.struct(
         F.lit(RANK[pattern]).alias("pattern_rank"), F.lit(pattern).alias("pattern_name"),
-        F.lit(SEVERITY[pattern]).alias("severity"),
-        root_cause.alias("root_cause"), fix.alias("fix_suggestion"),
+        F.lit(SEVERITY[pattern]).alias("severity"), root.alias("root_cause"), fix.alias("fix_suggestion"),
         cost.cast("double").alias("cost_wasted"), tokens.cast("long").alias("tokens_wasted"),
         frame_count.cast("long").alias("frame_count"), F.lit(False).alias("is_simulated"),
-        (root_tool if root_tool is not None else F.lit(None)).cast("string").alias("root_tool"))
-
-
-def _frames(rows: DataFrame, pattern: str) -> DataFrame:
-    return rows.select(*K, F.lit(pattern).alias("pattern_name"), *frame_columns())
-
-
-def _last_n(rows: DataFrame, n: int, keys: list[str] | None = None) -> DataFrame:
-    """The last n rows per key by (created_at, seq), nulls first as in the time sort."""
-    w = Window.partitionBy(*(keys or K)).orderBy(F.col("created_at").desc_nulls_last(), F.col("seq").desc())
-    return rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+        s(root_tool).alias("root_tool"), s(key).alias("_f_key"), s(agent).alias("_f_agent"), s(src).alias("_f_src"),
+        (tseq if tseq is not None else F.lit(None)).cast("long").alias("_f_tseq"))
 
 
-def _order() -> Column:
-    return F.struct(F.col("created_at"), F.col("seq"))
+def _explode(df: DataFrame, items: list[tuple[Column, Column]]) -> DataFrame:
+    arr = F.filter(F.array(*[F.when(cond, inc) for cond, inc in items]), lambda x: x.isNotNull())
+    return df.select(*K, "workflow_id", F.explode(arr).alias("_i")).select(*K, "workflow_id", "_i.*")
 
 
 class DetectorInputs:
@@ -104,229 +124,225 @@ class DetectorInputs:
         self.sessions = attach_params(_session_facts(sessions), params)
 
 
-# ── D1 ────────────────────────────────────────────────────────────────────────────────────────
-
-def tool_timeout_loop(x: DetectorInputs) -> Detected:
-    p = "Tool Timeout Loop"
-    e = (x.traces.filter(is_tool() & is_err())
-         .withColumn("_tool", F.coalesce(F.nullif(F.col("tool_name"), F.lit("")), F.lit("unknown_tool"))))
-    g = (e.groupBy(*K, "_tool")
-         .agg(F.count(F.lit(1)).alias("_n"), F.max("tool_retry_threshold").alias("_thr"),
-              F.min(F.struct(_order().alias("o"), F.col("agent"), F.col("error"), F.col("tool_name"))).alias("_first"))
-         .filter(F.col("_n") >= F.col("_thr")))
-    win = g.groupBy(*K).agg(F.min(F.struct(F.col("_first"), F.col("_tool"), F.col("_n"))).alias("w"))
-    win = win.select(*K, F.col("w._tool").alias("_tool"), F.col("w._n").alias("_n"),
-                     F.col("w._first.agent").alias("_agent"), F.col("w._first.error").alias("_err"),
-                     F.col("w._first.tool_name").alias("_root_tool"))
-    j = win.join(x.sessions, K)
-    agent = _none(F.col("_agent"))
-    err = F.substring(F.coalesce(F.nullif(F.col("_err"), F.lit("")), F.lit("unknown error")), 1, 120)
-    root = F.format_string("%s failed %d times in %s agent. Error: %s", F.col("_tool"), F.col("_n"), agent, err)
-    fix = F.format_string("Add max_retries=2 and timeout=10s to %s in the %s agent tool configuration. "
-                          "Consider exponential backoff between retries.", F.col("_tool"), agent)
-    inc = _incident(j, p, root, fix, F.col("_cost"), F.col("_tokens"), F.col("_n"), F.col("_root_tool"))
-    frames = _frames(e.join(win.select(*K, "_tool"), K + ["_tool"], "left_semi"), p)
-    return Detected(inc, frames)
-
-
-# ── D2 ────────────────────────────────────────────────────────────────────────────────────────
-
-def context_spiral(x: DetectorInputs) -> Detected:
-    p = "Context Spiral"
-    a = x.traces.filter(lower_agent() == F.lower(F.col("analysis_agent")))
-    g = a.groupBy(*K).agg(F.sum(toks()).alias("_agent_tokens"), F.count(F.lit(1)).alias("_n"))
-    j = g.join(x.sessions, K).filter((F.col("_agent_tokens") > F.col("token_spiral_threshold"))
-                                     & (F.col("_trades") == 0))
-    root = F.concat(capitalize(F.col("analysis_agent")), F.lit(" agent consumed "), thousands(F.col("_agent_tokens")),
-                    F.lit(" tokens with 0 trades produced. Agent gathered context without reaching a decision."))
-    fix = F.format_string("Add a hard token budget to the %s agent (e.g. max_tokens=%d). Force a decision step if "
-                          "budget is reached without a recommendation.", F.col("analysis_agent"),
-                          F.floor(F.col("token_spiral_threshold") / 2).cast("long"))
-    inc = _incident(j, p, root, fix, F.col("_cost"), F.col("_agent_tokens"), F.least(F.col("_n"), F.lit(20)))
-    frames = _frames(_last_n(a.join(j.select(*K), K, "left_semi"), 20), p)
-    return Detected(inc, frames)
-
-
-# ── D3 ────────────────────────────────────────────────────────────────────────────────────────
-
-def pipeline_break(x: DetectorInputs) -> Detected:
-    p = "Pipeline Break"
-    t = x.traces.withColumn("_first_agent", F.lower(F.element_at("pipeline_order", 1)))
-    is_first = lower_agent() == F.col("_first_agent")
-    g = t.groupBy(*K).agg(
-        F.collect_set(lower_agent()).alias("_agents"),
-        F.count_if(is_first).alias("_nf"),
-        F.max(F.when(is_first, F.struct(_order().alias("o"), F.col("step_type"), F.col("outcome")))).alias("_last"))
-    s = x.sessions.withColumn("_order", F.transform("pipeline_order", lambda a: F.lower(a)))
-    first = F.element_at("_order", 1)
-    last = F.element_at("_order", -1)
-    from runlens.functions.columns import agent_seen
-    j = (g.join(s, K).filter((F.size("_order") >= 2) & agent_seen(F.col("_agents"), first)
-                             & ~agent_seen(F.col("_agents"), last))
-         .withColumn("_fa", first).withColumn("_la", last))
-    st = F.when(F.col("_last").isNull(), F.lit("unknown")).otherwise(_none(F.col("_last.step_type")))
-    oc = F.when(F.col("_last").isNull(), F.lit("unknown")).otherwise(_none(F.col("_last.outcome")))
-    root = F.concat(capitalize(F.col("_fa")), F.lit(" agent completed but "), F.col("_la"),
-                    F.lit(" never started. Last "), F.col("_fa"), F.lit(" step: "), st,
-                    F.lit(" (outcome: "), oc, F.lit(")"))
-    fix = F.format_string("Check for uncaught exceptions between %s and %s steps. Add try/except around the "
-                          "%s -> %s handoff. Ensure %s agent errors are propagated, not silently swallowed.",
-                          "_fa", "_la", "_fa", "_la", "_fa")
-    inc = _incident(j, p, root, fix, F.col("_cost"), F.col("_tokens"), F.least(F.col("_nf"), F.lit(10)))
-    firsts = t.filter(is_first).join(j.select(*K), K, "left_semi")
-    frames = _frames(_last_n(firsts, 10), p)
-    return Detected(inc, frames)
-
-
-# ── D4 ────────────────────────────────────────────────────────────────────────────────────────
-
-def empty_result_loop(x: DetectorInputs) -> Detected:
-    p = "Empty Result Loop"
-    ok = (x.traces.filter(is_tool() & (F.coalesce(F.col("outcome"), F.lit("")) == "success"))
-          .withColumn("_tool", F.coalesce(F.nullif(F.col("tool_name"), F.lit("")), F.lit("unknown"))))
-    g = ok.groupBy(*K, "_tool").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("seq").alias("_first_seq"),
-        F.count_if(F.col("tool_name") == F.col("_tool")).alias("_named"),
-        F.max("tool_retry_threshold").alias("_thr"))
-    g = g.filter(F.col("_n") >= F.col("_thr"))
-    win = g.groupBy(*K).agg(F.min(F.struct("_first_seq", "_tool", "_n", "_named")).alias("w"))
-    win = win.select(*K, F.col("w._tool").alias("_tool"), F.col("w._n").alias("_n"), F.col("w._named").alias("_named"))
-    j = win.join(x.sessions, K).filter(F.col("_trades") == 0)
-    root = F.format_string("%s called %d times successfully but produced no actionable output (0 trades). "
-                           "Tool may be returning empty or low-quality results.", F.col("_tool"), F.col("_n"))
-    fix = F.format_string("Add result quality validation after %s calls. If result is empty or below quality "
-                          "threshold, fail fast rather than retrying with same parameters.", F.col("_tool"))
-    inc = _incident(j, p, root, fix, F.col("_cost"), F.col("_tokens"), F.col("_named"))
-    rel = ok.join(j.select(*K, F.col("_tool").alias("_win")), K).filter(F.col("tool_name") == F.col("_win"))
-    return Detected(inc, _frames(rel, p))
-
-
-# ── D5 ────────────────────────────────────────────────────────────────────────────────────────
-
-def silent_exit(x: DetectorInputs) -> Detected:
-    p = "Silent Exit"
-    g = x.traces.groupBy(*K).agg(F.count(F.lit(1)).alias("_n"),
-                                 F.coalesce(F.bool_or(is_tool() & is_err()), F.lit(False)).alias("_tool_err"))
-    j = g.join(x.sessions, K).filter((F.col("_trades") == 0) & (F.col("_reason") == "") & ~F.col("_tool_err")
-                                     & (F.col("_n") > 0))
-    root = F.lit("Session ended with 0 trades and no terminal reason logged. No tool errors detected. "
-                 "Likely a logic path that skips both trade entry and explicit rejection.")
-    fix = F.lit("Add explicit terminal_reason logging for all exit paths in the orchestrator (e.g. 'no_opportunity', "
-                "'risk_rejected', 'market_closed'). Every session should record why it ended.")
-    inc = _incident(j, p, root, fix, F.col("_cost"), F.col("_tokens"), F.least(F.col("_n"), F.lit(10)))
-    frames = _frames(_last_n(x.traces.join(j.select(*K), K, "left_semi"), 10), p)
-    return Detected(inc, frames)
-
-
-# ── D6 ────────────────────────────────────────────────────────────────────────────────────────
-
-def hyperactive_polling(x: DetectorInputs) -> Detected:
-    p = "Hyperactive Polling Loop"
-    c = (x.traces.filter(is_tool() & ~outcome_is("error"))
-         .withColumn("_tool", F.coalesce(F.nullif(F.col("tool_name"), F.lit("")), F.lit("unknown"))))
-    g = c.groupBy(*K, "_tool").agg(
-        F.count(F.lit(1)).alias("_n"), F.max("hyperactive_poll_threshold").alias("_thr"),
-        F.min(F.struct(_order().alias("o"), F.col("agent"))).alias("_first"),
-        F.sum(F.coalesce(F.col("latency_ms"), F.lit(0))).alias("_lat"))
-    g = g.filter(F.col("_n") >= F.col("_thr"))
-    win = g.groupBy(*K).agg(F.min(F.struct("_first", "_tool", "_n", "_lat")).alias("w"))
-    win = win.select(*K, F.col("w._tool").alias("_tool"), F.col("w._n").alias("_n"), F.col("w._lat").alias("_lat"),
-                     F.col("w._first.agent").alias("_agent"))
-    j = win.join(x.sessions, K)
-    agent = _none(F.col("_agent"))
-    root = F.concat(F.col("_tool"), F.lit(" called "), F.col("_n").cast("string"), F.lit(" times successfully by "),
-                    agent, F.lit(" agent. Agent is polling without reaching a decision threshold. "
-                                 "Total time in tool calls: "), thousands(F.col("_lat")), F.lit("ms."))
-    fix = F.format_string("Add a max_iterations cap to %s agent's %s loop (e.g. max_calls=3). Force a decision step "
-                          "once the cap is hit. Consider caching results between calls to avoid redundant fetches.",
-                          agent, F.col("_tool"))
-    inc = _incident(j, p, root, fix, F.col("_cost"), F.col("_tokens"), F.col("_n"))
-    frames = _frames(c.join(win.select(*K, "_tool"), K + ["_tool"], "left_semi"), p)
-    return Detected(inc, frames)
-
-
-# ── D7 ────────────────────────────────────────────────────────────────────────────────────────
-
-def _py_set_text(values: Column, has_null: Column) -> Column:
-    quoted = F.transform(F.array_sort(values), lambda s: F.concat(F.lit("'"), s, F.lit("'")))
-    items = F.when(has_null, F.concat(quoted, F.array(F.lit("None")))).otherwise(quoted)
-    return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
-
-
-def tool_fabrication(x: DetectorInputs) -> Detected:
-    p = "Tool Call Fabrication"
+# ── tool pass: D1, D4, D6 ─────────────────────────────────────────────────────────────────────
+
+def _tool_pass(x: DetectorInputs, wanted: set[str]) -> DataFrame:
+    ttl_key = F.coalesce(F.nullif(F.col("tool_name"), F.lit("")), F.lit("unknown_tool"))
+    unk_key = F.coalesce(F.nullif(F.col("tool_name"), F.lit("")), F.lit("unknown"))
+    tags = []
+    if "Tool Timeout Loop" in wanted:         # D1: failed calls (outcome error or real error text)
+        tags.append(F.when(is_err(), F.struct(F.lit(1).alias("det"), ttl_key.alias("key"))))
+    if "Empty Result Loop" in wanted:         # D4: successful calls
+        tags.append(F.when(F.coalesce(F.col("outcome"), F.lit("")) == "success",
+                           F.struct(F.lit(4).alias("det"), unk_key.alias("key"))))
+    if "Hyperactive Polling Loop" in wanted:  # D6: calls whose outcome is not error (null counts)
+        tags.append(F.when(~outcome_is("error"), F.struct(F.lit(6).alias("det"), unk_key.alias("key"))))
+    tc = x.traces.filter(is_tool()).select(
+        *K, "agent", "error", "tool_name", "latency_ms", "created_at", "seq", "tool_retry_threshold",
+        "hyperactive_poll_threshold", F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull())).alias("_t"))
+    det = F.col("_t.det")
+    g = tc.groupBy(*K, det.alias("det"), F.col("_t.key").alias("key")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.struct(F.col("created_at"), F.col("seq"), F.col("agent"), F.col("error"), F.col("tool_name")))
+        .alias("first"),
+        F.min("seq").alias("first_seq"),
+        F.count_if(F.col("tool_name") == F.col("_t.key")).alias("named"),
+        F.sum(F.coalesce(F.col("latency_ms"), F.lit(0))).alias("lat"),
+        F.max(F.when(det == 6, F.col("hyperactive_poll_threshold")).otherwise(F.col("tool_retry_threshold")))
+        .alias("thr"))
+    g = g.filter(F.col("n") >= F.col("thr"))
+    # First tool by the time of its first call; D4: first tool in input order
+    order = (F.when(F.col("det") == 4, F.struct(F.lit(None).cast("timestamp").alias("t"), F.col("first_seq").alias("s")))
+             .otherwise(F.struct(F.col("first.created_at").alias("t"), F.col("first.seq").alias("s"))))
+    w = g.groupBy(*K, "det").agg(F.min(F.struct(order.alias("o"), "key", "n", "named", "lat", "first")).alias("w"))
+    j = w.select(*K, "det", "w.*").join(x.sessions, K)
+    d = F.col("det")
+    tool, n = F.col("key"), F.col("n")
+    agent = _none(F.col("first.agent"))
+    items = [
+        (d == 1, _incident(
+            "Tool Timeout Loop",
+            F.format_string("%s failed %d times in %s agent. Error: %s", tool, n, agent,
+                            F.substring(F.coalesce(F.nullif(F.col("first.error"), F.lit("")), F.lit("unknown error")),
+                                        1, 120)),
+            F.format_string("Add max_retries=2 and timeout=10s to %s in the %s agent tool configuration. "
+                            "Consider exponential backoff between retries.", tool, agent),
+            F.col("_cost"), F.col("_tokens"), n, root_tool=F.col("first.tool_name"), key=tool)),
+        ((d == 4) & (F.col("_trades") == 0), _incident(
+            "Empty Result Loop",
+            F.format_string("%s called %d times successfully but produced no actionable output (0 trades). "
+                            "Tool may be returning empty or low-quality results.", tool, n),
+            F.format_string("Add result quality validation after %s calls. If result is empty or below quality "
+                            "threshold, fail fast rather than retrying with same parameters.", tool),
+            F.col("_cost"), F.col("_tokens"), F.col("named"), key=tool)),
+        (d == 6, _incident(
+            "Hyperactive Polling Loop",
+            F.concat(tool, F.lit(" called "), n.cast("string"), F.lit(" times successfully by "), agent,
+                     F.lit(" agent. Agent is polling without reaching a decision threshold. Total time in tool calls: "),
+                     thousands(F.col("lat")), F.lit("ms.")),
+            F.format_string("Add a max_iterations cap to %s agent's %s loop (e.g. max_calls=3). Force a decision step "
+                            "once the cap is hit. Consider caching results between calls to avoid redundant fetches.",
+                            agent, tool),
+            F.col("_cost"), F.col("_tokens"), n, key=tool)),
+    ]
+    return _explode(j, items)
+
+
+# ── session pass: D2, D3, D5, D7, D10 ─────────────────────────────────────────────────────────
+
+def _suspect() -> Column:
+    """A non-error tool call faster than the workflow's limit on a tool that is not exempt."""
     lat = F.coalesce(F.col("latency_ms"), F.lit(0))
-    sus = x.traces.filter(is_tool() & ~outcome_is("error") & (lat > 0) & (lat < F.col("fabrication_latency_ms"))
-                          & ~F.array_contains(F.col("fabrication_exempt_tools"), F.coalesce(F.col("tool_name"), F.lit(""))))
-    g = sus.groupBy(*K).agg(
-        F.count(F.lit(1)).alias("_n"), F.max("fabrication_min_count").alias("_min"),
-        F.max("fabrication_latency_ms").alias("_lat_ms"),
-        F.collect_set("agent").alias("_agents"), F.bool_or(F.col("agent").isNull()).alias("_agent_null"),
-        F.collect_set("tool_name").alias("_tools"), F.bool_or(F.col("tool_name").isNull()).alias("_tool_null"))
-    g = g.filter(F.col("_n") >= F.col("_min"))
-    j = g.join(x.sessions, K)
-    root = F.concat(F.col("_n").cast("string"), F.lit(" tool call(s) completed in under "),
-                    F.col("_lat_ms").cast("string"), F.lit("ms with success status. External API calls take 100ms+. "
-                                                            "Affected agents: "),
-                    _py_set_text(F.col("_agents"), F.col("_agent_null")), F.lit(". Tools: "),
-                    _py_set_text(F.col("_tools"), F.col("_tool_null")), F.lit("."))
-    fix = F.lit("Verify that tool calls are making real external requests. Add response validation: check that tool "
-                "output is consistent with what the actual API returns (schema, latency, value ranges). "
-                "Enable request logging in tool wrappers to confirm HTTP calls are made.")
-    inc = _incident(j, p, root, fix, F.col("_cost"), F.lit(0), F.col("_n"))
-    frames = _frames(sus.join(g.select(*K), K, "left_semi"), p)
-    return Detected(inc, frames)
+    return (is_tool() & ~outcome_is("error") & (lat > 0) & (lat < F.col("fabrication_latency_ms"))
+            & ~F.array_contains(F.col("fabrication_exempt_tools"), F.coalesce(F.col("tool_name"), F.lit(""))))
 
 
-# ── D8 ────────────────────────────────────────────────────────────────────────────────────────
+def cost_history(sessions: DataFrame, n: int = HISTORY_SESSIONS, bucket_seconds: int | None = 86_400) -> DataFrame:
+    """Previous-n-sessions cost statistics per (tenant, workflow), by (started_at, session_id)."""
+    s = sessions.withColumn("_hist_cost", F.coalesce(F.col("total_cost_usd").cast("double"), F.lit(0.0)))
+    out = preceding_stats(s, ["tenant_id", "workflow_id"], ["started_at", "session_id"], "_hist_cost", n=n,
+                          bucket_seconds=bucket_seconds)
+    return out.drop("_hist_cost")
+
 
-def handoff_schema_break(x: DetectorInputs) -> Detected:
-    p = "Handoff Schema Break"
+def _session_pass(x: DetectorInputs, wanted: set[str], history: DataFrame | None) -> DataFrame:
+    first_agent = F.lower(F.element_at("pipeline_order", 1))
+    is_first = lower_agent() == first_agent
+    is_an = lower_agent() == F.lower(F.col("analysis_agent"))
+    sus = _suspect()
+    g = x.traces.groupBy(*K).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.bool_or(is_tool() & is_err()), F.lit(False)).alias("tool_err"),
+        F.coalesce(F.sum(F.when(is_an, toks())), F.lit(0)).alias("sp_tokens"),
+        F.count_if(is_an).alias("sp_n"),
+        F.collect_set(lower_agent()).alias("agents"),            # bounded by the distinct agent names
+        F.count_if(is_first).alias("nf"),
+        F.max(F.when(is_first, F.struct(_order().alias("o"), F.col("step_type"), F.col("outcome")))).alias("last_first"),
+        F.count_if(sus).alias("sus_n"),
+        F.collect_set(F.when(sus, F.col("agent"))).alias("sus_agents"),
+        F.coalesce(F.bool_or(sus & F.col("agent").isNull()), F.lit(False)).alias("sus_agent_null"),
+        F.collect_set(F.when(sus, F.col("tool_name"))).alias("sus_tools"),
+        F.coalesce(F.bool_or(sus & F.col("tool_name").isNull()), F.lit(False)).alias("sus_tool_null"))
+    s = x.sessions
+    if "Cost Anomaly" in wanted:
+        s = s.join(history.select(*K, "hist_n", "hist_mean", "hist_sd"), K, "left")
+    else:
+        s = s.select("*", F.lit(None).cast("long").alias("hist_n"), F.lit(None).cast("double").alias("hist_mean"),
+                     F.lit(None).cast("double").alias("hist_sd"))
+    j = s.join(g, K, "left")   # sessions without traces still get a cost check
+
+    n = F.coalesce(F.col("n"), F.lit(0))
+    trades0 = F.col("_trades") == 0
+    aa = F.col("analysis_agent")
+    order = F.transform("pipeline_order", lambda a: F.lower(a))
+    fa, la = F.element_at(order, 1), F.element_at(order, -1)
+    agents = F.coalesce(F.col("agents"), F.array().cast("array<string>"))
+    last = F.col("last_first")
+    st = F.when(last.isNull(), F.lit("unknown")).otherwise(_none(last["step_type"]))
+    oc = F.when(last.isNull(), F.lit("unknown")).otherwise(_none(last["outcome"]))
+    z = F.when(F.col("hist_sd") > 0, (F.col("_cost") - F.col("hist_mean")) / F.col("hist_sd")).otherwise(F.lit(0.0))
+    items = []
+
+    def add(cond: Column, inc: Column) -> None:
+        items.append((cond, inc))
+
+    if "Context Spiral" in wanted:
+        add((F.col("sp_tokens") > F.col("token_spiral_threshold")) & trades0, _incident(
+            "Context Spiral",
+            F.concat(capitalize(aa), F.lit(" agent consumed "), thousands(F.col("sp_tokens")),
+                     F.lit(" tokens with 0 trades produced. Agent gathered context without reaching a decision.")),
+            F.format_string("Add a hard token budget to the %s agent (e.g. max_tokens=%d). Force a decision step if "
+                            "budget is reached without a recommendation.", aa,
+                            F.floor(F.col("token_spiral_threshold") / 2).cast("long")),
+            F.col("_cost"), F.col("sp_tokens"), F.least(F.col("sp_n"), F.lit(20)), agent=F.lower(aa)))
+    if "Pipeline Break" in wanted:
+        add((F.size(order) >= 2) & agent_seen(agents, fa) & ~agent_seen(agents, la), _incident(
+            "Pipeline Break",
+            F.concat(capitalize(fa), F.lit(" agent completed but "), la, F.lit(" never started. Last "), fa,
+                     F.lit(" step: "), st, F.lit(" (outcome: "), oc, F.lit(")")),
+            F.format_string("Check for uncaught exceptions between %s and %s steps. Add try/except around the "
+                            "%s -> %s handoff. Ensure %s agent errors are propagated, not silently swallowed.",
+                            fa, la, fa, la, fa),
+            F.col("_cost"), F.col("_tokens"), F.least(F.coalesce(F.col("nf"), F.lit(0)), F.lit(10)), agent=fa))
+    if "Silent Exit" in wanted:
+        add(trades0 & (F.col("_reason") == "") & ~F.coalesce(F.col("tool_err"), F.lit(False)) & (n > 0),
+                     _incident(
+            "Silent Exit",
+            F.lit("Session ended with 0 trades and no terminal reason logged. No tool errors detected. "
+                  "Likely a logic path that skips both trade entry and explicit rejection."),
+            F.lit("Add explicit terminal_reason logging for all exit paths in the orchestrator (e.g. 'no_opportunity', "
+                  "'risk_rejected', 'market_closed'). Every session should record why it ended."),
+            F.col("_cost"), F.col("_tokens"), F.least(n, F.lit(10))))
+    if "Tool Call Fabrication" in wanted:
+        add(F.coalesce(F.col("sus_n"), F.lit(0)) >= F.col("fabrication_min_count"), _incident(
+            "Tool Call Fabrication",
+            F.concat(F.col("sus_n").cast("string"), F.lit(" tool call(s) completed in under "),
+                     F.col("fabrication_latency_ms").cast("string"),
+                     F.lit("ms with success status. External API calls take 100ms+. Affected agents: "),
+                     _py_set_text(F.col("sus_agents"), F.col("sus_agent_null")), F.lit(". Tools: "),
+                     _py_set_text(F.col("sus_tools"), F.col("sus_tool_null")), F.lit(".")),
+            F.lit("Verify that tool calls are making real external requests. Add response validation: check that tool "
+                  "output is consistent with what the actual API returns (schema, latency, value ranges). "
+                  "Enable request logging in tool wrappers to confirm HTTP calls are made."),
+            F.col("_cost"), F.lit(0), F.col("sus_n")))
+    if "Cost Anomaly" in wanted:
+        add((F.coalesce(F.col("hist_n"), F.lit(0)) >= 5) & (z > F.col("cost_anomaly_sigma")), _incident(
+            "Cost Anomaly",
+            F.format_string("Session cost USD%.4f is %.1f standard deviations above the mean (USD%.4f). "
+                            "Significantly higher than typical sessions.", F.col("_cost"), z, F.col("hist_mean")),
+            F.format_string("Investigate which agent consumed the excess cost. Mean session cost is USD%.4f. "
+                            "Check token usage by agent in Session Deep Dive.", F.col("hist_mean")),
+            F.greatest(F.lit(0.0), F.col("_cost") - F.col("hist_mean")), F.lit(0), F.least(n, F.lit(15))))
+    return _explode(j, items)
+
+
+# ── handoff pass: D8 ──────────────────────────────────────────────────────────────────────────
+
+def _handoff_pass(x: DetectorInputs) -> DataFrame:
     pairs = (x.traces.select("*", F.posexplode("handoff_pairs").alias("_pos", "_pair"))
              .filter(F.size("_pair") >= 2)
              .withColumn("_src", F.lower(F.col("_pair")[0])).withColumn("_tgt", F.lower(F.col("_pair")[1])))
     is_src = F.startswith(lower_agent(), F.col("_src"))
     is_tgt = lower_agent() == F.col("_tgt")
-    m = pairs.filter(is_src | is_tgt).withColumn("_is_src", is_src).withColumn("_is_tgt", is_tgt)
-    src_ok = (F.col("_is_src") & F.coalesce(F.col("step_type"), F.lit("")).isin("llm_call", "agent_message", "decision")
+    src_ok = (is_src & F.coalesce(F.col("step_type"), F.lit("")).isin("llm_call", "agent_message", "decision")
               & ~outcome_is("error"))
-    g = m.groupBy(*K, "_pos", "_src", "_tgt").agg(
-        F.count_if("_is_src").alias("_sn"), F.count_if("_is_tgt").alias("_tn"),
-        F.bool_or(src_ok).alias("_src_ok"),
-        F.min(F.when(F.col("_is_tgt"), F.struct(_order().alias("o"), is_err().alias("err"), F.col("error"))))
-        .alias("_ft"))
-    g = g.filter((F.col("_sn") > 0) & (F.col("_tn") > 0) & F.col("_src_ok") & F.col("_ft.err"))
-    win = g.groupBy(*K).agg(F.min(F.struct("_pos", "_src", "_tgt", "_sn", "_ft")).alias("w"))
-    win = win.select(*K, F.col("w._pos").alias("_pos"), F.col("w._src").alias("_src"), F.col("w._tgt").alias("_tgt"),
-                     F.col("w._sn").alias("_sn"), F.col("w._ft.error").alias("_err"),
-                     F.col("w._ft.o.seq").alias("_tseq"))
-    j = win.join(x.sessions, K)
+    g = pairs.filter(is_src | is_tgt).groupBy(*K, "_pos", "_src", "_tgt").agg(
+        F.count_if(is_src).alias("sn"), F.count_if(is_tgt).alias("tn"), F.bool_or(src_ok).alias("src_ok"),
+        F.min(F.when(is_tgt, F.struct(_order().alias("o"), is_err().alias("err"), F.col("error")))).alias("ft"))
+    g = g.filter((F.col("sn") > 0) & (F.col("tn") > 0) & F.col("src_ok") & F.col("ft.err"))
+    w = g.groupBy(*K).agg(F.min(F.struct("_pos", "_src", "_tgt", "sn", "ft")).alias("w"))
+    j = w.select(*K, "w.*").join(x.sessions, K)
     src, tgt = F.col("_src"), F.col("_tgt")
-    err = F.substring(F.coalesce(F.nullif(F.col("_err"), F.lit("")), F.lit("unknown schema error")), 1, 120)
-    root = F.concat(capitalize(src), F.lit(" agent completed successfully but "), tgt,
-                    F.lit(" agent errored on its first trace. "), capitalize(src), F.lit(" output did not match "), tgt,
-                    F.lit(" agent's expected schema. Error at handoff: "), err)
-    fix = F.format_string("Add schema validation at the %s -> %s handoff. Define a typed contract (Pydantic model or "
-                          "TypedDict) for what %s must return before passing to %s. Fail fast with a clear error if "
-                          "the contract is violated, rather than letting %s agent crash on bad input.",
-                          src, tgt, src, tgt, tgt)
-    inc = _incident(j, p, root, fix, F.col("_cost"), F.col("_tokens"), F.least(F.col("_sn"), F.lit(5)) + 1)
-    chosen = m.join(win.select(*K, "_pos", "_tseq"), K + ["_pos"])
-    srcs = _last_n(chosen.filter(F.col("_is_src")), 5)
-    tgt_row = chosen.filter(F.col("_is_tgt") & (F.col("seq") == F.col("_tseq")))
-    return Detected(inc, _frames(srcs.unionByName(tgt_row), p))
-
-
-# ── D9 ────────────────────────────────────────────────────────────────────────────────────────
-
-def error_misinterpretation(x: DetectorInputs) -> Detected:
+    err = F.substring(F.coalesce(F.nullif(F.col("ft.error"), F.lit("")), F.lit("unknown schema error")), 1, 120)
+    inc = _incident(
+        "Handoff Schema Break",
+        F.concat(capitalize(src), F.lit(" agent completed successfully but "), tgt,
+                 F.lit(" agent errored on its first trace. "), capitalize(src), F.lit(" output did not match "), tgt,
+                 F.lit(" agent's expected schema. Error at handoff: "), err),
+        F.format_string("Add schema validation at the %s -> %s handoff. Define a typed contract (Pydantic model or "
+                        "TypedDict) for what %s must return before passing to %s. Fail fast with a clear error if "
+                        "the contract is violated, rather than letting %s agent crash on bad input.",
+                        src, tgt, src, tgt, tgt),
+        F.col("_cost"), F.col("_tokens"), F.least(F.col("sn"), F.lit(5)) + 1, src=src, tseq=F.col("ft.o.seq"))
+    return _explode(j, [(F.lit(True), inc)])
+
+
+# ── error pass: D9 ────────────────────────────────────────────────────────────────────────────
+
+def _first_n(rows: DataFrame, n: int) -> DataFrame:
+    w = Window.partitionBy(*K).orderBy(F.col("created_at").asc_nulls_first(), F.col("seq"))
+    return rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+
+
+def _error_pass(x: DetectorInputs) -> tuple[DataFrame, DataFrame]:
     p = "Error Misinterpretation"
     codes = F.array(*[F.lit(c) for c in HTTP_ERROR_CODES])
     err_txt = F.coalesce(F.col("error"), F.lit(""))
     step = F.coalesce(F.col("step_type"), F.lit(""))
     cand = x.traces.filter((step == "tool_call") & F.exists(codes, lambda c: F.contains(err_txt, c)))
-    llm = (x.traces.filter(step == "llm_call").groupBy(*K, "agent")
-           .agg(F.max(_order()).alias("_last_llm"))
+    # "a later llm_call by the same agent": the agent's last llm_call, an aggregate instead of a
+    # per-session sort or the reference's scan of every later trace
+    llm = (x.traces.filter(step == "llm_call").groupBy(*K, "agent").agg(F.max(_order()).alias("_last_llm"))
            .select(*[F.col(c).alias("_l_" + c) for c in K], F.col("agent").alias("_l_agent"), "_last_llm"))
     cond = [cand[c] == llm["_l_" + c] for c in K] + [cand["agent"].eqNullSafe(llm["_l_agent"])]
     mis = cand.join(llm, cond).filter(_order() < F.col("_last_llm")).drop("_l_tenant_id", "_l_session_id",
@@ -334,64 +350,66 @@ def error_misinterpretation(x: DetectorInputs) -> Detected:
     g = mis.groupBy(*K).agg(F.count(F.lit(1)).alias("_n"), F.collect_set("agent").alias("_agents"),
                             F.bool_or(F.col("agent").isNull()).alias("_agent_null"))
     g = g.filter(F.col("_n") >= 2)
-    first3 = (_last_first_n(mis.join(g.select(*K), K, "left_semi"), 3)
-              .groupBy(*K).agg(F.sort_array(F.collect_list(F.struct(_order().alias("o"),
-                                                                      F.substring(err_txt, 1, 60).alias("e"))))
-                               .alias("_errs")))
+    fired = mis.join(g.select(*K), K, "left_semi")
+    first3 = (_first_n(fired, 3).groupBy(*K)
+              .agg(F.sort_array(F.collect_list(F.struct(_order().alias("o"), F.substring(err_txt, 1, 60).alias("e"))))
+                   .alias("_errs")))
     j = g.join(first3, K).join(x.sessions, K)
     errs = F.concat(F.lit("["), F.array_join(F.transform("_errs", lambda s: F.concat(F.lit("'"), s["e"], F.lit("'"))),
                                              ", "), F.lit("]"))
-    root = F.concat(F.col("_n").cast("string"), F.lit(" HTTP error(s) received but agent(s) "),
-                    _py_set_text(F.col("_agents"), F.col("_agent_null")),
-                    F.lit(" continued processing instead of aborting or retrying correctly. Errors: "), errs)
-    fix = F.lit("Add explicit HTTP error code handlers in tool wrappers: 429 = exponential backoff + retry; "
-                "401 = surface credential error to operator, do not continue; 400 = log malformed request and abort "
-                "the tool call chain; 503 = circuit breaker open, fail fast.")
-    inc = _incident(j, p, root, fix, F.col("_cost"), F.col("_tokens"), F.col("_n"))
-    frames = _frames(mis.join(g.select(*K), K, "left_semi"), p)
-    return Detected(inc, frames)
-
-
-def _last_first_n(rows: DataFrame, n: int) -> DataFrame:
-    """The first n rows per session by (created_at, seq)."""
-    w = Window.partitionBy(*K).orderBy(F.col("created_at").asc_nulls_first(), F.col("seq"))
-    return rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
-
-
-# ── D10 ───────────────────────────────────────────────────────────────────────────────────────
-
-def cost_history(sessions: DataFrame, n: int = HISTORY_SESSIONS, bucket_seconds: int | None = 86_400) -> DataFrame:
-    """Previous-n-sessions cost statistics per (tenant, workflow), by (started_at, session_id)."""
-    s = sessions.withColumn("_hist_cost", F.coalesce(F.col("total_cost_usd").cast("double"), F.lit(0.0)))
-    out = preceding_stats(s, ["tenant_id", "workflow_id"], ["started_at", "session_id"], "_hist_cost", n=n,
-                          bucket_seconds=bucket_seconds)
-    return out.drop("_hist_cost")
-
-
-def cost_anomaly(x: DetectorInputs, history: DataFrame) -> Detected:
-    p = "Cost Anomaly"
-    h = history.select(*K, "hist_n", "hist_mean", "hist_sd")
-    s = x.sessions.join(h, K)
-    z = F.when(F.col("hist_sd") > 0, (F.col("_cost") - F.col("hist_mean")) / F.col("hist_sd")).otherwise(F.lit(0.0))
-    j = s.withColumn("_z", z).filter((F.col("hist_n") >= 5) & (F.col("_z") > F.col("cost_anomaly_sigma")))
-    cnt = x.traces.groupBy(*K).agg(F.count(F.lit(1)).alias("_n"))
-    j = j.join(cnt, K, "left")
-    root = F.format_string("Session cost USD%.4f is %.1f standard deviations above the mean (USD%.4f). "
-                           "Significantly higher than typical sessions.", F.col("_cost"), F.col("_z"), F.col("hist_mean"))
-    fix = F.format_string("Investigate which agent consumed the excess cost. Mean session cost is USD%.4f. "
-                          "Check token usage by agent in Session Deep Dive.", F.col("hist_mean"))
-    inc = _incident(j, p, root, fix, F.greatest(F.lit(0.0), F.col("_cost") - F.col("hist_mean")), F.lit(0),
-                    F.least(F.coalesce(F.col("_n"), F.lit(0)), F.lit(15)))
-    frames = _frames(_last_n(x.traces.join(j.select(*K), K, "left_semi"), 15), p)
-    return Detected(inc, frames)
+    inc = _incident(
+        p,
+        F.concat(F.col("_n").cast("string"), F.lit(" HTTP error(s) received but agent(s) "),
+                 _py_set_text(F.col("_agents"), F.col("_agent_null")),
+                 F.lit(" continued processing instead of aborting or retrying correctly. Errors: "), errs),
+        F.lit("Add explicit HTTP error code handlers in tool wrappers: 429 = exponential backoff + retry; "
+              "401 = surface credential error to operator, do not continue; 400 = log malformed request and abort "
+              "the tool call chain; 503 = circuit breaker open, fail fast."),
+        F.col("_cost"), F.col("_tokens"), F.col("_n"))
+    frames = fired.select(*K, F.lit(p).alias("pattern_name"), *frame_columns())
+    return _explode(j, [(F.lit(True), inc)]), frames
+
+
+# ── frames ────────────────────────────────────────────────────────────────────────────────────
+
+def _frames(x: DetectorInputs, spec: DataFrame) -> DataFrame:
+    """Evidence of every incident but D9 in one join of the traces with the incidents' keys."""
+    s = spec.select(*K, "pattern_name", "_f_key", "_f_agent", "_f_src", "_f_tseq")
+    j = x.traces.join(s, K)
+    pat = F.col("pattern_name")
+    ttl_key = F.coalesce(F.nullif(F.col("tool_name"), F.lit("")), F.lit("unknown_tool"))
+    unk_key = F.coalesce(F.nullif(F.col("tool_name"), F.lit("")), F.lit("unknown"))
+    member = (
+        F.when(pat == "Tool Timeout Loop", is_tool() & is_err() & (ttl_key == F.col("_f_key")))
+        .when(pat.isin("Context Spiral", "Pipeline Break"), lower_agent() == F.col("_f_agent"))
+        .when(pat == "Empty Result Loop", is_tool() & (F.coalesce(F.col("outcome"), F.lit("")) == "success")
+              & (F.col("tool_name") == F.col("_f_key")))
+        .when(pat.isin("Silent Exit", "Cost Anomaly"), F.lit(True))
+        .when(pat == "Hyperactive Polling Loop", is_tool() & ~outcome_is("error") & (unk_key == F.col("_f_key")))
+        .when(pat == "Tool Call Fabrication", _suspect())
+        .otherwise(F.lit(False)))
+    # Handoff Schema Break keeps the last 5 source traces plus the first target trace (which may
+    # also be one of the source traces, as in the reference)
+    hsb = pat == "Handoff Schema Break"
+    parts = (F.when(hsb, F.filter(F.array(F.when(F.startswith(lower_agent(), F.col("_f_src")), F.lit("src")),
+                                          F.when(F.col("seq") == F.col("_f_tseq"), F.lit("tgt"))),
+                                  lambda p: p.isNotNull()))
+             .otherwise(F.when(F.coalesce(member, F.lit(False)), F.array(F.lit("all"))).otherwise(F.array())))
+    c = j.select("*", F.explode(parts).alias("_part"))
+    limit = F.create_map(*[F.lit(v) for kv in LAST_N.items() for v in kv])
+    c = c.withColumn("_n", F.when(F.col("_part") == "tgt", F.lit(None).cast("int"))
+                     .otherwise(F.try_element_at(limit, pat)))
+    cols = [*K, "pattern_name", *frame_columns()]
+    everything = c.filter(F.col("_n").isNull()).select(*cols)
+    w = (Window.partitionBy(*K, "pattern_name", "_part")
+         .orderBy(F.col("created_at").desc_nulls_last(), F.col("seq").desc()))
+    ranked = c.filter(F.col("_n").isNotNull()).withColumn("_rn", F.row_number().over(w))
+    last = ranked.filter(F.col("_rn") <= max(LAST_N.values())).filter(F.col("_rn") <= F.col("_n")).select(*cols)
+    return everything.unionByName(last)
 
 
 # ── D12-D15 ───────────────────────────────────────────────────────────────────────────────────
 
-DETECTORS = [tool_timeout_loop, context_spiral, pipeline_break, empty_result_loop, silent_exit,
-             hyperactive_polling, tool_fabrication, handoff_schema_break, error_misinterpretation]
-
-
 def failed_eval_rows(evals: DataFrame) -> DataFrame:
     """Failed evals of each session, in config order, each with role 'cause'. Bounded by the
     number of eval configs of the workflow."""
@@ -404,26 +422,37 @@ def failed_eval_rows(evals: DataFrame) -> DataFrame:
                            e["threshold"].alias("threshold"), F.lit("cause").alias("role"))).alias("failed_evals"))
 
 
+INCIDENT_COLUMNS = [*K, "workflow_id", "pattern_rank", "pattern_name", "severity", "root_cause", "fix_suggestion",
+                    "cost_wasted", "tokens_wasted", "frame_count", "is_simulated", "root_tool"]
+
+
 def run_detectors(traces: DataFrame, sessions: DataFrame, params: DataFrame | None = None,
                   evals: DataFrame | None = None, patterns: list[str] | None = None,
                   history_bucket_seconds: int | None = 86_400, history: DataFrame | None = None) -> Detected:
-    """All detectors for all sessions; D10 last. Returns (incidents, frames).
+    """All detectors (or `patterns`) for all sessions. Returns (incidents, frames).
     `history` (see `cost_history`) may be computed over a larger set of sessions than judged."""
     x = DetectorInputs(traces, sessions, params)
-    wanted = set(patterns) if patterns else None
-    results = []
-    for fn, (name, _) in zip(DETECTORS, PATTERNS):
-        if wanted is None or name in wanted:
-            results.append(fn(x))
-    if wanted is None or "Cost Anomaly" in wanted:
-        if history is None:
+    wanted = set(patterns) if patterns else set(RANK)
+    parts = []
+    if wanted & set(TOOL_PASS):
+        parts.append(_tool_pass(x, wanted))
+    if wanted & set(SESSION_PASS):
+        if "Cost Anomaly" in wanted and history is None:
             history = cost_history(sessions, bucket_seconds=history_bucket_seconds)
-        results.append(cost_anomaly(x, history))
-    inc = results[0].incidents
-    frames = results[0].frames
-    for r in results[1:]:
-        inc = inc.unionByName(r.incidents)
-        frames = frames.unionByName(r.frames)
+        parts.append(_session_pass(x, wanted, history))
+    if "Handoff Schema Break" in wanted:
+        parts.append(_handoff_pass(x))
+    d9_frames = None
+    if "Error Misinterpretation" in wanted:
+        inc9, d9_frames = _error_pass(x)
+        parts.append(inc9)
+    spec = parts[0]
+    for p in parts[1:]:
+        spec = spec.unionByName(p)
+    frames = _frames(x, spec.filter(F.col("pattern_name") != "Error Misinterpretation"))
+    if d9_frames is not None:
+        frames = frames.unionByName(d9_frames)
+    inc = spec.select(*INCIDENT_COLUMNS)
     if evals is not None:
         fe = failed_eval_rows(evals)
         inc = inc.join(fe, K, "left").withColumn(
