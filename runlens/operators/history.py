@@ -1,59 +1,70 @@
-"""Rolling history over sessions (C7, D10): statistics of the previous N sessions of the same
-tenant and workflow, ordered by start time.
-
-A plain `rowsBetween(-N, -1)` window partitioned by (tenant, workflow) puts a whole workflow in
-one task. With few workflows and many sessions that is a hot key. `preceding_stats` splits each
-workflow into time buckets and gives every bucket a "halo": the last N rows before it, found by
-replicating each bucket's own last N rows to the next N non-empty buckets (a bounded fan-out
-of at most N x N rows per bucket). The window then runs per (workflow, bucket), and the result is
-exactly that of the single window.
+"""Bounded rolling windows without hot partitions.
+
+A plain `rowsBetween(-N, 0)` window partitioned by (tenant, workflow) or (tenant, agent) puts the
+whole partition in one task; with few workflows and many sessions that is a hot key. `rolling`
+splits each partition into ordered buckets (for example one day of sessions) and gives every
+bucket a "halo": the last N rows before it, found by shipping each bucket's own last N rows to
+the next N non-empty buckets (a bounded fan-out of at most N x N rows per bucket). The window
+then runs per (partition, bucket), and the result equals the single window's exactly.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from collections.abc import Callable
 
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
-def preceding_stats(df: DataFrame, partition: list[str], order: list[str], value: str, n: int = 20,
-                    bucket_seconds: int | None = 86_400, prefix: str = "hist") -> DataFrame:
-    """Add `{prefix}_n`, `{prefix}_mean`, `{prefix}_sd` (sample) of `value` over the previous `n`
-    rows of each partition in `order`. `order[0]` must be a timestamp when bucketing is on."""
-    if not bucket_seconds:
-        w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(-n, -1)
-        return df.select("*", F.count(value).over(w).alias(f"{prefix}_n"),
-                         F.avg(value).over(w).alias(f"{prefix}_mean"),
-                         F.stddev_samp(value).over(w).alias(f"{prefix}_sd"))
-
-    ts = order[0]
-    b = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (bucket_seconds * 1_000_000)).cast("long")
-    rows = df.select("*", F.coalesce(b, F.lit(-(1 << 62))).alias("_b"))
+Agg = Callable[[Window], Column]
 
-    # dense rank of each non-empty bucket within its partition (one row per bucket: small)
-    buckets = rows.groupBy(*partition, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    wb = Window.partitionBy(*partition).orderBy("_b")
-    buckets = buckets.select(*partition, "_b", F.row_number().over(wb).alias("_bn"))
 
-    # the last n rows of every bucket (window group-limit keeps this map-side bounded)
-    key_cols = partition + ["_b"]
-    wl = Window.partitionBy(*key_cols).orderBy(*[F.col(c).desc() for c in order])
-    tails = (rows.select(*key_cols, *order, value)
-             .withColumn("_r", F.row_number().over(wl)).filter(F.col("_r") <= n).drop("_r"))
-    tails = tails.join(buckets, key_cols)
+def rolling(df: DataFrame, partition: list[str], order: list[str], n_back: int, aggs: dict[str, Agg],
+            bucket: Column | None, include_current: bool = True, carry: list[str] | None = None) -> DataFrame:
+    """Add one column per `aggs` entry, computed over the previous `n_back` rows (plus the current
+    row when `include_current`) of each partition in `order`. Aggregates may read `_pos`, a row
+    number that increases by one from row to row inside every frame. `bucket` must be a coarse,
+    non-decreasing function of the order (null = no bucketing: one window per partition).
+    `carry` names the columns the aggregates read (default: all)."""
+    end = 0 if include_current else -1
+    if bucket is None:
+        pos = F.row_number().over(Window.partitionBy(*partition).orderBy(*order))
+        w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(-n_back, end)
+        out = df.withColumn("_pos", pos)
+        return out.select("*", *[fn(w).alias(name) for name, fn in aggs.items()]).drop("_pos")
 
+    rows = df.select("*", F.coalesce(bucket.cast("long"), F.lit(-(1 << 62))).alias("_b"))
+    key = partition + ["_b"]
+    # dense rank of each non-empty bucket within its partition (one row per bucket: small)
+    buckets = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_cnt"))
+    buckets = buckets.select(*key, F.row_number().over(Window.partitionBy(*partition).orderBy("_b")).alias("_bn"))
+    # the last n rows of every bucket (a constant limit: Spark's map-side group limit applies)
+    carry_cols = carry if carry is not None else [c for c in df.columns if c not in partition + order]
+    desc = Window.partitionBy(*key).orderBy(*[F.col(c).desc() for c in order])
+    tails = (rows.select(*key, *order, *carry_cols).withColumn("_r", F.row_number().over(desc))
+             .filter(F.col("_r") <= n_back).drop("_r").join(buckets, key))
     # ship each tail to the next n non-empty buckets; keep the n latest per receiving bucket
-    shipped = (tails.select(*partition, *order, value, "_bn",
-                            F.explode(F.sequence(F.lit(1), F.lit(n))).alias("_off"))
-               .withColumn("_bn", F.col("_bn") + F.col("_off")).drop("_off"))
-    shipped = shipped.join(buckets.select(*partition, "_bn", "_b"), partition + ["_bn"]).drop("_bn")
-    wh = Window.partitionBy(*key_cols).orderBy(*[F.col(c).desc() for c in order])
-    halo = (shipped.withColumn("_r", F.row_number().over(wh)).filter(F.col("_r") <= n).drop("_r")
+    shipped = (tails.select(*partition, *order, *carry_cols, "_bn", F.explode(F.sequence(F.lit(1), F.lit(n_back)))
+                            .alias("_off"))
+               .withColumn("_bn", F.col("_bn") + F.col("_off")).drop("_off")
+               .join(buckets.select(*partition, "_bn", "_b"), partition + ["_bn"]).drop("_bn"))
+    halo = (shipped.withColumn("_r", F.row_number().over(desc)).filter(F.col("_r") <= n_back).drop("_r")
             .withColumn("_halo", F.lit(True)))
+    u = rows.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
+    # `_pos`: a row number that is consecutive across the halo and the bucket's own rows
+    u = u.withColumn("_pos", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
+    w = Window.partitionBy(*key).orderBy(*order).rowsBetween(-n_back, end)
+    out = u.select("*", *[fn(w).alias(name) for name, fn in aggs.items()])
+    return out.filter(~F.col("_halo")).drop("_halo", "_b", "_pos")
+
 
-    own = rows.withColumn("_halo", F.lit(False))
-    u = own.unionByName(halo, allowMissingColumns=True)
-    w = Window.partitionBy(*key_cols).orderBy(*order).rowsBetween(-n, -1)
-    out = u.select("*", F.count(value).over(w).alias(f"{prefix}_n"),
-                   F.avg(value).over(w).alias(f"{prefix}_mean"),
-                   F.stddev_samp(value).over(w).alias(f"{prefix}_sd"))
-    return out.filter(~F.col("_halo")).drop("_halo", "_b")
+def preceding_stats(df: DataFrame, partition: list[str], order: list[str], value: str, n: int = 20,
+                    bucket_seconds: int | None = 86_400, prefix: str = "hist") -> DataFrame:
+    """`{prefix}_n`, `{prefix}_mean`, `{prefix}_sd` (sample) of `value` over the previous `n` rows of
+    each partition in `order`; `order[0]` is a timestamp, bucketed by `bucket_seconds`."""
+    bucket = None
+    if bucket_seconds:
+        bucket = F.floor(F.unix_micros(F.col(order[0]).cast("timestamp")) / (bucket_seconds * 1_000_000))
+    aggs = {f"{prefix}_n": lambda w: F.count(value).over(w),
+            f"{prefix}_mean": lambda w: F.avg(value).over(w),
+            f"{prefix}_sd": lambda w: F.stddev_samp(value).over(w)}
+    return rolling(df, partition, order, n, aggs, bucket, include_current=False, carry=[value])

@@ -99,23 +99,25 @@ def quality_score(evals: DataFrame, agent: str, eval_name: str) -> DataFrame:
     return f.groupBy(*K).agg(F.min_by("score", order).alias("qscore"))
 
 
-def quality_slope(scores: DataFrame, partition: list[str], order: list[str], value: str = "qscore", n: int = 5) -> DataFrame:
+def quality_slope(scores: DataFrame, partition: list[str], order: list[str], value: str = "qscore", n: int = 5,
+                  bucket: Column | None = None) -> DataFrame:
     """H2: least-squares slope of the last n values (current included) over index 0..n-1; fewer
-    than 2 values -> 0."""
-    w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(-(n - 1), 0)
-    idx = F.row_number().over(Window.partitionBy(*partition).orderBy(*order)).cast("double")
-    s = scores.withColumn("_idx", idx)
-    slope = F.regr_slope(F.col(value), F.col("_idx")).over(w)
-    return s.withColumn("slope", F.coalesce(slope, F.lit(0.0))).drop("_idx")
+    than 2 values -> 0. The slope does not depend on where the index starts, so the running
+    position `_pos` of history.rolling serves as x; `bucket` splits hot partitions."""
+    from runlens.operators.history import rolling
+    aggs = {"slope": lambda w: F.regr_slope(F.col(value), F.col("_pos").cast("double")).over(w)}
+    out = rolling(scores, partition, order, n - 1, aggs, bucket)
+    return out.withColumn("slope", F.coalesce(F.col("slope"), F.lit(0.0)))
 
 
 def grounding_failure(scores: DataFrame, partition: list[str], order: list[str], value: str = "qscore",
-                      window: int = 3, threshold: float = 0.40) -> DataFrame:
+                      window: int = 3, threshold: float = 0.40, bucket: Column | None = None) -> DataFrame:
     """H3: the last `window` sessions (current included) all scored below `threshold`; a missing
-    score anywhere in the window means no incident."""
-    w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(-(window - 1), 0)
-    s = scores.select("*", F.count(F.lit(1)).over(w).alias("_n"), F.count(value).over(w).alias("_nv"),
-                      F.max(value).over(w).alias("_mx"))
+    score anywhere in the window means no incident. `bucket` splits hot partitions (history.rolling)."""
+    from runlens.operators.history import rolling
+    aggs = {"_n": lambda w: F.count(F.lit(1)).over(w), "_nv": lambda w: F.count(value).over(w),
+            "_mx": lambda w: F.max(value).over(w)}
+    s = rolling(scores, partition, order, window - 1, aggs, bucket)
     fired = s.filter((F.col("_n") == window) & (F.col("_nv") == window) & (F.col("_mx") < threshold))
     return fired.select(*partition, *[c for c in K if c not in partition],
                         F.lit("Proactive: Grounding Failure").alias("pattern_name"), F.lit("warning").alias("severity"),

@@ -139,7 +139,9 @@ def trend_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H1-H2 (extension): per agent, the judge quality score of each session and its slope over
     the last five sessions."""
     from runlens.operators.outcomes import quality_slope
-    s = quality_slope(_qscores(spark, sf_dir), ["tenant_id", "agent"], ["doc_id"], n=5)
+    # buckets of 1,000 documents split each (tenant, agent) partition; exact thanks to the halo
+    s = quality_slope(_qscores(spark, sf_dir), ["tenant_id", "agent"], ["doc_id"], n=5,
+                      bucket=F.floor(F.col("doc_id") / 1000))
     return s.select("tenant_id", "session_id", "agent", "qscore", F.round("slope", 6).alias("slope"))
 
 
@@ -154,4 +156,5 @@ GROUNDING_SQL = ("WITH q AS (" + QS_SQL + ")\nSELECT tenant_id, agent, session_i
 def grounding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H3 (extension): three sessions in a row with a quality score under 0.40."""
     from runlens.operators.outcomes import grounding_failure
-    return grounding_failure(_qscores(spark, sf_dir), ["tenant_id", "agent"], ["doc_id"])
+    return grounding_failure(_qscores(spark, sf_dir), ["tenant_id", "agent"], ["doc_id"],
+                             bucket=F.floor(F.col("doc_id") / 1000))
