@@ -101,6 +101,7 @@ def _incident(pattern: str, root: Column, fix: Column, cost: Column, tokens: Col
     def s(c):
         return (c if c is not None else F.lit(None)).cast("string")
     return F.struct(
+        F.col("workflow_id").alias("workflow_id"),
         F.lit(RANK[pattern]).alias("pattern_rank"), F.lit(pattern).alias("pattern_name"),
         F.lit(SEVERITY[pattern]).alias("severity"), root.alias("root_cause"), fix.alias("fix_suggestion"),
         cost.cast("double").alias("cost_wasted"), tokens.cast("long").alias("tokens_wasted"),
@@ -111,7 +112,9 @@ def _incident(pattern: str, root: Column, fix: Column, cost: Column, tokens: Col
 
 def _explode(df: DataFrame, items: list[tuple[Column, Column]]) -> DataFrame:
     arr = F.filter(F.array(*[F.when(cond, inc) for cond, inc in items]), lambda x: x.isNotNull())
-    return df.select(*K, "workflow_id", F.explode(arr).alias("_i")).select(*K, "workflow_id", "_i.*")
+    # workflow_id travels inside the struct: a pass-through column next to a generator can be
+    # lost when the result is self-joined (incidents with their own frames)
+    return df.select(*K, F.inline(arr))
 
 
 class DetectorInputs:
