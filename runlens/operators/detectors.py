@@ -431,9 +431,14 @@ INCIDENT_COLUMNS = [*K, "workflow_id", "pattern_rank", "pattern_name", "severity
 
 def run_detectors(traces: DataFrame, sessions: DataFrame, params: DataFrame | None = None,
                   evals: DataFrame | None = None, patterns: list[str] | None = None,
-                  history_bucket_seconds: int | None = 86_400, history: DataFrame | None = None) -> Detected:
+                  history_bucket_seconds: int | None = 86_400, history: DataFrame | None = None,
+                  materialize: bool = True) -> Detected:
     """All detectors (or `patterns`) for all sessions. Returns (incidents, frames).
-    `history` (see `cost_history`) may be computed over a larger set of sessions than judged."""
+    `history` (see `cost_history`) may be computed over a larger set of sessions than judged.
+
+    With `materialize` the incident table (one row per incident, small next to the traces) is
+    checkpointed once into the shared checkpoint folder, so the frames join and any later use of
+    the incidents read it instead of running the four detector passes again."""
     x = DetectorInputs(traces, sessions, params)
     wanted = set(patterns) if patterns else set(RANK)
     parts = []
@@ -452,6 +457,9 @@ def run_detectors(traces: DataFrame, sessions: DataFrame, params: DataFrame | No
     spec = parts[0]
     for p in parts[1:]:
         spec = spec.unionByName(p)
+    if materialize:
+        from runlens.session import cut_lineage
+        spec = cut_lineage(spec)
     frames = _frames(x, spec.filter(F.col("pattern_name") != "Error Misinterpretation"))
     if d9_frames is not None:
         frames = frames.unionByName(d9_frames)

@@ -104,7 +104,14 @@ def session_rollup(agent_tokens: DataFrame, prices: DataFrame, default_model: st
     """Every agent priced with the default model (as the logger does at close), per-agent
     cost rounded to 6, session total = round(sum of the rounded costs, 6), agents in first-seen
     order, and a cost breakdown map. One row per session; sessions without usage have no row."""
-    a = _rates(agent_tokens.withColumn("model", F.lit(default_model)), prices, "model")
+    # every agent is priced with the one default model: look its rates up in the (small, bounded)
+    # price table once instead of joining every row against a constant
+    rows = prices.filter(F.col("model") == default_model).limit(1).collect()
+    rates = (rows[0]["input_rate"], rows[0]["output_rate"], rows[0]["cache_read_rate"], rows[0]["cache_write_rate"]) \
+        if rows else DEFAULT_RATES
+    a = agent_tokens.select("*", F.lit(default_model).alias("model"),
+                            *[F.lit(float(r)).alias(c) for r, c in zip(
+                                rates, ["input_rate", "output_rate", "cache_read_rate", "cache_write_rate"])])
     a = a.withColumn("cost_usd", F.round((F.col("input") * F.col("input_rate") + F.col("output") * F.col("output_rate")
                                           + F.col("cache_read") * F.col("cache_read_rate")
                                           + F.col("cache_write") * F.col("cache_write_rate")) / 1_000_000, 6))

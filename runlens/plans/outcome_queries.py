@@ -119,8 +119,11 @@ def _qscores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from runlens.plans.judge_queries import _pipeline
     _, _, res = _pipeline(spark, sf_dir)
     q = res.filter(F.col("eval_name") == F.concat(F.col("agent"), F.lit("_quality")))
-    return q.select("tenant_id", "session_id", "agent", F.col("output_id").cast("long").alias("doc_id"),
-                    F.col("score").alias("qscore"))
+    q = q.select("tenant_id", "session_id", "agent", F.col("output_id").cast("long").alias("doc_id"),
+                 F.col("score").alias("qscore"))
+    # the rolling windows read their input three times (buckets, tails, rows): score once
+    from runlens.session import cut_lineage
+    return cut_lineage(q)
 
 
 QS_SQL = VERDICTS_SQL.replace(
