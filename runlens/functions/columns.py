@@ -12,6 +12,19 @@ from pyspark.sql import functions as F
 K = ["tenant_id", "session_id"]
 ORDER = ["created_at", "seq"]
 
+_CACHE: dict = {}
+
+
+def cached(key, build):
+    """Reuse a constant Column within one Spark application (Columns are immutable expressions);
+    building plans then needs far fewer JVM round trips."""
+    from pyspark import SparkContext
+    k = (id(SparkContext._active_spark_context), key)
+    c = _CACHE.get(k)
+    if c is None:
+        c = _CACHE[k] = build()
+    return c
+
 
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -26,24 +39,26 @@ def real_error(c: str | Column = "error") -> Column:
 
 
 def is_tool() -> Column:
-    return F.coalesce(F.col("step_type"), F.lit("")) == "tool_call"
+    return cached("is_tool", lambda: F.expr("coalesce(step_type, '') = 'tool_call'"))
 
 
 def outcome_is(value: str) -> Column:
     """Null-safe equality: a null outcome is *not* the value (Python `None == 'x'` is False)."""
-    return F.col("outcome").eqNullSafe(F.lit(value))
+    return cached(("outcome_is", value), lambda: F.col("outcome").eqNullSafe(F.lit(value)))
 
 
 def is_err() -> Column:
     """Outcome 'error' or a real error text."""
-    return outcome_is("error") | real_error("error").isNotNull()
+    return cached("is_err", lambda: outcome_is("error") | real_error("error").isNotNull())
 
 
 def toks() -> Column:
-    return F.coalesce(F.col("tokens_input"), F.lit(0)) + F.coalesce(F.col("tokens_output"), F.lit(0))
+    return cached("toks", lambda: F.expr("coalesce(tokens_input, 0) + coalesce(tokens_output, 0)"))
 
 
 def lower_agent(c: str | Column = "agent") -> Column:
+    if c == "agent":
+        return cached("lower_agent", lambda: F.expr("lower(coalesce(agent, ''))"))
     return F.lower(F.coalesce(col(c), F.lit("")))
 
 
@@ -108,7 +123,7 @@ _TIES_MAP_SQL = "map(" + ", ".join(f"CAST({k!r} AS DOUBLE), CAST({v!r} AS DOUBLE
 
 def py_round2(c: Column) -> Column:
     """round(x, 2) as Python computes it, for scores in [0, 1] (decides `passed`)."""
-    ties = F.expr(_TIES_MAP_SQL)   # one constant map, folded by the optimizer
+    ties = cached("round2_ties", lambda: F.expr(_TIES_MAP_SQL))   # one constant map
     return F.coalesce(F.try_element_at(ties, c.cast("double")), F.round(c, 2))
 
 

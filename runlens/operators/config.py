@@ -109,13 +109,17 @@ def checked_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+def _sql_literal(value) -> str:
+    if isinstance(value, (list, tuple)):
+        return "array(" + ", ".join(_sql_literal(v) for v in value) + ")"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(value)
+
+
 def _lit(value, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.ArrayType):
-        if isinstance(dtype.elementType, T.ArrayType):
-            return F.array(*[F.array(*[F.lit(x) for x in inner]) for inner in value]).cast(dtype) \
-                if value else F.array().cast(dtype)
-        return F.array(*[F.lit(x) for x in value]).cast(dtype) if value else F.array().cast(dtype)
-    return F.lit(value).cast(dtype)
+    """A typed constant as one SQL expression (one JVM call instead of one per element)."""
+    return F.expr(f"CAST({_sql_literal(value)} AS {dtype.simpleString()})")
 
 
 def load_pipeline_config(rows: DataFrame) -> DataFrame:
@@ -145,8 +149,10 @@ def pipeline_config_rows(spark: SparkSession, config: dict[str, dict]) -> DataFr
 
 
 def default_params() -> list[Column]:
-    return [_lit(default, dtype).alias(name) for name, (dtype, default) in PARAM_TYPES.items()] + \
-        [F.create_map().cast(T.MapType(T.StringType(), T.StringType())).alias("cfg_map")]
+    from runlens.functions.columns import cached
+    return cached("default_params", lambda: [_lit(default, dtype).alias(name)
+                                             for name, (dtype, default) in PARAM_TYPES.items()]
+                  + [F.expr("CAST(map() AS map<string,string>)").alias("cfg_map")])
 
 
 def attach_params(df: DataFrame, params: DataFrame | None, key: str = "workflow_id") -> DataFrame:
