@@ -149,3 +149,23 @@ def configured_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ = DET_BODIES  # detector SQL bodies are shared through incidents_sql
+
+
+def _write_evals_sql() -> str:
+    from runlens.plans.eval_queries import PIPELINE, STANDARD, evals_sql
+    return ("SELECT tenant_id, session_id, eval_name, agent, round(score, 3) AS score, passed, threshold, 3 AS layer "
+            "FROM (" + evals_sql(STANDARD, PIPELINE) + ")")
+
+
+@query("write_evals", _write_evals_sql())
+def write_evals_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule evals appended to a tenant-partitioned table (score rounded to 3, layer 3), read back."""
+    from runlens.operators.evals import run_rule_evals
+    from runlens.plans.eval_queries import PIPELINE, STANDARD, config_df, params_df
+    from runlens.sources.sinks import write_evals
+    from runlens.streaming.spans import scratch_path
+    traces, sessions = _inputs(spark, sf_dir)
+    ev = run_rule_evals(sessions, traces, config_df(spark, STANDARD), params_df(spark, PIPELINE))
+    path = scratch_path(spark, "evals")
+    write_evals(ev, path)
+    return spark.read.parquet(path).select(*K, "eval_name", "agent", "score", "passed", "threshold", "layer")
