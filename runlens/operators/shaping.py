@@ -32,12 +32,27 @@ def model_prices(spark: SparkSession) -> DataFrame:
 
 # ── B6 / B18: step numbers ───────────────────────────────────────────────────────────────────
 
-def assign_sequence(traces: DataFrame, order: list[str] | None = None, name: str = "seq") -> DataFrame:
-    """1-based step number per session by time, then arrival (B6). One window over the session
-    key; every later per-session window or aggregate reuses this partitioning."""
+def assign_sequence(traces: DataFrame, order: list[str] | None = None, name: str = "seq",
+                    bucket_seconds: int | None = 3_600) -> DataFrame:
+    """1-based step number per session by time, then arrival.
+
+    A single window per session would put one huge session in one task. Instead the steps are
+    numbered inside (session, time bucket) and shifted by the number of steps in the session's
+    earlier buckets (a running sum over the small per-bucket count table). `order[0]` must be
+    the timestamp; null times come first, as in the plain window."""
     order = order or ["created_at"]
-    w = Window.partitionBy(*K).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    return traces.withColumn(name, F.row_number().over(w))
+    sort = [F.col(c).asc_nulls_first() for c in order]
+    if not bucket_seconds:
+        return traces.withColumn(name, F.row_number().over(Window.partitionBy(*K).orderBy(*sort)))
+    b = F.coalesce(F.floor(F.unix_micros(F.col(order[0]).cast("timestamp")) / (bucket_seconds * 1_000_000)),
+                   F.lit(-(1 << 62))).cast("long")
+    t = traces.withColumn("_sb", b)
+    counts = t.groupBy(*K, "_sb").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*K).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*K, "_sb", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    local = F.row_number().over(Window.partitionBy(*K, "_sb").orderBy(*sort))
+    return (t.withColumn("_local", local).join(offsets, K + ["_sb"])
+            .withColumn(name, (F.col("_off") + F.col("_local")).cast("int")).drop("_sb", "_local", "_off"))
 
 
 # ── B7 / B8: span parents ─────────────────────────────────────────────────────────────────────

@@ -31,3 +31,15 @@ def test_detectors_same_with_and_without_buckets(spark):
     b = run_detectors(t, s, history_bucket_seconds=None).incidents.select(
         "session_id", "pattern_name", "frame_count").collect()
     assert sorted(a) == sorted(b) and len(a) > 0
+
+
+def test_bucketed_step_numbers_equal_plain_window(spark):
+    from runlens.operators.shaping import assign_sequence
+    from runlens.sources.adapters import read_table, traces_from_events
+    t = traces_from_events(read_table(spark, SF_SMOKE, "events")).drop("seq")
+    # every trace in one session: the hot-session case
+    hot = t.withColumn("session_id", F.lit("one")).withColumn("tenant_id", F.lit("t"))
+    for df in (t, hot):
+        a = {r.event_id: r.seq for r in assign_sequence(df, ["created_at", "event_id"], bucket_seconds=None).collect()}
+        b = {r.event_id: r.seq for r in assign_sequence(df, ["created_at", "event_id"], bucket_seconds=600).collect()}
+        assert a == b
