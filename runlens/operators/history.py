@@ -18,6 +18,13 @@ from pyspark.sql import functions as F
 Agg = Callable[[Window], Column]
 
 
+def _join_ns(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Equi-join on `keys` where null matches null (a null agent or workflow is a key too)."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = [left[c].eqNullSafe(r[f"_r_{c}"]) for c in keys]
+    return left.join(r, cond).drop(*[f"_r_{c}" for c in keys])
+
+
 def rolling(df: DataFrame, partition: list[str], order: list[str], n_back: int, aggs: dict[str, Agg],
             bucket: Column | None, include_current: bool = True, carry: list[str] | None = None) -> DataFrame:
     """Add one column per `aggs` entry, computed over the previous `n_back` rows (plus the current
@@ -40,13 +47,13 @@ def rolling(df: DataFrame, partition: list[str], order: list[str], n_back: int,
     # the last n rows of every bucket (a constant limit: Spark's map-side group limit applies)
     carry_cols = carry if carry is not None else [c for c in df.columns if c not in partition + order]
     desc = Window.partitionBy(*key).orderBy(*[F.col(c).desc() for c in order])
-    tails = (rows.select(*key, *order, *carry_cols).withColumn("_r", F.row_number().over(desc))
-             .filter(F.col("_r") <= n_back).drop("_r").join(buckets, key))
+    tails = _join_ns(rows.select(*key, *order, *carry_cols).withColumn("_r", F.row_number().over(desc))
+                     .filter(F.col("_r") <= n_back).drop("_r"), buckets, key)
     # ship each tail to the next n non-empty buckets; keep the n latest per receiving bucket
     shipped = (tails.select(*partition, *order, *carry_cols, "_bn", F.explode(F.sequence(F.lit(1), F.lit(n_back)))
                             .alias("_off"))
-               .withColumn("_bn", F.col("_bn") + F.col("_off")).drop("_off")
-               .join(buckets.select(*partition, "_bn", "_b"), partition + ["_bn"]).drop("_bn"))
+               .withColumn("_bn", F.col("_bn") + F.col("_off")).drop("_off"))
+    shipped = _join_ns(shipped, buckets.select(*partition, "_bn", "_b"), partition + ["_bn"]).drop("_bn")
     halo = (shipped.withColumn("_r", F.row_number().over(desc)).filter(F.col("_r") <= n_back).drop("_r")
             .withColumn("_halo", F.lit(True)))
     u = rows.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)

@@ -57,29 +57,55 @@ def assign_sequence(traces: DataFrame, order: list[str] | None = None, name: str
 
 # ── B7 / B8: span parents ─────────────────────────────────────────────────────────────────────
 
-def assign_agent_span(traces: DataFrame, span_starts: DataFrame) -> DataFrame:
-    """A step's parent is the most recent span its agent started before it.
-    `span_starts` has (tenant_id, session_id, agent, span_start_id, started_at)."""
+def _hour_bucket(ts: str, bucket_seconds: int) -> Column:
+    return F.coalesce(F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (bucket_seconds * 1_000_000)),
+                      F.lit(-(1 << 62))).cast("long")
+
+
+def assign_agent_span(traces: DataFrame, span_starts: DataFrame, bucket_seconds: int | None = 3_600) -> DataFrame:
+    """A step's parent is the most recent span its agent started before it (a start at the
+    same instant counts). `span_starts` has (tenant_id, session_id, agent, span_start_id,
+    started_at). The carry-forward runs inside (session, agent, hour) buckets; the last start of
+    earlier buckets comes from a running window over the small per-bucket table."""
     marks = span_starts.select(*K, "agent", F.col("started_at").alias("_t"), F.lit(0).alias("_k"),
-                               "span_start_id")
+                               F.lit(None).cast("long").alias("seq"), "span_start_id")
     rows = traces.select("*", F.col("created_at").alias("_t"), F.lit(1).alias("_k"),
                          F.lit(None).cast("string").alias("span_start_id"))
     u = rows.unionByName(marks, allowMissingColumns=True)
-    w = (Window.partitionBy(*K, "agent").orderBy(F.col("_t").asc_nulls_first(), "_k", F.col("seq"))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = u.withColumn("parent_span_id", F.last("span_start_id", ignorenulls=True).over(w))
-    return out.filter(F.col("_k") == 1).drop("_t", "_k", "span_start_id")
-
-
-def assign_parent_spans(traces: DataFrame, session_spans: DataFrame | None = None) -> DataFrame:
-    """The caller's parent if given; else the agent's previous span; else the session span."""
-    w = Window.partitionBy(*K, "agent").orderBy(F.col("created_at").asc_nulls_first(), "seq")
-    prev = F.lag("span_id").over(w)
+    u = u.withColumn("_ak", F.coalesce(F.col("agent"), F.lit("\u0000")))   # None is an agent key too
+    part = [*K, "_ak"]
+    order = [F.col("_t").asc_nulls_first(), F.col("_k"), F.col("seq").asc_nulls_first()]
+    if not bucket_seconds:
+        w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = u.withColumn("parent_span_id", F.last("span_start_id", ignorenulls=True).over(w))
+        return out.filter(F.col("_k") == 1).drop("_t", "_k", "span_start_id", "_ak")
+    u = u.withColumn("_sb", _hour_bucket("_t", bucket_seconds))
+    last_in = (u.groupBy(*part, "_sb")
+               .agg(F.max_by("span_start_id", F.when(F.col("span_start_id").isNotNull(),
+                                                     F.struct(F.col("_t"), F.col("_k"), F.col("seq")))).alias("_lm")))
+    carry_w = Window.partitionBy(*part).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last_in.select(*part, "_sb", F.last("_lm", ignorenulls=True).over(carry_w).alias("_carry"))
+    w = Window.partitionBy(*part, "_sb").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = (u.withColumn("_local", F.last("span_start_id", ignorenulls=True).over(w))
+           .join(carry, part + ["_sb"])
+           .withColumn("parent_span_id", F.coalesce(F.col("_local"), F.col("_carry"))))
+    return out.filter(F.col("_k") == 1).drop("_t", "_k", "span_start_id", "_ak", "_sb", "_local", "_carry")
+
+
+def assign_parent_spans(traces: DataFrame, session_spans: DataFrame | None = None,
+                        bucket_seconds: int | None = 3_600) -> DataFrame:
+    """The caller's parent if given; else the agent's previous span; else the session span.
+    The previous span comes from a one-row frame in the bucketed rolling window (no hot partition)."""
+    from runlens.operators.history import rolling
+    t = traces.withColumn("_ak", F.coalesce(F.col("agent"), F.lit("\u0000")))
+    bucket = _hour_bucket("created_at", bucket_seconds) if bucket_seconds else None
+    t = rolling(t, [*K, "_ak"], ["created_at", "seq"], 1, {"_prev": lambda w: F.first("span_id").over(w)},
+                bucket, include_current=False, carry=["span_id"]).drop("_ak")
     if session_spans is not None:
-        traces = traces.join(session_spans.select(*K, "session_span_id"), K, "left")
-        parent = F.coalesce(F.col("parent_trace_id"), prev, F.col("session_span_id"))
-        return traces.withColumn("parent_span_id", parent).drop("session_span_id")
-    return traces.withColumn("parent_span_id", F.coalesce(F.col("parent_trace_id"), prev))
+        t = t.join(session_spans.select(*K, "session_span_id"), K, "left")
+        parent = F.coalesce(F.col("parent_trace_id"), F.col("_prev"), F.col("session_span_id"))
+        return t.withColumn("parent_span_id", parent).drop("session_span_id", "_prev")
+    return t.withColumn("parent_span_id", F.coalesce(F.col("parent_trace_id"), F.col("_prev"))).drop("_prev")
 
 
 # ── B9 / B10 / B11: pricing and token rollups ───────────────────────────────────────────────
