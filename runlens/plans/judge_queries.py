@@ -11,11 +11,15 @@ from runlens.sources.adapters import judge_configs, judge_outputs, judge_replies
 
 
 def _pipeline(spark: SparkSession, sf_dir: str):
+    """Prompts are built once; the verdict side needs only their keys, which are stored (a narrow
+    table) so the document text is read a single time."""
     from runlens.operators.judge import judge_criteria, judge_prompts, score_verdicts
+    from runlens.session import cut_lineage
     outputs = judge_outputs(read_table(spark, sf_dir, "documents"))
     prompts = judge_prompts(outputs, judge_criteria(judge_configs(outputs)))
-    replies = judge_replies(prompts, read_table(spark, sf_dir, "labels"))
-    return prompts, replies, score_verdicts(prompts, replies)
+    keys = cut_lineage(prompts.drop("prompt", "system"))
+    replies = judge_replies(keys, read_table(spark, sf_dir, "labels"))
+    return prompts, replies, score_verdicts(keys, replies)
 
 
 NL = "chr(10)"
