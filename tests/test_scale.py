@@ -27,7 +27,7 @@ def test_bucketed_history_equals_plain_window_on_hot_key(spark):
 
 def test_detectors_same_with_and_without_buckets(spark):
     t, s = load_traces(spark, SF_SMOKE), load_sessions(spark, SF_SMOKE)
-    a = run_detectors(t, s).incidents.select("session_id", "pattern_name", "frame_count").collect()
+    a = run_detectors(t, s, history_bucket_seconds=86_400).incidents.select("session_id", "pattern_name", "frame_count").collect()
     b = run_detectors(t, s, history_bucket_seconds=None).incidents.select(
         "session_id", "pattern_name", "frame_count").collect()
     assert sorted(a) == sorted(b) and len(a) > 0
