@@ -54,3 +54,22 @@ def test_stream_dedupe_equals_batch(spark):
     run_available_now(stream_dedupe_spans(src), out, scratch_path(spark, "t-ckpt"))
     got = spark.read.parquet(out)
     assert got.count() == 4 and got.filter(F.col("span_id").isNull()).count() == 2
+
+
+def test_evaluate_on_close_equals_batch(spark):
+    """Close events streamed in three files give the same incidents as the batch run."""
+    from conftest import SF_SMOKE
+    from runlens.operators.detectors import run_detectors
+    from runlens.sources.adapters import load_sessions, load_traces
+    from runlens.streaming.spans import scratch_path, stream_evaluate_closed
+    t, s = load_traces(spark, SF_SMOKE), load_sessions(spark, SF_SMOKE)
+    stage = scratch_path(spark, "t-closes")
+    closes = s.select("tenant_id", "session_id", F.col("completed_at").alias("closed_at"))
+    closes.repartition(3, "session_id").write.parquet(stage)
+    src = spark.readStream.schema(closes.schema).option("maxFilesPerTrigger", 1).parquet(stage)
+    out = scratch_path(spark, "t-closed")
+    stream_evaluate_closed(src, t, s, out, scratch_path(spark, "t-closed-ckpt"))
+    got = spark.read.parquet(f"{out}/incidents").select("session_id", "pattern_name", "frame_count").collect()
+    want = run_detectors(t, s).incidents.select("session_id", "pattern_name", "frame_count").collect()
+    assert sorted(got) == sorted(want) and len(got) > 0
+    assert spark.read.parquet(f"{out}/incidents").select("batch_id").distinct().count() >= 2
