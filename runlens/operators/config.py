@@ -105,8 +105,11 @@ def checked_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     strategy to the planner (sort-merge / AQE)."""
     if df.isLocal():          # built from driver-side rows: its size is already bounded
         return F.broadcast(df)
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    small = getattr(df, "_runlens_small", None)   # a table is checked once, however often it is joined
+    if small is None:
+        small = df.count() <= max_rows
+        df._runlens_small = small
+    return F.broadcast(df) if small else df
 
 
 def _sql_literal(value) -> str:

@@ -310,7 +310,8 @@ def run_rule_evals(sessions: DataFrame, traces: DataFrame, eval_configs: DataFra
                    F.coalesce(override, F.col("_thr0")).alias("threshold"),
                    tok_raw.try_cast("double").try_cast("long").alias("_tok_thr"))
 
-    parts = _metric_parts(metrics)
+    from runlens.functions.columns import cached
+    parts = cached(("metric_parts", frozenset(metrics)), lambda: _metric_parts(metrics))
     score = None
     detail = None
     for metric, p in parts.items():
