@@ -219,11 +219,26 @@ def cost_history(sessions: DataFrame, n: int = HISTORY_SESSIONS, bucket_seconds:
 
 
 def _session_pass(x: DetectorInputs, wanted: set[str], history: DataFrame | None) -> DataFrame:
+    from runlens.functions.columns import cached
+    aggs, items = cached(("session_pass", frozenset(wanted)), lambda: _session_exprs(wanted))
+    g = x.traces.groupBy(*K).agg(*aggs)
+    s = x.sessions
+    if "Cost Anomaly" in wanted:
+        s = s.join(history.select(*K, "hist_n", "hist_mean", "hist_sd"), K, "left")
+    else:
+        s = s.select("*", F.lit(None).cast("long").alias("hist_n"), F.lit(None).cast("double").alias("hist_mean"),
+                     F.lit(None).cast("double").alias("hist_sd"))
+    j = s.join(g, K, "left")   # sessions without traces still get a cost check
+    return _explode(j, items)
+
+
+def _session_exprs(wanted: set[str]):
+    """The session pass's aggregate list and candidate incidents (Column expressions only)."""
     first_agent = F.lower(F.element_at("pipeline_order", 1))
     is_first = lower_agent() == first_agent
     is_an = lower_agent() == F.lower(F.col("analysis_agent"))
     sus = _suspect()
-    g = x.traces.groupBy(*K).agg(
+    aggs = [
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.bool_or(is_tool() & is_err()), F.lit(False)).alias("tool_err"),
         F.coalesce(F.sum(F.when(is_an, toks())), F.lit(0)).alias("sp_tokens"),
@@ -235,14 +250,7 @@ def _session_pass(x: DetectorInputs, wanted: set[str], history: DataFrame | None
         F.collect_set(F.when(sus, F.col("agent"))).alias("sus_agents"),
         F.coalesce(F.bool_or(sus & F.col("agent").isNull()), F.lit(False)).alias("sus_agent_null"),
         F.collect_set(F.when(sus, F.col("tool_name"))).alias("sus_tools"),
-        F.coalesce(F.bool_or(sus & F.col("tool_name").isNull()), F.lit(False)).alias("sus_tool_null"))
-    s = x.sessions
-    if "Cost Anomaly" in wanted:
-        s = s.join(history.select(*K, "hist_n", "hist_mean", "hist_sd"), K, "left")
-    else:
-        s = s.select("*", F.lit(None).cast("long").alias("hist_n"), F.lit(None).cast("double").alias("hist_mean"),
-                     F.lit(None).cast("double").alias("hist_sd"))
-    j = s.join(g, K, "left")   # sessions without traces still get a cost check
+        F.coalesce(F.bool_or(sus & F.col("tool_name").isNull()), F.lit(False)).alias("sus_tool_null")]
 
     n = F.coalesce(F.col("n"), F.lit(0))
     trades0 = F.col("_trades") == 0
@@ -306,7 +314,7 @@ def _session_pass(x: DetectorInputs, wanted: set[str], history: DataFrame | None
             F.format_string("Investigate which agent consumed the excess cost. Mean session cost is USD%.4f. "
                             "Check token usage by agent in Session Deep Dive.", F.col("hist_mean")),
             F.greatest(F.lit(0.0), F.col("_cost") - F.col("hist_mean")), F.lit(0), F.least(n, F.lit(15))))
-    return _explode(j, items)
+    return aggs, items
 
 
 # ── handoff pass: D8 ──────────────────────────────────────────────────────────────────────────
