@@ -19,7 +19,8 @@ def cached(key, build):
     """Reuse a constant Column within one Spark application (Columns are immutable expressions);
     building plans then needs far fewer JVM round trips."""
     from pyspark import SparkContext
-    k = (id(SparkContext._active_spark_context), key)
+    sc = SparkContext._active_spark_context
+    k = (sc.applicationId if sc is not None else None, key)   # unique per application
     c = _CACHE.get(k)
     if c is None:
         c = _CACHE[k] = build()

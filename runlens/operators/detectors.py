@@ -130,6 +130,20 @@ class DetectorInputs:
 # ── tool pass: D1, D4, D6 ─────────────────────────────────────────────────────────────────────
 
 def _tool_pass(x: DetectorInputs, wanted: set[str]) -> DataFrame:
+    from runlens.functions.columns import cached
+    tags, keys, aggs, order, items = cached(("tool_pass", frozenset(wanted)), lambda: _tool_exprs(wanted))
+    tc = x.traces.filter(is_tool()).select(
+        *K, "agent", "error", "tool_name", "latency_ms", "created_at", "seq", "tool_retry_threshold",
+        "hyperactive_poll_threshold", tags.alias("_t"))
+    g = tc.groupBy(*K, *keys).agg(*aggs)
+    g = g.filter(F.col("n") >= F.col("thr"))
+    w = g.groupBy(*K, "det").agg(F.min(F.struct(order.alias("o"), "key", "n", "named", "lat", "first")).alias("w"))
+    j = w.select(*K, "det", "w.*").join(x.sessions, K)
+    return _explode(j, items)
+
+
+def _tool_exprs(wanted: set[str]):
+    """The tool pass's expressions: call tags, grouping keys, aggregates, winner order, incidents."""
     ttl_key = F.coalesce(F.nullif(F.col("tool_name"), F.lit("")), F.lit("unknown_tool"))
     unk_key = F.coalesce(F.nullif(F.col("tool_name"), F.lit("")), F.lit("unknown"))
     tags = []
@@ -140,11 +154,10 @@ def _tool_pass(x: DetectorInputs, wanted: set[str]) -> DataFrame:
                            F.struct(F.lit(4).alias("det"), unk_key.alias("key"))))
     if "Hyperactive Polling Loop" in wanted:  # D6: calls whose outcome is not error (null counts)
         tags.append(F.when(~outcome_is("error"), F.struct(F.lit(6).alias("det"), unk_key.alias("key"))))
-    tc = x.traces.filter(is_tool()).select(
-        *K, "agent", "error", "tool_name", "latency_ms", "created_at", "seq", "tool_retry_threshold",
-        "hyperactive_poll_threshold", F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull())).alias("_t"))
+    tag_col = F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull()))
     det = F.col("_t.det")
-    g = tc.groupBy(*K, det.alias("det"), F.col("_t.key").alias("key")).agg(
+    keys = [det.alias("det"), F.col("_t.key").alias("key")]
+    aggs = [
         F.count(F.lit(1)).alias("n"),
         F.min(F.struct(F.col("created_at"), F.col("seq"), F.col("agent"), F.col("error"), F.col("tool_name")))
         .alias("first"),
@@ -152,13 +165,10 @@ def _tool_pass(x: DetectorInputs, wanted: set[str]) -> DataFrame:
         F.count_if(F.col("tool_name") == F.col("_t.key")).alias("named"),
         F.sum(F.coalesce(F.col("latency_ms"), F.lit(0))).alias("lat"),
         F.max(F.when(det == 6, F.col("hyperactive_poll_threshold")).otherwise(F.col("tool_retry_threshold")))
-        .alias("thr"))
-    g = g.filter(F.col("n") >= F.col("thr"))
+        .alias("thr")]
     # First tool by the time of its first call; D4: first tool in input order
     order = (F.when(F.col("det") == 4, F.struct(F.lit(None).cast("timestamp").alias("t"), F.col("first_seq").alias("s")))
              .otherwise(F.struct(F.col("first.created_at").alias("t"), F.col("first.seq").alias("s"))))
-    w = g.groupBy(*K, "det").agg(F.min(F.struct(order.alias("o"), "key", "n", "named", "lat", "first")).alias("w"))
-    j = w.select(*K, "det", "w.*").join(x.sessions, K)
     d = F.col("det")
     tool, n = F.col("key"), F.col("n")
     agent = _none(F.col("first.agent"))
@@ -188,7 +198,7 @@ def _tool_pass(x: DetectorInputs, wanted: set[str]) -> DataFrame:
                             agent, tool),
             F.col("_cost"), F.col("_tokens"), n, key=tool)),
     ]
-    return _explode(j, items)
+    return tag_col, keys, aggs, order, items
 
 
 # ── session pass: D2, D3, D5, D7, D10 ─────────────────────────────────────────────────────────
