@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from runlens.llm.common import read_table
 from runlens.llm.exact_dedup import dedup_documents
+from runlens.llm.licenses import scan_licenses
+from runlens.llm.packing import pack_documents
 from runlens.llm.sharding import shard_documents
+from runlens.llm.token_files import read_documents, write_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +39,21 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_documents(read_table(spark, sf_dir, "documents")).drop("in_history")
 
 
+@query("op3_elias_fano_files")
+def op3_elias_fano_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_documents(write_files(read_table(spark, sf_dir, "documents")))
+
+
+@query("op4_license_join")
+def op4_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 @query("op9_minimax_sharding")
 def op9_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"))
+
+
+@query("op10_bin_completion")
+def op10_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents"))
