@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from runlens.llm.common import read_table
 from runlens.llm.exact_dedup import dedup_documents
 from runlens.llm.licenses import scan_licenses
+from runlens.llm.mixing import draw
 from runlens.llm.packing import pack_documents
 from runlens.llm.sharding import shard_documents
 from runlens.llm.token_files import read_documents, write_files
+from runlens.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,6 +51,16 @@ def op4_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+@query("op6_factorization_machine")
+def op6_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query("op8_temperature_mixing")
+def op8_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return draw(read_table(spark, sf_dir, "documents"))
+
+
 @query("op9_minimax_sharding")
 def op9_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"))
