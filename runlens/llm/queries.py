@@ -11,7 +11,9 @@ from runlens.llm.common import read_table
 from runlens.llm.exact_dedup import dedup_documents
 from runlens.llm.licenses import scan_licenses
 from runlens.llm.mixing import draw
+from runlens.llm.ngram_join import near_duplicates
 from runlens.llm.packing import pack_documents
+from runlens.llm.pii import personal_data
 from runlens.llm.sharding import shard_documents
 from runlens.llm.token_files import read_documents, write_files
 from runlens.llm.toxicity import toxicity
@@ -51,11 +53,21 @@ def op4_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+@query("op5_prefix_tree_join")
+def op5_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 @query("op6_factorization_machine")
 def op6_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+@query("op7_candidate_boosting")
+def op7_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(read_table(spark, sf_dir, "documents"))
+
+
 @query("op8_temperature_mixing")
 def op8_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return draw(read_table(spark, sf_dir, "documents"))
