@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from runlens.llm.common import read_table
+from runlens.llm.embedding_dedup import near_duplicate_vectors
 from runlens.llm.exact_dedup import dedup_documents
 from runlens.llm.licenses import scan_licenses
 from runlens.llm.mixing import draw
@@ -43,6 +44,20 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_documents(read_table(spark, sf_dir, "documents")).drop("in_history")
 
 
+@query("op2_product_quantisation", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.e, b.e) BETWEEN 0.93 AND 1.5),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
+SELECT c.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, c.vec_id = c.component_id AS kept
+FROM c LEFT JOIN n ON c.vec_id = n.vec_id""")
+def op2_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 @query("op3_elias_fano_files")
 def op3_elias_fano_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(write_files(read_table(spark, sf_dir, "documents")))
