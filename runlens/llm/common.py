@@ -26,3 +26,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def row_key(id_col: str = "doc_id") -> Column:
+    """The id as a join key that is never null."""
+    return F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+
+
+def keep_ids(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Rows of `docs` whose id (null included) is in `kept`, with the columns of `docs`."""
+    wanted = kept.select(row_key(id_col).alias("_keep_id")).distinct()
+    return docs.withColumn("_keep_id", row_key(id_col)).join(wanted, "_keep_id", "left_semi").drop("_keep_id")

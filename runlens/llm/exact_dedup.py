@@ -19,10 +19,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from runlens.llm.common import stored, text_of
+from runlens.llm.common import row_key, stored, text_of
 
 KEYS_PER_SHARD = 2048      # distinct historical digests per shard: bounds the memory of one group
 GAMMA = 1.6                # bits per key of each level
@@ -118,11 +118,16 @@ def _look_up(index: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
+def text_digest(text_col: str = "text") -> Column:
+    """SHA-256 of the text without white space."""
+    return F.unhex(F.sha2(F.regexp_replace(text_of(text_col), r"[\x20\x09-\x0D]+", "").cast("binary"), 256))
+
+
 def digest_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, digest of the text without white space, and code points of the original text."""
     text = text_of(text_col)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.unhex(F.sha2(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "").cast("binary"), 256)).alias("digest"),
+                       text_digest(text_col).alias("digest"),
                        F.char_length(text).cast("long").alias("chars"))
 
 
@@ -172,3 +177,13 @@ def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = digest_rows(docs, id_col, text_col)
     old = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
     return mark(stored(rows.withColumn("old", old), "digest-rows"))
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The winning row of each group, with the columns of `docs`; of repeated rows one stays."""
+    kept = dedup_documents(docs, id_col, text_col).where("kept").select(
+        row_key("doc_id").alias("_dedup_id"), F.unhex("text_sha256").alias("_dedup_text")).distinct()
+    keyed = docs.withColumn("_dedup_id", row_key(id_col)).withColumn("_dedup_text", text_digest(text_col))
+    same = Window.partitionBy("_dedup_id", "_dedup_text").orderBy(F.lit(1))
+    return keyed.join(stored(kept, "digest-kept"), ["_dedup_id", "_dedup_text"], "left_semi").withColumn(
+        "_dedup_n", F.row_number().over(same)).where("_dedup_n = 1").drop("_dedup_id", "_dedup_text", "_dedup_n")

@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from runlens.llm.common import stored, text_of
+from runlens.llm.common import row_key, stored, text_of
 
 BLOCK_DOCS = 1000
 ROUNDS, PARTS = 8, 16
@@ -70,12 +70,11 @@ def find_exponent(stats: DataFrame, entropy: float | None, max_epochs: float | N
 
 
 def draw(docs: DataFrame, entropy: float | None = 0.95, max_epochs: float | None = 4.0, cover: bool = False, seed: int = 17,
-         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: list[str] | None = None) -> DataFrame:
-    """One row per drawn document and epoch; `keep` names columns to carry along."""
-    extra = [F.col(c).alias(f"_k{i}") for i, c in enumerate(keep or [])]
+         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row per drawn document and epoch."""
     rows = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
                               F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("key"),
-                              token_count(text_col).alias("n_tokens"), *extra), "mix-rows")
+                              token_count(text_col).alias("n_tokens")), "mix-rows")
     sums = stored(rows.groupBy("key").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("n")), "mix-sources")
     total = sums.agg(F.sum("tokens")).first()[0] or 1
     stats = sums.withColumn("p", F.col("tokens") / F.lit(float(total)))
@@ -104,8 +103,7 @@ def draw(docs: DataFrame, entropy: float | None = 0.95, max_epochs: float | None
         "key", "epoch", "block_key", "block_rank", "before",
         (last & (F.col("before") + F.col("b") > F.col("left"))).alias("crosses")), "mix-blocks")
     drawn = placed.join(blocks, ["key", "epoch", "block_key"])
-    columns = ["doc_id", "source", "epoch", "block_rank", "place_key", "n_tokens", "weight", F.lit(exponent).alias("exponent"),
-               *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep or [])]]
+    columns = ["doc_id", "source", "epoch", "block_rank", "place_key", "n_tokens", "weight", F.lit(exponent).alias("exponent")]
     through = F.sum("n_tokens").over(Window.partitionBy("key", "block_key").orderBy("place_key", "doc_id"))   # one block of a source
     cut = drawn.where("crosses").withColumn("through", F.col("before") + through).where(F.col("through") <= F.col("left"))
     return drawn.where("NOT crosses").select(*columns).unionByName(cut.select(*columns))
@@ -113,8 +111,9 @@ def draw(docs: DataFrame, entropy: float | None = 0.95, max_epochs: float | None
 
 def mix_documents(docs: DataFrame, entropy: float | None = None, max_epochs: float | None = 1.25, cover: bool = True,
                   seed: int = 17) -> DataFrame:
-    """The drawn documents themselves, with the columns of `docs`; a document drawn twice is there twice."""
-    names = {c: f"_in_{c}" for c in docs.columns}
-    renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
-    out = draw(renamed, entropy, max_epochs, cover, seed, names["doc_id"], names["text"], names["source"], keep=list(names.values()))
-    return out.select(*[F.col(n).alias(c) for c, n in names.items()])
+    """The drawn documents themselves, with the columns of `docs`: a document drawn in two epochs is there
+    twice. Rows that share an id are drawn together."""
+    drawn = draw(docs, entropy, max_epochs, cover, seed).groupBy(row_key("doc_id").alias("_mix_id")).agg(
+        (F.max("epoch") + 1).alias("_mix_n"))
+    keyed = docs.withColumn("_mix_id", row_key("doc_id"))
+    return keyed.join(drawn, "_mix_id").withColumn("_mix_n", F.explode(F.sequence(F.lit(1), F.col("_mix_n")))).drop("_mix_id", "_mix_n")

@@ -25,6 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runlens.llm.common import stored
 
@@ -184,11 +185,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: st
     return fit([list(x) for x in got["at"]], (got["toxic"].to_numpy() > 0).astype(float), places)
 
 
-def score_documents(docs: DataFrame, machine: Machine, text_col: str = "text") -> DataFrame:
-    """`docs` with a column `score`; all columns are kept (one named `score` is replaced)."""
-    import pyspark.sql.types as T
-    spark, columns = docs.sparkSession, [c for c in docs.columns if c != "score"]
-    model = spark.sparkContext.broadcast(machine)             # CHOSEN * (FACTORS + 2) numbers
+def score_documents(docs: DataFrame, machine: Machine, text_col: str = "text", to: str = "score") -> DataFrame:
+    """`docs` with the score in a new column."""
+    model = docs.sparkSession.sparkContext.broadcast(machine)             # CHOSEN * (FACTORS + 2) numbers
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = model.value
@@ -197,7 +196,7 @@ def score_documents(docs: DataFrame, machine: Machine, text_col: str = "text") -
             yield pd.Series(m.scores([present(t, lookup) for t in texts]))
 
     scored = F.pandas_udf(run, T.DoubleType(), F.PandasUDFType.SCALAR_ITER)
-    return docs.select(*columns).withColumn("score", scored(F.col(text_col)))
+    return docs.withColumn(to, scored(F.col(text_col)))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -209,6 +208,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col:
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of `docs` below the threshold, with their columns."""
-    scored = score_documents(docs.withColumnRenamed("score", "_score_in") if "score" in docs.columns else docs, train(docs, labels))
-    kept = scored.where(F.col("score") < threshold).drop("score")
-    return kept.withColumnRenamed("_score_in", "score") if "score" in docs.columns else kept
+    return score_documents(docs, train(docs, labels), to="_toxicity").where(F.col("_toxicity") < threshold).drop("_toxicity")
