@@ -31,7 +31,8 @@ from runlens.llm.common import stored
 
 TRAIN_ROWS = 24_000      # bound of the training sample
 PLACES = 1 << 20
-CHOSEN = 2048            # places kept
+CHOSEN = 2048            # places kept at most
+SIGNIFICANT = 6.63       # chi-square at a chance of 1 in 100
 FACTORS = 8
 EPOCHS = 12
 CACHE_WORDS = 500_000
@@ -112,7 +113,8 @@ def choose_places(sample: DataFrame, keep: int = CHOSEN) -> np.ndarray:
         F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).where("neg + pos >= 3")
     a, b = F.col("pos").cast("double"), F.col("neg").cast("double")
     chi = F.pow(a * (neg - b) - b * (pos - a), F.lit(2.0)) / ((a + b) * (neg + pos - a - b) + 1.0)
-    return np.sort(np.array([r["place"] for r in counted.orderBy(chi.desc(), "place").limit(keep).collect()], dtype=np.int64))
+    best = counted.where(chi >= SIGNIFICANT).orderBy(chi.desc(), "place").limit(keep)
+    return np.sort(np.array([r["place"] for r in best.collect()], dtype=np.int64))
 
 
 class Machine:
