@@ -78,15 +78,12 @@ def balanced_cuts(points: list[int], cap: int, shards: int) -> list[int]:
     earliest.reverse()                       # earliest[k]: of the cut after shard k
     cuts, at = [], 0
     for k in range(shards - 1):
-        aim = at + (total - at) / (shards - k)
-        i = bisect_left(points, aim)
-        near = [p for p in points[max(0, i - 1): i + 1]] + [at]
-        ok = [p for p in near if max(at, earliest[k]) <= p <= at + cap]
-        if not ok:                           # nothing near the aim fits: the nearest end of the allowed range
-            top = points[max(0, bisect_right(points, at + cap) - 1)]
-            ok = [max(at, earliest[k]), max(at, top)]
-            ok = [p for p in ok if p <= at + cap]
-        at = min(ok, key=lambda p: abs(p - aim))
+        first, last = max(earliest[k], at + 1), at + cap
+        i, j = bisect_left(points, first), bisect_right(points, last) - 1        # points that may be the cut
+        if i <= j:
+            aim = at + (total - at) / (shards - k)
+            near = min(max(bisect_left(points, aim), i), j)
+            at = min(points[max(i, near - 1): near + 1], key=lambda p: abs(p - aim))
         cuts.append(at)
     return cuts
 
