@@ -34,7 +34,7 @@ PLACES = 1 << 20
 CHOSEN = 2048            # places kept at most
 SIGNIFICANT = 6.63       # chi-square at a chance of 1 in 100
 FACTORS = 8
-EPOCHS = 12
+EPOCHS, STEPS = 12, 1_000   # passes over the sample, and steps at least (a small sample gets more passes)
 CACHE_WORDS = 500_000
 TRIM = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "«»“”‘’…–—¡¿"
 
@@ -146,7 +146,7 @@ def fit(rows: list[list[int]], y: np.ndarray, places: np.ndarray, epochs: int =
         return Machine(places[:0], -35.0, np.zeros(0), np.zeros((0, factors)))
     w, v, bias = np.zeros(m), rng.normal(0, 0.01, (m, factors)), float(np.log(y.mean() / (1 - y.mean())))
     gw, gv, gb = np.full(m, 1e-6), np.full((m, factors), 1e-6), 1e-6
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-STEPS * batch // n))):
         order = rng.permutation(n)
         for k in range(0, n, batch):
             part = order[k: k + batch]
@@ -197,7 +197,7 @@ def score_documents(docs: DataFrame, machine: Machine, text_col: str = "text", t
         for texts in batches:
             yield pd.Series(m.scores([present(t, lookup) for t in texts]))
 
-    scored = F.pandas_udf(run, T.DoubleType(), F.PandasUDFType.SCALAR_ITER)
+    scored = F.pandas_udf(run, T.DoubleType())
     return docs.withColumn(to, scored(F.col(text_col)))
 
 
