@@ -13,19 +13,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runlens.functions.columns import K
-from runlens.operators.config import checked_broadcast
 
 # Judge model settings and prompt texts.
 JUDGE_MODEL = "claude-haiku-4-5-20251001"
 JUDGE_MAX_TOKENS = 256
-OUTPUT_CHARS = 3000
-REASONING_CHARS = 500
+REASONING_CHARS = 500        # of the stored `reasoning`; `reasoning_full` keeps all of it
+PARSE_ERROR_CHARS = 100      # of a reply that can't be parsed, in `reasoning`
+NO_REPLY = "no reply"        # our own wording: the request never came back
 DEFAULT_THRESHOLD = 0.7
 JUDGE_SYSTEM = ("You are an independent quality evaluator for AI agent outputs. "
                 "Score the agent output against the given criterion. Be concise and precise. "
                 "Respond with valid JSON only — no other text.")
 JUDGE_PROMPT = """Agent: %s
-Agent output (truncated to 3000 chars):
+Agent output%s:
 %s
 
 Criterion: %s
@@ -51,14 +51,17 @@ def judge_criteria(eval_configs: DataFrame) -> DataFrame:
                     F.coalesce(F.col("config_ord"), F.lit(0)).alias("config_ord"))
 
 
-def judge_prompts(outputs: DataFrame, criteria: DataFrame) -> DataFrame:
+def judge_prompts(outputs: DataFrame, criteria: DataFrame, max_chars: int | None = None) -> DataFrame:
     """F1-F2: one request per (session, agent output, criterion) for agents (exact name) that have
-    a non-empty output. The output is cut to 3,000 characters in the prompt, as the judge does;
-    `output_chars` keeps the full length. The criterion prompt falls back to the eval name."""
-    c = checked_broadcast(criteria.withColumnRenamed("agent", "_c_agent").withColumnRenamed("tenant_id", "_c_tenant"))
+    a non-empty output. The prompt holds the whole output; with `max_chars` (the online judge uses 3000)
+    its first characters, which the prompt then says. `output_chars` is the full length. The criterion prompt falls back
+    to the eval name."""
+    c = criteria.withColumnRenamed("agent", "_c_agent").withColumnRenamed("tenant_id", "_c_tenant")
+    note = f" (truncated to {max_chars} chars)" if max_chars else ""
+    shown = F.substring("output", 1, max_chars) if max_chars else F.col("output")
     o = outputs.filter(F.col("output").isNotNull() & (F.col("output") != ""))
     j = o.join(c, (o["tenant_id"] == c["_c_tenant"]) & (o["agent"] == c["_c_agent"]))
-    prompt = F.format_string(JUDGE_PROMPT, F.col("agent"), F.substring("output", 1, OUTPUT_CHARS), F.col("eval_name"),
+    prompt = F.format_string(JUDGE_PROMPT, F.col("agent"), F.lit(note), shown, F.col("eval_name"),
                              F.coalesce(F.nullif(F.col("criterion_prompt"), F.lit("")), F.col("eval_name")))
     return j.select(
         *K, "agent", "output_id", "config_id", "config_ord", "eval_name",
@@ -75,8 +78,8 @@ def _strip_ws(c: Column) -> Column:
 
 def parse_verdicts(replies: DataFrame) -> DataFrame:
     """reply text -> (score_raw, reasoning, error). Follows the judge step by step:
-    strip a code fence, parse JSON (failure -> score 0 with 'Judge parse error: ' + the first 100
-    characters of the reply), read `score` the way Python's float() would (missing -> 0), and turn
+    strip a code fence, parse JSON (failure -> score 0 with 'Judge parse error: ' + the beginning
+    of the reply), read `score` the way Python's float() would (missing -> 0), and turn
     the cases where the judge raises (a non-object reply, a null or non-numeric score, a failed
     call) into 'Judge error: ...' with score 0."""
     raw = F.coalesce(F.col("raw_reply"), F.lit("{}"))
@@ -114,23 +117,31 @@ def parse_verdicts(replies: DataFrame) -> DataFrame:
     parse_failed = F.col("__v").isNull() & F.col("call_error").isNull()
     score_raw = (F.when(parse_failed, F.lit(0.0)).when(error.isNotNull(), F.lit(0.0))
                  .when(sv.isNull(), F.lit(0.0)).otherwise(s_num))
-    text = (F.when(parse_failed, F.concat(F.lit("Judge parse error: "), F.substring(raw, 1, 100)))
-            .when(error.isNotNull(), F.concat(F.lit("Judge error: "), error))
-            .otherwise(F.substring(reasoning, 1, REASONING_CHARS)))
-    return r.select("*", score_raw.alias("score_raw"), text.alias("reasoning"),
-                    error.isNotNull().alias("judge_error")).drop("__s", "__s1", "__txt", "__v")
+    def text(parse_chars: int | None, chars: int | None) -> Column:
+        cut = lambda c, n: F.substring(c, 1, n) if n else c
+        return (F.when(parse_failed, F.concat(F.lit("Judge parse error: "), cut(raw, parse_chars)))
+                .when(error.isNotNull(), F.concat(F.lit("Judge error: "), error))
+                .otherwise(cut(reasoning, chars)))
+
+    return r.select("*", score_raw.alias("score_raw"), text(PARSE_ERROR_CHARS, REASONING_CHARS).alias("reasoning"),
+                    text(None, None).alias("reasoning_full"), error.isNotNull().alias("judge_error")).drop("__s", "__s1", "__txt", "__v")
 
 
 def score_verdicts(prompts: DataFrame, replies: DataFrame) -> DataFrame:
     """clamp the score to 0..10, /10, round 3; passed = score >= threshold (the model's own
-    flag is ignored); an erroring request scores 0 and fails."""
-    v = parse_verdicts(replies)
-    j = prompts.join(v.select("request_id", "score_raw", "reasoning", "judge_error"), "request_id")
+    flag is ignored); an erroring request scores 0 and fails, and so does a request without a reply. One row
+    for each request."""
+    v = parse_verdicts(replies).select("request_id", "score_raw", "reasoning", "reasoning_full", "judge_error")
+    j = prompts.join(v.withColumn("_replied", F.lit(True)), "request_id", "left")
+    lost = F.lit(f"Judge error: {NO_REPLY}")
+    for c in ("reasoning", "reasoning_full"):
+        j = j.withColumn(c, F.when(F.col("_replied").isNull(), lost).otherwise(F.col(c)))
+    j = j.withColumn("judge_error", F.coalesce("judge_error", F.lit(True)))
     score = F.round(F.greatest(F.lit(0.0), F.least(F.lit(10.0), F.col("score_raw"))) / 10.0, 3)
     score = F.when(F.col("judge_error"), F.lit(0.0)).otherwise(score)
     passed = F.when(F.col("judge_error"), F.lit(False)).otherwise(score >= F.col("threshold"))
     return j.select(*K, "agent", "output_id", "config_id", "config_ord", "eval_name", score.alias("score"),
-                    passed.alias("passed"), "threshold", "reasoning")
+                    passed.alias("passed"), "threshold", "reasoning", "reasoning_full")
 
 
 def judge_evals(results: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ def _pipeline(spark: SparkSession, sf_dir: str):
 
 
 NL = "chr(10)"
-PROMPT_SQL = (f"'Agent: ' || agent || {NL} || 'Agent output (truncated to 3000 chars):' || {NL} || substr(output, 1, 3000)"
+PROMPT_SQL = (f"'Agent: ' || agent || {NL} || 'Agent output:' || {NL} || output"
               f" || {NL} || {NL} || 'Criterion: ' || eval_name || {NL} || 'What to evaluate: ' || coalesce(cprompt, eval_name)"
               f" || {NL} || {NL} || 'Score this output from 0 to 10:' || {NL} || '  10 = fully meets the criterion' || {NL}"
               f" || '  7-9 = mostly meets, minor gaps' || {NL} || '  4-6 = partially meets' || {NL}"
@@ -54,9 +54,10 @@ def prompts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 VERDICT_BODY = """,
-l AS (SELECT p.*, lb.quality, lb.toxic FROM p JOIN labels lb USING (doc_id)),
+l AS (SELECT p.*, lb.quality, lb.toxic, lb.doc_id IS NOT NULL AS replied FROM p LEFT JOIN labels lb USING (doc_id)),
 sc AS (SELECT *, CASE WHEN ord = 0 THEN quality * 6 + doc_id % 5 ELSE (1 - toxic) * 8 + doc_id % 3 END AS sraw FROM l),
-obj AS (SELECT *, '{"score": ' || sraw || ', "passed": ' || CASE WHEN sraw >= 7 THEN 'true' ELSE 'false' END
+obj AS (SELECT *, '{"score": ' || CASE doc_id % 17 WHEN 5 THEN '"high"' WHEN 7 THEN 'null' ELSE CAST(sraw AS VARCHAR) END
+                  || ', "passed": ' || CASE WHEN sraw >= 7 THEN 'true' ELSE 'false' END
                   || ', "reasoning": "quality ' || quality || ', toxic ' || toxic || ' for doc ' || doc_id || '"}' AS o_json
         FROM sc),
 rr AS (SELECT *, CASE WHEN doc_id % 11 = 0 THEN 'no json here' WHEN doc_id % 11 = 1 THEN '[1]'
@@ -70,17 +71,24 @@ s2 AS (SELECT *, CASE WHEN a IS NULL THEN s
                          left(a, length(a) - strpos(reverse(a), '```') - 3 + 1), '^\\s+|\\s+$', '', 'g')
                       ELSE regexp_replace(a, '^\\s+|\\s+$', '', 'g') END AS txt FROM s1),
 v AS (SELECT *, json_valid(txt) AS ok, CASE WHEN json_valid(txt) THEN json_type(txt::JSON) END AS jt FROM s2),
-r AS (SELECT tenant_id, session_id, agent, ord, eval_name, threshold,
-             CASE WHEN NOT ok THEN 0.0 WHEN jt <> 'OBJECT' THEN 0.0
-                  ELSE round(greatest(0.0, least(10.0, coalesce(CAST(json_extract(txt::JSON, '$.score') AS DOUBLE), 0.0))) / 10.0, 3)
-             END AS score,
-             CASE WHEN NOT ok THEN 'Judge parse error: ' || substr(raw, 1, 100)
-                  WHEN jt <> 'OBJECT' THEN 'Judge error: ''' || CASE jt WHEN 'ARRAY' THEN 'list' WHEN 'VARCHAR' THEN 'str'
+k AS (SELECT *, CASE WHEN NOT replied THEN 'no reply' WHEN doc_id % 17 = 3 THEN 'connection reset'
+                     WHEN NOT ok THEN NULL
+                     WHEN jt <> 'OBJECT' THEN '''' || CASE jt WHEN 'ARRAY' THEN 'list' WHEN 'VARCHAR' THEN 'str'
                        WHEN 'BIGINT' THEN 'int' WHEN 'UBIGINT' THEN 'int' WHEN 'BOOLEAN' THEN 'bool' WHEN 'NULL' THEN 'NoneType'
                        ELSE 'float' END || ''' object has no attribute ''get'''
+                     WHEN json_type(txt::JSON, '$.score') = 'NULL'
+                       THEN 'float() argument must be a string or a real number, not ''NoneType'''
+                     WHEN json_type(txt::JSON, '$.score') = 'VARCHAR'
+                       THEN 'could not convert string to float: ''' || json_extract_string(txt::JSON, '$.score') || '''' END AS err FROM v),
+r AS (SELECT tenant_id, session_id, agent, ord, eval_name, threshold,
+             CASE WHEN err IS NOT NULL OR NOT ok THEN 0.0
+                  ELSE round(greatest(0.0, least(10.0, coalesce(TRY_CAST(json_extract_string(txt::JSON, '$.score') AS DOUBLE), 0.0))) / 10.0, 3)
+             END AS score,
+             CASE WHEN err IS NOT NULL THEN 'Judge error: ' || err
+                  WHEN NOT ok THEN 'Judge parse error: ' || substr(raw, 1, 100)
                   ELSE substr(coalesce(json_extract_string(txt::JSON, '$.reasoning'), ''), 1, 500) END AS reasoning,
-             ok AND jt = 'OBJECT' AS good
-      FROM v),
+             err IS NULL AND ok AS good
+      FROM k),
 res AS (SELECT *, CASE WHEN good THEN score >= threshold ELSE false END AS passed FROM r)"""
 
 VERDICTS_SQL = with_sql(BASE_SQL + VERDICT_BODY, """
@@ -115,6 +123,7 @@ SELECT tenant_id, session_id, agent,
        'Review ' || agent || ' output quality. Failing: '
          || string_agg(eval_name, ', ' ORDER BY ord) FILTER (WHERE NOT passed)
          || '. Adjust criteria or agent prompt in the eval manager.' AS fix_suggestion,
+       string_agg(eval_name || '=' || printf('%.3f', score) || '/' || reasoning, '; ' ORDER BY ord) FILTER (WHERE NOT passed) AS failed_evals,
        count(*) FILTER (WHERE NOT passed) AS n_failed, count(*) AS n_results
 FROM res GROUP BY tenant_id, session_id, agent HAVING count(*) FILTER (WHERE NOT passed) > 0""")
 
@@ -124,5 +133,21 @@ def judge_incidents_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One incident per (session, agent) with a failed criterion."""
     from runlens.operators.judge import judge_incidents
     _, _, res = _pipeline(spark, sf_dir)
-    return judge_incidents(res).select(*K, "agent", "severity", "root_cause", "fix_suggestion", "n_failed",
-                                       "n_results")
+    return _incident_columns(judge_incidents(res))
+
+
+def _incident_columns(incidents: DataFrame) -> DataFrame:
+    shown = F.array_join(F.transform("failed_evals", lambda x: F.concat(
+        x["eval_name"], F.lit("="), F.format_string("%.3f", x["score"]), F.lit("/"), x["reasoning"])), "; ")
+    return incidents.select(*K, "agent", "severity", "root_cause", "fix_suggestion", shown.alias("failed_evals"), "n_failed", "n_results")
+
+
+@query("evaluate_session_outputs", INCIDENTS_SQL)
+def evaluate_outputs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: outputs, configs and replies in, evals and incidents out (the incidents are compared; the evals are judge_evals)."""
+    from runlens.operators.judge import evaluate_session_outputs, judge_criteria, judge_prompts
+    outputs = judge_outputs(read_table(spark, sf_dir, "documents"))
+    configs = judge_configs(outputs)
+    replies = judge_replies(judge_prompts(outputs, judge_criteria(configs)), read_table(spark, sf_dir, "labels"))
+    _, incidents = evaluate_session_outputs(outputs, configs, replies)
+    return _incident_columns(incidents)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.functions.columns import K
-from runlens.plans.catalog import DET_BODIES, _inputs, _sql, incidents_sql, query
+from runlens.plans.catalog import _inputs, _sql, incidents_sql, query
 from runlens.sources.adapters import TRACES_SQL, duplicated_traces, load_traces, with_sql
 
 
@@ -25,15 +25,15 @@ SELECT tenant_id, session_id, span_id, event_id FROM allrows WHERE span_id IS NU
 
 @query("stream_dedupe_spans", STREAM_DEDUPE_SQL)
 def stream_dedupe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream of retried spans, deduplicated within the watermark."""
-    from runlens.streaming.spans import run_available_now, scratch_path, stream_dedupe_spans
+    """A stream of retried spans in eight micro-batches, far out of time order (originals and retries are dealt
+    to files by a hash), deduplicated without loss."""
+    from runlens.streaming.spans import scratch_path, stream_dedupe_spans
     stage = scratch_path(spark, "dedupe-in")
     dup = duplicated_traces(load_traces(spark, sf_dir))
-    dup.repartition(4, "tenant_id", "session_id").write.parquet(stage)
-    src = spark.readStream.schema(dup.schema).option("maxFilesPerTrigger", 2).parquet(stage)
-    out = scratch_path(spark, "dedupe-out")
-    run_available_now(stream_dedupe_spans(src), out, scratch_path(spark, "dedupe-ckpt"))
-    return spark.read.parquet(out).select(*K, "span_id", "event_id")
+    dup.repartition(8, F.xxhash64("event_id", "arrived_at")).write.parquet(stage)
+    src = spark.readStream.schema(dup.schema).option("maxFilesPerTrigger", 1).parquet(stage)
+    out = stream_dedupe_spans(src, scratch_path(spark, "dedupe-out"), scratch_path(spark, "dedupe-ckpt"))
+    return out.select(*K, "span_id", "event_id")
 
 
 RUN_SQL = _sql("inc AS (" + incidents_sql(
@@ -41,18 +41,30 @@ RUN_SQL = _sql("inc AS (" + incidents_sql(
     + ")\nSELECT * FROM inc")
 
 
-@query("stream_evaluate_closed", RUN_SQL)
-def stream_closed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Close events arrive as a stream; each micro-batch judges the sessions it closes."""
+def _closed_results(spark: SparkSession, sf_dir: str, pipeline: dict | None = None) -> str:
+    """Close events in four micro-batches; every fifth session closes a second time in the last one."""
+    from runlens.plans.eval_queries import STANDARD, config_df, params_df
     from runlens.streaming.spans import scratch_path, stream_evaluate_closed
     traces, sessions = _inputs(spark, sf_dir)
     stage = scratch_path(spark, "closes-in")
     closes = sessions.select(*K, F.col("completed_at").alias("closed_at"))
-    closes.repartition(3, "session_id").write.parquet(stage)
+    part = F.pmod(F.xxhash64("session_id"), F.lit(3)).cast("int")
+    again = closes.where(F.pmod(F.xxhash64("session_id"), F.lit(5)) == 0).withColumn("part", F.lit(3))
+    both = closes.withColumn("part", part).unionByName(again)
+    for k in range(4):                                   # one file for each micro-batch
+        both.where(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(stage)
     src = spark.readStream.schema(closes.schema).option("maxFilesPerTrigger", 1).parquet(stage)
     out = scratch_path(spark, "closed-out")
-    stream_evaluate_closed(src, traces, sessions, out, scratch_path(spark, "closed-ckpt"))
-    inc = spark.read.parquet(f"{out}/incidents")
+    stream_evaluate_closed(src, traces, sessions, out, scratch_path(spark, "closed-ckpt"), params_df(spark, pipeline),
+                           eval_configs=config_df(spark, STANDARD))
+    return out
+
+
+@query("stream_evaluate_closed", RUN_SQL)
+def stream_closed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2, incidents: each micro-batch judges the sessions it closes; a second close replaces the first's results."""
+    from runlens.streaming.spans import latest_results
+    inc = latest_results(spark, _closed_results(spark, sf_dir), "incidents")
     return inc.select(*K, "pattern_name", "severity", "cost_wasted", "tokens_wasted", "frame_count")
 
 
@@ -148,9 +160,6 @@ def configured_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.incidents.select(*K, "pattern_name")
 
 
-_ = DET_BODIES  # detector SQL bodies are shared through incidents_sql
-
-
 def _write_evals_sql() -> str:
     from runlens.plans.eval_queries import PIPELINE, STANDARD, evals_sql
     return ("SELECT tenant_id, session_id, eval_name, agent, round(score, 3) AS score, passed, threshold, 3 AS layer "
@@ -169,3 +178,17 @@ def write_evals_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "evals")
     write_evals(ev, path)
     return spark.read.parquet(path).select(*K, "eval_name", "agent", "score", "passed", "threshold", "layer")
+
+
+def _closed_evals_sql() -> str:
+    from runlens.plans.eval_queries import PIPELINE, STANDARD, evals_sql
+    return "SELECT tenant_id, session_id, eval_name, agent, score, passed, threshold FROM (" + evals_sql(STANDARD, PIPELINE) + ")"
+
+
+@query("stream_evaluate_closed_evals", _closed_evals_sql())
+def stream_closed_evals_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2, rule evals of the sessions closed in each micro-batch, one result per session."""
+    from runlens.plans.eval_queries import PIPELINE
+    from runlens.streaming.spans import latest_results
+    return latest_results(spark, _closed_results(spark, sf_dir, PIPELINE), "evals").select(
+        *K, "eval_name", "agent", "score", "passed", "threshold")

@@ -217,19 +217,22 @@ def judge_configs(outputs: DataFrame) -> DataFrame:
 
 
 def judge_replies(prompts: DataFrame, labels: DataFrame) -> DataFrame:
-    """Model replies derived from the labels: doc_id % 11 = 0 -> no JSON; = 1 -> a JSON list;
+    """Model replies derived from the labels; documents without a label never got one. doc_id % 11 = 0 -> no JSON;
+    = 1 -> a JSON list; doc_id % 17 = 3 -> the call failed; = 5 -> a text score; = 7 -> a null score;
     else an object with score quality*6 + doc_id % 5 (quality criterion) or (1 - toxic)*8 + doc_id % 3
     (safety), fenced as ```json when doc_id % 5 = 0."""
     j = prompts.select("request_id", "output_id", "config_ord").join(
         labels.select(F.col("doc_id").cast("string").alias("output_id"), "quality", "toxic", "doc_id"), "output_id")
     score = F.when(F.col("config_ord") == 0, F.col("quality") * 6 + F.col("doc_id") % 5) \
              .otherwise((1 - F.col("toxic")) * 8 + F.col("doc_id") % 3)
-    obj = F.format_string('{"score": %d, "passed": %s, "reasoning": "quality %d, toxic %d for doc %d"}',
-                          score, F.when(score >= 7, "true").otherwise("false"), F.col("quality"), F.col("toxic"),
+    shown = F.when(F.col("doc_id") % 17 == 5, F.lit('"high"')).when(F.col("doc_id") % 17 == 7, "null").otherwise(score.cast("string"))
+    obj = F.format_string('{"score": %s, "passed": %s, "reasoning": "quality %d, toxic %d for doc %d"}',
+                          shown, F.when(score >= 7, "true").otherwise("false"), F.col("quality"), F.col("toxic"),
                           F.col("doc_id"))
     raw = (F.when(F.col("doc_id") % 11 == 0, F.lit("no json here")).when(F.col("doc_id") % 11 == 1, F.lit("[1]"))
            .when(F.col("doc_id") % 5 == 0, F.concat(F.lit("```json\n"), obj, F.lit("\n```"))).otherwise(obj))
-    return j.select("request_id", raw.alias("raw_reply"), F.lit(None).cast("string").alias("call_error"))
+    failed = F.col("doc_id") % 17 == 3
+    return j.select("request_id", F.when(~failed, raw).alias("raw_reply"), F.when(failed, "connection reset").alias("call_error"))
 
 
 # ── outcomes (FIXTURES §2.6) ──────────────────────────────────────────────────────────────────

@@ -6,7 +6,7 @@ open/close events. Every step is a projection, an aggregate or an equi-join on t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,10 +116,15 @@ def fresh_span_id(*key: Column) -> Column:
 
 
 def ingest_traces(raw: DataFrame, id_key: list[Column] | None = None) -> DataFrame:
-    """A5: normalise ingest bodies to the trace schema; a span without id gets one (16 hex) built
-    from `id_key` (default: the file and row position of parquet/JSON input), a parent id is kept."""
+    """A5: normalise ingest bodies to the trace schema; a span without id (null or blank) gets one (16 hex) built
+    from `id_key`, a parent id is kept. The default key is the whole body and, for repeated bodies, the position
+    among its equals, so it works for any source and a rerun gives the same ids."""
     if id_key is None:
-        id_key = [F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string")]
+        body = F.to_json(F.struct(*raw.columns))
+        raw = raw.withColumn("_body", body).withColumn("_nth", F.when(
+            ~has_id() if "span_id" in raw.columns else F.lit(True),
+            F.row_number().over(Window.partitionBy(F.xxhash64("_body"), F.col("_body")).orderBy(F.lit(1)))))
+        id_key = [F.col("_body"), F.col("_nth").cast("string")]
     fields = {"tenant_id": T.StringType(), "session_id": T.StringType(), "span_id": T.StringType(),
               "parent_span_id": T.StringType(), "agent": T.StringType(), "step_type": T.StringType(),
               "tool_name": T.StringType(), "outcome": T.StringType(), "error": T.StringType(),
@@ -127,26 +132,28 @@ def ingest_traces(raw: DataFrame, id_key: list[Column] | None = None) -> DataFra
               "cost_usd": T.DoubleType(), "entity_id": T.StringType(), "output_json": T.StringType(),
               "created_at": T.TimestampType()}
     r = _ensure(raw, fields)
-    sid = F.coalesce(F.nullif(F.col("span_id"), F.lit("")), fresh_span_id(*id_key))
+    sid = F.when(has_id(), F.col("span_id")).otherwise(fresh_span_id(*id_key))
     extra = [c for c in raw.columns if c not in fields and not c.startswith("_")]
     return r.select(*[F.col(n).cast(t).alias(n) for n, t in fields.items() if n != "span_id"],
-                    sid.alias("span_id"), (F.col("span_id").isNull() | (F.col("span_id") == "")).alias("id_generated"),
+                    sid.alias("span_id"), (~has_id()).alias("id_generated"),
                     *extra)
 
 
+def has_id(span_id: str = "span_id") -> Column:
+    """A span id that is neither null nor blank."""
+    return F.coalesce(F.trim(F.col(span_id)) != "", F.lit(False))
+
+
 # ── A6: idempotent upsert ──────────────────────────────────────────────────────────────────────
 
 def dedupe_spans(traces: DataFrame, arrival: str = "arrived_at") -> DataFrame:
-    """One row per (tenant_id, session_id, span_id), the latest arrival winning (an upsert);
-    rows without a span id are never collapsed. An aggregate, so duplicates are combined map-side
-    before the shuffle."""
-    keyed = traces.filter(F.col("span_id").isNotNull())
-    free = traces.filter(F.col("span_id").isNull())
-    others = [c for c in traces.columns if c not in ("tenant_id", "session_id", "span_id")]
-    latest = F.max_by(F.struct(*others), F.struct(F.col(arrival), *[F.col(c) for c in others if c != arrival]))
-    d = keyed.groupBy("tenant_id", "session_id", "span_id").agg(latest.alias("_r"))
-    d = d.select("tenant_id", "session_id", "span_id", *[F.col("_r")[c].alias(c) for c in others])
-    return d.select(*traces.columns).unionByName(free)
+    """One row per (tenant_id, session_id, span_id), the latest arrival winning (an upsert, ties by the row's
+    hash); rows without a span id (null or blank) are never collapsed. The winner is a row number with a
+    limit of one, so Spark keeps one row per key and task before the shuffle, and rows travel once."""
+    keyed, free = traces.filter(has_id()), traces.filter(~has_id())
+    newest = Window.partitionBy("tenant_id", "session_id", "span_id").orderBy(
+        F.col(arrival).desc_nulls_last(), F.xxhash64(*[f.name for f in traces.schema if not isinstance(f.dataType, T.MapType)]).desc())
+    return keyed.withColumn("_nth", F.row_number().over(newest)).filter("_nth = 1").drop("_nth").unionByName(free)
 
 
 # ── A7: session open/close upsert ─────────────────────────────────────────────────────────────

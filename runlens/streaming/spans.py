@@ -1,13 +1,17 @@
 """Structured Streaming jobs.
 
-S1: retried spans land once. Spans with an id are deduplicated on (tenant, session, span) within
-the watermark (`dropDuplicatesWithinWatermark`, bounded state); spans without an id all pass.
+S1: retried spans land once, however late they come. Each micro-batch is deduplicated in itself, then
+anti-joined with the spans stored by earlier batches; no watermark drops anything and no state grows in
+the executors. The store is partitioned by the span's date, and a retry repeats the span's body, so only the dates
+of the batch are read. Spans without an id all pass.
 
 S2: a session is judged once its close event arrives (the client flushes its spans before it
-closes). Each micro-batch of close events is joined to the stored traces and sessions and the
-detectors run for exactly those sessions; results are written per batch id with overwrite, so a
-retried batch replaces its own output (idempotent) and a restarted query resumes from its
-checkpoint.
+closes). Each micro-batch of close events is joined to the stored traces and sessions; rule evals and
+detectors run for exactly those sessions. Results carry the batch id, and `latest_results` keeps those of a
+session's last close, so a session that closes twice has one set of results.
+
+Both write each batch into a folder named by the batch id with overwrite, so a retried batch replaces its own
+output (idempotent) and a restarted query resumes from its checkpoint.
 """
 
 from __future__ import annotations
@@ -16,19 +20,40 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runlens.functions.columns import K
 from runlens.session import ensure_checkpoint_dir
+from runlens.sources.ingest import dedupe_spans, has_id
 
 SPAN_KEY = ["tenant_id", "session_id", "span_id"]
 
 
-def stream_dedupe_spans(stream: DataFrame, delay: str = "1 hour", time_col: str = "created_at") -> DataFrame:
-    """First arrival of each identified span within `delay` of event time; id-less spans pass."""
-    keyed = (stream.filter(F.col("span_id").isNotNull()).withWatermark(time_col, delay)
-             .dropDuplicatesWithinWatermark(SPAN_KEY))
-    free = stream.filter(F.col("span_id").isNull())
-    return keyed.unionByName(free)
+def stream_dedupe_spans(stream: DataFrame, out_path: str, checkpoint: str, time_col: str = "created_at",
+                        arrival: str = "arrived_at") -> DataFrame:
+    """Process everything available and return the stored spans; the first stored arrival of an
+    identified span stays (of several in one batch the last)."""
+    spark = stream.sparkSession
+    fields = [*stream.schema.fields, T.StructField("span_date", T.DateType())]
+    spark.createDataFrame([], T.StructType(fields)).write.mode("overwrite").partitionBy("span_date").parquet(f"{out_path}/batch_id=-1")
+    schema = T.StructType([*fields, T.StructField("batch_id", T.LongType())])
+
+    def read() -> DataFrame:
+        return spark.read.schema(schema).option("basePath", out_path).parquet(out_path)
+
+    def keep_new(batch: DataFrame, batch_id: int) -> None:
+        dated = dedupe_spans(batch, arrival).withColumn("span_date", F.to_date(time_col)).persist()
+        days = [r[0] for r in dated.select("span_date").distinct().collect()]       # the days of one micro-batch
+        seen = read().where((F.col("batch_id") < batch_id) & has_id()
+                            & (F.col("span_date").isin([d for d in days if d]) | F.col("span_date").isNull()))
+        fresh = dated.where(has_id()).join(seen.select(*SPAN_KEY), SPAN_KEY, "left_anti").select(*dated.columns)
+        fresh.unionByName(dated.where(~has_id())).write.mode("overwrite").partitionBy("span_date").parquet(
+            f"{out_path}/batch_id={batch_id}")
+        dated.unpersist()
+
+    q = stream.writeStream.foreachBatch(keep_new).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return read().select(*stream.columns)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -36,30 +61,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/runlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def run_available_now(df: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet") -> None:
-    """Process everything available, then stop (a batch-style run of a streaming query)."""
-    q = (df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start(out_path))
-    q.awaitTermination()
-
-
 def stream_evaluate_closed(closes: DataFrame, traces: DataFrame, sessions: DataFrame, out_path: str,
-                           checkpoint: str, params: DataFrame | None = None, history: DataFrame | None = None):
-    """Run the detectors for the sessions closed in each micro-batch."""
+                           checkpoint: str, params: DataFrame | None = None, history: DataFrame | None = None,
+                           eval_configs: DataFrame | None = None, registry=None):
+    """Run the rule evals (when configs are given) and the detectors for the sessions closed in each micro-batch."""
     from runlens.operators.detectors import cost_history, incident_rows, run_detectors
+    from runlens.operators.evals import run_rule_evals
 
     hist = history if history is not None else cost_history(sessions)
 
     def judge_batch(batch: DataFrame, batch_id: int) -> None:
-        closed = batch.select(*K).distinct()
+        closed = batch.select(*K).distinct().persist()
         t = traces.join(closed, K, "left_semi")
         s = sessions.join(closed, K, "left_semi")
-        d = run_detectors(t, s, params=params, history=hist.join(closed, K, "left_semi"))
-        (incident_rows(d.incidents).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").parquet(f"{out_path}/incidents/batch_id={batch_id}"))
-        d.frames.write.mode("overwrite").parquet(f"{out_path}/frames/batch_id={batch_id}")
+        h = hist.join(closed, K, "left_semi")
+
+        def write(df: DataFrame, name: str) -> None:
+            df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out_path}/{name}/batch={batch_id}")
+
+        write(closed, "closed")
+        if eval_configs is not None:
+            write(run_rule_evals(s, t, eval_configs, params, registry, h), "evals")
+        d = run_detectors(t, s, params=params, history=h)
+        write(incident_rows(d.incidents), "incidents")
+        write(d.frames, "frames")
+        closed.unpersist()
 
     q = (closes.writeStream.foreachBatch(judge_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
+
+
+def latest_results(spark: SparkSession, out_path: str, name: str) -> DataFrame:
+    """The stored rows of `name` (evals, incidents, frames) that belong to each session's last close."""
+    last = spark.read.parquet(f"{out_path}/closed").groupBy(*K).agg(F.max("batch_id").alias("batch_id"))
+    return spark.read.parquet(f"{out_path}/{name}").drop("batch").join(last, [*K, "batch_id"])
