@@ -2,8 +2,8 @@
 
 Pipeline configuration arrives as key/value rows per workflow with JSON values. It is turned
 into one typed row per workflow and joined to the data, so every session is judged with its own
-workflow's thresholds in the same plan. Config tables are small; they are broadcast only after
-their row count has been checked (`checked_broadcast`).
+workflow's thresholds in the same plan. Config tables are written by people: `config_table` reads one
+to the driver once, refuses more than MAX_CONFIG_ROWS rows, and returns a frame that may be broadcast.
 """
 
 from __future__ import annotations
@@ -100,16 +100,23 @@ EVAL_CONFIG_SCHEMA = T.StructType([
 ])
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast a config-like table only after checking its size; otherwise leave the join
-    strategy to the planner (sort-merge / AQE)."""
-    if df.isLocal():          # built from driver-side rows: its size is already bounded
-        return F.broadcast(df)
-    small = getattr(df, "_runlens_small", None)   # a table is checked once, however often it is joined
-    if small is None:
-        small = df.count() <= max_rows
-        df._runlens_small = small
-    return F.broadcast(df) if small else df
+MAX_CONFIG_ROWS = 200_000
+
+
+def config_rows(df: DataFrame) -> list:
+    """The rows of a config table, read once for each frame; too many rows are an error, never dropped."""
+    rows = getattr(df, "_runlens_rows", None)
+    if rows is None:
+        rows = df.limit(MAX_CONFIG_ROWS + 1).collect()
+        if len(rows) > MAX_CONFIG_ROWS:
+            raise ValueError(f"a configuration table may have {MAX_CONFIG_ROWS} rows at most")
+        df._runlens_rows = rows
+    return rows
+
+
+def config_table(df: DataFrame) -> DataFrame:
+    """The same table made from driver-side rows of bounded number, marked for broadcast."""
+    return F.broadcast(df.sparkSession.createDataFrame(config_rows(df), df.schema))
 
 
 def _sql_literal(value) -> str:
@@ -127,7 +134,10 @@ def _lit(value, dtype: T.DataType) -> Column:
 
 def load_pipeline_config(rows: DataFrame) -> DataFrame:
     """key/value rows -> one row per workflow: a raw `cfg_map` (key -> JSON text) plus typed
-    columns (null where the key is absent; defaults are applied by `attach_params`)."""
+    columns (null where the key is absent; defaults are applied by `attach_params`). Of a repeated key the last
+    value holds, by the column `ord` where there is one, else by the value's text; rows without a key are left out."""
+    order = F.col("ord") if "ord" in rows.columns else F.col("value")
+    rows = rows.filter(F.col("key").isNotNull()).groupBy("workflow_id", "key").agg(F.max_by("value", order).alias("value"))
     g = rows.groupBy("workflow_id").agg(
         F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("cfg_map"))
     cols = [F.col("workflow_id"), F.col("cfg_map")]
@@ -163,7 +173,7 @@ def attach_params(df: DataFrame, params: DataFrame | None, key: str = "workflow_
     `load_pipeline_config`; workflows missing from it get the engine defaults."""
     if params is None:
         return df.select("*", *default_params())
-    p = checked_broadcast(params.withColumnRenamed("workflow_id", "_wf"))
+    p = config_table(params).withColumnRenamed("workflow_id", "_wf")
     j = df.join(p, df[key] == p["_wf"], "left")
     out = [df[c] for c in df.columns]
     for name, (dtype, default) in PARAM_TYPES.items():
@@ -182,9 +192,14 @@ def setting_value(key: Column) -> Column:
     return F.coalesce(F.try_element_at(F.col("cfg_map"), key), F.try_element_at(defaults, key))
 
 
-def load_eval_configs(rows: DataFrame, layer: int | None = None) -> DataFrame:
-    """Enabled configs, optionally one layer."""
+def load_eval_configs(rows: DataFrame, layer: int | None = None, workflow_id: str | None = None,
+                      tenant_id: str | None = None) -> DataFrame:
+    """Enabled configs, optionally of one layer, and those that apply to a workflow and a tenant (a config
+    without one applies to all)."""
     out = rows.filter(F.col("enabled"))
+    for name, value in (("workflow_id", workflow_id), ("tenant_id", tenant_id)):
+        if value is not None:
+            out = out.filter(F.col(name).isNull() | (F.col(name) == value))
     return out.filter(F.col("layer") == layer) if layer is not None else out
 
 

@@ -210,18 +210,10 @@ def _suspect() -> Column:
             & ~F.array_contains(F.col("fabrication_exempt_tools"), F.coalesce(F.col("tool_name"), F.lit(""))))
 
 
-HOT_PARTITION_ROWS = 2_000_000   # above this many sessions in one (tenant, workflow), bucket the window
-
-
-def cost_history(sessions: DataFrame, n: int = HISTORY_SESSIONS, bucket_seconds: int | str | None = "auto") -> DataFrame:
-    """Previous-n-sessions cost statistics per (tenant, workflow), by (started_at, session_id).
-
-    `bucket_seconds="auto"` looks at the largest (tenant, workflow) partition first (an aggregate
-    over the session table) and uses the bucketed halo window (one day per bucket) only when a
-    partition is larger than HOT_PARTITION_ROWS; both give the same result."""
-    if bucket_seconds == "auto":
-        biggest = sessions.groupBy("tenant_id", "workflow_id").count().agg(F.max("count")).first()[0]
-        bucket_seconds = 86_400 if (biggest or 0) > HOT_PARTITION_ROWS else None
+def cost_history(sessions: DataFrame, n: int = HISTORY_SESSIONS, bucket_seconds: int | None = 86_400) -> DataFrame:
+    """Previous-n-sessions cost statistics per (tenant, workflow), by (started_at, session_id), in the bucketed halo
+    window (one day per bucket), so that no workflow is one task. `bucket_seconds=None` is the plain window
+    with the same result, for tests."""
     s = sessions.withColumn("_hist_cost", F.coalesce(F.col("total_cost_usd").cast("double"), F.lit(0.0)))
     out = preceding_stats(s, ["tenant_id", "workflow_id"], ["started_at", "session_id"], "_hist_cost", n=n,
                           bucket_seconds=bucket_seconds)
@@ -459,7 +451,7 @@ INCIDENT_COLUMNS = [*K, "workflow_id", "pattern_rank", "pattern_name", "severity
 
 def run_detectors(traces: DataFrame, sessions: DataFrame, params: DataFrame | None = None,
                   evals: DataFrame | None = None, patterns: list[str] | None = None,
-                  history_bucket_seconds: int | str | None = "auto", history: DataFrame | None = None,
+                  history_bucket_seconds: int | None = 86_400, history: DataFrame | None = None,
                   materialize: bool = True) -> Detected:
     """All detectors (or `patterns`) for all sessions. Returns (incidents, frames).
     `history` (see `cost_history`) may be computed over a larger set of sessions than judged.
@@ -509,9 +501,8 @@ def incident_rows(incidents: DataFrame, tenant_id: str | None = None) -> DataFra
 
 def shadow_cb_fires(evals: DataFrame, cb_config: DataFrame) -> DataFrame:
     """Evals whose (agent, eval_name) has a breaker threshold and scored below it. Exact case."""
-    from runlens.operators.config import checked_broadcast
-    cb = checked_broadcast(cb_config.select(F.col("agent").alias("_a"), F.col("eval_name").alias("_e"),
-                                            F.col("threshold").alias("_t")))
+    from runlens.operators.config import config_table
+    cb = config_table(cb_config).select(F.col("agent").alias("_a"), F.col("eval_name").alias("_e"), F.col("threshold").alias("_t"))
     j = evals.join(cb, (evals["agent"] == cb["_a"]) & (evals["eval_name"] == cb["_e"]))
     return j.filter(F.col("score") < F.col("_t")).select(
         *[c for c in K if c in evals.columns], "agent", "eval_name", F.round("score", 3).alias("score"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runlens.functions.columns import K, agent_matches, agent_seen, outcome_is, py_round2, real_error, toks
-from runlens.operators.config import attach_params, checked_broadcast, setting_value
+from runlens.operators.config import attach_params, config_rows, setting_value
 from runlens.operators.registry import Registry
 
 # Metric names understood by the engine.
@@ -42,6 +42,7 @@ def resolve_configs(configs: DataFrame) -> DataFrame:
     ordc = F.col("config_ord") if "config_ord" in configs.columns else F.lit(0)
     return configs.select(
         F.col("workflow_id").alias("_cfg_wf"),
+        (F.col("tenant_id") if "tenant_id" in configs.columns else F.lit(None)).cast("string").alias("_cfg_tenant"),
         ordc.alias("config_ord"),
         F.coalesce(F.nullif(F.col("eval_name"), F.lit("")), F.lit("unknown")).alias("eval_name"),
         agent.alias("agent"),
@@ -56,11 +57,11 @@ def resolve_configs(configs: DataFrame) -> DataFrame:
     )
 
 
-def trace_stats(traces: DataFrame, groups: DataFrame) -> DataFrame:
-    """One aggregate per (session, filter group) with everything C1-C5, C9 need."""
-    g = checked_broadcast(groups.withColumn("_g_wfk", F.coalesce(F.col("_g_wf"), F.lit("*"))))
-    t = _wf_keys(traces)
-    m = t.join(g, (t["_wfk"] == g["_g_wfk"]) & agent_matches(t["agent"], g["_g_pattern"], g["_g_match"]))
+def trace_stats(traces: DataFrame, groups: DataFrame, extra: list[Column] | None = None) -> DataFrame:
+    """One aggregate per (session, filter group) with everything C1-C5, C9 and custom metrics need."""
+    g = F.broadcast(groups.withColumn("_g_key", _scope_key("_g_tenant", "_g_wf")))      # made from config rows
+    t = _scoped(traces)
+    m = t.join(g, (t["_scope"] == g["_g_key"]) & agent_matches(t["agent"], g["_g_pattern"], g["_g_match"]))
     step = F.coalesce(F.col("step_type"), F.lit(""))
     out = F.coalesce(F.col("outcome"), F.lit(""))
     tool = step == "tool_call"
@@ -77,6 +78,7 @@ def trace_stats(traces: DataFrame, groups: DataFrame) -> DataFrame:
         F.coalesce(F.bool_or(F.col("created_at").isNull()), F.lit(False)).alias("ts_missing"),
         F.min("created_at").alias("first_at"),
         F.coalesce(F.bool_or(llm_ok), F.lit(False)).alias("llm_ok"),
+        *(extra or []),
     )
 
 
@@ -110,10 +112,19 @@ def _json_obj(pairs: list[tuple[Column, Column]]) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *items), F.lit("}"))
 
 
-def _wf_keys(df: DataFrame, col: str = "workflow_id") -> DataFrame:
-    """Each row under its own workflow and under '*' (configs without a workflow apply to all),
-    so config joins stay equi-joins."""
-    return df.withColumn("_wfk", F.explode(F.array(F.col(col), F.lit("*"))))
+def _scope_key(tenant: str, workflow: str) -> Column:
+    """A config's scope as one text; null stands for every tenant, every workflow."""
+    part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("*"))
+    return F.concat_ws("\u0001", part(tenant), part(workflow))
+
+
+def _scoped(df: DataFrame) -> DataFrame:
+    """Each row under the scopes whose configs apply to it, so config joins stay equi-joins."""
+    own = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("?"))
+    pair = lambda a, b: F.concat_ws("\u0001", a, b)
+    every = F.lit("*")
+    return df.withColumn("_scope", F.explode(F.array(
+        pair(every, every), pair(every, own("workflow_id")), pair(own("tenant_id"), every), pair(own("tenant_id"), own("workflow_id")))))
 
 
 def _metric_parts(wanted: set[str] | None = None) -> dict[str, EvalParts]:
@@ -242,26 +253,20 @@ def run_rule_evals(sessions: DataFrame, traces: DataFrame, eval_configs: DataFra
 
     `history` (from detectors.cost_history) supplies the recent-cost statistics for C7;
     it is computed here when a cost_anomaly config is present and none is given."""
-    cfgs = resolve_configs(eval_config_filter(eval_configs, registry))
-    # The config table is small by nature; read it once (bounded by a row check) so that the plan
-    # only carries the metrics that are configured and broadcasts need no extra count job.
-    max_rows = 200_000
-    rows = cfgs.limit(max_rows + 1).collect()
+    # The config table is read once (bounded, see config_rows), so that the plan only carries the metrics and scopes
+    # that are configured.
     spark = sessions.sparkSession
-    if len(rows) <= max_rows:
-        cfgs = F.broadcast(spark.createDataFrame(rows, cfgs.schema)) if rows else cfgs
-        metrics = {r.metric for r in rows}
-        triples = sorted({(r._cfg_wf, r.pattern, r.match) for r in rows}, key=str)
-        groups = spark.createDataFrame(triples, "_g_wf string, _g_pattern string, _g_match string")
-    else:   # an unusually large config table stays distributed
-        metrics = set(KNOWN_METRICS) | {"custom"}
-        groups = cfgs.select(F.col("_cfg_wf").alias("_g_wf"), F.col("pattern").alias("_g_pattern"),
-                             F.col("match").alias("_g_match")).distinct()
-    groups = groups.withColumn("_gid", F.xxhash64("_g_wf", "_g_pattern", "_g_match"))
+    cfgs = resolve_configs(eval_config_filter(spark.createDataFrame(config_rows(eval_configs), eval_configs.schema), registry))
+    rows = cfgs.collect()
+    cfgs = F.broadcast(spark.createDataFrame(rows, cfgs.schema))
+    metrics = {r.metric for r in rows}
+    found = sorted({(r._cfg_tenant, r._cfg_wf, r.pattern, r.match) for r in rows}, key=str)
+    groups = spark.createDataFrame(found, "_g_tenant string, _g_wf string, _g_pattern string, _g_match string")
+    groups = groups.withColumn("_gid", F.xxhash64("_g_tenant", "_g_wf", "_g_pattern", "_g_match"))
 
     if "workflow_id" not in traces.columns:
         traces = traces.join(sessions.select(*K, "workflow_id"), K, "left")
-    stats = trace_stats(traces, groups)
+    stats = trace_stats(traces, groups, registry.trace_aggregates() if registry is not None else None)
 
     s = sessions
     if "cost_anomaly" in metrics:
@@ -282,11 +287,11 @@ def run_rule_evals(sessions: DataFrame, traces: DataFrame, eval_configs: DataFra
         F.coalesce(F.col("trades_executed"), F.lit(0)).cast("long").alias("_trades"),
         F.col("terminal_reason").alias("_reason"),
         session_numbers(sessions).alias("_nums"))
-    s = _wf_keys(attach_params(s, params))
+    s = _scoped(attach_params(s, params))
 
-    sc = s.join(cfgs.withColumn("_cfg_wfk", F.coalesce(F.col("_cfg_wf"), F.lit("*"))),
-                F.col("_wfk") == F.col("_cfg_wfk")).drop("_wfk", "_cfg_wfk")
-    sc = sc.withColumn("_gid", F.xxhash64("_cfg_wf", "pattern", "match")).join(stats, K + ["_gid"], "left")
+    sc = s.join(cfgs.withColumn("_cfg_scope", _scope_key("_cfg_tenant", "_cfg_wf")),
+                F.col("_scope") == F.col("_cfg_scope")).drop("_scope", "_cfg_scope")
+    sc = sc.withColumn("_gid", F.xxhash64("_cfg_tenant", "_cfg_wf", "pattern", "match")).join(stats, K + ["_gid"], "left")
     if "pipeline_coverage" in metrics:
         agents = traces.groupBy(*K).agg(F.collect_set(F.lower(F.coalesce(F.col("agent"), F.lit("")))).alias("_agents"))
         sc = sc.join(agents, K, "left")

@@ -111,8 +111,8 @@ def assign_parent_spans(traces: DataFrame, session_spans: DataFrame | None = Non
 # ── B9 / B10 / B11: pricing and token rollups ───────────────────────────────────────────────
 
 def _rates(df: DataFrame, prices: DataFrame, model_col: str) -> DataFrame:
-    from runlens.operators.config import checked_broadcast
-    p = checked_broadcast(prices.withColumnRenamed("model", "_pm"))
+    from runlens.operators.config import config_table
+    p = config_table(prices).withColumnRenamed("model", "_pm")
     j = df.join(p, df[model_col] == p["_pm"], "left").drop("_pm")
     for c, d in zip(["input_rate", "output_rate", "cache_read_rate", "cache_write_rate"], DEFAULT_RATES):
         j = j.withColumn(c, F.coalesce(F.col(c), F.lit(d)))
@@ -132,7 +132,7 @@ def estimate_cost(traces: DataFrame, prices: DataFrame, default_model: str = DEF
 
 def accumulate_tokens(usage: DataFrame) -> DataFrame:
     """Token usage summed per (session, agent); `first_seq` keeps first-seen order."""
-    return usage.groupBy(*K, "agent").agg(
+    return usage.groupBy(*K, F.coalesce("agent", F.lit("")).alias("agent")).agg(
         F.sum(F.coalesce("input_tokens", F.lit(0))).alias("input"),
         F.sum(F.coalesce("output_tokens", F.lit(0))).alias("output"),
         F.sum(F.coalesce("cache_read_input_tokens", F.lit(0))).alias("cache_read"),
@@ -144,10 +144,12 @@ def accumulate_tokens(usage: DataFrame) -> DataFrame:
 def session_rollup(agent_tokens: DataFrame, prices: DataFrame, default_model: str = DEFAULT_MODEL) -> DataFrame:
     """Every agent priced with the default model (as the logger does at close), per-agent
     cost rounded to 6, session total = round(sum of the rounded costs, 6), agents in first-seen
-    order, and a cost breakdown map. One row per session; sessions without usage have no row."""
+    order, and a cost breakdown map (usage without an agent under the empty name). One row per session; sessions
+    without usage have no row."""
     # every agent is priced with the one default model: look its rates up in the (small, bounded)
     # price table once instead of joining every row against a constant
-    rows = prices.filter(F.col("model") == default_model).limit(1).collect()
+    from runlens.operators.config import config_rows
+    rows = [r for r in config_rows(prices) if r["model"] == default_model]
     rates = (rows[0]["input_rate"], rows[0]["output_rate"], rows[0]["cache_read_rate"], rows[0]["cache_write_rate"]) \
         if rows else DEFAULT_RATES
     a = agent_tokens.select("*", F.lit(default_model).alias("model"),
@@ -162,7 +164,7 @@ def session_rollup(agent_tokens: DataFrame, prices: DataFrame, default_model: st
         F.sum("output").alias("total_tokens_output"),
         F.round(F.sum("cost_usd"), 6).alias("total_cost_usd"),
         F.sort_array(F.collect_list(F.struct("first_seq", "agent"))).alias("_ag"),
-        F.map_from_entries(F.collect_list(F.struct("agent", entry))).alias("cost_breakdown"),
+        F.map_from_entries(F.collect_list(F.struct(F.coalesce("agent", F.lit("")), entry))).alias("cost_breakdown"),
     )
     return g.select(*K, "total_tokens_input", "total_tokens_output", "total_cost_usd",
                     F.transform("_ag", lambda x: x["agent"]).alias("agents_invoked"), "cost_breakdown")

@@ -62,7 +62,7 @@ STANDARD = [
     Cfg("orchestrator_presence", "agent_presence", "orchestrator", 0.8, threshold_key="tool_success_min_rate"),
     Cfg("disabled_one", "agent_presence", "research", 0.5, enabled=False),
     Cfg("judge_one", "agent_presence", "research", 0.5, layer=4),
-    Cfg("mystery", "nonexistent_metric_type", "research", 0.5),
+    Cfg("no_rule", "unknown_rule", "research", 0.5),
     Cfg("unregistered_custom", "custom", "research", 0.5),
     Cfg("w1_risk_completion", "agent_completion", "risk", 0.5, workflow_id="w1"),
 ]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,14 +40,18 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by `spark.checkpoint.dir`.
 
-    On a cluster this setting points at shared storage and is left alone. Only when it is
-    unset (local tests) do we create a scratch folder for it."""
+    On a cluster this setting must point at shared storage and is left alone; without it this is an error, since
+    a local folder of one machine is invisible to the others. Only a session that runs in a single process
+    (`local[...]`, tests) gets a scratch folder."""
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
-    path = tempfile.mkdtemp(prefix="runlens-ckpt-", dir=os.environ.get("RUNLENS_SCRATCH", "/tmp"))
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = tempfile.mkdtemp(prefix="runlens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path

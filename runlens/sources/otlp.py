@@ -80,9 +80,11 @@ def decode_value(v: Column) -> Column:
 
 
 def decode_attributes(attrs: Column) -> Column:
-    """Attribute array -> map<string, string> (OTLP keys are unique within one span)."""
-    return F.map_from_entries(F.transform(F.coalesce(attrs, F.array().cast(T.ArrayType(ATTR))),
-                                          lambda a: F.struct(a["key"], decode_value(a["value"]))))
+    """Attribute array -> map<string, string>; of a repeated key the last value holds, entries without a key are
+    left out."""
+    known = F.filter(F.coalesce(attrs, F.array().cast(T.ArrayType(ATTR))), lambda a: a["key"].isNotNull())
+    last = F.filter(known, lambda a, i: ~F.exists(F.slice(known, i + 2, F.greatest(F.size(known), F.lit(1))), lambda b: b["key"] == a["key"]))
+    return F.map_from_entries(F.transform(last, lambda a: F.struct(a["key"], decode_value(a["value"]))))
 
 
 def attr_value(attrs: Column, key: str) -> Column:
@@ -131,8 +133,9 @@ def flatten_otlp_events(spans: DataFrame) -> DataFrame:
 def to_otlp_payloads(spans: DataFrame, per_batch: int = 250, order: str = "seq",
                      group: list[str] | None = None) -> DataFrame:
     """Many spans per document, at most `per_batch` (the client's batch size) per document, per
-    trace. Needs a 1-based per-trace ordinal column `order`."""
-    group = group or ["trace_id"]
+    trace. Needs a 1-based per-trace ordinal column `order`. A document never mixes tenants: the tenant (where the
+    spans have one) is part of the group and stands beside the body."""
+    group = group or [c for c in ("tenant_id", "trace_id") if c in spans.columns]
     span = F.struct(
         F.col("trace_id").alias("traceId"), F.col("span_id").alias("spanId"),
         F.col("parent_span_id").alias("parentSpanId"), F.col("name").alias("name"),
@@ -190,8 +193,9 @@ def otlp_to_traces(spans: DataFrame) -> DataFrame:
         F.when(kind == "LLM", out_v).alias("agent_reasoning"),
         F.when(kind == "TOOL", in_v).alias("tool_input"),
         F.when(kind.isin("TOOL", "AGENT"), out_v).alias("tool_output")))
+    tenant = [F.col("tenant_id")] if "tenant_id" in spans.columns else [F.lit(None).cast("string").alias("tenant_id")]
     return spans.select(
-        F.col("trace_id").alias("session_id"), "span_id", "parent_span_id", F.col("name").alias("agent"),
+        *tenant, F.col("trace_id").alias("session_id"), "span_id", "parent_span_id", F.col("name").alias("agent"),
         step.alias("step_type"),
         F.when(kind == "TOOL", F.coalesce(F.element_at(a, F.lit("tool.name")), F.col("name"))).alias("tool_name"),
         F.when(F.col("status_code") == 2, "error").otherwise("success").alias("outcome"),

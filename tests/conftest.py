@@ -38,67 +38,80 @@ def spark():
     s.stop()
 
 
-def ts(s):
+# ── a small press-desk pipeline: market -> research -> risk -> orchestrator ────────────────────
+# One step a line: agent, what it did (call/<tool>, llm, say, decide), outcome, clock, milliseconds, tokens in, tokens out,
+# then an error text where there is one.
+
+DAY = "2031-03-02"
+KINDS = {"llm": "llm_call", "say": "agent_message", "decide": "decision"}
+
+CLEAN_RUN = """
+market       call/open_hours    success  09:00:04   90   70   20
+market       say                noted    09:00:09   15    0    0
+research     call/filings       success  09:00:31  410   30    5
+research     call/ratios        success  09:01:02  220   25    5
+research     llm                success  09:01:40 1300  900  260
+risk         call/limits        success  09:03:15  120   60   35
+risk         llm                success  09:03:20  700  310   90
+risk         decide             approved 09:03:30   12    0    0
+orchestrator decide             execute  09:05:01   25  140   60
+"""
+
+STUCK_RUN = """
+market       call/open_hours    success  09:00:04   90   70   20
+research     call/filings       error    09:00:40 20000   0    0  upstream gave up after 20 s
+research     call/filings       error    09:01:25 20000   0    0  upstream gave up after 20 s
+research     call/filings       error    09:02:10 20000   0    0  upstream gave up after 20 s
+"""
+
+
+def at(clock):
     from datetime import datetime
-    return None if s is None else datetime.fromisoformat(s)
+    return None if clock is None else datetime.fromisoformat(clock if "T" in clock else f"{DAY}T{clock}")
 
 
-def make_traces(spark, rows, session_id="sess-test", tenant="tenant-abc", workflow="workflow-xyz"):
-    out = []
-    for i, r in enumerate(rows):
-        out.append((r.get("tenant_id", tenant), r.get("session_id", session_id), r.get("workflow_id", workflow),
-                    r.get("seq", i + 1), r.get("agent"), r.get("step_type"), r.get("tool_name"), r.get("outcome"),
-                    r.get("error"), r.get("latency_ms"), ts(r.get("created_at")), r.get("tokens_input"),
-                    r.get("tokens_output"), r.get("span_id", f"s{i:015d}")))
-    return spark.createDataFrame(out, TRACE_SCHEMA)
+def step(agent, what, outcome="success", clock="09:01:00", ms=150, tokens=(12, 6), error=None):
+    kind, _, tool = what.partition("/")
+    return {"agent": agent, "step_type": "tool_call" if tool else KINDS.get(kind, kind), "tool_name": tool or None, "outcome": outcome,
+            "error": error, "latency_ms": ms, "created_at": clock, "tokens_input": tokens[0], "tokens_output": tokens[1]}
 
 
-def make_session(spark, **kw):
-    base = {
-        "tenant_id": "tenant-abc", "session_id": "sess-test", "workflow_id": "workflow-xyz",
-        "total_cost_usd": 0.10, "total_tokens_input": 3000, "total_tokens_output": 1500,
-        "trades_executed": 2, "trades_proposed": 2, "terminal_reason": "trade_executed",
-        "started_at": "2026-06-08T10:00:00", "completed_at": "2026-06-08T10:05:00",
-    }
-    base.update(kw)
-    row = tuple(ts(base[f.name]) if f.name in ("started_at", "completed_at") else base[f.name]
-                for f in SESSION_SCHEMA.fields)
-    return spark.createDataFrame([row], SESSION_SCHEMA)
+def _run(table):
+    out = []
+    for line in table.strip().splitlines():
+        agent, what, outcome, clock, ms, t_in, t_out, *error = line.split(maxsplit=7)
+        out.append(step(agent, what, outcome, clock, int(ms), (int(t_in), int(t_out)), error[0] if error else None))
+    return out
 
 
 def healthy():
-    return [
-        dict(agent="market", step_type="tool_call", tool_name="get_market", outcome="success", latency_ms=200,
-             created_at="2026-06-08T10:00:30", tokens_input=200, tokens_output=100),
-        dict(agent="research", step_type="llm_call", outcome="success", latency_ms=800,
-             created_at="2026-06-08T10:01:00", tokens_input=300, tokens_output=150),
-        dict(agent="research", step_type="tool_call", tool_name="get_news", outcome="success", latency_ms=250,
-             created_at="2026-06-08T10:01:10", tokens_input=0, tokens_output=0),
-        dict(agent="research", step_type="tool_call", tool_name="get_atr", outcome="success", latency_ms=180,
-             created_at="2026-06-08T10:01:20", tokens_input=0, tokens_output=0),
-        dict(agent="risk", step_type="tool_call", tool_name="check_risk", outcome="success", latency_ms=150,
-             created_at="2026-06-08T10:02:00", tokens_input=50, tokens_output=30),
-        dict(agent="risk", step_type="decision", outcome="approved", latency_ms=10,
-             created_at="2026-06-08T10:02:10", tokens_input=0, tokens_output=0),
-        dict(agent="orchestrator", step_type="decision", outcome="execute", latency_ms=20,
-             created_at="2026-06-08T10:03:00", tokens_input=150, tokens_output=80),
-    ]
+    return _run(CLEAN_RUN)
 
 
 def timeouts():
-    err = dict(agent="research", step_type="tool_call", tool_name="get_stock_data", outcome="error",
-               error="ReadTimeout: timed out", latency_ms=30000, tokens_input=0, tokens_output=0)
-    return [dict(agent="market", step_type="tool_call", tool_name="get_market", outcome="success", latency_ms=200,
-                 created_at="2026-06-08T10:00:30", tokens_input=200, tokens_output=100),
-            dict(err, created_at="2026-06-08T10:01:00"), dict(err, created_at="2026-06-08T10:01:30"),
-            dict(err, created_at="2026-06-08T10:02:00")]
+    return _run(STUCK_RUN)
 
 
-def tool_trace(agent, tool, outcome="success", error=None, latency_ms=200):
-    return dict(agent=agent, step_type="tool_call", tool_name=tool, outcome=outcome, error=error,
-                latency_ms=latency_ms, created_at="2026-06-08T10:01:00", tokens_input=10, tokens_output=5)
+def tool_trace(agent, tool, outcome="success", error=None, latency_ms=150):
+    return step(agent, f"call/{tool}", outcome, ms=latency_ms, error=error)
 
 
 def llm_trace(agent, outcome="success"):
-    return dict(agent=agent, step_type="llm_call", outcome=outcome, latency_ms=500,
-                created_at="2026-06-08T10:00:30", tokens_input=100, tokens_output=50)
+    return step(agent, "llm", outcome, "09:00:20", 640, (80, 45))
+
+
+def make_traces(spark, rows, session_id="run-1", tenant="desk-a", workflow="press"):
+    defaults = {"tenant_id": tenant, "session_id": session_id, "workflow_id": workflow}
+    out = []
+    for n, r in enumerate(rows, 1):
+        full = {**defaults, "seq": n, "span_id": f"{n:016x}", **r}
+        out.append(tuple(at(full.get(f.name)) if f.name == "created_at" else full.get(f.name) for f in TRACE_SCHEMA.fields))
+    return spark.createDataFrame(out, TRACE_SCHEMA)
+
+
+def make_session(spark, **changes):
+    row = {"tenant_id": "desk-a", "session_id": "run-1", "workflow_id": "press", "total_cost_usd": 0.25, "total_tokens_input": 4100,
+           "total_tokens_output": 900, "trades_executed": 1, "trades_proposed": 1, "terminal_reason": "order_placed",
+           "started_at": "09:00:00", "completed_at": "09:06:40", **changes}
+    return spark.createDataFrame([tuple(at(row[f.name]) if f.name.endswith("_at") else row[f.name] for f in SESSION_SCHEMA.fields)],
+                                 SESSION_SCHEMA)

@@ -31,3 +31,39 @@ def test_dedupe_keeps_id_less_rows(spark):
     assert len(out) == 3 and sorted(r.arrived_at for r in out if r.span_id == "a") == [2]
     # plain dropDuplicates would collapse the id-less rows
     assert df.dropDuplicates(["tenant_id", "session_id", "span_id"]).count() == 2
+
+
+def test_repeated_keys_do_not_end_the_job(spark):
+    """A repeated config key keeps its last value, a repeated attribute key too; usage without an agent has its own entry."""
+    from runlens.operators.config import load_pipeline_config
+    from runlens.operators.shaping import accumulate_tokens, model_prices, session_rollup
+    from runlens.sources.otlp import decode_attributes
+    rows = spark.createDataFrame([("w", "tool_retry_threshold", "3", 1), ("w", "tool_retry_threshold", "2", 2), ("w", None, "9", 3)],
+                                 "workflow_id string, key string, value string, ord int")
+    assert load_pipeline_config(rows).first().tool_retry_threshold == 2
+    attr = "array<struct<key:string,value:struct<stringValue:string,intValue:string,doubleValue:double,boolValue:boolean>>>"
+    df = spark.createDataFrame([([("a", ("x", None, None, None)), ("b", (None, "1", None, None)), ("a", ("y", None, None, None)),
+                                  (None, ("z", None, None, None))],), (None,), ([],)], f"a {attr}")
+    assert [r.m for r in df.select(decode_attributes(F.col("a")).alias("m")).collect()] == [{"a": "y", "b": "1"}, {}, {}]
+    usage = spark.createDataFrame([("t", "s", None, 10, 5, 0, 0, 1), ("t", "s", None, 1, 1, 0, 0, 2), ("t", "s", "m", 1, 1, 0, 0, 3)],
+                                  "tenant_id string, session_id string, agent string, input_tokens long, output_tokens long, "
+                                  "cache_read_input_tokens long, cache_creation_input_tokens long, seq long")
+    r = session_rollup(accumulate_tokens(usage), model_prices(spark)).first()
+    assert set(r.cost_breakdown) == {"", "m"} and r.total_tokens_input == 12
+
+
+def test_documents_never_mix_tenants(spark):
+    from runlens.sources.otlp import flatten_otlp, otlp_to_traces, to_otlp_payloads, traces_to_spans
+    from conftest import healthy, make_traces, timeouts
+    t = make_traces(spark, healthy()).unionByName(make_traces(spark, timeouts(), tenant="desk-b"))
+    back = otlp_to_traces(flatten_otlp(to_otlp_payloads(traces_to_spans(t)))).groupBy("tenant_id").count().collect()
+    assert {r.tenant_id: r["count"] for r in back} == {"desk-a": 9, "desk-b": 4}
+
+
+def test_ids_for_bodies_without_one(spark):
+    """Repeated bodies without an id get different ids, the same ones again on a rerun; blank ids count as missing."""
+    from runlens.sources.ingest import ingest_traces
+    raw = spark.createDataFrame([("t", "s", None, "a"), ("t", "s", None, "a"), ("t", "s", " ", "b"), ("t", "s", "x", "c")],
+                                "tenant_id string, session_id string, span_id string, agent string")
+    one, two = (sorted(r.span_id for r in ingest_traces(raw).collect()) for _ in range(2))
+    assert one == two and len(set(one)) == 4 and "x" in one

@@ -28,7 +28,7 @@ def configs(spark, ecs):
 def run(spark, traces, ecs, session=None, pipeline=None, registry=None, history=None):
     session = session if session is not None else make_session(spark)
     t = make_traces(spark, traces) if traces else make_traces(spark, [dict(agent="x")]).limit(0)
-    params = load_pipeline_config(pipeline_config_rows(spark, {"workflow-xyz": pipeline})) if pipeline else None
+    params = load_pipeline_config(pipeline_config_rows(spark, {"press": pipeline})) if pipeline else None
     out = run_rule_evals(session, t, configs(spark, ecs), params, registry=registry, history=history)
     return sorted(out.collect(), key=lambda r: r.config_ord)
 
@@ -44,7 +44,7 @@ def run_cases(spark, cases, e, pipeline=None):
             trs.append(make_traces(spark, traces, session_id=sid))
     s = reduce(lambda a, b: a.unionByName(b), sess)
     t = reduce(lambda a, b: a.unionByName(b), trs) if trs else make_traces(spark, [dict(agent="x")]).limit(0)
-    params = load_pipeline_config(pipeline_config_rows(spark, {"workflow-xyz": pipeline})) if pipeline else None
+    params = load_pipeline_config(pipeline_config_rows(spark, {"press": pipeline})) if pipeline else None
     rows = {r.session_id: r for r in run_rule_evals(s, t, configs(spark, [e]), params).collect()}
     return [rows.get(f"case-{i}") for i in range(len(cases))]
 
@@ -58,7 +58,7 @@ def one(spark, traces, e, **kw):
 # ── metrics (FIXTURES §1.4) ──────────────────────────────────────────────────────────────────
 
 def test_agent_presence(spark):
-    cases = [([], 0.0), ([tool_trace("market", "get_market")], 1.0), ([tool_trace("market", "x", outcome="error")], 0.0),
+    cases = [([], 0.0), ([tool_trace("market", "open_hours")], 1.0), ([tool_trace("market", "x", outcome="error")], 0.0),
              ([tool_trace("market", "x"), tool_trace("market", "y", outcome="error")], 0.5)]
     rows = run_cases(spark, [(t, {}) for t, _ in cases], ec("p", "agent_presence", agent="market"))
     assert [r.score for r in rows] == [x for _, x in cases]
@@ -88,17 +88,17 @@ def test_token_budget(spark):
 
 
 def test_token_budget_falls_back_to_session_totals(spark):
-    # agent 'session' without a pattern matches no trace -> (3000 + 1500) // 2 trades = 2250
-    r = one(spark, healthy(), ec("b", "token_budget"))
-    assert json.loads(r.detail)["tokens_used"] == 2250
-    assert r.score == round(1 - 2250 / 60_000, 2)
+    # agent 'session' without a pattern matches no trace -> (4100 + 900) // 3 trades = 1666
+    r = one(spark, healthy(), ec("b", "token_budget"), session=make_session(spark, trades_executed=3))
+    assert json.loads(r.detail)["tokens_used"] == 1666
+    assert r.score == round(1 - 1666 / 60_000, 2)
 
 
 def test_data_freshness(spark):
     assert one(spark, [], ec("f", "data_freshness", agent="research")).score == 0.0
     nots = dict(llm_trace("research"), created_at=None)
     assert one(spark, [nots], ec("f", "data_freshness", agent="research")).score == 1.0
-    fresh = dict(llm_trace("research"), created_at="2026-06-08T10:00:30")
+    fresh = dict(llm_trace("research"), created_at="2031-03-02T09:00:30")
     assert one(spark, [fresh], ec("f", "data_freshness", agent="research")).score > 0.9
 
 
@@ -114,7 +114,7 @@ def test_cost_anomaly(spark):
     from pyspark.sql import Row
     s = make_session(spark, total_cost_usd=5.0)
     def hist(n, mean, sd):
-        return spark.createDataFrame([Row(tenant_id="tenant-abc", session_id="sess-test", hist_n=n, hist_mean=mean,
+        return spark.createDataFrame([Row(tenant_id="desk-a", session_id="run-1", hist_n=n, hist_mean=mean,
                                           hist_sd=sd)])
     assert one(spark, [], ec("c", "cost_anomaly"), session=s, history=hist(2, 1.0, 0.1)).score == 1.0
     assert one(spark, [], ec("c", "cost_anomaly"), session=s, history=hist(10, 10.0, 0.0)).score == 1.0
@@ -140,8 +140,8 @@ def test_pipeline_coverage_shadow_names(spark):
 def test_agent_completion(spark):
     cases = [([tool_trace("research", "a")], 0.0), ([llm_trace("research"), tool_trace("research", "a")], 1.0),
              ([llm_trace("research"), tool_trace("research", "a", outcome="error")], 0.3),
-             ([dict(agent="research", step_type="decision", outcome="approved", created_at="2026-06-08T10:00:00")], 1.0),
-             ([dict(agent="research", step_type="agent_step", outcome="done", created_at="2026-06-08T10:00:00")], 0.0)]
+             ([dict(agent="research", step_type="decision", outcome="approved", created_at="2031-03-02T09:00:00")], 1.0),
+             ([dict(agent="research", step_type="agent_step", outcome="done", created_at="2031-03-02T09:00:00")], 0.0)]
     rows = run_cases(spark, [(t, {}) for t, _ in cases], ec("a", "agent_completion", agent="research"))
     assert [r.score for r in rows] == [x for _, x in cases]
 
@@ -157,7 +157,7 @@ def test_session_field_ratio(spark):
 
 def test_runner_skips(spark):
     ecs = [ec("a", "agent_presence", agent="market", layer=4), ec("b", "agent_presence", eval_type="llm_judge"),
-           ec("c", "agent_presence", enabled=False), ec("d", "nonexistent_metric_type"), ec("e", "custom")]
+           ec("c", "agent_presence", enabled=False), ec("d", "no_such_rule"), ec("e", "custom")]
     assert run(spark, healthy(), ecs) == []
 
 
@@ -212,3 +212,38 @@ def test_custom_metrics(spark):
     assert json.loads(rows[0].detail)["source"] == "custom"
     assert json.loads(rows[1].detail)["reason"] == "custom eval error: boom" and not rows[1].passed
     assert "scoped_eval" in reg.visible("other-wf") and "scoped_eval" not in reg.visible(None)
+
+
+def test_trace_level_metric_and_names_with_colons(spark):
+    reg = Registry()
+    slow = F.avg(F.col("latency_ms"))
+
+    @reg.register("speed: mean", stats={"mean": slow, "rows": F.count(F.lit(1))})
+    def speed(ctx):
+        return F.when(ctx.stat("mean") < 1000, 1.0).otherwise(0.0), F.to_json(F.struct(ctx.stat("mean").alias("ms"), ctx.stat("rows").alias("rows")))
+
+    @reg.register("speed: mean", workflow_id="elsewhere")
+    def other(ctx):
+        return F.lit(0.5), F.lit("{}")
+
+    rows = run(spark, healthy(), [ec("speed: mean", "custom", agent="research"), ec("speed: mean", "custom", agent="risk", agent_match="any")],
+               registry=reg)
+    assert [json.loads(r.detail) for r in rows] == [{"ms": (410 + 220 + 1300) / 3, "rows": 3}, {"ms": 2892 / 9, "rows": 9}]
+    assert reg.lookup("speed: mean", "elsewhere").build is other and reg.visible() == {"speed: mean": speed}
+
+
+def test_configs_stay_with_their_tenant_and_workflow(spark):
+    """Two tenants share a session id; a config row of one never scores the other, nor does a workflow named '*'."""
+    from conftest import timeouts
+    from runlens.operators.config import EVAL_CONFIG_SCHEMA
+    s = make_session(spark).unionByName(make_session(spark, tenant_id="desk-b")).unionByName(make_session(spark, session_id="star", workflow_id="*"))
+    t = make_traces(spark, healthy()).unionByName(make_traces(spark, timeouts(), tenant="desk-b")).unionByName(
+        make_traces(spark, healthy(), session_id="star", workflow="*"))
+    rule = ("agent_presence", None, "any", None, None, None, None)
+    rows = [("a", "desk-a", None, "only_a", "session", 0.5, 3, "rule", True, rule, 0), ("b", "desk-b", "press", "only_b", "session", 0.5, 3, "rule", True, rule, 1),
+            ("c", None, "press", "press_all", "session", 0.5, 3, "rule", True, rule, 2), ("d", None, None, "every", "session", 0.5, 3, "rule", True, rule, 3)]
+    got = run_rule_evals(s, t, spark.createDataFrame(rows, EVAL_CONFIG_SCHEMA)).collect()
+    assert sorted((r.tenant_id, r.session_id, r.eval_name) for r in got) == [
+        ("desk-a", "run-1", "every"), ("desk-a", "run-1", "only_a"), ("desk-a", "run-1", "press_all"), ("desk-a", "star", "every"),
+        ("desk-a", "star", "only_a"), ("desk-b", "run-1", "every"), ("desk-b", "run-1", "only_b"), ("desk-b", "run-1", "press_all")]
+    assert {r.score for r in got if r.tenant_id == "desk-b"} == {0.25}
