@@ -18,9 +18,9 @@ _CACHE: dict = {}
 def cached(key, build):
     """Reuse a constant Column within one Spark application (Columns are immutable expressions);
     building plans then needs far fewer JVM round trips."""
-    from pyspark import SparkContext
-    sc = SparkContext._active_spark_context
-    k = (sc.applicationId if sc is not None else None, key)   # unique per application
+    from pyspark.sql import SparkSession
+    session = SparkSession.getActiveSession()
+    k = (session.sparkContext.applicationId if session is not None else None, key)   # unique per application
     c = _CACHE.get(k)
     if c is None:
         c = _CACHE[k] = build()
@@ -63,11 +63,6 @@ def lower_agent(c: str | Column = "agent") -> Column:
     return F.lower(F.coalesce(col(c), F.lit("")))
 
 
-def trace_order() -> Column:
-    """Sort key for 'by time, then arrival' (B18). Struct comparison puts null times first."""
-    return F.struct(F.col("created_at"), F.col("seq"))
-
-
 # ── agent matching (B16, B17) ───────────────────────────────────────────────────────────────
 
 def agent_matches(agent: Column, pattern: Column, match: Column) -> Column:
@@ -91,47 +86,55 @@ def agent_seen(agents: Column, required: Column) -> Column:
 
 # ── frames (B14) ──────────────────────────────────────────────────────────────────────────────
 
-FRAME_FIELDS = ["agent", "step_type", "tool_name", "outcome", "error", "latency_ms", "tokens", "created_at"]
-
-
 def frame_columns() -> list[Column]:
     """The eight stack-frame fields as flat columns (plus `seq` for ordering)."""
     return [F.col("agent"), F.col("step_type"), F.col("tool_name"), F.col("outcome"), F.col("error"),
             F.col("latency_ms"), toks().alias("tokens"), F.col("created_at"), F.col("seq")]
 
 
-def stack_frame() -> Column:
-    return F.struct(*[F.col(c) for c in FRAME_FIELDS])
-
-
 # ── Python-compatible rounding and text (C16, D16) ─────────────────────────────────────────────
 
-def _python_round2_ties() -> dict[float, float]:
-    """The ties (2m+1)/200 in [0, 1] where Python's round(x, 2) goes down while
-    Spark's HALF_UP on the shortest decimal form goes up. Built by rule, not by hand."""
-    out = {}
-    for m in range(100):
-        x = (2 * m + 1) / 200
-        r = round(x, 2)
-        if r < x:
-            out[x] = r
-    return out
+def py_round(c: Column, digits: int) -> Column:
+    """round(x, digits) as Python computes it: the exact binary value to the nearest, half to even.
+
+    Rounding the shortest decimal form (what Spark does) is the same unless that form lies exactly half-way, that is,
+    unless x is the double nearest to k / (2 * 10^digits) with k odd. Then the side on which the binary value lies
+    decides; it is the sign of x * (2 * 10^digits) - k, computed without error by splitting x in two halves."""
+    x = F.abs(c.cast("double"))
+    scale = 2.0 * 10 ** digits
+    k = F.floor(x * scale + 0.5).cast("double")
+    odd = F.pmod(k, F.lit(2.0)) == 1
+    big = x * 134217729.0
+    high = big - (big - x)
+    rest = (high * scale - k) + (x - high) * scale
+    low = (k - 1) / 2
+    even = low + F.pmod(low, F.lit(2.0))
+    tie = F.when(rest > 0, low + 1).when(rest < 0, low).otherwise(even) / F.lit(float(10 ** digits))
+    return F.signum(c.cast("double")) * F.when(odd & (x == k / scale), tie).otherwise(F.round(x, digits))
 
 
-ROUND2_TIES = _python_round2_ties()
-_TIES_MAP_SQL = "map(" + ", ".join(f"CAST({k!r} AS DOUBLE), CAST({v!r} AS DOUBLE)" for k, v in ROUND2_TIES.items()) + ")"
+def py_round2(c: Column) -> Column:
+    """round(x, 2) for scores (decides `passed`)."""
+    return py_round(c, 2)
 
 
-def py_round2(c: Column) -> Column:
-    """round(x, 2) as Python computes it, for scores in [0, 1] (decides `passed`)."""
-    ties = cached("round2_ties", lambda: F.expr(_TIES_MAP_SQL))   # one constant map
-    return F.coalesce(F.try_element_at(ties, c.cast("double")), F.round(c, 2))
+def py_round_sql(x: str, digits: int) -> str:
+    """The same rule in DuckDB: printf rounds the exact binary value, half to even."""
+    return f"CAST(printf('%.{digits}f', CAST({x} AS DOUBLE)) AS DOUBLE)"
 
 
 def py_round2_sql(x: str) -> str:
-    """Same rule as SQL text (DuckDB oracle)."""
-    cases = " ".join(f"WHEN {x} = {k!r} THEN {v!r}" for k, v in ROUND2_TIES.items())
-    return f"(CASE {cases} ELSE round({x}, 2) END)"
+    return py_round_sql(x, 2)
+
+
+def py_string(c: Column) -> Column:
+    """Python's repr of a text: backslashes doubled, in double quotes when it holds an apostrophe but no double
+    quote, else in single quotes with apostrophes escaped."""
+    escaped = F.replace(F.replace(F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")),
+                                  F.lit("\r"), F.lit("\\r")), F.lit("\t"), F.lit("\\t"))
+    double = F.contains(c, F.lit("'")) & ~F.contains(c, F.lit('"'))
+    return F.when(double, F.concat(F.lit('"'), escaped, F.lit('"'))).otherwise(
+        F.concat(F.lit("'"), F.replace(escaped, F.lit("'"), F.lit("\\'")), F.lit("'")))
 
 
 def capitalize(c: Column) -> Column:
@@ -142,9 +145,3 @@ def capitalize(c: Column) -> Column:
 def thousands(c: Column) -> Column:
     """Python f'{n:,}' for integers."""
     return F.format_number(c.cast("long"), 0)
-
-
-def py_list_text(arr: Column) -> Column:
-    """Python repr of a list of strings: ['a', 'b']."""
-    return F.concat(F.lit("["), F.array_join(F.transform(arr, lambda s: F.concat(F.lit("'"), s, F.lit("'"))),
-                                              ", "), F.lit("]"))

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runlens.functions.columns import (K, agent_seen, capitalize, frame_columns, is_err, is_tool, lower_agent,
-                                       outcome_is, thousands, toks)
+                                       outcome_is, py_round, py_string, thousands, toks)
 from runlens.operators.config import attach_params
 from runlens.operators.history import preceding_stats
 
@@ -89,7 +89,7 @@ def _session_facts(sessions: DataFrame) -> DataFrame:
 
 def _py_set_text(values: Column, has_null: Column) -> Column:
     """Python's repr of a list of names (sorted here; the reference's set order is arbitrary)."""
-    quoted = F.transform(F.array_sort(values), lambda s: F.concat(F.lit("'"), s, F.lit("'")))
+    quoted = F.transform(F.array_sort(values), py_string)
     items = F.when(has_null, F.concat(quoted, F.array(F.lit("None")))).otherwise(quoted)
     return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
 
@@ -312,9 +312,9 @@ def _session_exprs(wanted: set[str]):
         add((F.coalesce(F.col("hist_n"), F.lit(0)) >= 5) & (z > F.col("cost_anomaly_sigma")), _incident(
             "Cost Anomaly",
             F.format_string("Session cost USD%.4f is %.1f standard deviations above the mean (USD%.4f). "
-                            "Significantly higher than typical sessions.", F.col("_cost"), z, F.col("hist_mean")),
+                            "Significantly higher than typical sessions.", py_round(F.col("_cost"), 4), py_round(z, 1), py_round(F.col("hist_mean"), 4)),
             F.format_string("Investigate which agent consumed the excess cost. Mean session cost is USD%.4f. "
-                            "Check token usage by agent in Session Deep Dive.", F.col("hist_mean")),
+                            "Check token usage by agent in Session Deep Dive.", py_round(F.col("hist_mean"), 4)),
             F.greatest(F.lit(0.0), F.col("_cost") - F.col("hist_mean")), F.lit(0), F.least(n, F.lit(15))))
     return aggs, items
 
@@ -378,8 +378,7 @@ def _error_pass(x: DetectorInputs) -> tuple[DataFrame, DataFrame]:
               .agg(F.sort_array(F.collect_list(F.struct(_order().alias("o"), F.substring(err_txt, 1, 60).alias("e"))))
                    .alias("_errs")))
     j = g.join(first3, K).join(x.sessions, K)
-    errs = F.concat(F.lit("["), F.array_join(F.transform("_errs", lambda s: F.concat(F.lit("'"), s["e"], F.lit("'"))),
-                                             ", "), F.lit("]"))
+    errs = F.concat(F.lit("["), F.array_join(F.transform("_errs", lambda s: py_string(s["e"])), ", "), F.lit("]"))
     inc = _incident(
         p,
         F.concat(F.col("_n").cast("string"), F.lit(" HTTP error(s) received but agent(s) "),
@@ -493,7 +492,7 @@ def run_detectors(traces: DataFrame, sessions: DataFrame, params: DataFrame | No
 
 def incident_rows(incidents: DataFrame, tenant_id: str | None = None) -> DataFrame:
     """Stored form. Cost rounded to 4 places; tenant and status 'open' only when a tenant is given."""
-    out = incidents.withColumn("cost_wasted", F.round("cost_wasted", 4))
+    out = incidents.withColumn("cost_wasted", py_round(F.col("cost_wasted"), 4))
     if tenant_id:
         out = out.withColumn("tenant_id", F.lit(tenant_id)).withColumn("status", F.lit("open"))
     return out
@@ -505,5 +504,5 @@ def shadow_cb_fires(evals: DataFrame, cb_config: DataFrame) -> DataFrame:
     cb = config_table(cb_config).select(F.col("agent").alias("_a"), F.col("eval_name").alias("_e"), F.col("threshold").alias("_t"))
     j = evals.join(cb, (evals["agent"] == cb["_a"]) & (evals["eval_name"] == cb["_e"]))
     return j.filter(F.col("score") < F.col("_t")).select(
-        *[c for c in K if c in evals.columns], "agent", "eval_name", F.round("score", 3).alias("score"),
+        *[c for c in K if c in evals.columns], "agent", "eval_name", py_round(F.col("score"), 3).alias("score"),
         F.col("_t").alias("threshold"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runlens.functions.columns import K, agent_matches, agent_seen, outcome_is, py_round2, real_error, toks
+from runlens.functions.columns import K, agent_matches, agent_seen, outcome_is, py_round, py_round2, real_error, toks
 from runlens.operators.config import attach_params, config_rows, setting_value
 from runlens.operators.registry import Registry
 
@@ -179,7 +179,7 @@ def _metric_parts(wanted: set[str] | None = None) -> dict[str, EvalParts]:
             F.when(~has, reason("no agent traces"))
             .when(F.col("_started").isNull() | F.col("ts_missing"), reason("timestamps unavailable — assuming fresh"))
             .when(mins == 0, reason("parse error: float division by zero"))
-            .otherwise(_detail(lag_minutes=F.round(lag, 1), threshold_minutes=mins)))
+            .otherwise(_detail(lag_minutes=py_round(lag, 1), threshold_minutes=mins)))
 
     # C6
     r = F.lower(F.coalesce(F.col("_reason"), F.lit("")))
@@ -202,14 +202,14 @@ def _metric_parts(wanted: set[str] | None = None) -> dict[str, EvalParts]:
             F.when(F.coalesce(hn, F.lit(0)) < 5, 1.0)
             .otherwise(py_round2(F.greatest(F.lit(0.0), 1.0 - F.greatest(F.lit(0.0), z - 1) / 2))),
             F.when(F.coalesce(hn, F.lit(0)) < 5, _detail(reason=F.lit("insufficient history"), cost_usd=cost))
-            .otherwise(_detail(cost_usd=cost, mean=F.round(hm, 4), stdev=F.round(hsd, 4), z_score=F.round(z, 2),
+            .otherwise(_detail(cost_usd=cost, mean=py_round(hm, 4), stdev=py_round(hsd, 4), z_score=py_round(z, 2),
                                threshold_sigma=F.col("cost_anomaly_sigma"))))
 
     # C8 (all traces of the session, not only the agent's)
     req = F.col("required_agents")
-    seen = F.coalesce(F.col("_agents"), F.array().cast("array<string>"))
-    hit = F.filter(req, lambda a: agent_seen(seen, a))
-    miss = F.filter(req, lambda a: ~agent_seen(seen, a))
+    seen = F.coalesce(F.col("_agents"), F.array().cast("array<string>"))       # the required agents that were seen
+    hit = F.filter(req, lambda a: F.array_contains(seen, a))
+    miss = F.filter(req, lambda a: ~F.array_contains(seen, a))
     if want("pipeline_coverage"):
         parts["pipeline_coverage"] = EvalParts(
             F.when(F.size(req) == 0, 1.0).otherwise(py_round2(F.size(hit) / F.size(req))),
@@ -238,7 +238,7 @@ def _metric_parts(wanted: set[str] | None = None) -> dict[str, EvalParts]:
             F.when(den == 0, _json_obj([(F.col("num_field"), num), (F.col("den_field"), F.lit(0)),
                                         (F.lit("reason"), F.concat(F.col("den_field"), F.lit(" is 0")))]))
             .otherwise(_json_obj([(F.col("num_field"), num), (F.col("den_field"), den),
-                                  (F.lit("ratio"), F.round(ratio, 3)), (F.lit("threshold"), thr)])))
+                                  (F.lit("ratio"), py_round(ratio, 3)), (F.lit("threshold"), thr)])))
     return parts
 
 
@@ -293,7 +293,11 @@ def run_rule_evals(sessions: DataFrame, traces: DataFrame, eval_configs: DataFra
                 F.col("_scope") == F.col("_cfg_scope")).drop("_scope", "_cfg_scope")
     sc = sc.withColumn("_gid", F.xxhash64("_cfg_tenant", "_cfg_wf", "pattern", "match")).join(stats, K + ["_gid"], "left")
     if "pipeline_coverage" in metrics:
-        agents = traces.groupBy(*K).agg(F.collect_set(F.lower(F.coalesce(F.col("agent"), F.lit("")))).alias("_agents"))
+        # only required names are collected, so the set is bounded by the config, not by the agents of a session
+        name = F.array(F.lower(F.coalesce(F.col("agent"), F.lit(""))))
+        asked = attach_params(traces.select(*K, "workflow_id", "agent"), params)
+        agents = asked.groupBy(*K).agg(F.array_distinct(F.flatten(F.collect_set(
+            F.filter("required_agents", lambda a: agent_seen(name, a))))).alias("_agents"))
         sc = sc.join(agents, K, "left")
         agents_col = F.col("_agents")
     else:
@@ -345,7 +349,7 @@ def run_rule_evals(sessions: DataFrame, traces: DataFrame, eval_configs: DataFra
 
 def eval_rows(evals: DataFrame, tenant_id: str | None = None, workflow_id: str | None = None) -> DataFrame:
     """Stored form; score rounded to 3, layer 3, tenant/workflow only when given."""
-    out = evals.withColumn("score", F.round("score", 3)).withColumn("layer", F.lit(3))
+    out = evals.withColumn("score", py_round(F.col("score"), 3)).withColumn("layer", F.lit(3))
     if tenant_id:
         out = out.withColumn("tenant_id", F.lit(tenant_id))
     if workflow_id:

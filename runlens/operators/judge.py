@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runlens.functions.columns import K
+from runlens.functions.columns import K, py_round
 
 # Judge model settings and prompt texts.
 JUDGE_MODEL = "claude-haiku-4-5-20251001"
@@ -137,7 +137,7 @@ def score_verdicts(prompts: DataFrame, replies: DataFrame) -> DataFrame:
     for c in ("reasoning", "reasoning_full"):
         j = j.withColumn(c, F.when(F.col("_replied").isNull(), lost).otherwise(F.col(c)))
     j = j.withColumn("judge_error", F.coalesce("judge_error", F.lit(True)))
-    score = F.round(F.greatest(F.lit(0.0), F.least(F.lit(10.0), F.col("score_raw"))) / 10.0, 3)
+    score = py_round(F.greatest(F.lit(0.0), F.least(F.lit(10.0), F.col("score_raw"))) / 10.0, 3)
     score = F.when(F.col("judge_error"), F.lit(0.0)).otherwise(score)
     passed = F.when(F.col("judge_error"), F.lit(False)).otherwise(score >= F.col("threshold"))
     return j.select(*K, "agent", "output_id", "config_id", "config_ord", "eval_name", score.alias("score"),

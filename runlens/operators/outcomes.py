@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runlens.functions.columns import K
+from runlens.functions.columns import K, py_round
 
 EVAL_TABLE = ["tenant_id", "session_id", "eval_name", "agent", "layer", "score", "passed", "threshold", "detail",
               "entity_id"]
@@ -19,7 +19,7 @@ def business_evals(rows: DataFrame) -> DataFrame:
     reasoning = F.col("reasoning") if "reasoning" in rows.columns else F.lit("")
     return rows.filter(F.col("tenant_id").isNotNull() & (F.col("tenant_id") != "")).select(
         *K, "eval_name", "agent", F.coalesce(layer, F.lit(5)).alias("layer"),
-        F.round(F.col("score").cast("double"), 4).alias("score"), "passed",
+        py_round(F.col("score"), 4).alias("score"), "passed",
         F.col("threshold").cast("double").alias("threshold"),
         F.to_json(F.struct(F.coalesce(reasoning, F.lit("")).alias("reasoning"))).alias("detail"),
         F.lit(None).cast("string").alias("entity_id"))
@@ -121,4 +121,4 @@ def grounding_failure(scores: DataFrame, partition: list[str], order: list[str],
     fired = s.filter((F.col("_n") == window) & (F.col("_nv") == window) & (F.col("_mx") < threshold))
     return fired.select(*partition, *[c for c in K if c not in partition],
                         F.lit("Proactive: Grounding Failure").alias("pattern_name"), F.lit("warning").alias("severity"),
-                        F.round(F.col(value), 3).alias("last_score")).drop("_n", "_nv", "_mx")
+                        py_round(F.col(value), 3).alias("last_score")).drop("_n", "_nv", "_mx")

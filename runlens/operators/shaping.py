@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runlens.functions.columns import K
+from runlens.functions.columns import K, py_round
 
 # USD per million tokens by model, and the rates for any other model.
 MODEL_PRICES = [
@@ -126,7 +126,7 @@ def estimate_cost(traces: DataFrame, prices: DataFrame, default_model: str = DEF
     ti = F.coalesce(F.col("tokens_input"), F.lit(0))
     to = F.coalesce(F.col("tokens_output"), F.lit(0))
     cost = (ti * F.col("input_rate") + to * F.col("output_rate")) / 1_000_000
-    return (j.withColumn("cost_usd", F.when((ti != 0) | (to != 0), F.round(cost, 8)))
+    return (j.withColumn("cost_usd", F.when((ti != 0) | (to != 0), py_round(cost, 8)))
              .drop("input_rate", "output_rate", "cache_read_rate", "cache_write_rate"))
 
 
@@ -155,14 +155,14 @@ def session_rollup(agent_tokens: DataFrame, prices: DataFrame, default_model: st
     a = agent_tokens.select("*", F.lit(default_model).alias("model"),
                             *[F.lit(float(r)).alias(c) for r, c in zip(
                                 rates, ["input_rate", "output_rate", "cache_read_rate", "cache_write_rate"])])
-    a = a.withColumn("cost_usd", F.round((F.col("input") * F.col("input_rate") + F.col("output") * F.col("output_rate")
+    a = a.withColumn("cost_usd", py_round((F.col("input") * F.col("input_rate") + F.col("output") * F.col("output_rate")
                                           + F.col("cache_read") * F.col("cache_read_rate")
                                           + F.col("cache_write") * F.col("cache_write_rate")) / 1_000_000, 6))
     entry = F.struct("model", "input", "output", "cache_read", "cache_write", "cost_usd")
     g = a.groupBy(*K).agg(
         F.sum("input").alias("total_tokens_input"),
         F.sum("output").alias("total_tokens_output"),
-        F.round(F.sum("cost_usd"), 6).alias("total_cost_usd"),
+        py_round(F.sum("cost_usd"), 6).alias("total_cost_usd"),
         F.sort_array(F.collect_list(F.struct("first_seq", "agent"))).alias("_ag"),
         F.map_from_entries(F.collect_list(F.struct(F.coalesce("agent", F.lit("")), entry))).alias("cost_breakdown"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runlens.functions.columns import K
+from runlens.functions.columns import K, py_round_sql
 from runlens.plans.catalog import _inputs, query
 from runlens.sources.adapters import SESSIONS_SQL, TRACES_SQL, duplicated_traces, load_traces, with_sql
 
@@ -65,7 +65,7 @@ SELECT b.tenant_id, b.session_id, b.seq, b.kind AS step_type,
        CAST(CASE WHEN b.kind IN ('tool_call', 'agent_message', 'decision') THEN b.latency_ms ELSE 0 END AS BIGINT) AS latency_ms,
        CAST(b.ti AS BIGINT) AS tokens_input, CAST(b.tout AS BIGINT) AS tokens_output,
        CASE WHEN b.ti <> 0 OR b.tout <> 0 THEN
-         round((b.ti * CAST(coalesce(r.ri, 3.00) AS DOUBLE) + b.tout * CAST(coalesce(r.ro, 15.00) AS DOUBLE)) / 1000000, 8) END AS cost_usd,
+         CAST(printf('%.8f', (b.ti * CAST(coalesce(r.ri, 3.00) AS DOUBLE) + b.tout * CAST(coalesce(r.ro, 15.00) AS DOUBLE)) / 1000000) AS DOUBLE) END AS cost_usd,
        regexp_replace(CAST(json_object('span_id', b.span_id, 'parent_span_id', CAST(NULL AS VARCHAR),
                                   'entity_id', CASE WHEN b.kind IN ('tool_call', 'agent_message', 'error') THEN b.ent END,
                                   'date', CAST(b.created_at AS DATE), 'sequence', b.seq, 'model', b.mdl) AS VARCHAR), '}$', '')
@@ -231,8 +231,8 @@ m AS (SELECT *, coalesce({MODEL_RULE.replace('element_at', 'list_extract').repla
                          'claude-haiku-4-5-20251001') AS model FROM traces)
 SELECT m.tenant_id, m.session_id, m.seq, m.model,
        CASE WHEN coalesce(tokens_input, 0) <> 0 OR coalesce(tokens_output, 0) <> 0 THEN
-         round((coalesce(tokens_input, 0) * CAST(coalesce(r.ri, 3.0) AS DOUBLE)
-                + coalesce(tokens_output, 0) * CAST(coalesce(r.ro, 15.0) AS DOUBLE)) / 1000000, 8) END AS cost_usd
+         CAST(printf('%.8f', (coalesce(tokens_input, 0) * CAST(coalesce(r.ri, 3.0) AS DOUBLE)
+                + coalesce(tokens_output, 0) * CAST(coalesce(r.ro, 15.0) AS DOUBLE)) / 1000000) AS DOUBLE) END AS cost_usd
 FROM m LEFT JOIN rates r USING (model)""")
 
 
@@ -244,19 +244,14 @@ def cost_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return estimate_cost(t, model_prices(spark)).select(*K, "seq", "model", "cost_usd")
 
 
-def _spark_round_sql(x: str, d: int) -> str:
-    """Spark's HALF_UP rounding of a double (on its decimal form) in DuckDB."""
-    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), {d}) AS DOUBLE)"
-
-
 ROLLUP_SQL = with_sql(TRACES_SQL, f"""
 a AS (SELECT tenant_id, session_id, agent, sum(tokens_input) AS i, sum(tokens_output) AS o,
              sum(tokens_input // 10) AS cr, sum(CASE WHEN step_type = 'decision' THEN 100 ELSE 0 END) AS cw,
              min(seq) AS fs
       FROM traces WHERE step_type IN ('llm_call', 'decision') GROUP BY ALL),
-c AS (SELECT *, {_spark_round_sql("(i * 0.80 + o * 4.00 + cr * 0.08 + cw * 1.00) / 1000000", 6)} AS cost FROM a)
+c AS (SELECT *, {py_round_sql("(i * 0.80e0 + o * 4.00e0 + cr * 0.08e0 + cw * 1.00e0) / 1000000", 6)} AS cost FROM a)
 SELECT tenant_id, session_id, CAST(sum(i) AS BIGINT) AS total_tokens_input, CAST(sum(o) AS BIGINT) AS total_tokens_output,
-       {_spark_round_sql("sum(cost)", 6)} AS total_cost_usd,
+       {py_round_sql("sum(cost)", 6)} AS total_cost_usd,
        string_agg(agent, ',' ORDER BY fs) AS agents_invoked, count(*) AS n_agents
 FROM c GROUP BY ALL""")
 

@@ -82,7 +82,7 @@ k AS (SELECT *, CASE WHEN NOT replied THEN 'no reply' WHEN doc_id % 17 = 3 THEN
                        THEN 'could not convert string to float: ''' || json_extract_string(txt::JSON, '$.score') || '''' END AS err FROM v),
 r AS (SELECT tenant_id, session_id, agent, ord, eval_name, threshold,
              CASE WHEN err IS NOT NULL OR NOT ok THEN 0.0
-                  ELSE round(greatest(0.0, least(10.0, coalesce(TRY_CAST(json_extract_string(txt::JSON, '$.score') AS DOUBLE), 0.0))) / 10.0, 3)
+                  ELSE CAST(printf('%.3f', greatest(0.0, least(10.0, coalesce(TRY_CAST(json_extract_string(txt::JSON, '$.score') AS DOUBLE), 0.0))) / 10e0) AS DOUBLE)
              END AS score,
              CASE WHEN err IS NOT NULL THEN 'Judge error: ' || err
                   WHEN NOT ok THEN 'Judge parse error: ' || substr(raw, 1, 100)

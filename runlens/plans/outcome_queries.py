@@ -26,7 +26,7 @@ y AS (SELECT tenant_id, session_id, 'research_yield' AS eval_name, 'research' AS
              CASE WHEN trades_proposed > 0 THEN true ELSE false END AS passed, 0.9 AS threshold,
              'Pipeline generated ' || trades_proposed || ' proposals' AS reasoning FROM sessions),
 a AS (SELECT tenant_id, session_id, 'approval_rate', 'risk', 5,
-             round(CAST(trades_executed AS DOUBLE) / trades_proposed, 4),
+             CAST(printf('%.4f', CAST(trades_executed AS DOUBLE) / trades_proposed) AS DOUBLE),
              CAST(trades_executed AS DOUBLE) / trades_proposed >= 0.20, 0.20,
              trades_executed || ' of ' || trades_proposed || ' proposals approved' FROM sessions WHERE trades_proposed > 0),
 u AS (SELECT * FROM y UNION ALL SELECT * FROM a)
@@ -100,7 +100,7 @@ CB = [("research", "research_tools", 0.8), ("research", "research_completion", 0
 
 CB_SQL = ("WITH ev AS (" + evals_sql(STANDARD, PIPELINE) + "),\ncb AS (SELECT * FROM (VALUES "
           + ", ".join(f"('{a}', '{e}', {t})" for a, e, t in CB) + ") v(a, e, t))\n"
-          "SELECT ev.tenant_id, ev.session_id, ev.agent, ev.eval_name, round(ev.score, 3) AS score, CAST(cb.t AS DOUBLE) AS threshold\n"
+          "SELECT ev.tenant_id, ev.session_id, ev.agent, ev.eval_name, CAST(printf('%.3f', ev.score) AS DOUBLE) AS score, CAST(cb.t AS DOUBLE) AS threshold\n"
           "FROM ev JOIN cb ON ev.agent = cb.a AND ev.eval_name = cb.e WHERE ev.score < cb.t")
 
 
@@ -149,7 +149,7 @@ def trend_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 GROUNDING_SQL = ("WITH q AS (" + QS_SQL + ")\nSELECT tenant_id, agent, session_id, 'Proactive: Grounding Failure' AS pattern_name, "
-                 "'warning' AS severity, round(qscore, 3) AS last_score FROM (SELECT *, count(*) OVER w AS n, "
+                 "'warning' AS severity, CAST(printf('%.3f', qscore) AS DOUBLE) AS last_score FROM (SELECT *, count(*) OVER w AS n, "
                  "count(qscore) OVER w AS nv, max(qscore) OVER w AS mx FROM q "
                  "WINDOW w AS (PARTITION BY tenant_id, agent ORDER BY doc_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)) "
                  "WHERE n = 3 AND nv = 3 AND mx < 0.40")

@@ -37,7 +37,7 @@ def stream_dedupe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RUN_SQL = _sql("inc AS (" + incidents_sql(
-    "tenant_id, session_id, pattern_name, severity, round(cost_wasted, 4) AS cost_wasted, tokens_wasted, frame_count")
+    "tenant_id, session_id, pattern_name, severity, CAST(printf('%.4f', cost_wasted) AS DOUBLE) AS cost_wasted, tokens_wasted, frame_count")
     + ")\nSELECT * FROM inc")
 
 
@@ -86,12 +86,12 @@ AGENTS_SQL = with_sql(TRACES_SQL, """
 a AS (SELECT workflow_id, agent, min(created_at) AS first_seen FROM traces GROUP BY ALL)
 SELECT workflow_id, agent AS agent_name, upper(left(agent, 1)) || lower(substr(agent, 2)) AS display_name,
        CAST(row_number() OVER (PARTITION BY workflow_id ORDER BY first_seen, agent) AS INTEGER) AS sort_order
-FROM a WHERE workflow_id = 'w1'""")
+FROM a""")
 
 
 @query("load_pipeline_agents", AGENTS_SQL)
 def agents_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A10: a workflow's agents (derived from its traces) in display order."""
+    """A10: every workflow's agents (derived from its traces) in display order."""
     from pyspark.sql import Window
     from runlens.operators.config import load_pipeline_agents
     t = load_traces(spark, sf_dir)
@@ -101,7 +101,7 @@ def agents_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.upper(F.substring("agent", 1, 1)), F.lower(F.substring("agent", 2, 1 << 20)))
                     .alias("display_name"), F.lit(None).cast("string").alias("emoji"),
                     F.row_number().over(w).alias("sort_order"))
-    return load_pipeline_agents(rows, "w1").drop("emoji")
+    return load_pipeline_agents(rows).drop("emoji")
 
 
 # ── D11: detectors with per-workflow settings ─────────────────────────────────────────────────
@@ -162,7 +162,7 @@ def configured_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _write_evals_sql() -> str:
     from runlens.plans.eval_queries import PIPELINE, STANDARD, evals_sql
-    return ("SELECT tenant_id, session_id, eval_name, agent, round(score, 3) AS score, passed, threshold, 3 AS layer "
+    return ("SELECT tenant_id, session_id, eval_name, agent, CAST(printf('%.3f', score) AS DOUBLE) AS score, passed, threshold, 3 AS layer "
             "FROM (" + evals_sql(STANDARD, PIPELINE) + ")")
 
 
@@ -192,3 +192,26 @@ def stream_closed_evals_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     from runlens.streaming.spans import latest_results
     return latest_results(spark, _closed_results(spark, sf_dir, PIPELINE), "evals").select(
         *K, "eval_name", "agent", "score", "passed", "threshold")
+
+
+EVAL_CONFIGS_SQL = with_sql(TRACES_SQL, """
+c AS (SELECT DISTINCT tenant_id, workflow_id, agent FROM traces),
+x AS (SELECT CASE WHEN agent = 'market' THEN NULL ELSE tenant_id END AS tenant_id, CASE WHEN agent = 'risk' THEN NULL ELSE workflow_id END AS workflow_id,
+             agent || '_presence' AS eval_name, agent, CASE WHEN agent = 'orchestrator' THEN 4 ELSE 3 END AS layer, agent <> 'orchestrator' OR tenant_id = 't0' AS enabled
+      FROM c)
+SELECT tenant_id, workflow_id, eval_name, agent, layer FROM x
+WHERE enabled AND layer = 3 AND (workflow_id IS NULL OR workflow_id = 'w1') AND (tenant_id IS NULL OR tenant_id = 't1')""")
+
+
+@query("load_eval_configs", EVAL_CONFIGS_SQL)
+def eval_configs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a config table with one row for each (tenant, workflow, agent) of the traces, those enabled that apply to one
+    tenant's workflow; a config without a tenant or a workflow applies to all."""
+    from runlens.operators.config import load_eval_configs
+    c = load_traces(spark, sf_dir).select("tenant_id", "workflow_id", "agent").distinct()
+    rows = c.select(F.when(F.col("agent") != "market", F.col("tenant_id")).alias("tenant_id"),
+                    F.when(F.col("agent") != "risk", F.col("workflow_id")).alias("workflow_id"),
+                    F.concat("agent", F.lit("_presence")).alias("eval_name"), "agent",
+                    F.when(F.col("agent") == "orchestrator", 4).otherwise(3).alias("layer"),
+                    ((F.col("agent") != "orchestrator") | (F.col("tenant_id") == "t0")).alias("enabled"))
+    return load_eval_configs(rows, 3, "w1", "t1").drop("enabled")

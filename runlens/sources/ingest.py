@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runlens.functions.columns import K
+from runlens.functions.columns import K, py_round
 from runlens.operators.shaping import DEFAULT_MODEL, DEFAULT_RATES, MODEL_PRICES
 
 TRACE_COLUMNS = ["tenant_id", "session_id", "span_id", "parent_span_id", "agent", "step_type", "tool_name",
@@ -50,7 +50,7 @@ def _price(model: Column, ti: Column, to: Column) -> Column:
     for name, i, o, _, _ in reversed(MODEL_PRICES):
         rate_in = F.when(model == name, F.lit(i)).otherwise(rate_in)
         rate_out = F.when(model == name, F.lit(o)).otherwise(rate_out)
-    return F.round((ti * rate_in + to * rate_out) / 1_000_000, 8)
+    return py_round((ti * rate_in + to * rate_out) / 1_000_000, 8)
 
 
 def log_rows(raw: DataFrame, default_model: str = DEFAULT_MODEL) -> DataFrame:

@@ -2,16 +2,26 @@
 
 from pyspark.sql import functions as F
 
-from runlens.functions.columns import ROUND2_TIES, agent_matches, py_round2, real_error
+from runlens.functions.columns import agent_matches, py_round, py_string, real_error
 from runlens.sources.ingest import dedupe_spans
 
 
-def test_py_round2_matches_python_on_all_ties(spark):
-    xs = [(2 * m + 1) / 200 for m in range(100)] + [k / 997 for k in range(997)]
-    df = spark.createDataFrame([(x,) for x in xs], "x double")
-    got = {r.x: r.r for r in df.select("x", py_round2(F.col("x")).alias("r")).collect()}
-    assert all(got[x] == round(x, 2) for x in xs)
-    assert len(ROUND2_TIES) == 50
+def test_rounding_is_python_s(spark):
+    import random
+    rng = random.Random(1)
+    for digits in (1, 2, 3, 4, 6, 8):
+        ties = [(2 * rng.randint(0, 10 ** 6) + 1) / (2 * 10 ** digits) for _ in range(3000)]
+        xs = ties + [-x for x in ties[:100]] + [rng.random() * 10 ** rng.randint(-3, 4) for _ in range(2000)] + [
+            0.0, 0.25, 0.75, 3.05, 241.45, 2.315, 21 / 32, 0.8049999999999999, 1.0, 15600 / 80000]
+        df = spark.createDataFrame([(x,) for x in xs], "x double")
+        got = {r.x: r.r for r in df.select("x", py_round(F.col("x"), digits).alias("r")).collect()}
+        assert all(got[x] == round(x, digits) for x in xs)
+
+
+def test_texts_are_quoted_as_python_does(spark):
+    xs = ["plain", "Can't connect: 503", 'say "no"', "both ' and \"", "back\\slash", "a\nb\tc", ""]
+    df = spark.createDataFrame([(x,) for x in xs], "x string")
+    assert [r.r for r in df.select(py_string(F.col("x")).alias("r")).collect()] == [repr(x) for x in xs]
 
 
 def test_real_error_and_matching(spark):
