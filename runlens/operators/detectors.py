@@ -35,6 +35,7 @@ from runlens.functions.columns import (K, agent_seen, capitalize, frame_columns,
                                        outcome_is, py_round, py_string, thousands, toks)
 from runlens.operators.config import attach_params
 from runlens.operators.history import preceding_stats
+from runlens.operators.texts import INCIDENTS
 
 # Pattern names, severities and runner order.
 PATTERNS = [
@@ -54,6 +55,7 @@ SEVERITY = dict(PATTERNS)
 # HTTP status codes looked for in tool errors.
 HTTP_ERROR_CODES = ["400", "401", "403", "429", "500", "502", "503"]
 HISTORY_SESSIONS = 20
+ERROR_CHARS = 120       # of an error text in a root cause, as in the reference
 # Evidence kept as "the last N traces" (per pattern); the others keep every matching trace.
 LAST_N = {"Context Spiral": 20, "Pipeline Break": 10, "Silent Exit": 10, "Handoff Schema Break": 5, "Cost Anomaly": 15}
 
@@ -87,6 +89,17 @@ def _session_facts(sessions: DataFrame) -> DataFrame:
     )
 
 
+def _say(pattern: str, part: int, *values: Column) -> Column:
+    """A pattern's root cause (0) or fix (1) with its values; null without one of them."""
+    text = INCIDENTS[pattern][part]
+    if not values:
+        return F.lit(text)
+    known = values[0].isNotNull()
+    for v in values[1:]:
+        known = known & v.isNotNull()
+    return F.when(known, F.format_string(text, *values))
+
+
 def _py_set_text(values: Column, has_null: Column) -> Column:
     """Python's repr of a list of names (sorted here; the reference's set order is arbitrary)."""
     quoted = F.transform(F.array_sort(values), py_string)
@@ -175,27 +188,19 @@ def _tool_exprs(wanted: set[str]):
     items = [
         (d == 1, _incident(
             "Tool Timeout Loop",
-            F.format_string("%s failed %d times in %s agent. Error: %s", tool, n, agent,
-                            F.substring(F.coalesce(F.nullif(F.col("first.error"), F.lit("")), F.lit("unknown error")),
-                                        1, 120)),
-            F.format_string("Add max_retries=2 and timeout=10s to %s in the %s agent tool configuration. "
-                            "Consider exponential backoff between retries.", tool, agent),
+            _say("Tool Timeout Loop", 0, tool, n, agent,
+                 F.substring(F.coalesce(F.nullif(F.col("first.error"), F.lit("")), F.lit("unknown error")), 1, ERROR_CHARS)),
+            _say("Tool Timeout Loop", 1, tool, agent),
             F.col("_cost"), F.col("_tokens"), n, root_tool=F.col("first.tool_name"), key=tool)),
         ((d == 4) & (F.col("_trades") == 0), _incident(
             "Empty Result Loop",
-            F.format_string("%s called %d times successfully but produced no actionable output (0 trades). "
-                            "Tool may be returning empty or low-quality results.", tool, n),
-            F.format_string("Add result quality validation after %s calls. If result is empty or below quality "
-                            "threshold, fail fast rather than retrying with same parameters.", tool),
+            _say("Empty Result Loop", 0, tool, n),
+            _say("Empty Result Loop", 1, tool),
             F.col("_cost"), F.col("_tokens"), F.col("named"), key=tool)),
         (d == 6, _incident(
             "Hyperactive Polling Loop",
-            F.concat(tool, F.lit(" called "), n.cast("string"), F.lit(" times successfully by "), agent,
-                     F.lit(" agent. Agent is polling without reaching a decision threshold. Total time in tool calls: "),
-                     thousands(F.col("lat")), F.lit("ms.")),
-            F.format_string("Add a max_iterations cap to %s agent's %s loop (e.g. max_calls=3). Force a decision step "
-                            "once the cap is hit. Consider caching results between calls to avoid redundant fetches.",
-                            agent, tool),
+            _say("Hyperactive Polling Loop", 0, tool, n, agent, thousands(F.col("lat"))),
+            _say("Hyperactive Polling Loop", 1, agent, tool),
             F.col("_cost"), F.col("_tokens"), n, key=tool)),
     ]
     return tag_col, keys, aggs, order, items
@@ -245,7 +250,8 @@ def _session_exprs(wanted: set[str]):
         F.coalesce(F.bool_or(is_tool() & is_err()), F.lit(False)).alias("tool_err"),
         F.coalesce(F.sum(F.when(is_an, toks())), F.lit(0)).alias("sp_tokens"),
         F.count_if(is_an).alias("sp_n"),
-        F.collect_set(lower_agent()).alias("agents"),            # bounded by the distinct agent names
+        F.coalesce(F.bool_or(agent_seen(F.array(lower_agent()), first_agent)), F.lit(False)).alias("seen_first"),
+        F.coalesce(F.bool_or(agent_seen(F.array(lower_agent()), F.lower(F.element_at("pipeline_order", -1)))), F.lit(False)).alias("seen_last"),
         F.count_if(is_first).alias("nf"),
         F.max(F.when(is_first, F.struct(_order().alias("o"), F.col("step_type"), F.col("outcome")))).alias("last_first"),
         F.count_if(sus).alias("sus_n"),
@@ -259,7 +265,6 @@ def _session_exprs(wanted: set[str]):
     aa = F.col("analysis_agent")
     order = F.transform("pipeline_order", lambda a: F.lower(a))
     fa, la = F.element_at(order, 1), F.element_at(order, -1)
-    agents = F.coalesce(F.col("agents"), F.array().cast("array<string>"))
     last = F.col("last_first")
     st = F.when(last.isNull(), F.lit("unknown")).otherwise(_none(last["step_type"]))
     oc = F.when(last.isNull(), F.lit("unknown")).otherwise(_none(last["outcome"]))
@@ -272,49 +277,33 @@ def _session_exprs(wanted: set[str]):
     if "Context Spiral" in wanted:
         add((F.col("sp_tokens") > F.col("token_spiral_threshold")) & trades0, _incident(
             "Context Spiral",
-            F.concat(capitalize(aa), F.lit(" agent consumed "), thousands(F.col("sp_tokens")),
-                     F.lit(" tokens with 0 trades produced. Agent gathered context without reaching a decision.")),
-            F.format_string("Add a hard token budget to the %s agent (e.g. max_tokens=%d). Force a decision step if "
-                            "budget is reached without a recommendation.", aa,
-                            F.floor(F.col("token_spiral_threshold") / 2).cast("long")),
+            _say("Context Spiral", 0, capitalize(aa), thousands(F.col("sp_tokens"))),
+            _say("Context Spiral", 1, aa, F.floor(F.col("token_spiral_threshold") / 2).cast("long")),
             F.col("_cost"), F.col("sp_tokens"), F.least(F.col("sp_n"), F.lit(20)), agent=F.lower(aa)))
     if "Pipeline Break" in wanted:
-        add((F.size(order) >= 2) & agent_seen(agents, fa) & ~agent_seen(agents, la), _incident(
+        add((F.size(order) >= 2) & F.coalesce("seen_first", F.lit(False)) & ~F.coalesce("seen_last", F.lit(False)), _incident(
             "Pipeline Break",
-            F.concat(capitalize(fa), F.lit(" agent completed but "), la, F.lit(" never started. Last "), fa,
-                     F.lit(" step: "), st, F.lit(" (outcome: "), oc, F.lit(")")),
-            F.format_string("Check for uncaught exceptions between %s and %s steps. Add try/except around the "
-                            "%s -> %s handoff. Ensure %s agent errors are propagated, not silently swallowed.",
-                            fa, la, fa, la, fa),
+            _say("Pipeline Break", 0, capitalize(fa), la, fa, st, oc),
+            _say("Pipeline Break", 1, fa, la, fa, la, fa),
             F.col("_cost"), F.col("_tokens"), F.least(F.coalesce(F.col("nf"), F.lit(0)), F.lit(10)), agent=fa))
     if "Silent Exit" in wanted:
         add(trades0 & (F.col("_reason") == "") & ~F.coalesce(F.col("tool_err"), F.lit(False)) & (n > 0),
                      _incident(
             "Silent Exit",
-            F.lit("Session ended with 0 trades and no terminal reason logged. No tool errors detected. "
-                  "Likely a logic path that skips both trade entry and explicit rejection."),
-            F.lit("Add explicit terminal_reason logging for all exit paths in the orchestrator (e.g. 'no_opportunity', "
-                  "'risk_rejected', 'market_closed'). Every session should record why it ended."),
+            _say("Silent Exit", 0), _say("Silent Exit", 1),
             F.col("_cost"), F.col("_tokens"), F.least(n, F.lit(10))))
     if "Tool Call Fabrication" in wanted:
         add(F.coalesce(F.col("sus_n"), F.lit(0)) >= F.col("fabrication_min_count"), _incident(
             "Tool Call Fabrication",
-            F.concat(F.col("sus_n").cast("string"), F.lit(" tool call(s) completed in under "),
-                     F.col("fabrication_latency_ms").cast("string"),
-                     F.lit("ms with success status. External API calls take 100ms+. Affected agents: "),
-                     _py_set_text(F.col("sus_agents"), F.col("sus_agent_null")), F.lit(". Tools: "),
-                     _py_set_text(F.col("sus_tools"), F.col("sus_tool_null")), F.lit(".")),
-            F.lit("Verify that tool calls are making real external requests. Add response validation: check that tool "
-                  "output is consistent with what the actual API returns (schema, latency, value ranges). "
-                  "Enable request logging in tool wrappers to confirm HTTP calls are made."),
+            _say("Tool Call Fabrication", 0, F.col("sus_n"), F.col("fabrication_latency_ms").cast("string"),
+                 _py_set_text(F.col("sus_agents"), F.col("sus_agent_null")), _py_set_text(F.col("sus_tools"), F.col("sus_tool_null"))),
+            _say("Tool Call Fabrication", 1),
             F.col("_cost"), F.lit(0), F.col("sus_n")))
     if "Cost Anomaly" in wanted:
         add((F.coalesce(F.col("hist_n"), F.lit(0)) >= 5) & (z > F.col("cost_anomaly_sigma")), _incident(
             "Cost Anomaly",
-            F.format_string("Session cost USD%.4f is %.1f standard deviations above the mean (USD%.4f). "
-                            "Significantly higher than typical sessions.", py_round(F.col("_cost"), 4), py_round(z, 1), py_round(F.col("hist_mean"), 4)),
-            F.format_string("Investigate which agent consumed the excess cost. Mean session cost is USD%.4f. "
-                            "Check token usage by agent in Session Deep Dive.", py_round(F.col("hist_mean"), 4)),
+            _say("Cost Anomaly", 0, py_round(F.col("_cost"), 4), py_round(z, 1), py_round(F.col("hist_mean"), 4)),
+            _say("Cost Anomaly", 1, py_round(F.col("hist_mean"), 4)),
             F.greatest(F.lit(0.0), F.col("_cost") - F.col("hist_mean")), F.lit(0), F.least(n, F.lit(15))))
     return aggs, items
 
@@ -336,16 +325,11 @@ def _handoff_pass(x: DetectorInputs) -> DataFrame:
     w = g.groupBy(*K).agg(F.min(F.struct("_pos", "_src", "_tgt", "sn", "ft")).alias("w"))
     j = w.select(*K, "w.*").join(x.sessions, K)
     src, tgt = F.col("_src"), F.col("_tgt")
-    err = F.substring(F.coalesce(F.nullif(F.col("ft.error"), F.lit("")), F.lit("unknown schema error")), 1, 120)
+    err = F.substring(F.coalesce(F.nullif(F.col("ft.error"), F.lit("")), F.lit("unknown schema error")), 1, ERROR_CHARS)
     inc = _incident(
         "Handoff Schema Break",
-        F.concat(capitalize(src), F.lit(" agent completed successfully but "), tgt,
-                 F.lit(" agent errored on its first trace. "), capitalize(src), F.lit(" output did not match "), tgt,
-                 F.lit(" agent's expected schema. Error at handoff: "), err),
-        F.format_string("Add schema validation at the %s -> %s handoff. Define a typed contract (Pydantic model or "
-                        "TypedDict) for what %s must return before passing to %s. Fail fast with a clear error if "
-                        "the contract is violated, rather than letting %s agent crash on bad input.",
-                        src, tgt, src, tgt, tgt),
+        _say("Handoff Schema Break", 0, capitalize(src), tgt, capitalize(src), tgt, err),
+        _say("Handoff Schema Break", 1, src, tgt, src, tgt, tgt),
         F.col("_cost"), F.col("_tokens"), F.least(F.col("sn"), F.lit(5)) + 1, src=src, tseq=F.col("ft.o.seq"))
     return _explode(j, [(F.lit(True), inc)])
 
@@ -381,12 +365,8 @@ def _error_pass(x: DetectorInputs) -> tuple[DataFrame, DataFrame]:
     errs = F.concat(F.lit("["), F.array_join(F.transform("_errs", lambda s: py_string(s["e"])), ", "), F.lit("]"))
     inc = _incident(
         p,
-        F.concat(F.col("_n").cast("string"), F.lit(" HTTP error(s) received but agent(s) "),
-                 _py_set_text(F.col("_agents"), F.col("_agent_null")),
-                 F.lit(" continued processing instead of aborting or retrying correctly. Errors: "), errs),
-        F.lit("Add explicit HTTP error code handlers in tool wrappers: 429 = exponential backoff + retry; "
-              "401 = surface credential error to operator, do not continue; 400 = log malformed request and abort "
-              "the tool call chain; 503 = circuit breaker open, fail fast."),
+        _say("Error Misinterpretation", 0, F.col("_n"), _py_set_text(F.col("_agents"), F.col("_agent_null")), errs),
+        _say("Error Misinterpretation", 1),
         F.col("_cost"), F.col("_tokens"), F.col("_n"))
     frames = fired.select(*K, F.lit(p).alias("pattern_name"), *frame_columns())
     return _explode(j, [(F.lit(True), inc)]), frames

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runlens.functions.columns import K, is_err, lower_agent, thousands, toks
+from runlens.operators.texts import FIXES
 
 # Severity colours and the fallback.
 SEVERITY_COLORS = {"critical": "#EF4444", "warning": "#F59E0B", "info": "#3B82F6"}
@@ -55,33 +56,12 @@ def fix_suggestions(incidents: DataFrame, frames: DataFrame) -> DataFrame:
     tool = F.coalesce(F.col("_t.v"), F.lit("the tool"))
     agent = F.coalesce(F.col("_a.v"), F.lit("the agent"))
     pat = F.col("pattern_name")
-    text = (
-        F.when(pat == "Tool Timeout Loop", F.format_string(
-            "1. Add timeout=10 to %s calls in the %s agent.\n2. Add max_retries=2 with exponential backoff (2s, 4s).\n"
-            "3. If all retries fail, return a structured error — do not loop.\n"
-            "4. Consider a fallback data source if %s is unavailable.", tool, agent, tool))
-        .when(pat == "Context Spiral", F.concat(
-            F.lit("1. Set a hard token budget on the research agent (recommended: "),
-            thousands(F.floor(F.col("tokens_wasted") / 2)),
-            F.lit(" tokens max).\n2. Add a 'decide or abort' checkpoint after each information-gathering step.\n"
-                  "3. Log the reason if the agent exits without a recommendation.")))
-        .when(pat == "Pipeline Break", F.lit(
-            "1. Wrap the research -> orchestrator handoff in try/except.\n"
-            "2. Log a terminal_reason on any uncaught exception.\n"
-            "3. Add a health check after research completes before calling orchestrator."))
-        .when(pat == "Cost Anomaly", F.lit(
-            "1. Review Session Deep Dive for this session to find the high-cost agent.\n"
-            "2. Add per-session cost budgets with early abort if exceeded.\n"
-            "3. Set alerts at mean + 1.5 sigma for proactive notification."))
-        .when(pat == "Silent Exit", F.lit(
-            "1. Add terminal_reason logging to every orchestrator exit path.\n"
-            "2. Ensure the orchestrator always records 'no_opportunity', 'risk_rejected', or another explicit reason.\n"
-            "3. Treat a session with 0 trades and no reason as a bug, not normal operation."))
-        .when(pat == "Empty Result Loop", F.format_string(
-            "1. Add result quality validation after %s returns.\n"
-            "2. If result is empty, below quality threshold, or missing required fields: fail fast, do not retry "
-            "with same parameters.\n3. Log what %s returned when quality check fails.", tool, tool))
-        .otherwise(F.col("fix_suggestion")))
+    values = {"Tool Timeout Loop": (tool, agent, tool), "Context Spiral": (thousands(F.floor(F.col("tokens_wasted") / 2)),),
+              "Empty Result Loop": (tool, tool)}
+    text = F.when(F.lit(False), F.lit(""))
+    for name, words in FIXES.items():
+        text = text.when(pat == name, F.format_string(words, *values[name]) if name in values else F.lit(words))
+    text = text.otherwise(F.col("fix_suggestion"))
     return j.withColumn("fix_detail", text).drop("_t", "_a", "frame_agents")
 
 
