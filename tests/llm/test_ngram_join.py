@@ -86,7 +86,9 @@ def test_tree_finds_exactly_the_similar_sets():
 
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(7, x) for x in range(500, 700)] + [(900, 901), (901, 902), (902, 900), (3, 3)]
-    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    df = spark.createDataFrame(links, "a long, b long")
+    got = {r["node"]: r["component"] for r in components(df).collect()}
+    assert got == {r["node"]: r["component"] for r in components(df, links_per_forest=20).collect()}     # many forests, star steps
     forest = Forest()
     for a, b in links:
         forest.join(a, b)

@@ -9,7 +9,7 @@ import corpus_pipeline
 from runlens.llm.common import read_table, stored
 from runlens.llm.encode import Encoder
 from runlens.llm.queries import ORACLES, QUERIES
-from test_ngram_join import brute
+from llm.test_ngram_join import brute
 
 SF = "/root/testdata/sf0.001"
 
