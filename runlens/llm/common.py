@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterator[pd.DataFrame], rows: int = 500) -> Iterator[pd.DataFrame]:
+    """Arrow batches in pieces of a few rows, so that what a task derives from texts stays small."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at: at + rows]
+
+
 def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -1,7 +1,7 @@
 """Connected components of a link table, without collecting links or nodes anywhere.
 
-Links are first reduced to spanning forests by a union-find in each task (memory: the nodes of one
-partition), then alternating large-star and small-star steps turn every component into a star around its smallest
+Links are first reduced to spanning forests by a union-find in each task, which gets LINKS_PER_FOREST links or
+fewer. Where that takes several tasks, alternating large-star and small-star steps turn every component into a star around its smallest
 node. Each step is an aggregate and an equi-join of stored tables, so a node with millions of
 links is pre-aggregated and its join is split by Spark. Steps go on until nothing changes.
 """
@@ -52,17 +52,22 @@ def _forests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for a, b in zip(batch["a"].tolist(), batch["b"].tolist()):
             forest.join(a, b)
-        if len(forest.parent) > LINKS_PER_FOREST:
-            a, b = forest.stars()
-            yield pd.DataFrame({"a": a, "b": b})
-            forest = Forest()
     a, b = forest.stars()
     yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
 
-def components(links: DataFrame) -> DataFrame:
+def _with_roots(stars: DataFrame) -> DataFrame:
+    return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+        stars.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def components(links: DataFrame, links_per_forest: int = LINKS_PER_FOREST) -> DataFrame:
     """(a, b) long, any order -> (node, component): every node of a link, with the smallest node it reaches."""
-    now = stored(links.select("a", "b").where("a <> b").mapInPandas(_forests, "a long, b long").distinct(), "links")
+    links = stored(links.select("a", "b").where("a <> b"), "links")
+    parts = max(1, -(-links.count() // links_per_forest))
+    now = stored(links.repartition(parts).mapInPandas(_forests, "a long, b long"), "forests")
+    if parts == 1:                # one forest over all links: its stars are the components
+        return _with_roots(now)
     mark = None
     while True:
         # large star: hang all larger neighbours of a node on its smallest neighbour (or itself)
@@ -77,5 +82,4 @@ def components(links: DataFrame) -> DataFrame:
         if mark == (got["n"], got["s"]) or not got["n"]:
             break
         mark = (got["n"], got["s"])
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    return _with_roots(now)

@@ -18,7 +18,7 @@ import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-CACHE_WORDS = 600_000       # bounds a worker's memory; a cache starts afresh beyond it
+CACHE_WORDS = 300_000       # bounds a worker's memory; a cache starts afresh beyond it
 
 # The rule of the tokenizer file, and the same for Latin-1 text in lower case.
 KNOWN_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"

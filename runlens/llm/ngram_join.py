@@ -8,11 +8,13 @@ number of texts and of differing near copies, not the pairs inside a group:
 2. Shingles get one global order: place count, then hash, so passages shared by many documents come
    last. Two sets that reach the similarity share a shingle among the first n - ceil(3n/4) + 1 of each (prefix
    filter), so only shingles in the prefixes of two documents or more matter; the others fall away.
-3. Round one: classes meet at a home shingle (two choices each), in chunks of bounded size, and are joined there with a
-   prefix tree. This links nearly all members of large groups at little cost.
-4. Round two: every pair of classes that shares a prefix shingle and is not yet in one component is compared by length
-   and by parity sketch (the number of differing bits never exceeds the symmetric difference), and what passes is joined with
-   prefix trees again. Nothing is dropped, so no link between different components is missed.
+3. Documents that may be similar are found by their parity sketches (the number of differing bits never exceeds the
+   symmetric difference): first at a home shingle of each (two choices, chunks of bounded size), which connects
+   nearly all members of large groups at little cost, then at every shingle whose documents are not all connected yet. A task
+   returns which documents it connects, never the pairs, so the output is linear in its input.
+4. The connected groups are a partition of the documents, and every similar pair lies inside one. Sets are made again for
+   their members only and joined inside each group with prefix trees, block by block. Nothing is dropped, so no link is
+   missed, and a pair is verified once.
 
 The prefix tree holds the sets of a chunk in global order with shared beginnings stored once. A probe walks it,
 carries the overlap so far, and leaves a subtree when the overlap plus what can still follow is below the need,
@@ -33,13 +35,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from runlens.llm.common import stored
+from runlens.llm.common import slices, stored
 from runlens.llm.components import Forest, components
 from runlens.llm.shingles import shingle_sets
 
 PLACE_BITS = 17           # places of the global order
-CHUNK = 256               # classes that meet in one tree of round one
+CHUNK = 256               # documents of a block that meet in one prefix tree
+UNIT = 2048               # documents of a block whose sketches are compared together
 BIN_ROWS = 1024           # sets held by one group
+SEEN_SETS = 200_000       # digests a task remembers, to name equal sets once
 SCAN_SCHEMA = "doc_id long, n int, digest binary, sketch binary, place int, docs long"
 
 
@@ -155,7 +159,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """Digest, size and sketch of each document, and (with a null n) the task's document counts of shingles by place."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(1 << PLACE_BITS, dtype=np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             sets = shingle_sets(batch["text"].tolist())
             places = (np.concatenate([np.zeros(0, np.uint64), *sets]) >> np.uint64(64 - PLACE_BITS)).astype(np.int64)
             counts += np.bincount(places, minlength=len(counts))
@@ -178,13 +182,13 @@ def prefix_entries(docs: DataFrame, order: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts, seen = shared.value, set()
-        for batch in batches:
+        for batch in slices(batches):
             shingle, doc, size = [], [], []
             for doc_id, s in zip(batch["doc_id"].tolist(), shingle_sets(batch["text"].tolist())):
                 digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                 if not len(s) or digest in seen:
                     continue
-                if len(seen) > 500_000:
+                if len(seen) > SEEN_SETS:
                     seen.clear()
                 seen.add(digest)
                 k = prefix_length(len(s))
@@ -202,50 +206,113 @@ def prefix_entries(docs: DataFrame, order: np.ndarray) -> DataFrame:
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(rep, items) for the wanted representatives."""
+    """(doc_id, items) of the wanted documents. Spark broadcasts the ids where the stored table is small enough."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"rep": batch["doc_id"], "items": [s.tobytes() for s in shingle_sets(batch["text"].tolist())]})
+        for batch in slices(batches):
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "items": [s.tobytes() for s in shingle_sets(batch["text"].tolist())]})
 
-    return docs.join(wanted.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").mapInPandas(run, "rep long, items binary")
+    return docs.join(wanted, "doc_id", "left_semi").mapInPandas(run, "doc_id long, items binary")
 
 
 def join_chunks(chunks: DataFrame, sets: DataFrame, rows: int) -> DataFrame:
-    """(chunk, rep): links inside each chunk, as a spanning forest of what was found."""
+    """(chunk, doc_id): links inside each chunk, as a spanning forest of what was found."""
     bins = max(1, -(-rows // BIN_ROWS))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         forest = Forest()
         for _, own in group.groupby("chunk", sort=False):
-            own = own.drop_duplicates("rep")
+            own = own.drop_duplicates("doc_id")
             if len(own) > 1:
-                join_sets(own["rep"].tolist(), [np.frombuffer(x, np.uint64) for x in own["items"]], forest)
+                join_sets(own["doc_id"].tolist(), [np.frombuffer(x, np.uint64) for x in own["items"]], forest)
         a, b = forest.stars()
         return pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
-    return chunks.join(sets, "rep").withColumn("bin", F.pmod(F.xxhash64("chunk"), F.lit(bins))).groupBy("bin").applyInPandas(
+    return chunks.join(sets, "doc_id").withColumn("bin", F.pmod(F.xxhash64("chunk"), F.lit(bins))).groupBy("bin").applyInPandas(
         run, "a long, b long")
 
 
 def _home_chunks(shared: DataFrame) -> DataFrame:
-    """Two home shingles for each class (smallest by two hash orders), cut into chunks of bounded size."""
-    homes = shared.groupBy("rep").agg(*[F.min_by("shingle", F.xxhash64("shingle", F.lit(k))).alias(f"h{k}") for k in (1, 2)])
-    homes = stored(homes.select("rep", F.explode(F.array_distinct(F.array("h1", "h2"))).alias("home")), "homes")
+    """Two home shingles for each document (smallest by two hash orders), cut into chunks of bounded size."""
+    homes = shared.groupBy("doc_id").agg(*[F.min_by("shingle", F.xxhash64("shingle", F.lit(k))).alias(f"h{k}") for k in (1, 2)])
+    homes = stored(homes.select("doc_id", F.explode(F.array_distinct(F.array("h1", "h2"))).alias("home")), "homes")
     sizes = stored(homes.groupBy("home").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "home-sizes")
-    return homes.join(sizes, "home").select("rep", F.xxhash64(
-        "home", F.pmod(F.xxhash64("rep", "home"), F.ceil(F.col("size") / F.lit(CHUNK)))).alias("chunk"))
+    return homes.join(sizes, "home").select("doc_id", F.xxhash64(
+        "home", F.pmod(F.xxhash64("doc_id", "home"), F.ceil(F.col("size") / F.lit(CHUNK)))).alias("chunk"))
+
+
+def close_members(sizes: np.ndarray, sketches: list[bytes], labels: np.ndarray) -> np.ndarray:
+    """Labels after joining all members whose lengths and sketches allow the similarity; members that carry
+    one label already are not compared."""
+    labels, by_length = labels.copy(), {}
+    for k, x in enumerate(sketches):
+        by_length.setdefault(len(x), []).append(k)
+    for length, own in by_length.items():
+        rows, at = [np.frombuffer(sketches[k], np.uint64) for k in own], list(own)
+        for k in by_length.get(2 * length, []):          # similar sets have sketches of one or two lengths
+            rows.append(np.bitwise_xor(*np.frombuffer(sketches[k], np.uint64).reshape(2, -1)))
+            at.append(k)
+        table, place = np.stack(rows), np.array(at)
+        for i, k in enumerate(own):
+            other = np.flatnonzero(labels[place[i + 1:]] != labels[k]) + i + 1
+            m, n = int(sizes[k]), sizes[place[other]]
+            other = other[(4 * n >= 3 * m) & (3 * n <= 4 * m)]
+            if not len(other):
+                continue
+            n = sizes[place[other]]
+            differ = np.bitwise_count(table[other] ^ table[i]).sum(axis=1, dtype=np.int64)
+            fine = place[other[differ <= m + n - 2 * -(-3 * (m + n) // 7)]]
+            if len(fine):
+                labels[np.isin(labels, labels[fine])] = labels[k]
+    return labels
+
+
+def close_edges(units: DataFrame, nodes: DataFrame, rows: int) -> DataFrame:
+    """(unit, doc_id, group) -> edges (a, b) between the groups that a unit's sketches connect."""
+    bins = max(1, -(-rows // BIN_ROWS))
 
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        forest = Forest()
+        for _, own in group.groupby("unit", sort=False):
+            before = own["group"].to_numpy()
+            if len(own) > 1 and before.min() != before.max():
+                after = close_members(own["n"].to_numpy(), own["sketch"].tolist(), before)
+                for a, b in set(zip(before.tolist(), after.tolist())):
+                    forest.join(a, b)
+        a, b = forest.stars()
+        return pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
-def _sketch_filter(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in batches:
-            fine = [least_difference(x, y) <= m + n - 2 * needed(m, n) for x, y, m, n in
-                    zip(p["sketch_a"], p["sketch_b"], p["n_a"].tolist(), p["n_b"].tolist())]
-            yield p.loc[np.array(fine, dtype=bool), ["a", "b"]]
+    return units.join(nodes.select("doc_id", "n", "sketch"), "doc_id").withColumn(
+        "bin", F.pmod(F.xxhash64("unit"), F.lit(bins))).groupBy("bin").applyInPandas(run, "a long, b long")
 
-    one = classes.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a"), F.col("n").alias("n_a"))
-    two = classes.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b"), F.col("n").alias("n_b"))
-    return pairs.join(one, "a").join(two, "b").mapInPandas(run, "a long, b long")
+
+def _block_units(rows: DataFrame, key: str, size: int, keep: list[str]) -> DataFrame:
+    """Rows of a key in units: one for a key of up to `size` rows, else one for each pair of its blocks, so that
+    every two rows of a key meet and a unit stays bounded."""
+    counts = stored(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(
+        key, F.ceil(F.col("_n") / F.lit(size)).alias("_blocks")), "unit-blocks")
+    placed = rows.join(counts, key).withColumn("_own", F.pmod(F.xxhash64("doc_id"), F.col("_blocks"))).withColumn(
+        "_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+    return placed.select(F.xxhash64(key, F.least("_own", "_other"), F.greatest("_own", "_other")).alias("unit"), *keep)
+
+
+def _open_rows(shared: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of shared prefix shingles that may still connect two groups.
+
+    Two similar sets have at least needed(m, n) - max(ceil(3m/4), ceil(3n/4)) + 1 common shingles in both prefixes, because what is
+    not common there must lie behind the prefix that ends first. So a row stays only if its shingle has a document
+    of another group, of a length that fits, and if both have that many shared prefix shingles."""
+    held = shared.groupBy("doc_id").agg(F.count(F.lit(1)).alias("held"))
+    info = stored(held.join(known.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        "doc_id", "held", F.coalesce("component", "doc_id").alias("group")), "shared-documents")
+    placed = stored(shared.join(info, "doc_id"), "placed")
+    mixed = stored(placed.groupBy("shingle").agg(F.min("group").alias("x"), F.max("group").alias("y")).where(
+        "x <> y").select("shingle"), "mixed")
+    rows = stored(placed.join(mixed, "shingle"), "open")
+    one, two = rows.alias("one"), rows.select("shingle", "group", "n", "held").alias("two")
+    m, n = F.col("one.n"), F.col("two.n")
+    common = F.ceil(3 * (m + n) / 7) - F.ceil(F.greatest(m, n) * 0.75) + 1
+    return stored(one.join(two, (F.col("one.shingle") == F.col("two.shingle")) & (F.col("one.group") != F.col("two.group"))
+                           & (m * 4 >= n * 3) & (n * 4 >= m * 3) & (common <= F.least("one.held", "two.held")), "left_semi"), "open-rows")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -257,42 +324,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         order[r["place"]] = r["docs"]
 
     rows = scanned.where("n IS NOT NULL")
-    first = F.min(F.struct("doc_id", "n", "sketch"))
-    classes = stored(rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(first.alias("f")).select(
-        "digest", F.col("f.doc_id").alias("rep"), F.col("f.n").alias("n"), F.col("f.sketch").alias("sketch")), "classes")
-    members = stored(rows.select("doc_id", "n", "digest").join(classes.select("digest", "rep"), "digest", "left").select(
-        "doc_id", "n", "rep"), "members")
+    classes = stored(rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
+    members = stored(rows.select("doc_id", "n", "digest").join(classes, "digest", "left").select("doc_id", "n", "rep"), "members")
 
     entries = prefix_entries(docs, order)
     shared = stored(entries.withColumn("docs", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).where("docs > 1").select(
-        "shingle", "doc_id"), "shared")
-    shared = shared.join(members.where("doc_id IS NOT NULL").select("doc_id", "rep").distinct(), "doc_id").select("shingle", "rep").distinct()
-    shared = stored(shared, "shared-classes")
-    often = stored(shared.groupBy("shingle").agg(F.count(F.lit(1)).alias("reps")).where("reps > 1"), "often")
-    shared = stored(shared.join(often.select("shingle"), "shingle").join(classes.select("rep", "n"), "rep"), "candidates")
-
-    sets = stored(class_sets(docs, shared.select("rep").distinct()), "sets")
-    held = sets.count()
-    links = stored(join_chunks(_home_chunks(shared), sets, 2 * held), "links-1")
-    known = stored(components(links), "components-1")
-
-    placed = stored(shared.join(known, F.col("rep") == F.col("node"), "left").select(
-        "shingle", "rep", "n", F.coalesce("component", "rep").alias("component")), "placed")
-    mixed = stored(placed.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where(
-        "x <> y").select("shingle"), "mixed")
-    open_rows = stored(placed.join(mixed, "shingle"), "open")
-    one, two = open_rows.alias("one"), open_rows.alias("two")
-    pairs = one.join(two, (F.col("one.shingle") == F.col("two.shingle")) & (F.col("one.component") < F.col("two.component"))
-                     & (F.col("one.n") * 4 >= F.col("two.n") * 3) & (F.col("two.n") * 4 >= F.col("one.n") * 3)).select(
-        F.col("one.rep").alias("a"), F.col("two.rep").alias("b")).distinct()
-    pairs = stored(_sketch_filter(stored(pairs, "pairs"), classes), "close-pairs")
-    chunk = F.xxhash64("a", F.pmod(F.xxhash64("b"), F.ceil(F.col("size") / F.lit(CHUNK))))
-    sizes = stored(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("size")), "pair-sizes")
-    chunked = stored(pairs.join(sizes, "a").select("a", "b", chunk.alias("chunk")), "pair-chunks")
-    chunks = chunked.select("chunk", F.col("b").alias("rep")).unionByName(chunked.select("chunk", F.col("a").alias("rep")).distinct())
-    more = stored(join_chunks(chunks, sets, 2 * chunked.count()), "links-2")
-
-    final = stored(components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)), "components-2")
+        "shingle", "doc_id", "n"), "shared")
+    nodes = rows.where("n > 0 AND doc_id IS NOT NULL").join(shared.select("doc_id").distinct(), "doc_id", "left_semi").groupBy(
+        "doc_id").agg(F.max_by(F.struct("n", "sketch"), "n").alias("s"))
+    nodes = stored(nodes.select("doc_id", "s.n", "s.sketch"), "nodes")
+
+    homes = stored(_home_chunks(shared).select(F.col("chunk").alias("unit"), "doc_id", F.col("doc_id").alias("group")), "home-units")
+    copies = members.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).join(
+        nodes.select(F.col("doc_id").alias("a")), "a", "left_semi")
+    near = stored(close_edges(homes, nodes, homes.count()), "close-1").unionByName(copies)
+    open_rows = _open_rows(shared, stored(components(near), "close-components"))
+    units = stored(_block_units(open_rows, "shingle", UNIT, ["doc_id", "group"]), "open-units")
+    near = near.unionByName(stored(close_edges(units, nodes, units.count()), "close-2"))
+
+    groups = stored(components(near).join(nodes.select(F.col("doc_id").alias("node")), "node").select(
+        F.col("node").alias("doc_id"), F.col("component").alias("close")), "close-groups")
+    chunks = stored(_block_units(groups, "close", CHUNK, ["doc_id"]).withColumnRenamed("unit", "chunk"), "close-chunks")
+    sets = stored(class_sets(docs, stored(chunks.select("doc_id").distinct(), "wanted")), "sets")
+    links = stored(join_chunks(chunks, sets, chunks.count()), "links")
+
+    final = stored(components(links.unionByName(copies)), "components")
     return members.join(final, F.col("rep") == F.col("node"), "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "rep")).alias("component_id"))

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from runlens.llm.common import stored
+from runlens.llm.common import slices, stored
 from runlens.llm.encode import END_ID, TOKENIZER, encoder
 
 CAPACITY = 4096
@@ -131,7 +131,7 @@ def cut_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKEN
         from pyspark import TaskContext
         part, enc = TaskContext.get().partitionId(), encoder(tokenizer)
         made = np.zeros(capacity + 1, dtype=np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"]):
                 raw = enc.as_u4(enc.many([text or ""], end_id)[0])

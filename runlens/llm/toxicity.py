@@ -35,7 +35,7 @@ CHOSEN = 2048            # places kept at most
 SIGNIFICANT = 6.63       # chi-square at a chance of 1 in 100
 FACTORS = 8
 EPOCHS, STEPS = 12, 1_000   # passes over the sample, and steps at least (a small sample gets more passes)
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
 TRIM = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "«»“”‘’…–—¡¿"
 
 
