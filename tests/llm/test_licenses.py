@@ -53,3 +53,41 @@ def test_null_id_and_empty(spark, make_docs):
     got = scan_licenses(make_docs([(None, "Licensed under CC BY-NC 4.0."), (None, None)])).collect()
     assert sorted(r["n_words"] for r in got) == [0, 7] and {r["labels"] for r in got} == {"cc-by-nc"}     # rows of one id share labels
     assert scan_licenses(make_docs([])).count() == 0
+
+
+def wrapped_brute(text):
+    """Labels and the largest share over paragraphs and over windows of 1.5 times the template's words."""
+    lines, paragraphs = [WORD.findall(x) for x in lower(text).split("\n")], [[]]
+    for words in lines:
+        paragraphs = paragraphs + [[]] if not words else [*paragraphs[:-1], paragraphs[-1] + words]
+    run, met = sum(lines, []), {}
+    for label, template in TEMPLATES:
+        want, n = set(template_words(template)), -(-3 * len(WORD.findall(lower(template))) // 2)
+        blocks = paragraphs + [run[k: k + n] for k in range(max(1, len(run) - n + 1))]
+        share = max(len(want & set(b)) / len(want) for b in blocks)
+        if share >= 0.9 - 1e-9:
+            met[label] = max(met.get(label, 0), share)
+    return ",".join(sorted(met)), max(met.values(), default=0.0)
+
+
+def test_wrapped_notices_agree_with_brute_force(spark, make_docs):
+    rng, rows, wrapped = random.Random(7), [], {}
+    for k, (label, text) in enumerate(TEMPLATES):
+        words = text.split()
+        for j, (mark, per) in enumerate([(" * ", 9), ("# ", 5), ("rem ", 7), ("", 3)]):
+            body = "\n".join(mark + " ".join(words[a: a + per]) for a in range(0, len(words), per))
+            wrapped[10 * k + j] = label
+            rows.append((10 * k + j, "int main;\n" * rng.randint(0, 60) + body + "\nthe end of it" * rng.randint(0, 60)))
+    for i in range(200):
+        words = rng.choice(TEMPLATES)[1].split()
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(len(words))] = rng.choice(["foo", "bar"])
+        gap = [w + rng.choice([" ", "\n", " x ", "\n\n", " \n * \n", " a b c "]) if rng.random() < 0.5 else w + " " for w in words]
+        rows.append((1000 + i, "to the\n" * rng.randint(0, 40) + "".join(gap) + "\n\nand the rest" * rng.randint(0, 40)))
+    got = {r["doc_id"]: (r["labels"], r["score"], r["n_base"], r["base_labels"]) for r in scan_licenses(make_docs(rows)).collect()}
+    for i, text in rows:
+        labels, score = wrapped_brute(text)
+        base = {x for x in got[i][3].split(",") if x}
+        assert got[i][0] == ",".join(sorted({x for x in labels.split(",") if x} | base)), text
+        assert got[i][1] == (1.0 if got[i][2] else score), text
+        assert wrapped.get(i, "") in got[i][0]
