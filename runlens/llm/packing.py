@@ -2,11 +2,12 @@
 
 Texts are encoded whole; a document longer than the capacity is cut into full pieces and a rest. All
 pieces of one length are alike, so the packing problem is the histogram of lengths: at most `capacity`
-counts, however many documents there are. The solver takes the largest length left, and searches the fillings
-of the space beside it by branch and bound: larger pieces come first, so a filling in which a piece could
-be replaced by a larger one comes after its better form and never displaces it, branches that can't beat the
-least waste so far are cut, and the best-fit filling is the first incumbent. The filling is used for as many sequences at
-once as the counts allow, so the plan has a few thousand lines at any size.
+counts, however many documents there are. The best-fit-decreasing plan is the first incumbent; where it needs no more
+sequences than a lower bound (total length, and large pieces that can't share a sequence) it is returned. Else a
+branch and bound takes the largest length left, and branches over the fillings of the space beside it that no
+single larger piece improves, the one of least waste first, each for as many sequences as the counts allow and for
+one; states that the bound or an equal earlier state rules out are cut. Without a limit it is exhaustive; after
+PLAN_STATES further choices, or with more fillings than SEARCH_NODES reach, the best plan so far holds.
 
 Spark does the rest: pieces are numbered within their length (counts by task, added up, plus the place in the
 task; no length is numbered by one task), and a piece's number tells its line of the plan, its sequence and
@@ -18,7 +19,10 @@ empty table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
+from bisect import bisect_left, bisect_right, insort
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +35,7 @@ from runlens.llm.encode import END_ID, TOKENIZER, encoder
 
 CAPACITY = 4096
 SEARCH_NODES = 4000      # nodes of one search for a filling; the incumbent holds beyond
+PLAN_STATES = 2000       # choices of the search for a plan besides the first of each state
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -71,25 +76,144 @@ def best_filling(room: int, counts: np.ndarray, nodes: int = SEARCH_NODES) -> li
     return [size for size, k in best for _ in range(k)]
 
 
-def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = SEARCH_NODES) -> list[tuple[list[int], int]]:
+def fillings(room: int, counts: np.ndarray, waste: int, nodes: int = SEARCH_NODES) -> list[list[int]]:
+    """Fillings of `room` that leave at most `waste`, no piece can be added to and no piece be replaced by a larger
+    one in; least waste first."""
+    counts = counts[: room + 1].copy()
+    sizes = np.flatnonzero(counts).tolist()
+    reach = np.cumsum(counts * np.arange(room + 1)).tolist()
+    found: list[tuple[int, list[int]]] = []
+    stack: list[tuple[int, int]] = []
+    tried = 0
+
+    def search(left: int, below: int) -> None:
+        """Add lengths of sizes[:below] to the stack."""
+        nonlocal tried
+        if left <= waste and not counts[: left + 1].any() and not any(counts[x + 1: x + left + 1].any() for x, _ in stack):
+            found.append((left, [x for x, k in stack for _ in range(k)]))
+        for at in range(min(below, bisect_right(sizes, left)) - 1, -1, -1):
+            size = sizes[at]
+            if left - reach[size] > waste:
+                return
+            for k in range(min(int(counts[size]), left // size), 0, -1):
+                tried += 1
+                if tried > nodes:
+                    return
+                stack.append((size, k))
+                counts[size] -= k
+                search(left - k * size, at)
+                counts[size] += k
+                stack.pop()
+
+    search(room, len(sizes))
+    return [x for _, x in sorted(found, key=lambda f: f[0])]
+
+
+def least_sequences(counts: np.ndarray, capacity: int) -> int:
+    """A lower bound: no two pieces above half share a sequence, and pieces from k on find no room beside those above
+    capacity - k."""
+    n, total, half = np.cumsum(counts), np.cumsum(counts * np.arange(capacity + 1)), capacity // 2
+    k = np.arange(half + 1)
+    alone, large = n[capacity] - n[capacity - k], n[capacity - k] - n[half]
+    free = large * capacity - (total[capacity - k] - total[half])
+    small = total[half] - np.where(k > 0, total[k - 1], 0)
+    return int((alone + large + np.maximum(0, -((free - small) // capacity))).max())
+
+
+def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
+    """The best-fit-decreasing plan; sequences that are filled alike are one line."""
+    by_room: dict[int, list[tuple[list[int], int]]] = {}
+    rooms: list[int] = []
+
+    def put(lengths: list[int], times: int, room: int) -> None:
+        if times:
+            if room not in by_room:
+                insort(rooms, room)
+            by_room.setdefault(room, []).append((lengths, times))
+
+    for size in np.flatnonzero(counts)[::-1].tolist():
+        left = int(counts[size])
+        while left:
+            at = bisect_left(rooms, size)
+            room = rooms[at] if at < len(rooms) else capacity
+            lengths, times = by_room[room].pop() if at < len(rooms) else ([], left)
+            if at < len(rooms) and not by_room[room]:
+                del by_room[room], rooms[at]
+            k = room // size
+            full = min(times, left // k)
+            put(lengths + [size] * k, full, room - k * size)
+            left -= full * k
+            if times > full and lengths:
+                rest = min(left, k - 1)
+                put(lengths + [size] * rest, 1, room - rest * size)
+                put(lengths, times - full - 1, room)
+                left -= rest
+            elif not lengths and left:
+                put([size] * left, 1, room - left * size)
+                left = 0
+    return [line for lines in by_room.values() for line in lines]
+
+
+def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = SEARCH_NODES,
+                 states: int = PLAN_STATES) -> list[tuple[list[int], int]]:
     """Lines of the plan: lengths in a sequence, and how many sequences are filled so."""
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in histogram.items():
         counts[length] += n
-    plan = []
-    for first in range(capacity, 0, -1):
-        while counts[first]:
-            counts[first] -= 1
-            lengths = [first] + best_filling(capacity - first, counts, nodes)
-            counts[first] += 1
-            used: dict[int, int] = {}
-            for x in lengths:
-                used[x] = used.get(x, 0) + 1
-            times = min(int(counts[x]) // k for x, k in used.items())
-            for x, k in used.items():
+    sizes = np.arange(capacity + 1)
+    best, bound = best_fit(counts, capacity), least_sequences(counts, capacity)
+    most = sum(times for _, times in best)
+
+    def choices(used: int) -> Iterator[tuple[list[int], int]]:
+        first = int(np.flatnonzero(counts)[-1])
+        counts[first] -= 1
+        lead = best_filling(capacity - first, counts, nodes)
+        counts[first] += 1
+        yield [first, *lead], 0
+        yield [first, *lead], 1
+        counts[first] -= 1
+        others = fillings(capacity - first, counts, (most - 1 - used) * capacity - int((counts * sizes).sum()) - first, nodes)
+        counts[first] += 1
+        for lengths in others:
+            if lengths != lead:
+                yield [first, *lengths], 0
+                yield [first, *lengths], 1
+
+    lines: list[tuple[list[int], int]] = []
+    seen: dict[bytes, int] = {}
+    used, tried, stack = 0, 0, [choices(0)] if most > bound else []
+    fresh = True
+    while stack and most > bound and tried < states:
+        choice = next(stack[-1], None)
+        tried, fresh = tried + (not fresh), False
+        if choice is None:
+            stack.pop()
+        else:
+            lengths, once = choice
+            each = Counter(lengths)
+            times = min(int(counts[x]) // k for x, k in each.items())
+            if once and times == 1:
+                continue
+            times = 1 if once else times
+            for x, k in each.items():
                 counts[x] -= k * times
-            plan.append((lengths, times))
-    return plan
+            lines.append((lengths, times))
+            used += times
+            state = hashlib.blake2b(counts.tobytes(), digest_size=16).digest()
+            if not counts.any():
+                if used < most:
+                    best, most = lines.copy(), used
+            elif used + least_sequences(counts, capacity) < most and seen.get(state, most) > used:
+                seen[state] = used
+                stack.append(choices(used))
+                fresh = True
+                continue
+        if lines:
+            lengths, times = lines.pop()
+            for x, k in Counter(lengths).items():
+                counts[x] += k * times
+            used -= times
+    return best
 
 
 class Placement:

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from runlens.llm.encode import Encoder
-from runlens.llm.packing import Placement, best_filling, pack_documents, plan_packing
+from runlens.llm.packing import Placement, best_filling, best_fit, least_sequences, pack_documents, plan_packing
 from runlens.llm.token_files import EliasFano, TokenFile, pack_file, read_documents, write_files
 
 
@@ -80,6 +80,57 @@ def test_plan_uses_every_piece_once():
     assert used.max() == 1 and ((np.diff(used, axis=1) <= 0).all())
 
 
+@pytest.mark.parametrize("histogram, most", [({1024: 10, 1433: 12, 1843: 6}, 10), ({1024: 1000, 1433: 1200, 1843: 600}, 1000),
+                                             ({1000: 1000, 1200: 1000, 600: 1000}, 749), ({4096: 3, 2049: 5, 2047: 5}, 8)])
+def test_plan_is_no_worse_than_best_fit(histogram, most):
+    plan = plan_packing(histogram)
+    counts = np.bincount(list(histogram), list(histogram.values()), 4097).astype(np.int64)
+    used = sum(n for _, n in plan)
+    assert least_sequences(counts, 4096) <= used <= sum(n for _, n in best_fit(counts, 4096))
+    assert {x: sum(line.count(x) * n for line, n in plan) for x in histogram} == histogram
+    assert all(sum(line) <= 4096 for line, _ in plan) and used <= most
+
+
+def fewest(lengths, capacity):
+    """Exact number of sequences, by sets of pieces."""
+    best = {0: (1, 0)}
+    for have in range(1, 1 << len(lengths)):
+        options = []
+        for i, x in enumerate(lengths):
+            if have >> i & 1:
+                n, filled = best[have & ~(1 << i)]
+                options.append((n, filled + x) if filled + x <= capacity else (n + 1, x))
+        best[have] = min(options)
+    return best[(1 << len(lengths)) - 1][0]
+
+
+def plain_best_fit(lengths, capacity):
+    rooms = []
+    for x in sorted(lengths, reverse=True):
+        fit = min((r for r in rooms if r >= x), default=None)
+        if fit is not None:
+            rooms.remove(fit)
+        rooms.append((capacity if fit is None else fit) - x)
+    return len(rooms)
+
+
+def test_plan_is_optimal_on_small_cases():
+    rng, harder = random.Random(9), 0
+    for _ in range(400):
+        lengths = [rng.randint(5, 24) for _ in range(rng.randint(2, 10))]
+        counts = np.bincount(lengths, minlength=31)
+        plan = plan_packing({x: lengths.count(x) for x in lengths}, 30)
+        assert sorted(x for line, n in plan for x in line * n) == sorted(lengths) and all(sum(x) <= 30 for x, _ in plan)
+        assert sum(n for _, n in best_fit(counts, 30)) == plain_best_fit(lengths, 30)
+        least = fewest(lengths, 30)
+        assert least_sequences(counts, 30) <= least == sum(n for _, n in plan), lengths
+        harder += plain_best_fit(lengths, 30) > least
+    assert harder
+    for _ in range(200):
+        lengths = [rng.randint(1, 30) for _ in range(rng.randint(50, 300))]
+        assert sum(n for _, n in best_fit(np.bincount(lengths, minlength=31), 30)) == plain_best_fit(lengths, 30)
+
+
 def test_packing_is_gapless_and_whole(spark, make_docs, hard_rows, enc):
     got = pack_documents(make_docs(hard_rows, clash=True)).toPandas()
     whole = got.assign(known=got.doc_id.notna()).groupby(["known", got.doc_id.fillna(0), "start"]).size()
