@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from runlens.llm.common import read_table
 from runlens.llm.embedding_dedup import near_duplicate_vectors
@@ -16,9 +17,11 @@ from runlens.llm.mixing import draw
 from runlens.llm.ngram_join import near_duplicates
 from runlens.llm.packing import pack_documents
 from runlens.llm.pii import personal_data
+from runlens.llm.quality import quality
 from runlens.llm.sharding import shard_documents
 from runlens.llm.token_files import read_documents, write_files
 from runlens.llm.toxicity import toxicity
+from runlens.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -142,3 +145,13 @@ f AS (SELECT r.doc_id, r.leaf, subs.subroot, top.root, coalesce(path.proof, sha2
 SELECT *, folded_root = root AS verified FROM f""")
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify(read_table(spark, sf_dir, "documents"))
+
+
+@query("op12_pairwise_quality")
+def op12_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query("op13_qd_whitening")
+def op13_qd_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
