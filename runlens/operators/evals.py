@@ -1,14 +1,16 @@
 """Rule evals, layer 3 (C1-C17), for every session and every enabled config at once.
 
-Plan: configs are data. Distinct (workflow, agent pattern, match strategy) filter groups are
-matched against the traces in one broadcast join (the fan-out per trace is bounded by the number
-of filter groups of its workflow), and ONE aggregate per (session, filter group) computes every
-statistic any metric needs. Session x config rows then pick their statistics with a left join
-and a `when(metric = ...)` chain computes score, pass mark and detail. No per-config scan.
+Plan: configs are data. Each scope (tenant and workflow, one of them, or neither) holds the array of its distinct filter
+groups (agent pattern, match strategy); a trace looks its scopes up in broadcast tables, keeps the groups that
+its agent matches, and is expanded by these only. ONE aggregate per (session, filter group) computes every
+statistic any metric needs (C8's agents included, under a group of their own). Session x config rows, found by the same
+scope lookup, then pick their statistics with a left join, and a `when(metric = ...)` chain gives the raw score, which is
+rounded once, pass mark and detail. No per-config scan.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -57,17 +59,59 @@ def resolve_configs(configs: DataFrame) -> DataFrame:
     )
 
 
-def trace_stats(traces: DataFrame, groups: DataFrame, extra: list[Column] | None = None) -> DataFrame:
-    """One aggregate per (session, filter group) with everything C1-C5, C9 and custom metrics need."""
-    g = F.broadcast(groups.withColumn("_g_key", _scope_key("_g_tenant", "_g_wf")))      # made from config rows
-    t = _scoped(traces)
-    m = t.join(g, (t["_scope"] == g["_g_key"]) & agent_matches(t["agent"], g["_g_pattern"], g["_g_match"]))
+COVERAGE = 0      # the filter group of C8: every trace, for the required agents only
+
+
+def _scoped_items(df: DataFrame, scopes: list[tuple[str | None, str | None, list]], item: str, name: str = "_items") -> DataFrame:
+    """`df` with the array of the items of all scopes (tenant, workflow, items) that apply to a row; a null tenant or
+    workflow of a scope stands for every one. Scopes come from config rows, so their tables are bounded and broadcast."""
+    found = []
+    for k, keys in enumerate([[], ["workflow_id"], ["tenant_id"], ["tenant_id", "workflow_id"]]):
+        own = [(t, w, items) for t, w, items in scopes if (t is not None) == ("tenant_id" in keys) and (w is not None) == ("workflow_id" in keys)]
+        if not own:
+            continue
+        if not keys:
+            text = json.dumps([dict(zip(_fields(item), i)) for _, _, items in own for i in items])
+            found.append(F.from_json(F.lit(text), f"array<struct<{item}>>"))
+            continue
+        table = df.sparkSession.createDataFrame(own, f"_t string, _w string, _found{k} array<struct<{item}>>")
+        same = [df[c] == table["_t" if c == "tenant_id" else "_w"] for c in keys]
+        df = df.join(F.broadcast(table), same, "left").drop("_t", "_w")
+        found.append(F.coalesce(f"_found{k}", F.array().cast(f"array<struct<{item}>>")))
+    none = F.array().cast(f"array<struct<{item}>>")
+    return df.withColumn(name, F.concat(none, *found)).drop(*[f"_found{k}" for k in range(4)])
+
+
+def _fields(item: str) -> list[str]:
+    return [x.split(":")[0] for x in item.split(",")]
+
+
+def trace_stats(traces: DataFrame, groups: list[tuple], extra: list[Column] | None = None, params: DataFrame | None = None,
+                coverage: bool = False) -> DataFrame:
+    """One aggregate per (session, filter group) with everything C1-C5, C8, C9 and custom metrics need. `groups` are
+    (tenant, workflow, gid, pattern, match)."""
+    item = "gid:bigint,pattern:string,match:string"
+    scopes: dict = {}
+    for tenant, workflow, *group in groups:
+        scopes.setdefault((tenant, workflow), []).append(tuple(group))
+    t = _scoped_items(traces, [(*k, v) for k, v in scopes.items()], item)
+    own = F.filter("_items", lambda g: agent_matches(F.col("agent"), g["pattern"], g["match"]))
+    ids = F.transform(own, lambda g: g["gid"])
+    if coverage:
+        t = attach_params(t, params)
+        ids = F.when(F.size("required_agents") > 0, F.array_append(ids, F.lit(COVERAGE).cast("long"))).otherwise(ids)
+    m = t.withColumn("_gid", F.explode(ids))
     step = F.coalesce(F.col("step_type"), F.lit(""))
     out = F.coalesce(F.col("outcome"), F.lit(""))
     tool = step == "tool_call"
     tname = F.regexp_replace(F.coalesce(F.col("tool_name"), F.lit("")), r"^\s+|\s+$", "")
     llm_ok = (((step == "llm_call") & (out == "success"))
               | (step.isin("agent_message", "decision") & ~out.isin("", "error")))
+    seen = F.lit(None).cast("array<string>").alias("_agents")
+    if coverage:     # only required names are collected, so the set is bounded by the config, not by the agents of a session
+        name = F.array(F.lower(F.coalesce(F.col("agent"), F.lit(""))))
+        seen = F.array_distinct(F.flatten(F.collect_set(F.when(
+            F.col("_gid") == COVERAGE, F.filter("required_agents", lambda a: agent_seen(name, a)))))).alias("_agents")
     return m.groupBy(*K, "_gid").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(~outcome_is("error") & ~F.col("step_type").eqNullSafe(F.lit("error"))).alias("n_ok"),
@@ -77,20 +121,35 @@ def trace_stats(traces: DataFrame, groups: DataFrame, extra: list[Column] | None
         F.sum(toks()).alias("tokens"),
         F.coalesce(F.bool_or(F.col("created_at").isNull()), F.lit(False)).alias("ts_missing"),
         F.min("created_at").alias("first_at"),
-        F.coalesce(F.bool_or(llm_ok), F.lit(False)).alias("llm_ok"),
+        F.coalesce(F.bool_or(llm_ok), F.lit(False)).alias("llm_ok"), seen,
         *(extra or []),
     )
 
 
-def session_numbers(sessions: DataFrame) -> Column:
-    """A name -> value map over the numeric session columns (fields named by config)."""
-    num = [f.name for f in sessions.schema.fields
-           if isinstance(f.dataType, (T.IntegerType, T.LongType, T.DoubleType, T.FloatType, T.ShortType,
-                                      T.DecimalType, T.BooleanType))]
-    if not num:
-        return F.create_map().cast(T.MapType(T.StringType(), T.DoubleType()))
-    return F.map_from_arrays(F.array(*[F.lit(n) for n in num]),
-                             F.array(*[F.col(n).cast("double") for n in num]))
+# Texts that Python's float() reads as a number.
+NUMBER_TEXT = r"(?i)^\s*[+-]?((\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)(e[+-]?\d+(_\d+)*)?|inf(inity)?|nan)\s*$"
+
+
+def session_numbers(sessions: DataFrame, asked: set[str]) -> tuple[Column, Column]:
+    """A name -> value map over the session columns in `asked`, and the names whose value is no number. Text is read as a number where it is one; null, empty and false count as 0; a time, a list or
+    other text is no number."""
+    values, bad = [], []
+    for f in sessions.schema.fields:
+        c, kind = F.col(f.name), f.dataType
+        if f.name not in asked:
+            continue
+        if isinstance(kind, (T.NumericType, T.BooleanType)):
+            values.append((f.name, c.cast("double")))
+        elif isinstance(kind, T.StringType):
+            number = F.regexp_like(c, F.lit(NUMBER_TEXT))
+            values.append((f.name, F.when(number, F.replace(F.trim(c), F.lit("_"), F.lit("")).try_cast("double"))))
+            bad.append(F.when((c != "") & ~number, F.lit(f.name)))
+        else:
+            filled = F.size(c) > 0 if isinstance(kind, (T.ArrayType, T.MapType)) else c.isNotNull()
+            bad.append(F.when(filled, F.lit(f.name)))
+    numbers = F.map_from_arrays(F.array(*[F.lit(n) for n, _ in values]), F.array(*[v for _, v in values])) if values \
+        else F.create_map().cast(T.MapType(T.StringType(), T.DoubleType()))
+    return numbers, F.array_compact(F.array(*bad).cast("array<string>"))
 
 
 @dataclass
@@ -112,43 +171,43 @@ def _json_obj(pairs: list[tuple[Column, Column]]) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *items), F.lit("}"))
 
 
-def _scope_key(tenant: str, workflow: str) -> Column:
-    """A config's scope as one text; null stands for every tenant, every workflow."""
-    part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("*"))
-    return F.concat_ws("\u0001", part(tenant), part(workflow))
+def _figures() -> dict[str, list[tuple[Column, int]]]:
+    """Figures that a metric's detail shows rounded: (value, places)."""
+    first, started = F.unix_micros(F.col("first_at")), F.unix_micros(F.col("_started").cast("timestamp"))
+    num, den = (F.coalesce(F.try_element_at("_nums", F.col(c)), F.lit(0.0)) for c in ("num_field", "den_field"))
+    return {"data_freshness": [(F.abs(first - started) / 60e6, 1)],
+            "cost_anomaly": [(F.col("hist_mean"), 4), (F.col("hist_sd"), 4), (_z_score(), 2)],
+            "session_field_ratio": [(F.when(den != 0, num / den), 3)]}
 
 
-def _scoped(df: DataFrame) -> DataFrame:
-    """Each row under the scopes whose configs apply to it, so config joins stay equi-joins."""
-    own = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("?"))
-    pair = lambda a, b: F.concat_ws("\u0001", a, b)
-    every = F.lit("*")
-    return df.withColumn("_scope", F.explode(F.array(
-        pair(every, every), pair(every, own("workflow_id")), pair(own("tenant_id"), every), pair(own("tenant_id"), own("workflow_id")))))
+def _z_score() -> Column:
+    return F.when(F.col("hist_sd") > 0, (F.col("_cost") - F.col("hist_mean")) / F.col("hist_sd")).otherwise(F.lit(0.0))
 
 
 def _metric_parts(wanted: set[str] | None = None) -> dict[str, EvalParts]:
+    """Raw score (rounded to 2 places afterwards) and detail of each metric; a detail reads the rounded score from
+    `score` and its figures (see `_figures`), rounded, from `_fig0`, `_fig1`, ..."""
     def want(m: str) -> bool:
         return wanted is None or m in wanted
 
     n, n_ok = F.col("n"), F.col("n_ok")
     has = n > 0
     reason = lambda s: _detail(reason=F.lit(s))
+    figure = lambda k: F.col(f"_fig{k}")
     parts = {}
 
     # C1
     if want("agent_presence"):
         parts["agent_presence"] = EvalParts(
-            F.when(has, py_round2(n_ok / n)).otherwise(0.0),
+            F.when(has, n_ok / n).otherwise(0.0),
             F.when(has, _detail(total=n, success=n_ok)).otherwise(reason("no agent traces found")))
 
     # C2
     nt, nto = F.col("n_tool"), F.col("n_tool_ok")
-    rate = py_round2(nto / nt)
     if want("tool_success_rate"):
         parts["tool_success_rate"] = EvalParts(
-            F.when(nt > 0, rate).otherwise(1.0),
-            F.when(nt > 0, _detail(total=nt, success=nto, failed=nt - nto, rate=rate))
+            F.when(nt > 0, nto / nt).otherwise(1.0),
+            F.when(nt > 0, _detail(total=nt, success=nto, failed=nt - nto, rate=F.col("score")))
             .otherwise(reason("no tool calls made")))
 
     # C3
@@ -166,20 +225,19 @@ def _metric_parts(wanted: set[str] | None = None) -> dict[str, EvalParts]:
     tthr = F.col("_tok_thr")
     if want("token_budget"):
         parts["token_budget"] = EvalParts(
-            py_round2(F.greatest(F.lit(0.0), 1.0 - used / (tthr * 2))),
-            _detail(tokens_used=used, threshold=tthr))
+            F.greatest(F.lit(0.0), 1.0 - used / (tthr * 2)), _detail(tokens_used=used, threshold=tthr))
 
     # C5
     mins = F.col("data_freshness_minutes")
-    lag = F.abs(F.unix_micros(F.col("first_at")) - F.unix_micros(F.col("_started").cast("timestamp"))) / 60e6
+    unknown = F.col("_started").isNull() | F.col("ts_missing")
     if want("data_freshness"):
+        lag = _figures()["data_freshness"][0][0]
         parts["data_freshness"] = EvalParts(
-            F.when(~has, 0.0).when(F.col("_started").isNull() | F.col("ts_missing"), 1.0).when(mins == 0, 1.0)
-            .otherwise(py_round2(F.greatest(F.lit(0.0), 1.0 - lag / (mins * 2)))),
+            F.when(~has, 0.0).when(unknown, 1.0).when(mins == 0, 1.0).otherwise(F.greatest(F.lit(0.0), 1.0 - lag / (mins * 2))),
             F.when(~has, reason("no agent traces"))
-            .when(F.col("_started").isNull() | F.col("ts_missing"), reason("timestamps unavailable — assuming fresh"))
+            .when(unknown, reason("timestamps unavailable — assuming fresh"))
             .when(mins == 0, reason("parse error: float division by zero"))
-            .otherwise(_detail(lag_minutes=py_round(lag, 1), threshold_minutes=mins)))
+            .otherwise(_detail(lag_minutes=figure(0), threshold_minutes=mins)))
 
     # C6
     r = F.lower(F.coalesce(F.col("_reason"), F.lit("")))
@@ -195,14 +253,12 @@ def _metric_parts(wanted: set[str] | None = None) -> dict[str, EvalParts]:
             .otherwise(_detail(terminal_reason=r, reason=F.lit("unclassified exit"))))
 
     # C7
-    hn, hm, hsd, cost = F.col("hist_n"), F.col("hist_mean"), F.col("hist_sd"), F.col("_cost")
-    z = F.when(hsd > 0, (cost - hm) / hsd).otherwise(F.lit(0.0))
+    few, cost = F.coalesce(F.col("hist_n"), F.lit(0)) < 5, F.col("_cost")
     if want("cost_anomaly"):
         parts["cost_anomaly"] = EvalParts(
-            F.when(F.coalesce(hn, F.lit(0)) < 5, 1.0)
-            .otherwise(py_round2(F.greatest(F.lit(0.0), 1.0 - F.greatest(F.lit(0.0), z - 1) / 2))),
-            F.when(F.coalesce(hn, F.lit(0)) < 5, _detail(reason=F.lit("insufficient history"), cost_usd=cost))
-            .otherwise(_detail(cost_usd=cost, mean=py_round(hm, 4), stdev=py_round(hsd, 4), z_score=py_round(z, 2),
+            F.when(few, 1.0).otherwise(F.greatest(F.lit(0.0), 1.0 - F.greatest(F.lit(0.0), _z_score() - 1) / 2)),
+            F.when(few, _detail(reason=F.lit("insufficient history"), cost_usd=cost))
+            .otherwise(_detail(cost_usd=cost, mean=figure(0), stdev=figure(1), z_score=figure(2),
                                threshold_sigma=F.col("cost_anomaly_sigma"))))
 
     # C8 (all traces of the session, not only the agent's)
@@ -212,7 +268,7 @@ def _metric_parts(wanted: set[str] | None = None) -> dict[str, EvalParts]:
     miss = F.filter(req, lambda a: ~F.array_contains(seen, a))
     if want("pipeline_coverage"):
         parts["pipeline_coverage"] = EvalParts(
-            F.when(F.size(req) == 0, 1.0).otherwise(py_round2(F.size(hit) / F.size(req))),
+            F.when(F.size(req) == 0, 1.0).otherwise(F.size(hit) / F.size(req)),
             F.when(F.size(req) == 0, reason("no required_agents configured")).otherwise(_detail(present=hit, missing=miss)))
 
     # C9
@@ -230,15 +286,14 @@ def _metric_parts(wanted: set[str] | None = None) -> dict[str, EvalParts]:
     num = F.coalesce(F.try_element_at(nums, F.col("num_field")), F.lit(0.0))
     den = F.coalesce(F.try_element_at(nums, F.col("den_field")), F.lit(0.0))
     thr = F.col("threshold")
-    ratio = num / den
     if want("session_field_ratio"):
         parts["session_field_ratio"] = EvalParts(
             F.when(den == 0, F.when(num == 0, 1.0).otherwise(0.0))
-            .when(thr > 0, py_round2(F.least(F.lit(1.0), ratio / thr))).otherwise(1.0),
+            .when(thr > 0, F.least(F.lit(1.0), num / den / thr)).otherwise(1.0),
             F.when(den == 0, _json_obj([(F.col("num_field"), num), (F.col("den_field"), F.lit(0)),
                                         (F.lit("reason"), F.concat(F.col("den_field"), F.lit(" is 0")))]))
             .otherwise(_json_obj([(F.col("num_field"), num), (F.col("den_field"), den),
-                                  (F.lit("ratio"), py_round(ratio, 3)), (F.lit("threshold"), thr)])))
+                                  (F.lit("ratio"), figure(0)), (F.lit("threshold"), thr)])))
     return parts
 
 
@@ -258,15 +313,14 @@ def run_rule_evals(sessions: DataFrame, traces: DataFrame, eval_configs: DataFra
     spark = sessions.sparkSession
     cfgs = resolve_configs(eval_config_filter(spark.createDataFrame(config_rows(eval_configs), eval_configs.schema), registry))
     rows = cfgs.collect()
-    cfgs = F.broadcast(spark.createDataFrame(rows, cfgs.schema))
     metrics = {r.metric for r in rows}
-    found = sorted({(r._cfg_tenant, r._cfg_wf, r.pattern, r.match) for r in rows}, key=str)
-    groups = spark.createDataFrame(found, "_g_tenant string, _g_wf string, _g_pattern string, _g_match string")
-    groups = groups.withColumn("_gid", F.xxhash64("_g_tenant", "_g_wf", "_g_pattern", "_g_match"))
+    gids = {g: i for i, g in enumerate(sorted({(r._cfg_tenant, r._cfg_wf, r.pattern, r.match) for r in rows}, key=str), 1)}
+    groups = [(t, w, i, pattern, match) for (t, w, pattern, match), i in gids.items()]
 
     if "workflow_id" not in traces.columns:
         traces = traces.join(sessions.select(*K, "workflow_id"), K, "left")
-    stats = trace_stats(traces, groups, registry.trace_aggregates() if registry is not None else None)
+    stats = trace_stats(traces, groups, registry.trace_aggregates() if registry is not None else None, params,
+                        "pipeline_coverage" in metrics)
 
     s = sessions
     if "cost_anomaly" in metrics:
@@ -278,6 +332,9 @@ def run_rule_evals(sessions: DataFrame, traces: DataFrame, eval_configs: DataFra
     else:
         hist_cols = [F.lit(None).cast(t).alias(c) for c, t in
                      [("hist_n", "long"), ("hist_mean", "double"), ("hist_sd", "double")]]
+    custom = registry is not None and registry.has_any()
+    asked = {f for r in rows for f in (r.num_field, r.den_field)}
+    numbers, not_numbers = session_numbers(sessions, asked | (_numeric(sessions) if custom else set()))
     s = s.select(
         *K, "workflow_id", *hist_cols,
         F.col("started_at").alias("_started"),
@@ -286,22 +343,19 @@ def run_rule_evals(sessions: DataFrame, traces: DataFrame, eval_configs: DataFra
         .cast("long").alias("_sess_tokens"),
         F.coalesce(F.col("trades_executed"), F.lit(0)).cast("long").alias("_trades"),
         F.col("terminal_reason").alias("_reason"),
-        session_numbers(sessions).alias("_nums"))
-    s = _scoped(attach_params(s, params))
-
-    sc = s.join(cfgs.withColumn("_cfg_scope", _scope_key("_cfg_tenant", "_cfg_wf")),
-                F.col("_scope") == F.col("_cfg_scope")).drop("_scope", "_cfg_scope")
-    sc = sc.withColumn("_gid", F.xxhash64("_cfg_tenant", "_cfg_wf", "pattern", "match")).join(stats, K + ["_gid"], "left")
-    if "pipeline_coverage" in metrics:
-        # only required names are collected, so the set is bounded by the config, not by the agents of a session
-        name = F.array(F.lower(F.coalesce(F.col("agent"), F.lit(""))))
-        asked = attach_params(traces.select(*K, "workflow_id", "agent"), params)
-        agents = asked.groupBy(*K).agg(F.array_distinct(F.flatten(F.collect_set(
-            F.filter("required_agents", lambda a: agent_seen(name, a))))).alias("_agents"))
-        sc = sc.join(agents, K, "left")
-        agents_col = F.col("_agents")
-    else:
-        agents_col = F.lit(None).cast("array<string>")
+        numbers.alias("_nums"), not_numbers.alias("_no_numbers"))
+
+    # the configs of a session's scopes; C8 reads the group of its own
+    scopes: dict = {}
+    for r in rows:
+        gid = COVERAGE if r.metric == "pipeline_coverage" else gids[r._cfg_tenant, r._cfg_wf, r.pattern, r.match]
+        scopes.setdefault((r._cfg_tenant, r._cfg_wf), []).append((
+            r.config_ord, r.eval_name, r.agent, r._thr0, r.metric, r.threshold_key, r._raw_tkey, r.num_field, r.den_field, gid))
+    item = ("config_ord:int,eval_name:string,agent:string,_thr0:double,metric:string,threshold_key:string,_raw_tkey:string,"
+            "num_field:string,den_field:string,_gid:bigint")
+    sc = _scoped_items(s, [(*k, v) for k, v in scopes.items()], item)
+    sc = sc.select(*[c for c in sc.columns if c != "_items"], F.inline("_items")).join(stats, K + ["_gid"], "left")
+    sc = attach_params(sc, params)
 
     # threshold_key override from the workflow's settings (defaults included)
     tval = setting_value(F.col("threshold_key"))
@@ -312,41 +366,61 @@ def run_rule_evals(sessions: DataFrame, traces: DataFrame, eval_configs: DataFra
     filled = {c: F.coalesce(F.col(c), F.lit(0)) for c in ["n", "n_ok", "n_tool", "n_tool_ok", "tokens"]}
     filled["tool_names"] = F.coalesce(F.col("tool_names"), F.array().cast("array<string>"))
     filled["ts_missing"] = F.coalesce(F.col("ts_missing"), F.lit(False))
-    filled["_agents"] = agents_col
-    keep = [c for c in sc.columns if c not in filled and c != "_agents"]
+    keep = [c for c in sc.columns if c not in filled]
     sc = sc.select(*keep, *[v.alias(k) for k, v in filled.items()],
                    (F.col("threshold_key").isNotNull() & tval.isNotNull() & override.isNull()).alias("_bad_override"),
                    F.coalesce(override, F.col("_thr0")).alias("threshold"),
                    tok_raw.try_cast("double").try_cast("long").alias("_tok_thr"))
+    # a zero budget, a field that is no number or an override that is none raise in the reference, so no row
+    field = lambda c: F.array_contains("_no_numbers", F.col(c))
+    sc = sc.filter(~F.col("_bad_override")
+                   & ~((F.col("metric") == "token_budget") & (F.coalesce(F.col("_tok_thr"), F.lit(0)) == 0))
+                   & ~((F.col("metric") == "session_field_ratio") & (field("num_field") | field("den_field"))))
 
     from runlens.functions.columns import cached
     parts = cached(("metric_parts", frozenset(metrics)), lambda: _metric_parts(metrics))
-    score = None
-    detail = None
-    for metric, p in parts.items():
-        if metric not in metrics:
-            continue
-        cond = F.col("metric") == metric
-        score = F.when(cond, p.score) if score is None else score.when(cond, p.score)
-        detail = F.when(cond, p.detail) if detail is None else detail.when(cond, p.detail)
-    if registry is not None and registry.has_any():
-        for cond, p in registry.branches(F.col("workflow_id"), F.col("eval_name")):
-            c2 = (F.col("metric") == "custom") & cond
-            score = F.when(c2, p[0]) if score is None else score.when(c2, p[0])
-            detail = F.when(c2, p[1]) if detail is None else detail.when(c2, p[1])
-    if score is None:
-        score, detail = F.lit(None).cast("double"), F.lit(None).cast("string")
-    # token_budget passes at 0.5; a zero budget raises in the reference, so no row
-    thr = F.when(F.col("metric") == "token_budget", F.lit(0.5)).otherwise(F.col("threshold"))
-    out = sc.filter(~F.col("_bad_override") & ~((F.col("metric") == "token_budget")
-                                                 & (F.coalesce(F.col("_tok_thr"), F.lit(0)) == 0)))
-    out = out.select(*K, "workflow_id", "config_ord", "eval_name", "agent", "metric", score.cast("double").alias("score"),
-                     thr.alias("threshold"), detail.alias("detail"))
-    out = out.filter(F.col("score").isNotNull())
+    metric = F.col("metric")
+    raw = detail = None
+    for name, p in parts.items():
+        if name in metrics:
+            raw = F.when(metric == name, p.score) if raw is None else raw.when(metric == name, p.score)
+            detail = F.when(metric == name, p.detail) if detail is None else detail.when(metric == name, p.detail)
+    own = registry.branches(F.col("workflow_id"), F.col("eval_name")) if custom else []
+    own_score = F.lit(None).cast("double")
+    for cond, (score, text) in reversed(own):
+        own_score = F.when((metric == "custom") & cond, score).otherwise(own_score)
+    for cond, (_, text) in own:
+        c2 = (metric == "custom") & cond
+        detail = F.when(c2, text) if detail is None else detail.when(c2, text)
+    none = F.lit(None)
+    sc = sc.withColumn("_raw", (none if raw is None else raw).cast("double")).withColumn("_own", own_score)
+    figures = {m: f for m, f in _figures().items() if m in metrics}
+    shown = max([len(f) for f in figures.values()], default=0)
+    places = [[(m, f[k]) for m, f in figures.items() if k < len(f)] for k in range(shown)]
+    for k, values in enumerate(places):
+        c = none.cast("double")
+        for m, (v, _) in values:
+            c = F.when(metric == m, v).otherwise(c)
+        sc = sc.withColumn(f"_show{k}", c)
+    rounded = {"score": F.coalesce("_own", py_round2(F.col("_raw")))}
+    for k, values in enumerate(places):
+        c = none.cast("double")
+        for m, (_, digits) in values:
+            c = F.when(metric == m, py_round(F.col(f"_show{k}"), digits)).otherwise(c)
+        rounded[f"_fig{k}"] = c
+    # known metrics always have a score; a filter on the rounded one would be pushed down with all of its expression
+    sc = sc.filter((metric != "custom") | F.col("_own").isNotNull()).withColumns(rounded)
+    thr = F.when(metric == "token_budget", F.lit(0.5)).otherwise(F.col("threshold"))       # token_budget passes at 0.5
+    out = sc.select(*K, "workflow_id", "config_ord", "eval_name", "agent", "metric", "score", thr.alias("threshold"),
+                    (none if detail is None else detail).cast("string").alias("detail"))
     return out.select(*K, "workflow_id", "config_ord", "eval_name", "agent", "metric", "score",
                       (F.col("score") >= F.col("threshold")).alias("passed"), "threshold", "detail")
 
 
+def _numeric(df: DataFrame) -> set[str]:
+    return {f.name for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.BooleanType))}
+
+
 def eval_rows(evals: DataFrame, tenant_id: str | None = None, workflow_id: str | None = None) -> DataFrame:
     """Stored form; score rounded to 3, layer 3, tenant/workflow only when given."""
     out = evals.withColumn("score", py_round(F.col("score"), 3)).withColumn("layer", F.lit(3))

@@ -32,10 +32,34 @@ def stream_dedupe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     dup = duplicated_traces(load_traces(spark, sf_dir))
     dup.repartition(8, F.xxhash64("event_id", "arrived_at")).write.parquet(stage)
     src = spark.readStream.schema(dup.schema).option("maxFilesPerTrigger", 1).parquet(stage)
-    out = stream_dedupe_spans(src, scratch_path(spark, "dedupe-out"), scratch_path(spark, "dedupe-ckpt"))
+    out = stream_dedupe_spans(src, scratch_path(spark, "dedupe-out"), scratch_path(spark, "dedupe-ckpt"), buckets=8)
     return out.select(*K, "span_id", "event_id")
 
 
+RETRIES_SQL = with_sql(TRACES_SQL, """
+r AS (SELECT *, CASE WHEN event_id % 50 = 1 THEN '' ELSE span_id END AS sid FROM traces)
+SELECT tenant_id, session_id, sid AS span_id, event_id, CAST(created_at AS DATE) AS day FROM r
+UNION ALL
+SELECT tenant_id, session_id, sid, event_id, CAST(created_at + INTERVAL 1 DAY AS DATE) FROM r WHERE event_id % 10 = 1 AND sid = ''""")
+
+
+@query("stream_dedupe_retries", RETRIES_SQL)
+def stream_retries_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans in three micro-batches, then every tenth of them again, stamped a day later, in two more. A retry lands once, whatever
+    its date; the first stored arrival stays; spans with a blank id all stay."""
+    from runlens.streaming.spans import scratch_path, stream_dedupe_spans
+    stage = scratch_path(spark, "retries-in")
+    t = load_traces(spark, sf_dir).withColumn("arrived_at", F.col("created_at")).withColumn(
+        "span_id", F.when(F.col("event_id") % 50 == 1, "").otherwise(F.col("span_id")))
+    again = t.where(F.col("event_id") % 10 == 1).withColumn("created_at", F.col("created_at") + F.expr("INTERVAL 1 DAY"))
+    for rows, parts in ((t, 3), (again, 2)):
+        for k in range(parts):                          # one file for each micro-batch
+            rows.where(F.pmod(F.xxhash64("event_id"), F.lit(parts)) == k).coalesce(1).write.mode("append").parquet(stage)
+    src = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(stage)
+    out = stream_dedupe_spans(src, scratch_path(spark, "retries-out"), scratch_path(spark, "retries-ckpt"), buckets=8)
+    return out.select(*K, "span_id", "event_id", F.to_date("created_at").alias("day"))
+
+
 RUN_SQL = _sql("inc AS (" + incidents_sql(
     "tenant_id, session_id, pattern_name, severity, CAST(printf('%.4f', cost_wasted) AS DOUBLE) AS cost_wasted, tokens_wasted, frame_count")
     + ")\nSELECT * FROM inc")
@@ -70,16 +94,48 @@ def stream_closed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("write_incidents", RUN_SQL)
 def write_incidents_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incidents appended to a tenant-partitioned table and read back."""
+    """Incidents stored and read back; the second write leaves the table as it is."""
+    return _written_incidents(spark, sf_dir).select(*K, "pattern_name", "severity", "cost_wasted", "tokens_wasted", "frame_count")
+
+
+def _written_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     from runlens.operators.detectors import run_detectors
-    from runlens.sources.sinks import write_incidents
+    from runlens.sources.sinks import read_stored, write_incidents
     from runlens.streaming.spans import scratch_path
     traces, sessions = _inputs(spark, sf_dir)
     d = run_detectors(traces, sessions)
     path = scratch_path(spark, "incidents")
-    write_incidents(d.incidents, path, d.frames)
-    inc = spark.read.parquet(f"{path}/incidents")
-    return inc.select(*K, "pattern_name", "severity", "cost_wasted", "tokens_wasted", "frame_count")
+    for _ in range(2):
+        write_incidents(d.incidents, path, d.frames, buckets=8)
+    return read_stored(spark, f"{path}/incidents")
+
+
+def _id_sql(*parts: str) -> str:
+    h = "md5(concat_ws(chr(31), " + ", ".join(f"coalesce(CAST({p} AS VARCHAR), chr(0))" for p in parts) + "))"
+    return (f"substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-3' || substr({h}, 14, 3) || '-a' || substr({h}, 18, 3) "
+            f"|| '-' || substr({h}, 21, 12)")
+
+
+@query("upsert_incidents", "SELECT *, " + _id_sql("tenant_id", "session_id", "pattern_name") + " AS id, 'open' AS status FROM (" + RUN_SQL + ")")
+def upsert_incidents_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First an outdated run (other thresholds, half of the sessions), then the right one over all sessions, twice. Its incidents
+    replace the outdated ones, those that are not found any more go, and ids do not depend on the run."""
+    from runlens.operators.config import load_pipeline_config, pipeline_config_rows
+    from runlens.operators.detectors import run_detectors
+    from runlens.sources.sinks import read_stored, write_incidents
+    from runlens.streaming.spans import scratch_path
+    traces, sessions = _inputs(spark, sf_dir)
+    path = scratch_path(spark, "incidents")
+    loose = load_pipeline_config(pipeline_config_rows(spark, {w: {"tool_retry_threshold": 2, "hyperactive_poll_threshold": 2}
+                                                              for w in ("w0", "w1", "w2", "w3")}))
+    half = sessions.where(F.pmod(F.xxhash64("session_id"), F.lit(2)) == 0)
+    old = run_detectors(traces.join(half.select(*K), K, "left_semi"), half, params=loose)
+    write_incidents(old.incidents, path, old.frames, half, buckets=8)
+    now = run_detectors(traces, sessions)
+    for _ in range(2):
+        write_incidents(now.incidents, path, now.frames, sessions, buckets=8)
+    return read_stored(spark, f"{path}/incidents").select(
+        *K, "pattern_name", "severity", "cost_wasted", "tokens_wasted", "frame_count", "id", "status")
 
 
 AGENTS_SQL = with_sql(TRACES_SQL, """
@@ -168,16 +224,37 @@ def _write_evals_sql() -> str:
 
 @query("write_evals", _write_evals_sql())
 def write_evals_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rule evals appended to a tenant-partitioned table (score rounded to 3, layer 3), read back."""
+    """Rule evals stored (score rounded to 3, layer 3) and read back."""
+    return _written_evals(spark, sf_dir).select(*K, "eval_name", "agent", "score", "passed", "threshold", "layer")
+
+
+def _written_evals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An outdated run (no per-workflow settings), then the right one twice."""
     from runlens.operators.evals import run_rule_evals
     from runlens.plans.eval_queries import PIPELINE, STANDARD, config_df, params_df
-    from runlens.sources.sinks import write_evals
+    from runlens.session import cut_lineage
+    from runlens.sources.sinks import read_stored, write_evals
     from runlens.streaming.spans import scratch_path
     traces, sessions = _inputs(spark, sf_dir)
-    ev = run_rule_evals(sessions, traces, config_df(spark, STANDARD), params_df(spark, PIPELINE))
     path = scratch_path(spark, "evals")
-    write_evals(ev, path)
-    return spark.read.parquet(path).select(*K, "eval_name", "agent", "score", "passed", "threshold", "layer")
+    write_evals(run_rule_evals(sessions, traces, config_df(spark, STANDARD)), path, buckets=8)
+    ev = cut_lineage(run_rule_evals(sessions, traces, config_df(spark, STANDARD), params_df(spark, PIPELINE)))
+    for _ in range(2):
+        write_evals(ev, path, buckets=8)
+    return read_stored(spark, path)
+
+
+def _upsert_evals_sql() -> str:
+    from runlens.plans.eval_queries import STANDARD
+    metrics = ", ".join(f"('{c.eval_name}', '{c.metric}')" for c in STANDARD)
+    return (f"WITH m AS (SELECT * FROM (VALUES {metrics}) v(eval_name, metric)), w AS (" + _write_evals_sql() + ")\nSELECT w.*, "
+            + _id_sql("tenant_id", "session_id", "w.eval_name", "agent", "metric", "1") + " AS id FROM w JOIN m ON w.eval_name = m.eval_name")
+
+
+@query("upsert_evals", _upsert_evals_sql())
+def upsert_evals_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evals stored three times (first outdated ones) with their ids."""
+    return _written_evals(spark, sf_dir).select(*K, "eval_name", "agent", "score", "passed", "threshold", "layer", "id")
 
 
 def _closed_evals_sql() -> str:
@@ -215,3 +292,52 @@ def eval_configs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(F.col("agent") == "orchestrator", 4).otherwise(3).alias("layer"),
                     ((F.col("agent") != "orchestrator") | (F.col("tenant_id") == "t0")).alias("enabled"))
     return load_eval_configs(rows, 3, "w1", "t1").drop("enabled")
+
+
+def _judged_late(spark: SparkSession, sf_dir: str, name: str, pipeline: dict | None = None) -> DataFrame:
+    """Spans and close events as they come: every seventh span arrives only after its session was closed and judged, and a
+    tenth of the spans once more on the next day."""
+    from runlens.plans.eval_queries import STANDARD, config_df, params_df
+    from runlens.sources.adapters import sessions_from_traces
+    from runlens.streaming.judge import SessionJudge, stream_judge
+    from runlens.streaming.spans import scratch_path, span_store, stream_arrivals, stream_dedupe_spans
+    traces, sessions = _inputs(spark, sf_dir)
+    spans = traces.withColumn("arrived_at", F.col("created_at"))
+    late = F.col("event_id") % 7 == 3
+    again = spans.where(F.col("event_id") % 10 == 3).withColumn("created_at", F.col("created_at") + F.expr("INTERVAL 1 DAY"))
+    closes = sessions.select(*K, F.col("completed_at").alias("closed_at"))
+    span_in, close_in, store, out, ckpt = (scratch_path(spark, f"late-{x}") for x in ("spans", "closes", "store", "out", "ckpt"))
+
+    def arrive(rows: DataFrame, parts: int) -> None:
+        for k in range(parts):
+            rows.where(F.pmod(F.xxhash64("session_id"), F.lit(parts)) == k).coalesce(1).write.mode("append").parquet(span_in)
+        src = spark.readStream.schema(spans.schema).option("maxFilesPerTrigger", 1).parquet(span_in)
+        stream_dedupe_spans(src, store, f"{ckpt}/spans", buckets=8)
+
+    judge = SessionJudge(span_store(spark, store, spans.schema, 8), out, sessions_from_traces, params_df(spark, pipeline),
+                         config_df(spark, STANDARD), buckets=8)
+
+    def work() -> None:
+        src = spark.readStream.schema(closes.schema).option("maxFilesPerTrigger", 1).parquet(close_in)
+        stream_judge(src, stream_arrivals(spark, store), judge, f"{ckpt}/judge")
+
+    arrive(spans.where(~late), 2)
+    for k in range(2):
+        closes.where(F.pmod(F.xxhash64("session_id"), F.lit(2)) == k).coalesce(1).write.mode("append").parquet(close_in)
+    work()
+    arrive(spans.where(late).unionByName(again), 1)
+    work()
+    return judge.results(name)
+
+
+@query("stream_judge_late", RUN_SQL)
+def judge_late_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions judged at their close and again after late spans; the stored incidents equal the batch run."""
+    return _judged_late(spark, sf_dir, "incidents").select(*K, "pattern_name", "severity", "cost_wasted", "tokens_wasted", "frame_count")
+
+
+@query("stream_judge_late_evals", _closed_evals_sql())
+def judge_late_evals_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2, rule evals after late spans."""
+    from runlens.plans.eval_queries import PIPELINE
+    return _judged_late(spark, sf_dir, "evals", PIPELINE).select(*K, "eval_name", "agent", "score", "passed", "threshold")

@@ -38,9 +38,12 @@ def _jstr(c: Column) -> Column:
 
 
 def _wrap_object(c: Column) -> Column:
-    """B1: a tool output that is not a JSON object is stored as {"value": <output>}."""
+    """B1: a tool output that is not a JSON object is stored as {"value": <output>}; text that is no JSON at all is
+    a string there."""
+    known = F.try_parse_json(c).isNotNull()
     is_obj = F.regexp_like(F.coalesce(c, F.lit("")), F.lit(r"^\s*\{"))
-    return F.when(c.isNull(), F.lit(None)).when(is_obj, c).otherwise(F.concat(F.lit('{"value":'), c, F.lit("}")))
+    value = F.when(known, c).otherwise(_jstr(c))
+    return F.when(c.isNull(), F.lit(None)).when(known & is_obj, c).otherwise(F.concat(F.lit('{"value":'), value, F.lit("}")))
 
 
 def _price(model: Column, ti: Column, to: Column) -> Column:

@@ -1,17 +1,19 @@
-"""Structured Streaming jobs.
+"""Structured Streaming jobs over stored spans.
 
-S1: retried spans land once, however late they come. Each micro-batch is deduplicated in itself, then
-anti-joined with the spans stored by earlier batches; no watermark drops anything and no state grows in
-the executors. The store is partitioned by the span's date, and a retry repeats the span's body, so only the dates
-of the batch are read. Spans without an id all pass.
+S1: retried spans land once, however late they come and whatever time they carry: each micro-batch is deduplicated in
+itself, then anti-joined with the stored spans of the same key buckets (`KeyedTable.add_new`). No watermark drops
+anything, no state grows in the executors, and a batch reads only the live folders of its buckets. Spans without an id
+all pass. The store is bucketed by session, so a job that judges sessions reads their buckets only. For each batch the
+sessions that got spans are listed under `arrivals`, one row each: a stream of its own that follows the commit.
 
 S2: a session is judged once its close event arrives (the client flushes its spans before it
 closes). Each micro-batch of close events is joined to the stored traces and sessions; rule evals and
 detectors run for exactly those sessions. Results carry the batch id, and `latest_results` keeps those of a
-session's last close, so a session that closes twice has one set of results.
+session's last close, so a session that closes twice has one set of results. `streaming.judge` also judges again when
+spans arrive after the close.
 
-Both write each batch into a folder named by the batch id with overwrite, so a retried batch replaces its own
-output (idempotent) and a restarted query resumes from its checkpoint.
+A retried micro-batch is not applied twice (S1) or replaces its own output (S2), and a restarted query resumes from its
+checkpoint.
 """
 
 from __future__ import annotations
@@ -25,35 +27,36 @@ from pyspark.sql import types as T
 from runlens.functions.columns import K
 from runlens.session import ensure_checkpoint_dir
 from runlens.sources.ingest import dedupe_spans, has_id
+from runlens.sources.keyed_table import KeyedTable
 
 SPAN_KEY = ["tenant_id", "session_id", "span_id"]
+ARRIVALS = "tenant_id string, session_id string, spans long"
 
 
-def stream_dedupe_spans(stream: DataFrame, out_path: str, checkpoint: str, time_col: str = "created_at",
-                        arrival: str = "arrived_at") -> DataFrame:
+def span_store(spark: SparkSession, path: str, schema: T.StructType, buckets: int = 64) -> KeyedTable:
+    """Stored spans: key (tenant, session, span id), buckets by session."""
+    return KeyedTable(spark, f"{path}/spans", schema, SPAN_KEY, buckets=buckets, bucket_by=K, bloom=["span_id"], adds=True)
+
+
+def stream_dedupe_spans(stream: DataFrame, out_path: str, checkpoint: str, arrival: str = "arrived_at", buckets: int = 64) -> DataFrame:
     """Process everything available and return the stored spans; the first stored arrival of an
     identified span stays (of several in one batch the last)."""
     spark = stream.sparkSession
-    fields = [*stream.schema.fields, T.StructField("span_date", T.DateType())]
-    spark.createDataFrame([], T.StructType(fields)).write.mode("overwrite").partitionBy("span_date").parquet(f"{out_path}/batch_id=-1")
-    schema = T.StructType([*fields, T.StructField("batch_id", T.LongType())])
-
-    def read() -> DataFrame:
-        return spark.read.schema(schema).option("basePath", out_path).parquet(out_path)
+    store = span_store(spark, out_path, stream.schema, buckets)
 
     def keep_new(batch: DataFrame, batch_id: int) -> None:
-        dated = dedupe_spans(batch, arrival).withColumn("span_date", F.to_date(time_col)).persist()
-        days = [r[0] for r in dated.select("span_date").distinct().collect()]       # the days of one micro-batch
-        seen = read().where((F.col("batch_id") < batch_id) & has_id()
-                            & (F.col("span_date").isin([d for d in days if d]) | F.col("span_date").isNull()))
-        fresh = dated.where(has_id()).join(seen.select(*SPAN_KEY), SPAN_KEY, "left_anti").select(*dated.columns)
-        fresh.unionByName(dated.where(~has_id())).write.mode("overwrite").partitionBy("span_date").parquet(
-            f"{out_path}/batch_id={batch_id}")
-        dated.unpersist()
+        version = store.add_new(dedupe_spans(batch, arrival), has_id(), batch_id)
+        added = store.read_version(version).groupBy(*K).agg(F.count(F.lit(1)).alias("spans"))
+        added.write.mode("overwrite").parquet(f"{out_path}/arrivals/{batch_id:012d}")
 
     q = stream.writeStream.foreachBatch(keep_new).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    return read().select(*stream.columns)
+    return store.read()
+
+
+def stream_arrivals(spark: SparkSession, out_path: str, batches: int = 100) -> DataFrame:
+    """The sessions that got spans, as a stream: a row for each session and batch of `stream_dedupe_spans`."""
+    return spark.readStream.schema(ARRIVALS).option("maxFilesPerTrigger", batches).parquet(f"{out_path}/arrivals/*")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -61,10 +64,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/runlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stream_evaluate_closed(closes: DataFrame, traces: DataFrame, sessions: DataFrame, out_path: str,
+def stream_evaluate_closed(closes: DataFrame, traces: DataFrame | KeyedTable, sessions: DataFrame, out_path: str,
                            checkpoint: str, params: DataFrame | None = None, history: DataFrame | None = None,
                            eval_configs: DataFrame | None = None, registry=None):
-    """Run the rule evals (when configs are given) and the detectors for the sessions closed in each micro-batch."""
+    """Run the rule evals (when configs are given) and the detectors for the sessions closed in each micro-batch.
+    Of a span store only the buckets of those sessions are read."""
     from runlens.operators.detectors import cost_history, incident_rows, run_detectors
     from runlens.operators.evals import run_rule_evals
 
@@ -72,7 +76,8 @@ def stream_evaluate_closed(closes: DataFrame, traces: DataFrame, sessions: DataF
 
     def judge_batch(batch: DataFrame, batch_id: int) -> None:
         closed = batch.select(*K).distinct().persist()
-        t = traces.join(closed, K, "left_semi")
+        stored = traces.read(traces.buckets_of(closed)) if isinstance(traces, KeyedTable) else traces
+        t = stored.join(closed, K, "left_semi")
         s = sessions.join(closed, K, "left_semi")
         h = hist.join(closed, K, "left_semi")
 
