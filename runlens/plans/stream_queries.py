@@ -294,10 +294,21 @@ def eval_configs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_eval_configs(rows, 3, "w1", "t1").drop("enabled")
 
 
-def _judged_late(spark: SparkSession, sf_dir: str, name: str, pipeline: dict | None = None) -> DataFrame:
+_JUDGED: dict = {}
+
+
+def _judged_late(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A result table of `_run_late`, which runs once for each application and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _JUDGED:
+        _JUDGED[key] = _run_late(spark, sf_dir)
+    return _JUDGED[key].results(name)
+
+
+def _run_late(spark: SparkSession, sf_dir: str):
     """Spans and close events as they come: every seventh span arrives only after its session was closed and judged, and a
     tenth of the spans once more on the next day."""
-    from runlens.plans.eval_queries import STANDARD, config_df, params_df
+    from runlens.plans.eval_queries import STANDARD, config_df
     from runlens.sources.adapters import sessions_from_traces
     from runlens.streaming.judge import SessionJudge, stream_judge
     from runlens.streaming.spans import scratch_path, span_store, stream_arrivals, stream_dedupe_spans
@@ -314,20 +325,19 @@ def _judged_late(spark: SparkSession, sf_dir: str, name: str, pipeline: dict | N
         src = spark.readStream.schema(spans.schema).option("maxFilesPerTrigger", 1).parquet(span_in)
         stream_dedupe_spans(src, store, f"{ckpt}/spans", buckets=8)
 
-    judge = SessionJudge(span_store(spark, store, spans.schema, 8), out, sessions_from_traces, params_df(spark, pipeline),
-                         config_df(spark, STANDARD), buckets=8)
+    judge = SessionJudge(span_store(spark, store, spans.schema, 8), out, sessions_from_traces,
+                         eval_configs=config_df(spark, STANDARD), buckets=8)
 
     def work() -> None:
         src = spark.readStream.schema(closes.schema).option("maxFilesPerTrigger", 1).parquet(close_in)
         stream_judge(src, stream_arrivals(spark, store), judge, f"{ckpt}/judge")
 
     arrive(spans.where(~late), 2)
-    for k in range(2):
-        closes.where(F.pmod(F.xxhash64("session_id"), F.lit(2)) == k).coalesce(1).write.mode("append").parquet(close_in)
+    closes.coalesce(1).write.mode("append").parquet(close_in)
     work()
     arrive(spans.where(late).unionByName(again), 1)
     work()
-    return judge.results(name)
+    return judge
 
 
 @query("stream_judge_late", RUN_SQL)
@@ -336,8 +346,12 @@ def judge_late_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged_late(spark, sf_dir, "incidents").select(*K, "pattern_name", "severity", "cost_wasted", "tokens_wasted", "frame_count")
 
 
-@query("stream_judge_late_evals", _closed_evals_sql())
+def _default_evals_sql() -> str:
+    from runlens.plans.eval_queries import STANDARD, evals_sql
+    return "SELECT tenant_id, session_id, eval_name, agent, score, passed, threshold FROM (" + evals_sql(STANDARD) + ")"
+
+
+@query("stream_judge_late_evals", _default_evals_sql())
 def judge_late_evals_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2, rule evals after late spans."""
-    from runlens.plans.eval_queries import PIPELINE
-    return _judged_late(spark, sf_dir, "evals", PIPELINE).select(*K, "eval_name", "agent", "score", "passed", "threshold")
+    return _judged_late(spark, sf_dir, "evals").select(*K, "eval_name", "agent", "score", "passed", "threshold")

@@ -48,7 +48,7 @@ def track(key: tuple, events: Iterator[pd.DataFrame], state: GroupState, quiet_m
     if reason:
         revision += 1
     state.update((closed, late, revision))
-    if closed and late and quiet_ms:
+    if closed and late:
         state.setTimeoutDuration(quiet_ms)
     if reason:
         yield pd.DataFrame([(*key, revision, reason)], columns=["tenant_id", "session_id", "revision", "reason"])
@@ -59,8 +59,9 @@ def judge_requests(closes: DataFrame, arrivals: DataFrame, quiet_ms: int = 0) ->
     none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     events = closes.select(*K, one.alias("closes"), none.alias("spans")).unionByName(
         arrivals.select(*K, none.alias("closes"), F.col("spans").cast("long").alias("spans")))
+    timer = GroupStateTimeout.ProcessingTimeTimeout if quiet_ms else GroupStateTimeout.NoTimeout
     return events.groupBy(*K).applyInPandasWithState(
-        lambda key, parts, state: track(key, parts, state, quiet_ms), REQUEST, STATE, "update", GroupStateTimeout.ProcessingTimeTimeout)
+        lambda key, parts, state: track(key, parts, state, quiet_ms), REQUEST, STATE, "update", timer)
 
 
 class SessionJudge:
@@ -107,7 +108,8 @@ def result_table(spark: SparkSession, out_path: str, name: str, rows: DataFrame,
 
 
 def stream_judge(closes: DataFrame, arrivals: DataFrame, judge: SessionJudge, checkpoint: str, quiet_ms: int = 0):
-    """Process all close events and arrivals that are there; call again (or run on) as more come."""
+    """Process all close events and arrivals that are there and end; call again as more come. With a quiet time the
+    query runs on, looking every half of it, since timers need it; the caller stops it."""
     spark = judge.spans.spark
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -117,7 +119,10 @@ def stream_judge(closes: DataFrame, arrivals: DataFrame, judge: SessionJudge, ch
         if not requested.isEmpty():
             judge.judge(requested, batch_id)
 
-    q = judge_requests(closes, arrivals, quiet_ms).writeStream.outputMode("update").foreachBatch(run).option(
-        "checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    writer = judge_requests(closes, arrivals, quiet_ms).writeStream.outputMode("update").foreachBatch(run).option(
+        "checkpointLocation", checkpoint)
+    if quiet_ms:
+        return writer.trigger(processingTime=f"{max(1, quiet_ms // 2)} milliseconds").start()
+    q = writer.trigger(availableNow=True).start()
     q.awaitTermination()
     return q
