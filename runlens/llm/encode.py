@@ -1,8 +1,9 @@
 """Encoding whole texts with a public tokenizer, with a cache of word pieces.
 
 Texts of Latin letters are cut at white space; each different word is cut with the tokenizer's own rule
-(letters, single digits, other signs) into pieces, each different piece is encoded once per worker, and the
-ids are joined. A piece never reaches over white space and the tokenizer treats every piece on its own,
+(letters, single digits, other signs) into pieces, each different piece is encoded once, and the
+ids are joined. Words and pieces share one cache of two generations: when the young one is full, it becomes the old one,
+and what is used again moves back, so frequent words stay and memory is bounded. A piece never reaches over white space and the tokenizer treats every piece on its own,
 so this equals encoding the whole text.
 Texts with other characters, or with the spelling of a special token, go to the tokenizer whole, and so
 does everything when the tokenizer file has another rule than the one known here.
@@ -18,7 +19,8 @@ import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-CACHE_WORDS = 300_000       # bounds a worker's memory; a cache starts afresh beyond it
+CACHE_WORDS = 400_000       # words of a generation; longer ones than CACHE_LETTERS are not kept
+CACHE_LETTERS = 200
 
 # The rule of the tokenizer file, and the same for Latin-1 text in lower case.
 KNOWN_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -27,6 +29,28 @@ PIECE = re.compile(f"[{LETTERS}]+|[{DIGITS}]|'(?:s|t|re|ve|m|ll|d)|[^ \t\n\r{LET
 KNOWN_BYTES = bytes([9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x100)])
 
 
+class Generations(dict):
+    """A bounded cache: the young generation is the dict itself."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size, self.old = size, {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.old[word]              # KeyError where it is in neither
+        self.keep(word, found)
+        return found
+
+    def keep(self, word: str, ids: bytes) -> None:
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
+
+    def __contains__(self, word: object) -> bool:
+        return super().__contains__(word) or word in self.old
+
+
 class Encoder:
     """Ids of texts as little-endian bytes of `dtype`."""
 
@@ -48,33 +72,32 @@ class Encoder:
         self.ends = np.zeros(size, dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words = Generations(CACHE_WORDS)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
-    def _learn_pieces(self, pieces: list[str]) -> None:
-        if len(self.pieces) > CACHE_WORDS:
-            self.pieces.clear()
+    def _pieces(self, pieces: list[str]) -> dict[str, bytes]:
         ids = np.array(self.tokenizer.encode(" ".join(pieces), add_special_tokens=False).ids, dtype=self.dtype)
         stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) == len(pieces) and stops[-1] == len(ids):
-            raw, at = ids.tobytes(), 0
-            for piece, stop in zip(pieces, (stops * self.dtype.itemsize).tolist()):
-                self.pieces[piece] = raw[at:stop]
-                at = stop
-        else:
-            for piece in pieces:
-                self.pieces[piece] = self.whole(piece)
-
-    def _learn(self, words: list[str]) -> None:
-        cut = [PIECE.findall(w) for w in words]
-        new = list({p for c in cut for p in c if p not in self.pieces})
+        if len(stops) != len(pieces) or stops[-1] != len(ids):
+            return {piece: self.whole(piece) for piece in pieces}
+        raw, size = ids.tobytes(), self.dtype.itemsize
+        cuts = [0, *(stops * size).tolist()]
+        return {piece: raw[a:b] for piece, a, b in zip(pieces, cuts, cuts[1:])}
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words that are not cached; they are cached now."""
+        cut = {w: PIECE.findall(w) for w in words}
+        known = {p: self.words[p] for c in cut.values() for p in c if p in self.words}
+        new = list(dict.fromkeys(p for c in cut.values() for p in c if p not in known))
         if new:
-            self._learn_pieces(new)
-        for word, c in zip(words, cut):
-            self.words[word] = b"".join([self.pieces[p] if p in self.pieces else self.whole(p) for p in c])
+            known |= self._pieces(new)
+        found = {w: b"".join(map(known.__getitem__, c)) for w, c in cut.items()}
+        for w, ids in {p: known[p] for p in new}.items() | found.items():
+            if len(w) <= CACHE_LETTERS:
+                self.words.keep(w, ids)
+        return found
 
     def _plain(self, text: str) -> bool:
         if not self.known or "<|" in text:
@@ -91,10 +114,9 @@ class Encoder:
         try:
             return b"".join(map(self.words.__getitem__, words))
         except KeyError:
-            if len(self.words) > CACHE_WORDS:
-                self.words.clear()
-            self._learn([w for w in dict.fromkeys(words) if w not in self.words])
-            return b"".join(map(self.words.__getitem__, words))
+            ids = {w: self.words[w] for w in set(words) if w in self.words}
+            ids |= self._learn([w for w in dict.fromkeys(words) if w not in ids])
+            return b"".join(map(ids.__getitem__, words))
 
     def many(self, texts: list[str], end_id: int | None = END_ID) -> list[bytes]:
         """Ids of each text, with the end id behind them."""

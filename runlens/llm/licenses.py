@@ -12,8 +12,9 @@ reaches, one reach apart, hold every window. The template side is a literal tabl
 broadcast.
 
 Words are runs of ASCII digits, letters (A-Z lowered) and all characters above ASCII. Null text counts
-as empty: no words, no labels, score 0. Rows that share an id share the template labels. An empty
-table gives an empty result; other columns are not read.
+as empty: no words, no labels, score 0. What a row gets depends on its text alone (labels are joined by the MD5 of the
+text), so rows with a null id or a shared one keep their own labels. An empty table gives an empty result; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -64,13 +65,19 @@ def window_words(text: str) -> int:
     return math.ceil(SLACK * sum(1 for w in re.split(NON_WORD, text.lower()) if w))
 
 
+def lowered(text_col: str = "text") -> Column:
+    """The text (null: empty) in lower case. The Kelvin sign is the one other character whose lower case is an ASCII
+    letter; it is kept out, so that only A-Z give a-z."""
+    return F.lower(F.replace(text_of(text_col), F.lit("\u212a"), F.lit("\ufffd")))
+
+
 def _spaces(c: Column) -> Column:
     return F.octet_length(c) - F.octet_length(F.replace(c, F.lit(" "), F.lit("")))
 
 
 def flat_words(text_col: str = "text") -> Column:
     """' w1 w2 ... ' with single spaces; '' without words."""
-    t = F.trim(F.regexp_replace(F.lower(text_of(text_col)), NON_WORD, " "))
+    t = F.trim(F.regexp_replace(lowered(text_col), NON_WORD, " "))
     return F.when(t == "", "").otherwise(F.concat(F.lit(" "), t, F.lit(" ")))
 
 
@@ -111,7 +118,7 @@ def _met(blocks: DataFrame, table: DataFrame, prefix: Column) -> DataFrame:
 
 def _by_line(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Lower-case text whose words are parted by spaces and line ends."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.regexp_replace(F.lower(text_of(text_col)), NON_WORD_IN_LINE, " ").alias("body"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.regexp_replace(lowered(text_col), NON_WORD_IN_LINE, " ").alias("body"))
 
 
 def _lines_met(docs: DataFrame, table: DataFrame, prefix: Column, id_col: str, text_col: str) -> DataFrame:
@@ -178,13 +185,14 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: word count, places of base phrases, labels of both kinds, score (1 with a base
     phrase, else the largest containment of a template that is met, else 0)."""
-    flat = docs.select(F.col(id_col).alias("doc_id"), flat_words(text_col).alias("flat"))
+    keyed = docs.select(F.col(id_col).alias("doc_id"), F.md5(text_of(text_col).cast("binary")).alias("text_key"), F.col(text_col).alias("text"))
+    flat = keyed.select("doc_id", "text_key", flat_words().alias("flat"))
     n_words = F.when(F.col("flat") == "", 0).otherwise(_spaces(F.col("flat")) - 1).cast("long")
-    counted = flat.select("doc_id", "flat", n_words.alias("n_words"))
-    base = counted.select("doc_id", "n_words", *[c.alias(n) for n, c in _base(F.col("flat"), F.col("n_words")).items()])
-    met = matching_documents(docs, templates, threshold, id_col, text_col).groupBy(F.col("doc_id").alias("met_id")).agg(
+    counted = flat.select("doc_id", "text_key", "flat", n_words.alias("n_words"))
+    base = counted.select("doc_id", "text_key", "n_words", *[c.alias(n) for n, c in _base(F.col("flat"), F.col("n_words")).items()])
+    met = matching_documents(keyed, templates, threshold, "text_key").groupBy(F.col("doc_id").alias("text_key")).agg(
         F.collect_set("label").alias("added"), F.max("containment").alias("most"))     # at most the template labels
-    out = base.join(met, F.col("doc_id").eqNullSafe(F.col("met_id")), "left")
+    out = base.join(met, "text_key", "left")
     added = F.coalesce("added", F.array().cast("array<string>"))
     return out.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", F.concat_ws(",", "base").alias("base_labels"),

@@ -271,15 +271,17 @@ def cut_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKEN
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, end_id: int | None = END_ID,
-                   id_col: str = "doc_id", text_col: str = "text", nodes: int = SEARCH_NODES) -> DataFrame:
-    """Every piece with its sequence and its offset there."""
+                   id_col: str = "doc_id", text_col: str = "text", nodes: int = SEARCH_NODES, states: int = PLAN_STATES) -> DataFrame:
+    """Every piece with its sequence and its offset there. `nodes` and `states` bound the search (see `plan_packing`);
+    without bounds it is exhaustive."""
     pieces = stored(cut_pieces(docs, capacity, tokenizer, end_id, id_col, text_col), "pieces")
     by_part = stored(pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     histogram = {r["length"]: r["n"] for r in by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # <= capacity rows
-    where = Placement(plan_packing(histogram, capacity, nodes))
+    where = Placement(plan_packing(histogram, capacity, nodes, states))
     before = by_part.select("part", "length", (F.sum("n").over(
         Window.partitionBy("length").orderBy("part")) - F.col("n")).alias("before"))
-    ranked = pieces.join(before, ["part", "length"]).withColumn("rank", F.col("before") + F.col("place"))
+    # `before` grows with the tasks: joined by sorting, not broadcast
+    ranked = pieces.join(before.hint("merge"), ["part", "length"]).withColumn("rank", F.col("before") + F.col("place"))
 
     def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -51,7 +51,7 @@ def test_blocks_name_their_line(spark, make_docs):
 
 def test_null_id_and_empty(spark, make_docs):
     got = scan_licenses(make_docs([(None, "Licensed under CC BY-NC 4.0."), (None, None)])).collect()
-    assert sorted(r["n_words"] for r in got) == [0, 7] and {r["labels"] for r in got} == {"cc-by-nc"}     # rows of one id share labels
+    assert sorted(r["n_words"] for r in got) == [0, 7] and sorted(r["labels"] for r in got) == ["", "cc-by-nc"]     # each row by its own text
     assert scan_licenses(make_docs([])).count() == 0
 
 
@@ -91,3 +91,14 @@ def test_wrapped_notices_agree_with_brute_force(spark, make_docs):
         assert got[i][0] == ",".join(sorted({x for x in labels.split(",") if x} | base)), text
         assert got[i][1] == (1.0 if got[i][2] else score), text
         assert wrapped.get(i, "") in got[i][0]
+
+
+def test_rows_with_one_id_keep_their_own_labels_and_only_a_to_z_are_lowered(spark, make_docs):
+    rows = [(None, "Licensed under CC BY-NC 4.0."), (None, "plain words"), (None, "This is free and unencumbered software released into the public domain."),
+            (7, "Licensed under CC BY-NC 4.0."), (7, "nothing"), (8, "MIT LICENSE"), (9, "apache licenſe"), (10, "wor\u212a wor\u212a")]
+    got = sorted((str(r["doc_id"]), r["labels"], r["n_words"], r["score"]) for r in scan_licenses(make_docs(rows)).collect())
+    assert got == sorted([("None", "cc-by-nc", 7, 1.0), ("None", "", 2, 0.0), ("None", "unlicense", 11, 1.0), ("7", "cc-by-nc", 7, 1.0),
+                          ("7", "", 1, 0.0), ("8", "mit", 2, 1.0), ("9", "", 2, 0.0), ("10", "", 2, 0.0)])
+    from pyspark.sql import functions as F
+    from runlens.llm.licenses import flat_words
+    assert make_docs([(1, "wor\u212a")]).select(F.contains(flat_words(), F.lit("work"))).first()[0] is False
