@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runlens.llm.common import keep_ids, read_table, stored
+from runlens.llm.common import read_table, stored
 from runlens.llm.exact_dedup import keep_first
 from runlens.llm.mixing import mix_documents
-from runlens.llm.ngram_join import near_duplicates
+from runlens.llm.ngram_join import keep_one_of_each
 from runlens.llm.packing import pack_documents
 from runlens.llm.toxicity import keep_clean
 
@@ -27,9 +27,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component stays, the one with the smallest id."""
-    found = near_duplicates(docs)
-    return keep_ids(docs, stored(found.where("doc_id <=> component_id").select("doc_id"), "near-kept"))
+    """One document of each near-duplicate component stays, the one with the smallest id (null last)."""
+    return keep_one_of_each(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

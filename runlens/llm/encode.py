@@ -19,7 +19,7 @@ import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-CACHE_WORDS = 400_000       # words of a generation; longer ones than CACHE_LETTERS are not kept
+CACHE_WORDS = 600_000       # words of a generation; longer ones than CACHE_LETTERS are not kept
 CACHE_LETTERS = 200
 
 # The rule of the tokenizer file, and the same for Latin-1 text in lower case.
@@ -29,28 +29,6 @@ PIECE = re.compile(f"[{LETTERS}]+|[{DIGITS}]|'(?:s|t|re|ve|m|ll|d)|[^ \t\n\r{LET
 KNOWN_BYTES = bytes([9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x100)])
 
 
-class Generations(dict):
-    """A bounded cache: the young generation is the dict itself."""
-
-    def __init__(self, size: int):
-        super().__init__()
-        self.size, self.old = size, {}
-
-    def __missing__(self, word: str) -> bytes:
-        found = self.old[word]              # KeyError where it is in neither
-        self.keep(word, found)
-        return found
-
-    def keep(self, word: str, ids: bytes) -> None:
-        if len(self) >= self.size:
-            self.old = dict(self)
-            self.clear()
-        self[word] = ids
-
-    def __contains__(self, word: object) -> bool:
-        return super().__contains__(word) or word in self.old
-
-
 class Encoder:
     """Ids of texts as little-endian bytes of `dtype`."""
 
@@ -72,13 +50,17 @@ class Encoder:
         self.ends = np.zeros(size, dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
-        self.words = Generations(CACHE_WORDS)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+        return self._encode(text).tobytes()
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
 
     def _pieces(self, pieces: list[str]) -> dict[str, bytes]:
-        ids = np.array(self.tokenizer.encode(" ".join(pieces), add_special_tokens=False).ids, dtype=self.dtype)
+        ids = self._encode(" ".join(pieces))
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(pieces) or stops[-1] != len(ids):
             return {piece: self.whole(piece) for piece in pieces}
@@ -86,18 +68,19 @@ class Encoder:
         cuts = [0, *(stops * size).tolist()]
         return {piece: raw[a:b] for piece, a, b in zip(pieces, cuts, cuts[1:])}
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words that are not cached; they are cached now."""
-        cut = {w: PIECE.findall(w) for w in words}
-        known = {p: self.words[p] for c in cut.values() for p in c if p in self.words}
-        new = list(dict.fromkeys(p for c in cut.values() for p in c if p not in known))
+    def _learn(self, words: list[str]) -> None:
+        """Put words that are not in the young generation there, from the old one or encoded."""
+        young, old = self.young, self.old
+        for w in words:
+            if (ids := old.get(w)) is not None:
+                young[w] = ids
+        cut = {w: (w,) if w.isalpha() else PIECE.findall(w) for w in words if w not in young}
+        known = {p: young.get(p) or old.get(p) for c in cut.values() for p in c}
+        new = [p for p, ids in known.items() if ids is None]
         if new:
             known |= self._pieces(new)
-        found = {w: b"".join(map(known.__getitem__, c)) for w, c in cut.items()}
-        for w, ids in {p: known[p] for p in new}.items() | found.items():
-            if len(w) <= CACHE_LETTERS:
-                self.words.keep(w, ids)
-        return found
+        young.update(known)
+        young.update({w: b"".join(map(known.__getitem__, c)) for w, c in cut.items()})
 
     def _plain(self, text: str) -> bool:
         if not self.known or "<|" in text:
@@ -112,11 +95,17 @@ class Encoder:
             return self.whole(text)
         words = text.lower().split()
         try:
-            return b"".join(map(self.words.__getitem__, words))
+            return b"".join(map(self.young.__getitem__, words))
         except KeyError:
-            ids = {w: self.words[w] for w in set(words) if w in self.words}
-            ids |= self._learn([w for w in dict.fromkeys(words) if w not in ids])
-            return b"".join(map(ids.__getitem__, words))
+            new = [w for w in dict.fromkeys(words) if w not in self.young]
+            self._learn(new)
+            ids = b"".join(map(self.young.__getitem__, words))
+            for w in new:
+                if len(w) > CACHE_LETTERS:
+                    del self.young[w]
+            if len(self.young) > CACHE_WORDS:
+                self.young, self.old = {}, self.young
+            return ids
 
     def many(self, texts: list[str], end_id: int | None = END_ID) -> list[bytes]:
         """Ids of each text, with the end id behind them."""

@@ -108,3 +108,41 @@ def test_nulls_repeats_and_empty(spark, make_docs):
         (0, 2, 9), (8, 0, 8), (9, 2, 9), (9, 2, 9)]
     assert [r["n_shingles"] for r in got if r["component_id"] is None] == [1]
     assert near_duplicates(make_docs([])).count() == 0
+
+
+def test_rows_that_share_an_id_keep_their_links(spark, make_docs):
+    a, b = ([f"{c}{i}" for i in range(60)] for c in "ab")
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (1, " ".join(a[:-1] + ["x"])), (2, " ".join(b[:-1] + ["y"])), (None, " ".join(b[:-1] + ["z"])), (7, "alone")]
+    got = sorted((str(r["doc_id"]), r["component_id"]) for r in near_duplicates(make_docs(rows)).collect())
+    assert got == [("1", 1), ("2", 2), ("5", 1), ("5", 2), ("7", 7), ("None", 2)]
+
+
+def test_large_groups_in_blocks(spark, make_docs, monkeypatch):
+    """Groups of many blocks: alike, in several components, and linked only through a chain."""
+    from runlens.llm import ngram_join as N
+    monkeypatch.setattr(N, "CHUNK", 8)
+    monkeypatch.setattr(N, "UNIT", 16)
+    monkeypatch.setattr(N, "PIVOTS", 2)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(90):                                     # near copies of one text
+        w = list(base)
+        w[rng.randrange(80)] = f"n{i}"
+        rows.append((i, " ".join(w)))
+    for i in range(60):                                     # a drifting text: neighbours are similar, the ends are not
+        rows.append((200 + i, " ".join(f"c{k}" for k in range(4 * i, 4 * i + 90))))
+    rng.shuffle(rows)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(make_docs(rows)).collect()}
+    assert got == brute(rows)
+
+
+def test_shared_entries_need_one_exchange(spark):
+    from runlens.llm.ngram_join import prefix_entries, shared_entries
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text), (2, text + " x"), (3, text)], "doc_id long, text string").repartition(3)
+    found = shared_entries(prefix_entries(docs, np.zeros(1 << 17, dtype=np.int64)))
+    assert found.count() > 0 and found.count() == found.distinct().count()
+    assert found._jdf.queryExecution().sparkPlan().toString().count("Window") == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange hashpartitioning(shingle") == 1

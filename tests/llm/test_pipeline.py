@@ -68,4 +68,20 @@ def test_oracles(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
+
+
+def test_stages_on_hard_rows(spark, make_docs, hard_rows):
+    """Nulls, empty texts, shared ids, clashing columns and empty tables in every stage."""
+    twice = [(20, " ".join(f"w{i}" for i in range(60))), (20, " ".join(f"v{i}" for i in range(60))), (21, " ".join(f"w{i}" for i in range(59)) + " x"),
+             (None, " ".join(f"v{i}" for i in range(59)) + " y")]
+    docs = make_docs(hard_rows + twice, clash=True)
+    for name, stage in corpus_pipeline.STAGES:
+        none = stage(spark, docs.limit(0), SF)
+        assert none.count() == 0 and (name == "packing" or none.columns == docs.columns)
+        out = stored(stage(spark, docs, SF), "test-hard")
+        if name == "ngram_join":
+            texts = [r["text"] for r in out.collect()]
+            assert twice[0][1] in texts and twice[1][1] in texts and twice[2][1] not in texts and twice[3][1] not in texts
+            assert texts.count("dup text here") == 1
+        docs = docs if name == "exact_dedup" else out
