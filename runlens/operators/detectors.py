@@ -374,8 +374,9 @@ def _error_pass(x: DetectorInputs) -> tuple[DataFrame, DataFrame]:
 
 # ── frames ────────────────────────────────────────────────────────────────────────────────────
 
-def _frames(x: DetectorInputs, spec: DataFrame) -> DataFrame:
-    """Evidence of every incident but D9 in one join of the traces with the incidents' keys."""
+def _frames(x: DetectorInputs, spec: DataFrame, last_n: dict[str, int]) -> DataFrame:
+    """Evidence of every incident but D9 in one join of the traces with the incidents' keys; of the patterns in `last_n`
+    the last so many traces."""
     s = spec.select(*K, "pattern_name", "_f_key", "_f_agent", "_f_src", "_f_tseq")
     j = x.traces.join(s, K)
     pat = F.col("pattern_name")
@@ -398,7 +399,9 @@ def _frames(x: DetectorInputs, spec: DataFrame) -> DataFrame:
                                   lambda p: p.isNotNull()))
              .otherwise(F.when(F.coalesce(member, F.lit(False)), F.array(F.lit("all"))).otherwise(F.array())))
     c = j.select("*", F.explode(parts).alias("_part"))
-    limit = F.create_map(*[F.lit(v) for kv in LAST_N.items() for v in kv])
+    if not last_n:
+        return c.select(*K, "pattern_name", *frame_columns())
+    limit = F.create_map(*[F.lit(v) for kv in last_n.items() for v in kv])
     c = c.withColumn("_n", F.when(F.col("_part") == "tgt", F.lit(None).cast("int"))
                      .otherwise(F.try_element_at(limit, pat)))
     cols = [*K, "pattern_name", *frame_columns()]
@@ -406,7 +409,7 @@ def _frames(x: DetectorInputs, spec: DataFrame) -> DataFrame:
     w = (Window.partitionBy(*K, "pattern_name", "_part")
          .orderBy(F.col("created_at").desc_nulls_last(), F.col("seq").desc()))
     ranked = c.filter(F.col("_n").isNotNull()).withColumn("_rn", F.row_number().over(w))
-    last = ranked.filter(F.col("_rn") <= max(LAST_N.values())).filter(F.col("_rn") <= F.col("_n")).select(*cols)
+    last = ranked.filter(F.col("_rn") <= max(last_n.values())).filter(F.col("_rn") <= F.col("_n")).select(*cols)
     return everything.unionByName(last)
 
 
@@ -431,8 +434,9 @@ INCIDENT_COLUMNS = [*K, "workflow_id", "pattern_rank", "pattern_name", "severity
 def run_detectors(traces: DataFrame, sessions: DataFrame, params: DataFrame | None = None,
                   evals: DataFrame | None = None, patterns: list[str] | None = None,
                   history_bucket_seconds: int | None = 86_400, history: DataFrame | None = None,
-                  materialize: bool = True) -> Detected:
-    """All detectors (or `patterns`) for all sessions. Returns (incidents, frames).
+                  materialize: bool = True, last_n: dict[str, int] | None = None) -> Detected:
+    """All detectors (or `patterns`) for all sessions. Returns (incidents, frames). `last_n` limits the evidence of
+    some patterns to the last traces (default: LAST_N, as the reference's stacks; {} keeps every matching trace).
     `history` (see `cost_history`) may be computed over a larger set of sessions than judged.
 
     With `materialize` the incident table (one row per incident, small next to the traces) is
@@ -459,7 +463,7 @@ def run_detectors(traces: DataFrame, sessions: DataFrame, params: DataFrame | No
     if materialize:
         from runlens.session import cut_lineage
         spec = cut_lineage(spec)
-    frames = _frames(x, spec.filter(F.col("pattern_name") != "Error Misinterpretation"))
+    frames = _frames(x, spec.filter(F.col("pattern_name") != "Error Misinterpretation"), LAST_N if last_n is None else last_n)
     if d9_frames is not None:
         frames = frames.unionByName(d9_frames)
     inc = spec.select(*INCIDENT_COLUMNS)

@@ -242,3 +242,21 @@ _register("eval_pipeline_coverage", [STANDARD[8]], {"w2": PIPELINE["w2"]})
 _register("eval_agent_completion", [STANDARD[9]])
 _register("eval_session_field_ratio", [STANDARD[10]])
 _register("run_rule_evals", STANDARD, PIPELINE)
+
+
+TEXT_FIELD_SQL = with_sql(TRACES_SQL, SESSIONS_SQL, f"""
+x AS (SELECT *, CASE trades_proposed % 4 WHEN 0 THEN 0.0 WHEN 1 THEN 3.0 WHEN 2 THEN 10.0 END AS den FROM sessions),
+y AS (SELECT tenant_id, session_id, CASE WHEN den = 0 THEN (CASE WHEN trades_executed = 0 THEN 1.0 ELSE 0.0 END)
+             ELSE {py_round2_sql("least(1.0, (CAST(trades_executed AS DOUBLE) / den) / 0.5)")} END AS score FROM x WHERE den IS NOT NULL)
+SELECT tenant_id, session_id, 'ratio_text' AS eval_name, 'session' AS agent, score, score >= 0.5 AS passed, CAST(0.5 AS DOUBLE) AS threshold FROM y""")
+
+
+@query("eval_session_field_text", TEXT_FIELD_SQL)
+def text_field_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C10 over a text field: an empty text is 0, a numeric one a number, and any other gives no row."""
+    from runlens.operators.evals import run_rule_evals
+    traces, sessions = _inputs(spark, sf_dir)
+    kind = F.col("trades_proposed") % 4
+    s = sessions.withColumn("plan", F.when(kind == 0, "").when(kind == 1, "3").when(kind == 2, " 1e1 ").otherwise("n/a"))
+    cfg = [Cfg("ratio_text", "session_field_ratio", num="trades_executed", den="plan")]
+    return run_rule_evals(s, traces, config_df(spark, cfg)).select(*EVAL_OUT)

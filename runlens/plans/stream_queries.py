@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens.functions.columns import K
-from runlens.plans.catalog import _inputs, _sql, incidents_sql, query
+from runlens.plans.catalog import DET_BODIES, _inputs, _sql, incidents_sql, query
 from runlens.sources.adapters import TRACES_SQL, duplicated_traces, load_traces, with_sql
 
 
@@ -163,9 +163,10 @@ def agents_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ── D11: detectors with per-workflow settings ─────────────────────────────────────────────────
 
 CONFIGURED = {
+    "w0": {"hyperactive_poll_threshold": 3, "fabrication_latency_ms": 40.0, "fabrication_min_count": 2, "fabrication_exempt_tools": ["tool_1"]},
     "w1": {"tool_retry_threshold": 4},
     "w2": {"pipeline_order": ["market", "risk"]},
-    "w3": {"cost_anomaly_sigma": 1.5, "token_spiral_threshold": 20000},
+    "w3": {"cost_anomaly_sigma": 1.5, "token_spiral_threshold": 20000, "handoff_pairs": [["market", "risk"], ["research", "orchestrator"]]},
 }
 
 CFG_SQL = _sql("""
@@ -197,22 +198,40 @@ h AS (SELECT *, count(cost) OVER w AS hn, avg(cost) OVER w AS hm, stddev_samp(co
                           ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)),
 r10 AS (SELECT tenant_id, session_id, 'Cost Anomaly' AS pattern_name FROM h
         WHERE hn >= 5 AND (CASE WHEN hsd > 0 THEN (cost - hm) / hsd ELSE 0.0 END)
-                          > CASE WHEN workflow_id = 'w3' THEN 1.5 ELSE 2.0 END)
+                          > CASE WHEN workflow_id = 'w3' THEN 1.5 ELSE 2.0 END),
+r6 AS (SELECT DISTINCT tenant_id, session_id, 'Hyperactive Polling Loop' AS pattern_name
+       FROM (SELECT tenant_id, session_id, workflow_id, coalesce(nullif(tool_name, ''), 'unknown') AS tool FROM traces
+             WHERE coalesce(step_type, '') = 'tool_call' AND outcome IS DISTINCT FROM 'error')
+       GROUP BY tenant_id, session_id, tool HAVING count(*) >= max(CASE WHEN workflow_id = 'w0' THEN 3 ELSE 6 END)),
+r7 AS (SELECT tenant_id, session_id, 'Tool Call Fabrication' AS pattern_name FROM traces
+       WHERE coalesce(step_type, '') = 'tool_call' AND outcome IS DISTINCT FROM 'error' AND coalesce(latency_ms, 0) > 0
+         AND latency_ms < CASE WHEN workflow_id = 'w0' THEN 40.0 ELSE 10.0 END AND NOT (workflow_id = 'w0' AND tool_name = 'tool_1')
+       GROUP BY tenant_id, session_id HAVING count(*) >= max(CASE WHEN workflow_id = 'w0' THEN 2 ELSE 3 END)),
+hp AS (SELECT * FROM (VALUES ('w0', 'research', 'risk'), ('w1', 'research', 'risk'), ('w2', 'research', 'risk'),
+                             ('w3', 'market', 'risk'), ('w3', 'research', 'orchestrator')) v(workflow_id, src, tgt)),
+hs AS (SELECT t.tenant_id, t.session_id, src, tgt, bool_or(coalesce(step_type, '') IN ('llm_call', 'agent_message', 'decision')
+                                                          AND outcome IS DISTINCT FROM 'error') AS ok
+       FROM traces t JOIN hp USING (workflow_id) WHERE starts_with(lower(coalesce(agent, '')), src) GROUP BY ALL),
+ht AS (SELECT t.tenant_id, t.session_id, src, tgt, t.outcome IS NOT DISTINCT FROM 'error' OR nullif(trim(t.error), '') IS NOT NULL AS err,
+              row_number() OVER (PARTITION BY t.tenant_id, t.session_id, src, tgt ORDER BY created_at, seq) AS r
+       FROM traces t JOIN hp USING (workflow_id) WHERE lower(coalesce(agent, '')) = tgt),
+r8 AS (SELECT DISTINCT hs.tenant_id, hs.session_id, 'Handoff Schema Break' AS pattern_name
+       FROM hs JOIN ht USING (tenant_id, session_id, src, tgt) WHERE hs.ok AND ht.r = 1 AND ht.err)
 SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3 UNION ALL SELECT * FROM r4
-UNION ALL SELECT * FROM r10""")
+UNION ALL SELECT * FROM r6 UNION ALL SELECT * FROM r7 UNION ALL SELECT * FROM r8 UNION ALL SELECT * FROM r10
+""" + "".join(f"UNION ALL SELECT tenant_id, session_id, pattern_name FROM (WITH {DET_BODIES[p].strip()})\n"
+              for p in ("Silent Exit", "Error Misinterpretation")))
 
 
 @query("run_detectors_configured", CFG_SQL)
 def configured_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The detectors whose thresholds the workflows override, each session judged with its
-    own workflow's settings (pipeline config loaded from key/value rows)."""
+    """All ten detectors, each session judged with its own workflow's settings (pipeline config loaded from
+    key/value rows)."""
     from runlens.operators.config import load_pipeline_config, pipeline_config_rows
     from runlens.operators.detectors import run_detectors
     traces, sessions = _inputs(spark, sf_dir)
     params = load_pipeline_config(pipeline_config_rows(spark, CONFIGURED))
-    d = run_detectors(traces, sessions, params=params,
-                      patterns=["Tool Timeout Loop", "Context Spiral", "Pipeline Break", "Empty Result Loop",
-                                "Cost Anomaly"])
+    d = run_detectors(traces, sessions, params=params)
     return d.incidents.select(*K, "pattern_name")
 
 

@@ -77,3 +77,25 @@ def test_ids_for_bodies_without_one(spark):
                                 "tenant_id string, session_id string, span_id string, agent string")
     one, two = (sorted(r.span_id for r in ingest_traces(raw).collect()) for _ in range(2))
     assert one == two and len(set(one)) == 4 and "x" in one
+
+
+def test_tool_outputs_of_any_kind_give_valid_json(spark):
+    """B1: an object stays, other JSON is wrapped as it is, and plain text as a string."""
+    import json
+    from runlens.sources.ingest import log_rows
+    outputs = ['{"a": 1}', "[1, 2]", "42", "true", '"quoted"', "plain text", "{broken", 'say "hi"\n', "", None]
+    raw = spark.createDataFrame([("t", f"s{i}", "tool_call", o) for i, o in enumerate(outputs)],
+                                "tenant_id string, session_id string, kind string, tool_output string")
+    got = {int(r.session_id[1:]): json.loads(r.payload).get("tool_output") for r in log_rows(raw).collect()}
+    want = [{"a": 1}, {"value": [1, 2]}, {"value": 42}, {"value": True}, {"value": "quoted"}, {"value": "plain text"}, {"value": "{broken"},
+            {"value": 'say "hi"\n'}, {"value": ""}, None]
+    assert [got[i] for i in range(len(outputs))] == want
+
+
+def test_all_evidence_without_a_limit(spark):
+    from runlens.operators.detectors import run_detectors
+    from conftest import make_session, make_traces, tool_trace
+    t = make_traces(spark, [tool_trace("research", "x") for _ in range(30)])
+    s = make_session(spark, trades_executed=0, terminal_reason="")
+    count = lambda **k: {r.pattern_name: r["count"] for r in run_detectors(t, s, **k).frames.groupBy("pattern_name").count().collect()}
+    assert count()["Silent Exit"] == 10 and count(last_n={})["Silent Exit"] == 30 and count(last_n={"Silent Exit": 4})["Silent Exit"] == 4
