@@ -179,7 +179,7 @@ def scan(docs: DataFrame) -> DataFrame:
             places = (np.concatenate([np.zeros(0, np.uint64), *sets]) >> np.uint64(64 - PLACE_BITS)).astype(np.int64)
             counts += np.bincount(places, minlength=len(counts))
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"].astype("Int64"), "text_key": pd.Series(batch["text_key"].tolist(), dtype=object), "n": pd.array([len(s) for s in sets], dtype="Int32"),
+                "doc_id": batch["doc_id"].astype("Int64"), "text_key": pd.Series(batch["text_key"].tolist(), index=batch.index, dtype=object), "n": pd.array([len(s) for s in sets], dtype="Int32"),
                 "cls": pd.array([class_of(s) for s in sets], dtype="Int64"),
                 "sketch": [parity_sketch(s) if len(s) else None for s in sets], "place": pd.array([None] * len(sets), dtype="Int32"),
                 "docs": pd.array([None] * len(sets), dtype="Int64")})

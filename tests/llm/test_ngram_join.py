@@ -132,8 +132,9 @@ def test_large_groups_in_blocks(spark, make_docs, monkeypatch):
         rows.append((i, " ".join(w)))
     for i in range(60):                                     # a drifting text: neighbours are similar, the ends are not
         rows.append((200 + i, " ".join(f"c{k}" for k in range(4 * i, 4 * i + 90))))
+    rows += [(1000 + i, f"u{i} v{i}") for i in range(1100)]     # several slices of a batch
     rng.shuffle(rows)
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(make_docs(rows)).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(make_docs(rows).coalesce(1)).collect()}
     assert got == brute(rows)
 
 
