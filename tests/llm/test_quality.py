@@ -4,7 +4,8 @@ import zlib
 
 import numpy as np
 
-from runlens.llm.quality import FEATURES, Constant, features, fit, hinges, preference_pairs, quality
+from runlens.llm.quality import (FEATURES, Constant, Pairs, describe, features, fit, hinges, order_statistics, preference_pairs, quality, totals,
+                                 train, training_rows)
 
 
 def corpus(n=1200, seed=5):
@@ -86,3 +87,34 @@ def test_one_sided_and_missing_labels(spark, make_docs):
         assert {r["predicted"] for r in quality(docs, spark.createDataFrame(rows, schema)).collect()} == {want}
     assert quality(make_docs([]), spark.createDataFrame([], schema)).count() == 0
     assert Constant(1.0).scores(np.zeros((2, 3))).tolist() == [1.0, 1.0]
+
+
+def test_training_uses_every_labelled_row_and_pair(spark, make_docs):
+    """More labelled rows than the 24,000 of the former sample; all of them are counted, and sums over pairs hold every pair."""
+    n = 26_000
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('w', id % 97, ' ', repeat('x! ', CAST(id % 13 AS int))) AS text")
+    labels = spark.range(n).selectExpr("id AS doc_id", "CAST(id % 13 < 9 AS int) AS quality", "0 AS toxic")
+    want = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(n))
+    table = training_rows(described := describe(docs), labels)
+    total = totals(table)
+    assert table.count() == want and total(lambda x, y: np.array([float(len(y))])).tolist() == [want]
+    everything = table.toPandas()
+    x, y = np.array(everything["x"].tolist()), everything["quality"].to_numpy()
+    ranks = [0, 1, want // 3, want - 1]
+    assert order_statistics(total, lambda x: x, [(2, r) for r in ranks] + [(20, r) for r in ranks]) == [
+        *np.sort(x[:, 2])[ranks], *np.sort(x[:, 20])[ranks]]
+    model, local = train(described, labels), fit(x, y)
+    assert np.allclose(model.knots, local.knots) and np.abs(model.w - local.w).max() < 1e-6
+    assert ((model.scores(x) >= 0.3) == (y > 0)).mean() > 0.99
+
+
+def test_sums_over_pairs_equal_those_of_the_pairs():
+    rng = np.random.default_rng(8)
+    x, y = rng.normal(size=(90, len(FEATURES))), np.arange(90) % 3
+    knots = np.sort(np.quantile(x, np.linspace(0, 1, 4), axis=0).T, axis=1)
+    w = rng.normal(size=len(FEATURES) * 3) * 2
+    of, s = Pairs(knots, w), hinges(x, knots) @ w
+    good, bad = of.sums(x, y)
+    won, lost = preference_pairs(np.flatnonzero(y > 0), np.flatnonzero(y == 0), 10 ** 9, rng)
+    for f in (lambda d: np.logaddexp(0, -d), lambda d: 1 / (1 + np.exp(d))):
+        assert abs(good @ of.products(f) @ bad / len(won) - f(s[won] - s[lost]).mean()) < 1e-8
