@@ -92,3 +92,24 @@ def test_ids_are_stable_and_writing_twice_changes_nothing(spark):
     assert len({r.id for r in read_stored(spark, path).collect()}) == 10
     ids = spark.range(1).select(row_id(F.lit("a"), F.lit(None)), row_id(F.lit("a"), F.lit("")), row_id(F.lit("a\u001f"), F.lit("b"))).first()
     assert len(set(ids)) == 3 and all(len(x) == 36 for x in ids)
+
+
+def test_a_put_that_replaces_every_group_of_a_bucket_is_written_once(spark):
+    t = KeyedTable(spark, scratch_path(spark, "t-once"), SCHEMA, ["s"], buckets=1, versions=1)
+    t.put(rows(spark, ("a", "x", 1), (None, "y", 2)))
+    version = t.put(rows(spark, ("a", "x", 3)), replaced=rows(spark, (None, "", 0)))
+    assert t.state().live == {0: [version]} and got(t) == [("a", "x", 3)]
+    assert len(t._files().globStatus(t._at("data", "bucket=*", "version=*"))) == 2          # no merged version
+    merged = t.put(rows(spark, ("b", "x", 4)))                                               # a's rows outlive this one
+    assert len(t.state().live[0]) == 1 and t.state().live[0] != [merged] and got(t) == [("a", "x", 3), ("b", "x", 4)]
+
+
+def test_a_write_is_split_by_size_however_few_buckets(spark):
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        t = KeyedTable(spark, scratch_path(spark, "t-split"), SCHEMA, ["s"], buckets=1)
+        t.put(spark.range(0, 100_000, 1, 8).select(F.sha2(F.col("id").cast("string"), 256).alias("s"), F.lit("k").alias("k"), F.lit(1).alias("v")))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    assert len(t.read().inputFiles()) > 2 and t.read().count() == 100_000
