@@ -76,3 +76,23 @@ def test_evaluate_on_close_equals_batch(spark):
     want = run_detectors(t, s).incidents.select("session_id", "pattern_name", "frame_count").collect()
     assert sorted(got) == sorted(want) and len(got) > 0
     assert spark.read.parquet(f"{out}/incidents").select("batch_id").distinct().count() >= 2
+
+
+def test_closed_sessions_read_stored_inputs(spark, monkeypatch):
+    """The cost history is worked out once for all micro-batches, and the passes of one read the stored rows of its sessions."""
+    from runlens.operators import detectors
+    from runlens.streaming.spans import scratch_path, stream_evaluate_closed
+    t, s = load_traces(spark, SF_SMOKE), load_sessions(spark, SF_SMOKE)
+    stage = scratch_path(spark, "t-closes-once")
+    closes = s.select("tenant_id", "session_id").orderBy("session_id").limit(6)
+    closes.repartitionByRange(2, "session_id").write.parquet(stage)
+    src = spark.readStream.schema(closes.schema).option("maxFilesPerTrigger", 1).parquet(stage)
+    seen, real = [], detectors.run_detectors
+
+    def spy(traces, sessions, **more):
+        seen.append([{f.split("/")[-2].rsplit("-", 1)[0] for f in df.inputFiles()} for df in (traces, sessions, more["history"])])
+        return real(traces, sessions, **more)
+
+    monkeypatch.setattr(detectors, "run_detectors", spy)
+    stream_evaluate_closed(src, t, s, scratch_path(spark, "t-once-out"), scratch_path(spark, "t-once-ckpt"))
+    assert len(seen) == 2 and all(x == [{"closed-spans"}, {"closed-sessions"}, {"closed-costs"}] for x in seen)
