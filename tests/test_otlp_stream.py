@@ -96,3 +96,22 @@ def test_closed_sessions_read_stored_inputs(spark, monkeypatch):
     monkeypatch.setattr(detectors, "run_detectors", spy)
     stream_evaluate_closed(src, t, s, scratch_path(spark, "t-once-out"), scratch_path(spark, "t-once-ckpt"))
     assert len(seen) == 2 and all(x == [{"closed-spans"}, {"closed-sessions"}, {"closed-costs"}] for x in seen)
+
+
+def test_a_micro_batch_of_the_dedupe_queries_is_more_than_one_file(spark, monkeypatch):
+    from runlens.plans import stream_queries
+    from runlens.streaming import spans
+    files, real = [], spans.stream_dedupe_spans
+
+    def spy(stream, *args, **more):
+        found = spark.read.parquet(stage(stream))
+        files.append(len(found.inputFiles()))
+        return real(stream, *args, **more)
+
+    def stage(stream):
+        return re.search(r"(\S+runlens/(?:retries|dedupe)-in-\w+)", stream._jdf.queryExecution().logical().toString()).group(1)
+
+    import re
+    monkeypatch.setattr(spans, "stream_dedupe_spans", spy)
+    assert stream_queries.stream_retries_query(spark, SF_SMOKE).count() > 0
+    assert len(files) == 5 and files[0] > 1 and files == sorted(files)
