@@ -98,3 +98,23 @@ def test_closed_sessions_read_stored_inputs(spark, monkeypatch):
     monkeypatch.setattr(detectors, "run_detectors", spy)
     stream_evaluate_closed(src, t, s, scratch_path(spark, "t-once-out"), scratch_path(spark, "t-once-ckpt"))
     assert len(seen) == 2 and all(x == [{"closed-spans"}, {"closed-sessions"}, {"closed-costs"}] for x in seen)
+
+
+def test_retries_arrive_batch_by_batch(spark, monkeypatch):
+    from conftest import SF_SMOKE
+    from runlens.plans import stream_queries
+    from runlens.streaming import spans
+    paths, files, dedupe, scratch = {}, [], spans.stream_dedupe_spans, spans.scratch_path
+
+    def path(spark, name):
+        paths[name] = scratch(spark, name)
+        return paths[name]
+
+    def spy(stream, *args, **more):
+        files.append(len(spark.read.parquet(paths["retries-in"]).inputFiles()))
+        return dedupe(stream, *args, **more)
+
+    monkeypatch.setattr(spans, "scratch_path", path)
+    monkeypatch.setattr(spans, "stream_dedupe_spans", spy)
+    assert stream_queries.stream_retries_query(spark, SF_SMOKE).count() > 0
+    assert len(files) == 5 and files == sorted(set(files))                                    # each batch of files is streamed before the next is there
