@@ -8,7 +8,7 @@ import pytest
 
 from runlens.operators.cost_ring import CostHistory
 from runlens.operators.detectors import cost_history
-from runlens.streaming.judge import track
+from runlens.streaming.judge import SessionStates, track
 from runlens.streaming.spans import scratch_path
 
 SESSIONS = "tenant_id string, session_id string, workflow_id string, started_at timestamp, total_cost_usd double"
@@ -82,3 +82,97 @@ def test_late_spans_are_gathered_during_the_quiet_time():
     assert run(s, spans=4, quiet=500) == [] and s.timer == 500
     assert run(s, timeout=True, quiet=500) == ["late spans"] and s.value == (True, 0, 2)
     assert run(s, timeout=True, quiet=500) == []
+
+
+def test_the_join_with_stored_states_follows_the_rule(spark):
+    rng = random.Random(3)
+    keys = [(rng.choice(["a", "b", None]), f"s{i}") for i in range(12)] + [(None, None)]
+    states, want = SessionStates(spark, scratch_path(spark, "t-states"), buckets=4), {k: State() for k in keys}
+    for batch in range(6):
+        events = [(*rng.choice(keys), *e) for e in rng.choices([(1, 0), (0, 3), (0, 1), (0, 0)], [2, 3, 3, 1], k=10)] if batch != 4 else []
+        expected = []
+        for k in {e[:2] for e in events}:
+            own = pd.DataFrame([e[2:] for e in events if e[:2] == k], columns=["closes", "spans"])
+            expected += [(*k, r.revision, r.reason) for df in track(k, iter([own]), want[k]) for r in df.itertuples()]
+        df = spark.createDataFrame(events, "tenant_id string, session_id string, closes long, spans long")
+        for _ in range(2 if batch in (0, 3) else 1):                                                     # a retried batch
+            got = [tuple(r) for r in states.requests(df, batch).collect()]
+            assert sorted(got, key=str) == sorted(expected, key=str)
+
+
+def test_without_a_quiet_time_no_session_goes_through_python(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from runlens.streaming import judge as module
+    asked = []
+    judge = SimpleNamespace(spans=SimpleNamespace(spark=spark), out=scratch_path(spark, "t-asked"), buckets=4,
+                            judge=lambda rows, batch: asked.append(sorted((r.session_id, r.revision, r.reason) for r in rows.collect())))
+
+    def refuse(*_):
+        raise AssertionError("a stateful operator in Python")
+
+    monkeypatch.setattr(module, "judge_requests", refuse)
+    closes, arrivals, ckpt = (scratch_path(spark, f"t-{x}") for x in ("closes", "arrivals", "ckpt"))
+    for closed, came in ((["x", "y"], ["x", "z"]), (["x"], ["y", "z"]), ([], ["z"])):
+        spark.createDataFrame([("t", s) for s in closed], "tenant_id string, session_id string").coalesce(1).write.mode("append").parquet(closes)
+        spark.createDataFrame([("t", s, 2) for s in came], "tenant_id string, session_id string, spans long").coalesce(1).write.mode("append").parquet(arrivals)
+        src = [spark.readStream.schema(f"tenant_id string, session_id string{x}").parquet(p) for x, p in (("", closes), (", spans long", arrivals))]
+        module.stream_judge(*src, judge, ckpt)
+    assert asked == [[("x", 1, "closed"), ("y", 1, "closed")], [("x", 2, "closed"), ("y", 2, "late spans")]]
+
+
+def test_the_passes_of_a_judgement_read_stored_spans(spark, monkeypatch):
+    from conftest import SF_SMOKE
+    from runlens.operators import detectors
+    from runlens.sources.adapters import load_traces, sessions_from_traces
+    from runlens.streaming.judge import SessionJudge
+    from runlens.streaming.spans import span_store
+    t = load_traces(spark, SF_SMOKE)
+    store = span_store(spark, scratch_path(spark, "t-spans"), t.schema, 4)
+    store.add_new(t)
+    asked = sessions_from_traces(t).orderBy("session_id").limit(40).selectExpr("tenant_id", "session_id", "1 as revision")
+    seen, real = [], detectors.run_detectors
+
+    def spy(traces, sessions, **more):
+        seen.append([{f.split("/")[-2].rsplit("-", 1)[0] for f in df.inputFiles()} for df in (traces, sessions)])
+        return real(traces, sessions, **more)
+
+    monkeypatch.setattr(detectors, "run_detectors", spy)
+    judge = SessionJudge(store, scratch_path(spark, "t-judged"), sessions_from_traces, buckets=4)
+    judge.judge(asked, 0)
+    rest = sessions_from_traces(t).join(asked, ["tenant_id", "session_id"], "left_anti").selectExpr("tenant_id", "session_id", "1 as revision")
+    judge.judge(rest, 1)                                                                                 # and those whose history changes by them
+    assert seen == [[{"judged-spans"}, {"judged-sessions"}]] * 2
+    columns = ["session_id", "pattern_name", "frame_count"]
+    want = real(t, sessions_from_traces(t)).incidents.select(*columns).collect()
+    assert sorted(judge.results("incidents").select(*columns).collect()) == sorted(want) and want
+
+
+def test_spans_of_a_micro_batch_are_written_and_read_by_many_tasks(spark, monkeypatch):
+    from conftest import SF_SMOKE
+    from runlens.plans import stream_queries
+    from runlens.streaming import spans
+    paths, files, scratch, inputs = {}, [], spans.scratch_path, stream_queries._inputs
+
+    class Enough(Exception):
+        pass
+
+    def path(spark, name):
+        paths[name] = scratch(spark, name)
+        return paths[name]
+
+    def spy(*_, **__):
+        files.append(len(spark.read.parquet(paths["late-spans"]).inputFiles()))
+        if len(files) == 2:
+            raise Enough
+
+    def spread(spark, sf_dir):
+        t, s = inputs(spark, sf_dir)
+        return t.repartition(4), s
+
+    monkeypatch.setattr(spans, "scratch_path", path)
+    monkeypatch.setattr(spans, "stream_dedupe_spans", spy)
+    monkeypatch.setattr(stream_queries, "_inputs", spread)
+    with pytest.raises(Enough):
+        stream_queries._run_late(spark, SF_SMOKE)
+    assert files == [4, 8]
