@@ -48,6 +48,18 @@ def test_cost_history_by_micro_batch_equals_the_window(spark, order):
         assert h.ledger.read().count() == 60
 
 
+def test_figures_and_followers_come_from_one_window(spark, monkeypatch):
+    from runlens.operators import cost_ring, history
+    passes, real = [], history.rolling
+    for module in (cost_ring, history):
+        monkeypatch.setattr(module, "rolling", lambda *a, **k: passes.append(1) or real(*a, **k))
+    rows = sorted(sessions(12, 4), key=lambda r: (r[3] or datetime(1970, 1, 1), r[1]))
+    h = CostHistory(spark, scratch_path(spark, "t-one"), n=3)
+    for k, batch in enumerate((rows[:6], rows[6:])):                                                     # in order: only the rings are read
+        assert {r.session_id for r in h.update(spark.createDataFrame(batch, SESSIONS), k).collect()} == {r[1] for r in batch}
+    assert len(passes) == 2
+
+
 class State:
     def __init__(self):
         self.value, self.timer, self.hasTimedOut = None, None, False
